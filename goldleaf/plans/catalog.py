@@ -128,3 +128,171 @@ def gold_fact_orders(spark, sf_dir):
 def fact_orders_minimal(spark, sf_dir) -> DataFrame:
     """Minimum slice: latest items joined to orders, fact_orders shape."""
     return to_output(gold.fact_orders(silver_orders(spark, sf_dir), silver_order_items(spark, sf_dir)))
+
+
+# ------------------------------------------------------------------ dimensions
+@register("gold_dim_date", """SELECT d AS date_key, CAST(year(d) AS BIGINT) AS year,
+  CAST(quarter(d) AS BIGINT) AS quarter, CAST(month(d) AS BIGINT) AS month,
+  CAST(day(d) AS BIGINT) AS day, CAST(dayofweek(d) + 1 AS BIGINT) AS day_of_week,
+  dayofweek(d) IN (0, 6) AS is_weekend
+FROM (SELECT CAST(unnest(generate_series(CAST(min(o_orderdate) AS DATE),
+        CAST(max(o_orderdate) AS DATE), INTERVAL 1 DAY)) AS DATE) AS d FROM orders) AS days""")
+def gold_dim_date(spark, sf_dir):
+    """Calendar rows for every day the orders span (the
+    reference's fixed 2019-2030 span is ``functions.dates.date_dim``)."""
+    from ..functions.dates import date_dim_between
+    bounds = td.table(spark, sf_dir, "orders", "o_orderdate").agg(
+        F.min("o_orderdate").alias("lo"), F.max("o_orderdate").alias("hi"))
+    return date_dim_between(bounds)
+
+
+PRODUCTS_BRONZE_SQL = f"({td.bronze_products_sql(1)}) UNION ALL ({td.bronze_products_sql(2)})"
+SILVER_PRODUCTS_SQL = _silver_sql("products", PRODUCTS_BRONZE_SQL)
+SILVER_PRODUCTS_DAY1_SQL = _silver_sql("products", td.bronze_products_sql(1))
+DIM_PRODUCTS_INITIAL_SQL = (f"SELECT {', '.join(_gcols('dim_products'))} FROM ({SILVER_PRODUCTS_DAY1_SQL}) AS p "
+                            "WHERE category_l1 <> 'STANDARD'")
+
+
+def silver_products(spark, sf_dir, day1_only=False) -> DataFrame:
+    b = td.bronze_products(spark, sf_dir, 1)
+    if not day1_only:
+        b = b.unionByName(td.bronze_products(spark, sf_dir, 2))
+    return silver.silver_model(b, "products")[0]
+
+
+@register("gold_dim_products_scd1", sq.upsert_sql(
+    DIM_PRODUCTS_INITIAL_SQL, f"SELECT {', '.join(_gcols('dim_products'))} FROM ({SILVER_PRODUCTS_SQL}) AS s",
+    _gcols("dim_products"), ["product_id"]))
+def gold_dim_products_scd1(spark, sf_dir):
+    """M2: dim of run 1 (STANDARD parts not yet listed) overwritten by the
+    latest silver products (PROMO prices raised on day 2)."""
+    dim0 = silver_products(spark, sf_dir, day1_only=True).filter(
+        F.col("category_l1") != "STANDARD").select(*_gcols("dim_products"))
+    return to_output(gold.dim_products(silver_products(spark, sf_dir), dim0))
+
+
+CUSTOMERS_BRONZE_SQL = f"({td.bronze_customers_sql(1)}) UNION ALL ({td.bronze_customers_sql(2)})"
+SILVER_CUSTOMERS_DAY1_SQL = _silver_sql("customers", td.bronze_customers_sql(1))
+SILVER_CUSTOMERS_SQL = _silver_sql("customers", CUSTOMERS_BRONZE_SQL)
+_ATTRS = "email_hash, first_name, last_name, country_code, city, customer_segment"
+DIM_CUSTOMERS_SQL = f"""WITH s1 AS ({SILVER_CUSTOMERS_DAY1_SQL}),
+s2 AS ({SILVER_CUSTOMERS_SQL}),
+dim1 AS (SELECT customer_id, {_ATTRS}, updated_at AS valid_from FROM s1),
+new2 AS (
+  SELECT U.customer_id, U.email_hash, U.first_name, U.last_name, U.country_code, U.city,
+         U.customer_segment, U.updated_at AS valid_from
+  FROM s2 U LEFT JOIN dim1 C ON U.customer_id = C.customer_id
+  WHERE C.customer_id IS NULL OR C.email_hash != U.email_hash
+     OR C.customer_segment != U.customer_segment),
+versions AS (SELECT *, 0 AS _load FROM dim1 UNION ALL SELECT *, 1 AS _load FROM new2),
+one AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY customer_id, valid_from
+          ORDER BY _load DESC) AS rn FROM versions) AS x WHERE rn = 1)
+SELECT md5(concat_ws('~', customer_id, CAST(valid_from AS VARCHAR))) AS customer_sk,
+  customer_id, {_ATTRS}, valid_from,
+  LEAD(valid_from) OVER (PARTITION BY customer_id ORDER BY valid_from) AS valid_to,
+  LEAD(valid_from) OVER (PARTITION BY customer_id ORDER BY valid_from) IS NULL AS is_current
+FROM one"""
+
+
+def silver_customers(spark, sf_dir, day1_only=False) -> DataFrame:
+    b = td.bronze_customers(spark, sf_dir, 1)
+    if not day1_only:
+        b = b.unionByName(td.bronze_customers(spark, sf_dir, 2))
+    return silver.silver_model(b, "customers")[0]
+
+
+def dim_customers_frame(spark, sf_dir) -> DataFrame:
+    from ..schemas import empty_frame
+    dim0 = empty_frame(spark, GOLD_COLUMNS["dim_customers"])
+    dim1 = gold.dim_customers(silver_customers(spark, sf_dir, day1_only=True), dim0)
+    return gold.dim_customers(silver_customers(spark, sf_dir), dim1)
+
+
+@register("gold_dim_customers_scd2", DIM_CUSTOMERS_SQL)
+def gold_dim_customers_scd2(spark, sf_dir):
+    """Two loads; tracked changes (segment, e-mail)
+    open a new version and close the old one, untracked ones do not."""
+    return to_output(dim_customers_frame(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ other facts
+INV_CUTOFF = "1998-01-01 00:00:00"
+SILVER_INV_SQL = _silver_sql("inventory", td.bronze_inventory_sql())
+SILVER_INV_OLD_SQL = _silver_sql("inventory", td.bronze_inventory_sql(INV_CUTOFF))
+_INV_COLS = _gcols("fact_inventory_daily")
+
+
+@register("gold_fact_inventory_daily", sq.upsert_sql(
+    f"SELECT {', '.join(_INV_COLS)} FROM ({SILVER_INV_OLD_SQL}) AS o",
+    f"SELECT {', '.join(_INV_COLS)} FROM ({SILVER_INV_SQL}) AS n", _INV_COLS, ["inventory_id"]))
+def gold_fact_inventory_daily(spark, sf_dir):
+    """M2: yesterday's snapshot (lines shipped before 1998) overwritten by
+    today's per inventory_id; new (part, supplier) pairs inserted."""
+    old = silver.silver_model(td.bronze_inventory(spark, sf_dir, INV_CUTOFF), "inventory")[0]
+    new = silver.silver_model(td.bronze_inventory(spark, sf_dir), "inventory")[0]
+    return to_output(gold.fact_inventory_daily(new, old.select(*_INV_COLS)))
+
+
+CLICK_CUTOFF = "2024-01-15 00:00:00"
+SILVER_CLICK_SQL = _silver_sql("clickstream_events", td.bronze_clickstream_sql())
+_CLICK_COLS = _gcols("fact_clickstream")
+
+
+def silver_clickstream(spark, sf_dir) -> DataFrame:
+    return silver.silver_model(td.bronze_clickstream(spark, sf_dir), "clickstream_events")[0]
+
+
+@register("gold_fact_clickstream", sq.upsert_sql(
+    f"SELECT {', '.join(_CLICK_COLS)} FROM ({SILVER_CLICK_SQL}) AS o "
+    f"WHERE event_timestamp < TIMESTAMP '{CLICK_CUTOFF}'",
+    f"SELECT {', '.join(_CLICK_COLS)} FROM ({SILVER_CLICK_SQL}) AS n", _CLICK_COLS, ["event_id"]))
+def gold_fact_clickstream(spark, sf_dir):
+    """P4 + M2: facts of the first half of the month merged with all events."""
+    s = silver_clickstream(spark, sf_dir)
+    target = s.filter(F.col("event_timestamp") < F.lit(CLICK_CUTOFF).cast("timestamp")).select(*_CLICK_COLS)
+    return to_output(gold.fact_clickstream(s, target))
+
+
+@register("gold_daily_sales", f"""SELECT CAST(order_date AS DATE) AS sales_date, order_channel,
+  currency_code, CAST(SUM(line_total) AS DECIMAL(38,9)) AS revenue,
+  CAST(SUM(item_discount) AS DECIMAL(38,9)) AS discount, CAST(SUM(quantity) AS BIGINT) AS units,
+  COUNT(DISTINCT order_id) AS n_orders, COUNT(*) AS n_items
+FROM ({FACT_ORDERS_SQL}) AS f GROUP BY ALL""")
+def gold_daily_sales(spark, sf_dir):
+    """A10: the documented daily roll-up over fact_orders."""
+    return gold.daily_sales(fact_orders_frame(spark, sf_dir))
+
+
+STAR_AS_OF = "2024-01-15 00:00:00"
+
+
+@register("star_join_orders_by_segment", f"""SELECT C.customer_segment, D.year,
+  CAST(SUM(F.line_total) AS DECIMAL(38,9)) AS revenue, COUNT(DISTINCT F.order_id) AS n_orders,
+  COUNT(*) AS n_items, CAST(SUM(CASE WHEN D.is_weekend THEN 1 ELSE 0 END) AS BIGINT) AS weekend_items
+FROM ({FACT_ORDERS_SQL}) AS F
+JOIN ({DIM_CUSTOMERS_SQL}) AS C ON F.customer_id = C.customer_id
+  AND C.valid_from <= TIMESTAMP '{STAR_AS_OF}'
+  AND (C.valid_to IS NULL OR TIMESTAMP '{STAR_AS_OF}' < C.valid_to)
+JOIN (SELECT d AS date_key, CAST(year(d) AS BIGINT) AS year,
+        dayofweek(d) IN (0, 6) AS is_weekend FROM (SELECT CAST(unnest(generate_series(
+        CAST(min(o_orderdate) AS DATE), CAST(max(o_orderdate) AS DATE), INTERVAL 1 DAY)) AS DATE) AS d
+        FROM orders) AS days) AS D ON CAST(F.order_date AS DATE) = D.date_key
+GROUP BY C.customer_segment, D.year""")
+def star_join_orders_by_segment(spark, sf_dir):
+    """Facts -> customer version valid at a reporting time (interval
+    predicate on the SCD2 dimension) -> date dimension; revenue by segment
+    and year. The customer join is a shuffle join AQE may turn into a
+    broadcast once it *measures* the filtered dimension; the date dimension
+    is bounded by the calendar span, so it is broadcast outright."""
+    facts = fact_orders_frame(spark, sf_dir)
+    as_of = F.lit(STAR_AS_OF).cast("timestamp")
+    dim = dim_customers_frame(spark, sf_dir).filter(
+        (F.col("valid_from") <= as_of) & (F.col("valid_to").isNull() | (as_of < F.col("valid_to"))))
+    dates = gold_dim_date(spark, sf_dir).select("date_key", "year", "is_weekend")
+    j = (facts.join(dim.select("customer_id", "customer_segment"), "customer_id")
+         .join(F.broadcast(dates), F.to_date("order_date") == F.col("date_key")))
+    return j.groupBy("customer_segment", "year").agg(
+        F.sum("line_total").cast("decimal(38,9)").alias("revenue"),
+        F.countDistinct("order_id").alias("n_orders"),
+        F.count("*").alias("n_items"),
+        F.sum(F.when(F.col("is_weekend"), 1).otherwise(0)).cast("bigint").alias("weekend_items"))

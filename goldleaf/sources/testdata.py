@@ -355,7 +355,7 @@ FROM events"""
 
 
 # ---------------------------------------------------------------- inventory
-def bronze_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bronze_inventory(spark: SparkSession, sf_dir: str, before: str | None = None) -> DataFrame:
     """Inventory snapshot derived from lineitem: one row per (part, supplier).
 
     on hand = total quantity, reserved = quantity of open lines (status O),
@@ -364,6 +364,8 @@ def bronze_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     li = table(spark, sf_dir, "lineitem", "l_partkey", "l_suppkey", "l_quantity", "l_linestatus",
                "l_shipdate")
+    if before is not None:
+        li = li.filter(F.col("l_shipdate") < F.lit(before).cast("timestamp_ntz"))
     g = li.groupBy("l_partkey", "l_suppkey").agg(
         F.sum(F.col("l_quantity").cast("bigint")).alias("on_hand"),
         F.sum(F.when(F.col("l_linestatus") == "O", F.col("l_quantity").cast("bigint"))
@@ -384,7 +386,8 @@ def bronze_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def bronze_inventory_sql() -> str:
+def bronze_inventory_sql(before: str | None = None) -> str:
+    where = f"WHERE l_shipdate < TIMESTAMP '{before}'" if before else ""
     return f"""SELECT {uuid_sql('inventory', "l_partkey || '-' || l_suppkey")} AS inventory_id,
   {uuid_sql('product', 'l_partkey')} AS product_id, 'WH-' || CAST(l_suppkey AS VARCHAR) AS warehouse_id,
   on_hand AS quantity_on_hand, reserved AS quantity_reserved,
@@ -393,4 +396,4 @@ def bronze_inventory_sql() -> str:
 FROM (SELECT l_partkey, l_suppkey, SUM(CAST(l_quantity AS BIGINT)) AS on_hand,
         SUM(CASE WHEN l_linestatus = 'O' THEN CAST(l_quantity AS BIGINT) ELSE 0 END) AS reserved,
         MAX(l_shipdate) AS last_ship
-      FROM lineitem GROUP BY l_partkey, l_suppkey)"""
+      FROM lineitem {where} GROUP BY l_partkey, l_suppkey)"""
