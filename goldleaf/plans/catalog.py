@@ -296,3 +296,175 @@ def star_join_orders_by_segment(spark, sf_dir):
         F.countDistinct("order_id").alias("n_orders"),
         F.count("*").alias("n_items"),
         F.sum(F.when(F.col("is_weekend"), 1).otherwise(0)).cast("bigint").alias("weekend_items"))
+
+
+# ------------------------------------------------------------------ quality
+RUN_ID = "run-0001"
+AS_OF = "2024-02-02 00:00:00"
+
+
+def _as_of():
+    return F.lit(AS_OF).cast("timestamp")
+
+
+def _null_specs(cols_sev):
+    return [(f"null_check_{c}", c, f"{c} IS NULL OR CAST({c} AS VARCHAR) = ''", sev,
+             "{failed} records have null '" + c + "'") for c, sev in cols_sev]
+
+
+# Which columns each quality query checks, with severities.
+NULL_CUSTOMERS = [("customer_id", "CRITICAL"), ("email_hash", "HIGH"), ("first_name", "MEDIUM"),
+                  ("city", "LOW")]
+NULL_CLICKS = [("customer_id", "LOW"), ("search_query", "LOW"), ("page_url", "HIGH")]
+
+
+@register("dq_null", "\nUNION ALL\n".join([
+    sq.checks_sql(td.bronze_customers_sql(1), _null_specs(NULL_CUSTOMERS), "bronze", "customers", RUN_ID, AS_OF),
+    sq.checks_sql(td.bronze_clickstream_sql(), _null_specs(NULL_CLICKS), "bronze", "clickstream_events", RUN_ID, AS_OF)]))
+def dq_null(spark, sf_dir):
+    """Null checks, all columns of a table in one aggregate."""
+    from ..quality.checks import null_check, run_checks
+    cust = td.bronze_customers(spark, sf_dir, 1)
+    clicks = td.bronze_clickstream(spark, sf_dir)
+    a = run_checks(cust, [null_check(cust, c, s) for c, s in NULL_CUSTOMERS], "bronze", "customers",
+                   RUN_ID, _as_of())
+    b = run_checks(clicks, [null_check(clicks, c, s) for c, s in NULL_CLICKS], "bronze",
+                   "clickstream_events", RUN_ID, _as_of())
+    return to_output(a.unionByName(b))
+
+
+def _dup_sql(src: str, keys: list[str], dataset: str, table: str, sev: str) -> str:
+    k = ", ".join(keys)
+    agg = (f"(SELECT COALESCE(SUM(n), 0) AS total, COALESCE(SUM(CASE WHEN n > 1 THEN n - 1 END), 0) AS failed, "
+           f"count_if(n > 1) AS dup_keys FROM (SELECT count(*) AS n FROM ({src}) AS s GROUP BY {k}) AS g) AS agg")
+    return sq.result_sql(f"'duplicate_check_{'_'.join(keys)}'", f"'{','.join(keys)}'", "total", "failed",
+                         f"'{sev}'", "CAST(dup_keys AS VARCHAR) || ' duplicate keys found'",
+                         dataset, table, RUN_ID, AS_OF, src=agg)
+
+
+@register("dq_duplicate", "\nUNION ALL\n".join([
+    _dup_sql(td.bronze_order_items_sql(), ["order_item_id"], "bronze", "order_items", "HIGH"),
+    _dup_sql(SILVER_ITEMS_SQL, ["order_id", "product_id"], "silver", "order_items", "MEDIUM"),
+    _dup_sql(td.bronze_products_sql(1), ["sku"], "bronze", "products", "HIGH")]))
+def dq_duplicate(spark, sf_dir):
+    """Duplicate keys (composite keys as typed group-by keys)."""
+    from ..quality.checks import duplicate_check
+    a = duplicate_check(td.bronze_order_items(spark, sf_dir), ["order_item_id"], "bronze",
+                        "order_items", RUN_ID, "HIGH", _as_of())
+    b = duplicate_check(silver_order_items(spark, sf_dir), ["order_id", "product_id"], "silver",
+                        "order_items", RUN_ID, "MEDIUM", _as_of())
+    c = duplicate_check(td.bronze_products(spark, sf_dir, 1), ["sku"], "bronze", "products",
+                        RUN_ID, "HIGH", _as_of())
+    return to_output(a.unionByName(b).unionByName(c))
+
+
+def _fmt_bound(v):
+    return "None" if v is None else repr(v) if isinstance(v, float) else str(v)
+
+
+def _range_specs(items):
+    out = []
+    for c, lo, hi, sev in items:
+        x = f"TRY_CAST({c} AS DOUBLE)"
+        parts = ([f"{x} < {float(lo)!r}"] if lo is not None else []) + \
+            ([f"{x} > {float(hi)!r}"] if hi is not None else [])
+        cond = " OR ".join(parts) or "FALSE"
+        failed = (f"CASE WHEN {c} IS NULL THEN FALSE WHEN {x} IS NULL THEN TRUE WHEN isnan({x}) THEN FALSE "
+                  f"ELSE ({cond}) END")
+        out.append((f"range_check_{c}", c, failed, sev,
+                    "{failed} records have '" + c + "' outside [" + _fmt_bound(lo) + ", " + _fmt_bound(hi) + "]"))
+    return out
+
+
+# Range rules (column, min, max, severity) per table.
+RANGE_CUSTOMERS = [("loyalty_points", 0, None, "MEDIUM")]
+RANGE_PRODUCTS = [("unit_price", 0.01, 100000, "HIGH"), ("cost_price", 0.01, None, "MEDIUM")]
+RANGE_ORDERS = [("total_amount", 0.01, 1000000, "HIGH")]
+RANGE_EVENTS = [("value", 0, 400, "LOW")]
+
+
+@register("dq_range", "\nUNION ALL\n".join([
+    sq.checks_sql(td.bronze_customers_sql(1), _range_specs(RANGE_CUSTOMERS), "bronze", "customers", RUN_ID, AS_OF),
+    sq.checks_sql(td.bronze_products_sql(1), _range_specs(RANGE_PRODUCTS), "bronze", "products", RUN_ID, AS_OF),
+    sq.checks_sql(td.bronze_orders_sql(1), _range_specs(RANGE_ORDERS), "bronze", "orders", RUN_ID, AS_OF),
+    sq.checks_sql("SELECT * FROM events", _range_specs(RANGE_EVENTS), "raw", "events", RUN_ID, AS_OF)]))
+def dq_range(spark, sf_dir):
+    """Inclusive bounds, NULL skipped, non-numbers fail, NaN passes."""
+    from ..quality.checks import range_check, run_checks
+
+    def run(df, items, dataset, table):
+        return run_checks(df, [range_check(df, c, lo, hi, sev) for c, lo, hi, sev in items], dataset,
+                          table, RUN_ID, _as_of())
+    out = run(td.bronze_customers(spark, sf_dir, 1), RANGE_CUSTOMERS, "bronze", "customers")
+    out = out.unionByName(run(td.bronze_products(spark, sf_dir, 1), RANGE_PRODUCTS, "bronze", "products"))
+    out = out.unionByName(run(td.bronze_orders(spark, sf_dir, 1), RANGE_ORDERS, "bronze", "orders"))
+    out = out.unionByName(run(td.table(spark, sf_dir, "events"), RANGE_EVENTS, "raw", "events"))
+    return to_output(out)
+
+
+# Cross-column rules as SQL, in the same order as
+# quality.contracts.cross_column_checks.
+CROSS_SQL = {
+    "customers": [("updated_after_created", None, "updated_at < created_at"),
+                  ("signup_after_2019", None, "signup_date < DATE '2019-01-01'"),
+                  ("country_code_format", "country_code", "NOT regexp_matches(country_code, '^[A-Z]{2}$')")],
+    "products": [("cost_within_price", None, "cost_price <= 0 OR cost_price > unit_price"),
+                 ("updated_after_created", None, "updated_at < created_at")],
+    "orders": [("shipped_after_ordered", None, "shipped_date < order_date"),
+               ("delivered_after_shipped", None, "delivered_date < shipped_date"),
+               ("updated_after_created", None, "updated_at < created_at")],
+    "order_items": [("line_total_matches", None, "abs(line_total - quantity * unit_price) > 0.01"),
+                    ("return_within_quantity", None, "return_quantity > quantity"),
+                    ("return_reason_given", None,
+                     "return_quantity > 0 AND (return_reason IS NULL OR return_reason = '')")],
+    "inventory": [("available_is_on_hand_minus_reserved", None,
+                   "quantity_available <> quantity_on_hand - quantity_reserved")],
+    "clickstream_events": [
+        ("anonymous_id_when_no_customer", None,
+         "customer_id IS NULL AND (anonymous_id IS NULL OR anonymous_id = '')"),
+        ("product_for_product_events", None,
+         "event_type IN ('PRODUCT_VIEW', 'ADD_TO_CART') AND product_id IS NULL"),
+        ("query_for_search", None, "event_type = 'SEARCH' AND search_query IS NULL")],
+}
+
+
+def _cross_sql(entity, src):
+    specs = [(n, c, f"COALESCE({cond}, FALSE)", "MEDIUM", "{failed} records violate " + n)
+             for n, c, cond in CROSS_SQL[entity]]
+    return sq.checks_sql(src, specs, "silver", entity, RUN_ID, AS_OF)
+
+
+CROSS_SOURCES_SQL = [("customers", SILVER_CUSTOMERS_SQL), ("products", SILVER_PRODUCTS_SQL),
+                     ("orders", SILVER_ORDERS_SQL), ("order_items", SILVER_ITEMS_SQL),
+                     ("inventory", SILVER_INV_SQL), ("clickstream_events", SILVER_CLICK_SQL)]
+DQ_CROSS_SQL = "\nUNION ALL\n".join(_cross_sql(e, s) for e, s in CROSS_SOURCES_SQL)
+
+
+def dq_cross_frame(spark, sf_dir) -> DataFrame:
+    from ..quality.checks import run_checks
+    from ..quality.contracts import cross_column_checks
+    frames = [("customers", silver_customers(spark, sf_dir)), ("products", silver_products(spark, sf_dir)),
+              ("orders", silver_orders(spark, sf_dir)), ("order_items", silver_order_items(spark, sf_dir)),
+              ("inventory", silver.silver_model(td.bronze_inventory(spark, sf_dir), "inventory")[0]),
+              ("clickstream_events", silver_clickstream(spark, sf_dir))]
+    out = None
+    for entity, df in frames:
+        r = run_checks(df, cross_column_checks(entity), "silver", entity, RUN_ID, _as_of())
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+@register("dq_cross_column", DQ_CROSS_SQL)
+def dq_cross_column(spark, sf_dir):
+    """The contracts' cross-column rules, one aggregate per table."""
+    return to_output(dq_cross_frame(spark, sf_dir))
+
+
+@register("dq_sla", f"""SELECT *, CASE WHEN rule_name = 'country_code_format' THEN 0.1 ELSE 0.0 END
+  AS sla_threshold_pct,
+  failure_pct <= CASE WHEN rule_name = 'country_code_format' THEN 0.1 ELSE 0.0 END AS sla_met
+FROM ({DQ_CROSS_SQL}) AS r""")
+def dq_sla(spark, sf_dir):
+    """SLA verdict per rule (tolerance 0.1 % for country codes, else 0 %)."""
+    from ..quality.contracts import with_sla
+    return to_output(with_sla(dq_cross_frame(spark, sf_dir)))

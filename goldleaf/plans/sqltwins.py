@@ -68,3 +68,34 @@ UNION ALL SELECT {ins_null}{", 'inserted'" if action else ''} FROM ({source}) AS
 
 def out_sql(inner: str, cols: list[str]) -> str:
     return f"SELECT {', '.join(cols)} FROM ({inner}) AS q"
+
+
+def checks_sql(src: str, specs: list[tuple[str, str | None, str, str, str]], dataset: str,
+               table: str, run_id: str, as_of: str) -> str:
+    """dq_results rows for row-level checks: ``specs`` are
+    ``(rule_name, column_name, failed_sql, severity, details_template)``."""
+    aggs = ", ".join(f"count_if({f}) AS f{i}" for i, (_, _, f, _, _) in enumerate(specs))
+    parts = []
+    for i, (rule, col, _, sev, det) in enumerate(specs):
+        colv = "NULL" if col is None else f"'{col}'"
+        pre, post = (x.replace("'", "''") for x in det.split("{failed}"))
+        details = f"'{pre}' || CAST(f{i} AS VARCHAR) || '{post}'".replace("'' || ", "")
+        parts.append(result_sql(f"'{rule}'", colv, "total", f"f{i}", f"'{sev}'", details,
+                                dataset, table, run_id, as_of))
+    body = "\nUNION ALL ".join(parts)
+    inner = f"WITH agg AS (SELECT count(*) AS total, {aggs} FROM ({src}) AS src)\n" + body.replace(
+        "FROM agg_placeholder", "FROM agg")
+    return f"SELECT * FROM ({inner}) AS checks"
+
+
+def result_sql(rule: str, col: str, total: str, failed: str, sev: str, details: str,
+               dataset: str, table: str, run_id: str, as_of: str, src: str = "agg_placeholder") -> str:
+    return (f"SELECT {rule} AS rule_name, '{dataset}' AS dataset_name, '{table}' AS table_name, "
+            f"CAST({col} AS VARCHAR) AS column_name, CAST({total} AS BIGINT) AS total_records, "
+            f"CAST({failed} AS BIGINT) AS failed_records, {sev} AS severity, "
+            f"CASE WHEN {failed} = 0 THEN 'PASSED' ELSE 'FAILED' END AS status, "
+            f"'{run_id}' AS pipeline_run_id, "
+            f"CASE WHEN {failed} > 0 THEN {details} ELSE '' END AS error_details, "
+            f"TIMESTAMP '{as_of}' AS checked_at, "
+            f"CASE WHEN {total} = 0 THEN 0.0 ELSE round_even(CAST({failed} AS DOUBLE) / "
+            f"CAST({total} AS DOUBLE) * 100.0, 4) END AS failure_pct FROM {src}")

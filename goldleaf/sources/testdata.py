@@ -179,6 +179,8 @@ def bronze_orders(spark: SparkSession, sf_dir: str, generation: int = 1) -> Data
     o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
               "o_orderdate", "o_orderpriority")
     d = F.col("o_orderdate")
+    if generation == 3:
+        return _orders_day3(o)
     if generation == 1:
         status = (F.when(F.col("o_orderstatus") == "F", "DELIVERED")
                   .when(F.col("o_orderstatus") == "O", "SHIPPED").otherwise("PENDING"))
@@ -212,6 +214,22 @@ def bronze_orders(spark: SparkSession, sf_dir: str, generation: int = 1) -> Data
     )
 
 
+def _orders_day3(o: DataFrame) -> DataFrame:
+    """Day 3 (status-history scenario only): delivered URGENT orders come
+    back as SHIPPED (an illegal step), delivered LOW orders are RETURNED."""
+    o = o.filter((F.col("o_orderstatus") == "F") & F.col("o_orderpriority").isin("1-URGENT", "5-LOW"))
+    return o.select(
+        uuid_like("order", F.col("o_orderkey")).alias("order_id"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", "SHIPPED").otherwise("RETURNED").alias("order_status"),
+        (F.col("o_orderdate") + F.expr("INTERVAL 9 DAYS")).alias("updated_at"))
+
+
+ORDERS_DAY3_SQL = f"""SELECT {uuid_sql('order', 'o_orderkey')} AS order_id,
+  CASE WHEN o_orderpriority = '1-URGENT' THEN 'SHIPPED' ELSE 'RETURNED' END AS order_status,
+  o_orderdate + INTERVAL 9 DAY AS updated_at
+FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority IN ('1-URGENT', '5-LOW')"""
+
+
 def bronze_orders_sql(generation: int = 1) -> str:
     if generation == 1:
         status = ("CASE o_orderstatus WHEN 'F' THEN 'DELIVERED' WHEN 'O' THEN 'SHIPPED' "
