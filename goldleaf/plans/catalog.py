@@ -468,3 +468,259 @@ def dq_sla(spark, sf_dir):
     """SLA verdict per rule (tolerance 0.1 % for country codes, else 0 %)."""
     from ..quality.contracts import with_sla
     return to_output(with_sla(dq_cross_frame(spark, sf_dir)))
+
+
+# The three post-run checks (name, severity).
+POST_RUN = [("silver_orders_no_null_order_id", "CRITICAL"),
+            ("gold_fact_orders_no_negative_amounts", "HIGH"),
+            ("silver_orders_freshness_24h", "MEDIUM")]
+
+
+def _post_sql():
+    o = f"({sq.upsert_sql(SILVER_ORDERS_INITIAL_SQL, SILVER_ORDERS_SQL, _cols('orders'), ['order_id'])})"
+    srcs = [
+        f"(SELECT count(*) AS total, count_if(order_id IS NULL) AS failed FROM {o} AS t) AS agg",
+        f"(SELECT count(*) AS total, count_if(line_total < 0) AS failed FROM ({FACT_ORDERS_SQL}) AS t) AS agg",
+        f"(SELECT count(*) AS total, CASE WHEN max(order_date) < TIMESTAMP '{AS_OF}' - INTERVAL 1 DAY "
+        f"THEN 1 ELSE 0 END AS failed FROM {o} AS t) AS agg"]
+    return "\nUNION ALL\n".join(
+        sq.result_sql(f"'{n}'", "NULL", "total", "failed", f"'{sev}'",
+                      "CAST(failed AS VARCHAR) || ' violations'", "pipeline", t, RUN_ID, AS_OF, src=s)
+        for (n, sev), t, s in zip(POST_RUN, ["orders", "fact_orders", "orders"], srcs))
+
+
+@register("dq_post_run", _post_sql())
+def dq_post_run(spark, sf_dir):
+    """The three post-run checks over silver orders and
+    fact_orders (the negative-amount check reads ``line_total``: the
+    reference names a column fact_orders does not have). ``as_of`` fixed."""
+    from ..quality.checks import _result_cols
+    target = silver_orders_initial(spark, sf_dir)
+    orders = silver.silver_model(bronze_orders_all(spark, sf_dir), "orders", target=target)[0]
+    facts = fact_orders_frame(spark, sf_dir)
+    as_of = _as_of()
+    aggs = [
+        orders.agg(F.count("*").alias("total"), F.count_if(F.col("order_id").isNull()).alias("failed")),
+        facts.agg(F.count("*").alias("total"), F.count_if(F.col("line_total") < 0).alias("failed")),
+        orders.agg(F.count("*").alias("total"),
+                   F.when(F.max("order_date") < as_of - F.expr("INTERVAL 1 DAY"), 1).otherwise(0)
+                   .alias("failed")),
+    ]
+    out = None
+    for (name, sev), table, a in zip(POST_RUN, ["orders", "fact_orders", "orders"], aggs):
+        details = F.concat(F.col("failed").cast("string"), F.lit(" violations"))
+        r = a.select(*_result_cols(F.lit(name), F.lit(None).cast("string"), F.col("total"), F.col("failed"),
+                                   F.lit(sev), details, "pipeline", table, RUN_ID, as_of))
+        out = r if out is None else out.unionByName(r)
+    return to_output(out)
+
+
+# Foreign-key relations checked (name, child, fk, parent, pk).
+FK_RELATIONS = [("orders_customer", "orders", "customer_id", "customers", "customer_id"),
+                ("order_items_order", "order_items", "order_id", "orders", "order_id"),
+                ("order_items_product", "order_items", "product_id", "products", "product_id"),
+                ("clickstream_customer", "clickstream_events", "customer_id", "customers", "customer_id"),
+                ("clickstream_product", "clickstream_events", "product_id", "products", "product_id"),
+                ("orders_active_customer", "orders", "customer_id", "active_customers", "customer_id")]
+
+
+def _fk_sql():
+    srcs = {"orders": SILVER_ORDERS_SQL, "order_items": SILVER_ITEMS_SQL, "customers": SILVER_CUSTOMERS_SQL,
+            "products": SILVER_PRODUCTS_SQL, "clickstream_events": SILVER_CLICK_SQL,
+            "active_customers": f"SELECT * FROM ({SILVER_CUSTOMERS_SQL}) AS c WHERE is_active"}
+    parts = []
+    for name, child, fk, parent, pk in FK_RELATIONS:
+        agg = (f"(SELECT COALESCE(SUM(n), 0) AS total, "
+               f"COALESCE(SUM(CASE WHEN _fk IS NOT NULL AND _pk IS NULL THEN n END), 0) AS failed, "
+               f"count_if(_fk IS NOT NULL AND _pk IS NULL) AS orphan_keys FROM "
+               f"(SELECT {fk} AS _fk, count(*) AS n FROM ({srcs[child]}) AS c GROUP BY {fk}) AS k "
+               f"LEFT JOIN (SELECT DISTINCT {pk} AS _pk FROM ({srcs[parent]}) AS p) AS pk ON k._fk = pk._pk) AS agg")
+        parts.append(sq.result_sql(f"'fk_check_{name}'", f"'{fk}'", "total", "failed", "'LOW'",
+                                   "CAST(orphan_keys AS VARCHAR) || ' unknown keys'", "silver", name,
+                                   RUN_ID, AS_OF, src=agg))
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("dq_referential", _fk_sql())
+def dq_referential(spark, sf_dir):
+    """Foreign keys between silver tables (warn only). The last
+    relation counts orders placed by customers flagged inactive."""
+    from ..quality.contracts import foreign_key_check
+    customers = silver_customers(spark, sf_dir)
+    frames = {"orders": silver_orders(spark, sf_dir), "order_items": silver_order_items(spark, sf_dir),
+              "customers": customers, "products": silver_products(spark, sf_dir),
+              "clickstream_events": silver_clickstream(spark, sf_dir),
+              "active_customers": customers.filter(F.col("is_active"))}
+    out = None
+    for name, child, fk, parent, pk in FK_RELATIONS:
+        r = foreign_key_check(frames[child], fk, frames[parent], pk, name, "silver", RUN_ID,
+                              checked_at=_as_of())
+        out = r if out is None else out.unionByName(r)
+    return to_output(out)
+
+
+ORDER_HISTORY_SQL = f"""SELECT order_id, order_status, updated_at FROM ({ORDERS_BRONZE_SQL}) AS b
+UNION ALL SELECT order_id, order_status, updated_at FROM ({td.ORDERS_DAY3_SQL}) AS d3"""
+
+
+@register("dq_status_transitions", f"""SELECT order_id, updated_at, to_status, from_status FROM (
+  SELECT order_id, updated_at, order_status AS to_status,
+         LAG(order_status) OVER (PARTITION BY order_id ORDER BY updated_at) AS from_status
+  FROM ({ORDER_HISTORY_SQL}) AS h WHERE order_id IS NOT NULL) AS s
+WHERE from_status IS NOT NULL AND from_status <> to_status
+  AND NOT ((from_status = 'PENDING' AND to_status = 'CONFIRMED')
+        OR (from_status = 'CONFIRMED' AND to_status = 'SHIPPED')
+        OR (from_status = 'SHIPPED' AND to_status = 'DELIVERED')
+        OR (from_status = 'PENDING' AND to_status = 'CANCELLED')
+        OR (from_status = 'CONFIRMED' AND to_status = 'CANCELLED')
+        OR (from_status = 'DELIVERED' AND to_status = 'RETURNED'))""")
+def dq_status_transitions(spark, sf_dir):
+    """Illegal order status steps over three landed versions."""
+    from ..quality.contracts import status_transitions
+    cols = ["order_id", "order_status", "updated_at"]
+    hist = (bronze_orders_all(spark, sf_dir).select(*cols)
+            .unionByName(td.bronze_orders(spark, sf_dir, 3).select(*cols)))
+    return to_output(status_transitions(hist, "order_id", "order_status", ["updated_at"]))
+
+
+def bronze_json(df: DataFrame, entity: str) -> DataFrame:
+    """Bronze rows as the JSON text a landing file holds (NULLs omitted)."""
+    from ..quality.schema_check import ENTITY_SCHEMAS
+    props = [c for c in ENTITY_SCHEMAS[entity]["properties"] if c in df.columns]
+    return df.select(F.to_json(F.struct(*props)).alias("value"))
+
+
+def _schema_violation_sql(entity: str) -> str:
+    from ..quality.schema_check import ENTITY_SCHEMAS
+    sch = ENTITY_SCHEMAS[entity]
+    conds = [f"{c} IS NULL" for c in sch["required"]]
+    for c, rule in sch["properties"].items():
+        if "pattern" in rule:
+            conds.append(f"NOT regexp_matches(CAST({c} AS VARCHAR), '{rule['pattern']}')")
+        if "enum" in rule:
+            conds.append(f"{c} NOT IN ({', '.join(repr(v) for v in rule['enum'])})")
+        if "minLength" in rule:
+            conds.append(f"length({c}) < {rule['minLength']}")
+        if "minimum" in rule:
+            conds.append(f"{c} < {rule['minimum']}")
+        if "exclusiveMinimum" in rule:
+            conds.append(f"{c} <= {rule['exclusiveMinimum']}")
+    return " OR ".join(f"COALESCE({x}, FALSE)" for x in conds)
+
+
+SCHEMA_ENTITIES = [("customers", td.bronze_customers_sql(1)), ("products", td.bronze_products_sql(1)),
+                   ("orders", td.bronze_orders_sql(1)), ("order_items", td.bronze_order_items_sql()),
+                   ("clickstream_events", td.bronze_clickstream_sql())]
+
+
+@register("dq_schema", "\nUNION ALL\n".join(
+    sq.result_sql("'schema_check'", "NULL", "total", "failed", "'HIGH'",
+                  "CAST(failed AS VARCHAR) || ' records failed schema validation'", "bronze", e,
+                  RUN_ID, AS_OF,
+                  src=f"(SELECT count(*) AS total, count_if({_schema_violation_sql(e)}) AS failed "
+                      f"FROM ({src}) AS b) AS agg")
+    for e, src in SCHEMA_ENTITIES))
+def dq_schema(spark, sf_dir):
+    """Draft-07 entity schemas checked on the landed JSON text."""
+    from ..quality.schema_check import ENTITY_SCHEMAS, schema_check
+    frames = {"customers": td.bronze_customers(spark, sf_dir, 1),
+              "products": td.bronze_products(spark, sf_dir, 1),
+              "orders": td.bronze_orders(spark, sf_dir, 1),
+              "order_items": td.bronze_order_items(spark, sf_dir),
+              "clickstream_events": td.bronze_clickstream(spark, sf_dir)}
+    out = None
+    for e, _ in SCHEMA_ENTITIES:
+        r = schema_check(bronze_json(frames[e], e), "value", ENTITY_SCHEMAS[e], "bronze", e, RUN_ID,
+                         checked_at=_as_of())
+        out = r if out is None else out.unionByName(r)
+    return to_output(out)
+
+
+_HASH_COLS = ["customer_id", "source_customer_id", "email_hash", "first_name", "last_name",
+              "country_code", "city", "customer_segment", "loyalty_points", "is_active"]
+
+
+@register("record_hash_changes", f"""WITH d1 AS ({SILVER_CUSTOMERS_DAY1_SQL}), d2 AS ({SILVER_CUSTOMERS_SQL}),
+h1 AS (SELECT customer_id, md5(concat_ws('~', {', '.join(f'CAST({c} AS VARCHAR)' for c in _HASH_COLS)})) AS h FROM d1),
+h2 AS (SELECT customer_id, customer_segment, md5(concat_ws('~', {', '.join(f'CAST({c} AS VARCHAR)' for c in _HASH_COLS)})) AS h FROM d2)
+SELECT h2.customer_segment, count(*) AS n_customers,
+  count_if(h1.h IS NULL) AS n_new, count_if(h1.h = h2.h) AS n_unchanged,
+  count_if(h1.h <> h2.h) AS n_changed
+FROM h2 LEFT JOIN h1 ON h1.customer_id = h2.customer_id GROUP BY h2.customer_segment""")
+def record_hash_changes(spark, sf_dir):
+    """H1/M6: business-field hash of each customer on day 1 and day 2; the
+    hash-guarded upsert would rewrite only the ``n_changed`` rows. Hash =
+    md5 of the ``~``-joined fields (same digest on both engines; the
+    JSON-based ``record_hash`` is the library default)."""
+    from ..functions.hashing import concat_hash
+    d1 = silver_customers(spark, sf_dir, day1_only=True).select(
+        "customer_id", concat_hash(_HASH_COLS).alias("h1"))
+    d2 = silver_customers(spark, sf_dir).select("customer_id", "customer_segment",
+                                                concat_hash(_HASH_COLS).alias("h2"))
+    j = d2.join(d1, "customer_id", "left")
+    return j.groupBy("customer_segment").agg(
+        F.count("*").alias("n_customers"), F.count_if(F.col("h1").isNull()).alias("n_new"),
+        F.count_if(F.col("h1") == F.col("h2")).alias("n_unchanged"),
+        F.count_if(F.col("h1") != F.col("h2")).alias("n_changed"))
+
+
+@register("duplicate_flag", """SELECT l_returnflag, l_linestatus,
+  count_if(n > 1) AS flagged_rows, count(*) AS total_rows
+FROM (SELECT l_returnflag, l_linestatus,
+        count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS n FROM lineitem) AS x
+GROUP BY l_returnflag, l_linestatus""")
+def duplicate_flag_q(spark, sf_dir):
+    """``_duplicate_flag`` on raw order lines, summarised per flag pair."""
+    from ..quality.contracts import duplicate_flag
+    li = td.table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
+    flagged = duplicate_flag(li, ["l_orderkey", "l_linenumber"])
+    return flagged.groupBy("l_returnflag", "l_linestatus").agg(
+        F.count_if("_duplicate_flag").alias("flagged_rows"), F.count("*").alias("total_rows"))
+
+
+@register("dq_volume_spike", """SELECT day, n_rows, trailing_avg,
+  COALESCE(n_rows > 2.0 * trailing_avg, FALSE) AS is_spike
+FROM (SELECT day, n_rows, avg(n_rows) OVER (ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)
+        AS trailing_avg
+      FROM (SELECT CAST(ts AS DATE) AS day, count(*) AS n_rows FROM events GROUP BY 1) AS d) AS w""")
+def dq_volume_spike(spark, sf_dir):
+    """Events per day against the mean of the 7 days before."""
+    from ..quality.contracts import volume_spike
+    per_day = (td.table(spark, sf_dir, "events", "ts").groupBy(F.to_date("ts").alias("day"))
+               .agg(F.count("*").alias("n_rows")))
+    return volume_spike(per_day, "day", "n_rows")
+
+
+@register("late_arrivals", f"""SELECT window_start, window_start + INTERVAL 60 SECOND AS window_end,
+  count(*) AS event_count, count_if(late10) AS late_10min, count_if(late2) AS late_2min
+FROM (SELECT time_bucket(INTERVAL 60 SECOND, event_timestamp) AS window_start,
+        (ingestion_timestamp - event_timestamp) > INTERVAL 10 MINUTE AS late10,
+        (ingestion_timestamp - event_timestamp) > INTERVAL 2 MINUTE AS late2
+      FROM ({td.bronze_clickstream_sql()}) AS c) AS x
+GROUP BY window_start""")
+def late_arrivals(spark, sf_dir):
+    """Late flag (10 min; 2 min as the orders setting) and its
+    count per one-minute event-time window, kept apart from Spark's own
+    watermark drop counter."""
+    from ..quality.contracts import late_flag
+    c = td.bronze_clickstream(spark, sf_dir)
+    c = late_flag(c, "event_timestamp", "ingestion_timestamp", 10).withColumnRenamed("_is_late_arrival", "l10")
+    c = late_flag(c, "event_timestamp", "ingestion_timestamp", 2).withColumnRenamed("_is_late_arrival", "l2")
+    w = F.window("event_timestamp", "60 seconds")
+    return to_output(c.groupBy(w.alias("w")).agg(
+        F.count("*").alias("event_count"), F.count_if("l10").alias("late_10min"),
+        F.count_if("l2").alias("late_2min"))
+        .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                "event_count", "late_10min", "late_2min"))
+
+
+@register("clickstream_window_counts", """SELECT window_start, window_start + INTERVAL 60 SECOND AS window_end,
+  count(*) AS event_count
+FROM (SELECT time_bucket(INTERVAL 60 SECOND, ts) AS window_start FROM events) AS e GROUP BY window_start""")
+def clickstream_window_counts(spark, sf_dir):
+    """Events per 60-second tumbling window. Grouped by the window
+    (partial counts map-side): no constant key gathers a window's records
+    in one list as the reference's GroupByKey does."""
+    from ..operators.windows import window_counts
+    e = td.table(spark, sf_dir, "events", "ts")
+    return to_output(window_counts(e, "ts", "60 seconds"))
