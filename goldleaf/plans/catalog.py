@@ -724,3 +724,49 @@ def clickstream_window_counts(spark, sf_dir):
     from ..operators.windows import window_counts
     e = td.table(spark, sf_dir, "events", "ts")
     return to_output(window_counts(e, "ts", "60 seconds"))
+
+
+# ------------------------------------------------------------------ streaming
+def _stream_outputs(spark, sf_dir) -> dict:
+    from ..streaming.jobs import fresh_root, run_clickstream_job, write_landing
+    root = fresh_root(spark, "clickstream-stream")
+    landing = write_landing(td.event_messages(spark, sf_dir), f"{root}/landing")
+    return run_clickstream_job(spark, landing, f"{root}/out")
+
+
+@register("stream_window_counts", f"""SELECT window_start, window_start + INTERVAL 60 SECOND AS window_end,
+  count(*) AS event_count
+FROM (SELECT time_bucket(INTERVAL 60 SECOND, ts) AS window_start
+      FROM ({td.event_damage_sql()}) AS m WHERE error_message IS NULL) AS e GROUP BY window_start""")
+def stream_window_counts(spark, sf_dir):
+    """Events land as JSON lines (some damaged), one streaming job
+    parses them, splits raw/dead-letter rows and counts good events per
+    60 s window with 10 min lateness (append, AvailableNow + flush
+    message). Returned: the window-summary table read back."""
+    out = _stream_outputs(spark, sf_dir)
+    return to_output(spark.read.parquet(out["window_summary"])
+                     .select("window_start", "window_end", "event_count"))
+
+
+@register("stream_parse_dlq", f"""SELECT payload, payload_base64, error_message, 'clickstream' AS source
+FROM ({td.event_damage_sql()}) AS m WHERE error_message IS NOT NULL""")
+def stream_parse_dlq(spark, sf_dir):
+    """The dead-letter table after the streaming run:
+    the payload text (base64 of the raw bytes when not UTF-8), the reason
+    and the branch. The arrival timestamp is processing time, left out."""
+    out = _stream_outputs(spark, sf_dir)
+    return spark.read.parquet(out["dead_letter_queue"]).select(
+        "payload", "payload_base64", "error_message", "source")
+
+
+@register("stream_dedup_events", """SELECT event_id, ts, user_id, event_type FROM events""")
+def stream_dedup_events(spark, sf_dir):
+    """Every event of users divisible by 4 is delivered twice; the
+    stream drops re-deliveries of an event_id within 5 minutes."""
+    from ..streaming.jobs import fresh_root, run_dedup_job, write_landing
+    root = fresh_root(spark, "dedup-stream")
+    landing = write_landing(td.event_messages(spark, sf_dir, damaged=False, redeliver=True),
+                            f"{root}/landing", flush=False)
+    path = run_dedup_job(spark, landing, f"{root}/out")
+    return to_output(spark.read.parquet(path).select(
+        "event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "user_id", "event_type"))

@@ -18,6 +18,8 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # JSON with repeated keys: last value wins, as in Python json.loads
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 

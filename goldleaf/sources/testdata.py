@@ -415,3 +415,81 @@ FROM (SELECT l_partkey, l_suppkey, SUM(CAST(l_quantity AS BIGINT)) AS on_hand,
         SUM(CASE WHEN l_linestatus = 'O' THEN CAST(l_quantity AS BIGINT) ELSE 0 END) AS reserved,
         MAX(l_shipdate) AS last_ship
       FROM lineitem {where} GROUP BY l_partkey, l_suppkey)"""
+
+
+# ---------------------------------------------------------------- messages
+# Damage rules applied to landed event messages (first match wins):
+#   error events of users divisible by 10 -> cut-off text        (invalid JSON)
+#   value above 300                       -> free text            (invalid JSON)
+#   signup events of user 7               -> a bare number        (not a JSON object)
+#   view events of user 3                 -> trailing text        (invalid JSON)
+#   click events of user 11               -> value_cents "abc"    (wrong type)
+#   purchase events of user 5             -> bytes FF FE + text   (invalid UTF-8)
+def _event_line(value_cents: Column) -> Column:
+    return F.concat(
+        F.lit('{"event_id": '), F.col("event_id").cast("string"),
+        F.lit(', "ts": "'), F.col("ts").cast("string"),
+        F.lit('", "user_id": '), F.col("user_id").cast("string"),
+        F.lit(', "event_type": "'), F.col("event_type"),
+        F.lit('", "value_cents": '), value_cents,
+        F.lit(', "props": '), F.col("props"), F.lit("}"))
+
+
+def event_messages(spark: SparkSession, sf_dir: str, damaged: bool = True,
+                   redeliver: bool = False) -> DataFrame:
+    """Events as landed message text (column ``value``), damaged by rule.
+
+    With ``redeliver`` every event of a user divisible by 4 is sent twice
+    (same message), as a broker re-delivery would."""
+    e = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value", "props")
+    cents = F.round(F.col("value") * 100).cast("bigint").cast("string")
+    line = _event_line(cents)
+    if damaged:
+        et, uid = F.col("event_type"), F.col("user_id")
+        bad_utf8 = F.concat(F.unhex(F.lit("FFFE")),
+                            F.encode(F.concat(F.lit(" INVALID UTF-8 "), F.col("event_id").cast("string")),
+                                     "UTF-8")).cast("string")
+        line = (F.when((et == "error") & (uid % 10 == 0), F.substring(line, 1, F.length(line) - 3))
+                .when(F.col("value") > 300, F.concat(F.lit("NOT_JSON event "), F.col("event_id").cast("string")))
+                .when((et == "signup") & (uid == 7), F.col("event_id").cast("string"))
+                .when((et == "view") & (uid == 3), F.concat(line, F.lit(" trailing")))
+                .when((et == "click") & (uid == 11), _event_line(F.lit('"abc"')))
+                .when((et == "purchase") & (uid == 5), bad_utf8)
+                .otherwise(line))
+    out = e.select(line.alias("value"), F.col("user_id"))
+    if redeliver:
+        out = out.unionByName(out.filter(F.col("user_id") % 4 == 0))
+    return out.select("value")
+
+
+def _event_line_sql(value_cents: str) -> str:
+    return ("'{\"event_id\": ' || CAST(event_id AS VARCHAR) || ', \"ts\": \"' || CAST(ts AS VARCHAR) || "
+            "'\", \"user_id\": ' || CAST(user_id AS VARCHAR) || ', \"event_type\": \"' || event_type || "
+            f"'\", \"value_cents\": ' || {value_cents} || ', \"props\": ' || props || '}}'")
+
+
+EVENT_CENTS_SQL = "CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR)"
+EVENT_LINE_SQL = _event_line_sql(EVENT_CENTS_SQL)
+# The damage classes above as SQL, with the reason each gets.
+EVENT_DAMAGE_SQL = [
+    ("event_type = 'error' AND user_id % 10 = 0", f"substr(line, 1, length(line) - 3)", "invalid JSON"),
+    ("value > 300", "'NOT_JSON event ' || CAST(event_id AS VARCHAR)", "invalid JSON"),
+    ("event_type = 'signup' AND user_id = 7", "CAST(event_id AS VARCHAR)", "not a JSON object"),
+    ("event_type = 'view' AND user_id = 3", "line || ' trailing'", "invalid JSON"),
+    ("event_type = 'click' AND user_id = 11", _event_line_sql("'\"abc\"'"), "value_cents: expected bigint"),
+    ("event_type = 'purchase' AND user_id = 5",
+     "chr(65533) || chr(65533) || ' INVALID UTF-8 ' || CAST(event_id AS VARCHAR)", "invalid UTF-8"),
+]
+
+
+def event_damage_sql() -> str:
+    """Every event with its landed payload and, when damaged, the reason
+    and (for non-UTF-8 bytes) the base64 of the raw message."""
+    payload = "CASE " + " ".join(f"WHEN {c} THEN {p}" for c, p, _ in EVENT_DAMAGE_SQL) + " ELSE line END"
+    reason = "CASE " + " ".join(f"WHEN {c} THEN '{r}'" for c, _, r in EVENT_DAMAGE_SQL) + " END"
+    b64 = ("CASE WHEN " + EVENT_DAMAGE_SQL[0][0] + " OR " + EVENT_DAMAGE_SQL[1][0] + " OR "
+           + EVENT_DAMAGE_SQL[2][0] + " OR " + EVENT_DAMAGE_SQL[3][0] + " OR " + EVENT_DAMAGE_SQL[4][0]
+           + " THEN NULL WHEN " + EVENT_DAMAGE_SQL[5][0]
+           + " THEN base64(unhex('FFFE') || encode(' INVALID UTF-8 ' || CAST(event_id AS VARCHAR))) END")
+    return (f"SELECT event_id, ts, user_id, event_type, {payload} AS payload, {reason} AS error_message, "
+            f"{b64} AS payload_base64 FROM (SELECT *, {EVENT_LINE_SQL} AS line FROM events) AS e")
