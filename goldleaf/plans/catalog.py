@@ -770,3 +770,166 @@ def stream_dedup_events(spark, sf_dir):
     path = run_dedup_job(spark, landing, f"{root}/out")
     return to_output(spark.read.parquet(path).select(
         "event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "user_id", "event_type"))
+
+
+# ------------------------------------------------------------------ merge variants
+def _orders_day2_nullkey(spark, sf_dir) -> DataFrame:
+    """Day-2 orders where WEB-channel rows arrive without an order_id: one
+    NULL "key" carrying most of the batch (the hot-group case)."""
+    b2 = td.bronze_orders(spark, sf_dir, 2)
+    return b2.withColumn("order_id", F.when(F.col("channel") == "WEB", F.lit(None).cast("string"))
+                         .otherwise(F.col("order_id")))
+
+
+ORDERS_DAY2_NULLKEY_SQL = (f"SELECT * REPLACE (CASE WHEN channel = 'WEB' THEN NULL ELSE order_id END AS order_id) "
+                           f"FROM ({td.bronze_orders_sql(2)}) AS d2")
+
+
+@register("silver_upsert_null_key_quarantine",
+          f"SELECT *, ['null primary key order_id'] AS _validation_errors FROM "
+          f"({sq.typed_sql('orders', ORDERS_DAY2_NULLKEY_SQL)}) AS t WHERE order_id IS NULL")
+def silver_upsert_null_key_quarantine(spark, sf_dir):
+    """M1/C14: NULL-key rows never match a MERGE (the reference re-inserts
+    them every run); here they bypass the join and land in quarantine."""
+    bronze = td.bronze_orders(spark, sf_dir, 1).unionByName(_orders_day2_nullkey(spark, sf_dir))
+    _, quarantine = silver.silver_model(bronze, "orders", target=silver_orders_initial(spark, sf_dir))
+    return to_output(quarantine)
+
+
+@register("merge_metrics", f"""SELECT count_if(_merge_action = 'inserted') AS rows_inserted,
+  count_if(_merge_action = 'updated') AS rows_updated, count_if(_merge_action = 'unchanged') AS rows_unchanged,
+  count_if(_merge_action = 'kept') AS rows_kept,
+  count_if(_merge_action IN ('inserted', 'updated')) AS num_dml_affected_rows, count(*) AS rows_total
+FROM ({sq.upsert_sql(SILVER_ORDERS_INITIAL_SQL, SILVER_ORDERS_SQL, _cols('orders'), ['order_id'], action=True)}) AS m""")
+def merge_metrics_q(spark, sf_dir):
+    """M9: inserted / updated / kept counts of the silver orders MERGE,
+    taken from the merge's own output (no second pass over the inputs)."""
+    from ..operators.merge import merge_metrics
+    merged, _ = silver.silver_model(bronze_orders_all(spark, sf_dir), "orders",
+                                    target=silver_orders_initial(spark, sf_dir), with_action=True)
+    return merge_metrics(merged)
+
+
+BOUND = "2001-01-01 00:00:00"
+SILVER_ORDERS_DAY1_SQL = _silver_sql("orders", ORDERS_DAY1_SQL)
+SILVER_ORDERS_DAY2_SQL = _silver_sql("orders", td.bronze_orders_sql(2))
+
+
+@register("bounded_upsert", f"""{sq.upsert_sql(
+    f"SELECT * FROM ({SILVER_ORDERS_DAY1_SQL}) AS h WHERE order_date >= TIMESTAMP '{BOUND}'",
+    SILVER_ORDERS_DAY2_SQL, _cols('orders'), ['order_id'], action=True)}
+UNION ALL SELECT *, 'kept' AS _merge_action FROM ({SILVER_ORDERS_DAY1_SQL}) AS c
+WHERE NOT COALESCE(order_date >= TIMESTAMP '{BOUND}', FALSE)""")
+def bounded_upsert_q(spark, sf_dir):
+    """MERGE of day-2 changes limited to target rows ordered since
+    2001-01-01. As the documented pattern warns, a change to an older
+    order finds no match inside the bound and is inserted as a 2nd row."""
+    from ..operators.merge import bounded_upsert
+    target = silver.silver_model(td.bronze_orders(spark, sf_dir, 1), "orders")[0]
+    source = silver.silver_model(td.bronze_orders(spark, sf_dir, 2), "orders")[0]
+    out = bounded_upsert(target, source, ["order_id"], "order_date", F.lit(BOUND).cast("timestamp"),
+                         with_action=True)
+    return to_output(out)
+
+
+# ------------------------------------------------------------------ reports
+BRONZE_ITEMS_SQL = td.bronze_order_items_sql()
+
+
+@register("report_duplicates", f"""SELECT order_item_id, count(*) AS cnt FROM ({BRONZE_ITEMS_SQL}) AS b
+GROUP BY order_item_id HAVING count(*) > 1 ORDER BY cnt DESC, order_item_id LIMIT 20""")
+def report_duplicates(spark, sf_dir):
+    """A4/T4: top-20 duplicated keys (the limit is the report), key as
+    tie-break. Partial counts map-side, then a TakeOrdered of 20."""
+    b = td.bronze_order_items(spark, sf_dir)
+    return (b.groupBy("order_item_id").agg(F.count("*").alias("cnt")).filter(F.col("cnt") > 1)
+            .orderBy(F.col("cnt").desc(), "order_item_id").limit(20))
+
+
+def _dq_all_sql():
+    return f"({ORACLES['dq_null']}) UNION ALL ({ORACLES['dq_range']}) UNION ALL ({ORACLES['dq_duplicate']})"
+
+
+@register("report_dq", f"""SELECT rule_name, table_name, severity,
+  CASE severity WHEN 'CRITICAL' THEN 1 WHEN 'HIGH' THEN 2 WHEN 'MEDIUM' THEN 3 ELSE 4 END AS severity_rank,
+  failed_records, total_records,
+  round(CAST(failed_records AS DOUBLE) / NULLIF(total_records, 0) * 100, 2) AS failure_pct
+FROM ({_dq_all_sql()}) AS r
+WHERE checked_at >= TIMESTAMP '{AS_OF}' - INTERVAL 24 HOUR""")
+def report_dq(spark, sf_dir):
+    """Quality report of the last 24 h before ``as_of``, ranked
+    by severity (a rank column, since text order puts MEDIUM first)."""
+    res = dq_null(spark, sf_dir).unionByName(dq_range(spark, sf_dir)).unionByName(dq_duplicate(spark, sf_dir))
+    rank = (F.when(F.col("severity") == "CRITICAL", 1).when(F.col("severity") == "HIGH", 2)
+            .when(F.col("severity") == "MEDIUM", 3).otherwise(4))
+    recent = res.filter(F.col("checked_at") >= F.lit(AS_OF).cast("timestamp_ntz") - F.expr("INTERVAL 24 HOURS"))
+    return recent.select(
+        "rule_name", "table_name", "severity", rank.alias("severity_rank"), "failed_records",
+        "total_records",
+        F.round(F.try_divide(F.col("failed_records").cast("double"), F.col("total_records")) * 100, 2)
+        .alias("failure_pct")).orderBy("severity_rank", F.col("failure_pct").desc())
+
+
+def landed_messages(spark, sf_dir) -> DataFrame:
+    """Damaged event messages landed by event date (``dt`` partitions) and
+    read back in batch with the strict parser: one row per line with
+    ``dt``, ``error_message`` and the typed fields."""
+    from ..streaming.parse import parse_messages
+    from ..streaming.jobs import CLICK_FIELDS, fresh_root
+    root = fresh_root(spark, "landed-messages")
+    td.event_messages(spark, sf_dir, with_date=True).write.partitionBy("dt").text(f"{root}/clickstream")
+    return parse_messages(spark.read.text(f"{root}/clickstream"), "clickstream", fields=CLICK_FIELDS)
+
+
+DAMAGE_SQL = td.event_damage_sql()
+
+
+@register("report_failed_runs", f"""SELECT 'load-' || CAST(dt AS VARCHAR) AS run_id, status,
+  CAST(dt AS TIMESTAMP) AS started_at, rows_loaded, rows_rejected FROM (
+  SELECT CAST(ts AS DATE) AS dt, count_if(error_message IS NULL) AS rows_loaded,
+    count_if(error_message IS NOT NULL) AS rows_rejected,
+    CASE WHEN count_if(error_message IS NOT NULL) > 0 THEN 'FAILED' ELSE 'SUCCESS' END AS status
+  FROM ({DAMAGE_SQL}) AS m GROUP BY 1) AS runs
+WHERE status = 'FAILED' ORDER BY started_at DESC LIMIT 10""")
+def report_failed_runs(spark, sf_dir):
+    """Audit rows of per-date loads (status FAILED when lines were
+    rejected), then the last 10 failed runs."""
+    parsed = landed_messages(spark, sf_dir)
+    runs = parsed.groupBy("dt").agg(F.count_if(F.col("error_message").isNull()).alias("rows_loaded"),
+                                    F.count_if(F.col("error_message").isNotNull()).alias("rows_rejected"))
+    audit = runs.select(F.concat(F.lit("load-"), F.col("dt").cast("string")).alias("run_id"),
+                        F.when(F.col("rows_rejected") > 0, "FAILED").otherwise("SUCCESS").alias("status"),
+                        F.col("dt").cast("timestamp_ntz").alias("started_at"), "rows_loaded", "rows_rejected")
+    return audit.filter(F.col("status") == "FAILED").orderBy(F.col("started_at").desc()).limit(10)
+
+
+@register("report_dlq", f"""SELECT 'clickstream' AS source, error_message, count(*) AS n_messages,
+  min(CAST(ts AS DATE)) AS oldest_dt, max(CAST(ts AS DATE)) AS newest_dt
+FROM ({DAMAGE_SQL}) AS m WHERE error_message IS NOT NULL GROUP BY error_message""")
+def report_dlq(spark, sf_dir):
+    """Dead letters per branch and reason, oldest landing date."""
+    dlq = landed_messages(spark, sf_dir).filter(F.col("error_message").isNotNull())
+    return dlq.groupBy("source", "error_message").agg(
+        F.count("*").alias("n_messages"), F.min("dt").alias("oldest_dt"), F.max("dt").alias("newest_dt"))
+
+
+@register("report_freshness", f"""SELECT * FROM (
+  SELECT 'customers' AS table_name, count(*) AS row_count, max(updated_at) AS last_change FROM ({td.bronze_customers_sql(1)}) AS a
+  UNION ALL SELECT 'products', count(*), max(updated_at) FROM ({td.bronze_products_sql(1)}) AS b
+  UNION ALL SELECT 'orders', count(*), max(updated_at) FROM ({ORDERS_BRONZE_SQL}) AS c
+  UNION ALL SELECT 'order_items', count(*), max(_shipdate) FROM ({BRONZE_ITEMS_SQL}) AS d
+  UNION ALL SELECT 'clickstream_events', count(*), max(ingestion_timestamp) FROM ({td.bronze_clickstream_sql()}) AS e
+) AS t ORDER BY last_change DESC""")
+def report_freshness(spark, sf_dir):
+    """Per bronze table row count and last change, newest first."""
+    parts = [("customers", td.bronze_customers(spark, sf_dir, 1), "updated_at"),
+             ("products", td.bronze_products(spark, sf_dir, 1), "updated_at"),
+             ("orders", bronze_orders_all(spark, sf_dir), "updated_at"),
+             ("order_items", td.bronze_order_items(spark, sf_dir), "_shipdate"),
+             ("clickstream_events", td.bronze_clickstream(spark, sf_dir), "ingestion_timestamp")]
+    out = None
+    for name, df, col in parts:
+        r = df.agg(F.lit(name).alias("table_name"), F.count("*").alias("row_count"),
+                   F.max(F.col(col).cast("timestamp_ntz")).alias("last_change"))
+        out = r if out is None else out.unionByName(r)
+    return out.orderBy(F.col("last_change").desc())

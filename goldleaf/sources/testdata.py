@@ -436,7 +436,7 @@ def _event_line(value_cents: Column) -> Column:
 
 
 def event_messages(spark: SparkSession, sf_dir: str, damaged: bool = True,
-                   redeliver: bool = False) -> DataFrame:
+                   redeliver: bool = False, with_date: bool = False) -> DataFrame:
     """Events as landed message text (column ``value``), damaged by rule.
 
     With ``redeliver`` every event of a user divisible by 4 is sent twice
@@ -456,10 +456,10 @@ def event_messages(spark: SparkSession, sf_dir: str, damaged: bool = True,
                 .when((et == "click") & (uid == 11), _event_line(F.lit('"abc"')))
                 .when((et == "purchase") & (uid == 5), bad_utf8)
                 .otherwise(line))
-    out = e.select(line.alias("value"), F.col("user_id"))
+    out = e.select(line.alias("value"), F.col("user_id"), F.to_date("ts").alias("dt"))
     if redeliver:
         out = out.unionByName(out.filter(F.col("user_id") % 4 == 0))
-    return out.select("value")
+    return out.select("value", "dt") if with_date else out.select("value")
 
 
 def _event_line_sql(value_cents: str) -> str:
