@@ -933,3 +933,109 @@ def report_freshness(spark, sf_dir):
                    F.max(F.col(col).cast("timestamp_ntz")).alias("last_change"))
         out = r if out is None else out.unionByName(r)
     return out.orderBy(F.col("last_change").desc())
+
+
+# ------------------------------------------------------------------ bronze loads
+_TS_OPTS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+            "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+_LOAD_OUT = ["event_id", "session_id", "customer_id", "event_type", "event_timestamp",
+             "ingestion_timestamp", "_ingestion_date", "_pipeline_run_id"]
+
+
+def _land_clicks(df: DataFrame, root: str, fmt: str = "json") -> str:
+    w = df.withColumn("dt", F.to_date("event_timestamp")).write.mode("append").partitionBy("dt")
+    for k, v in _TS_OPTS.items():
+        w = w.option(k, v)
+    if fmt == "csv":
+        w = w.option("header", "true")
+    getattr(w, fmt)(f"{root}/clickstream_events")
+    return root
+
+
+def _load_clicks(spark, root: str, schema, fmt: str = "json", dt: str | None = None) -> DataFrame:
+    from pyspark.sql import types as T
+
+    from ..sources.bronze import split_corrupt, with_ingest_metadata
+    # the landing wrote microsecond timestamps; read them back the same way
+    reader_opts = dict(_TS_OPTS)
+    fields = list(schema.fields) + ([T.StructField("_corrupt_record", T.StringType())] if fmt != "parquet" else [])
+    r = spark.read.schema(T.StructType(fields + [T.StructField("dt", T.DateType())]))
+    for k, v in reader_opts.items():
+        r = r.option(k, v)
+    if fmt == "csv":
+        r = r.option("header", "true")
+    if fmt != "parquet":
+        r = r.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
+    df = getattr(r, fmt)(f"{root}/clickstream_events")
+    if dt is not None:
+        df = df.filter(F.col("dt") == F.lit(dt).cast("date"))
+    good, _ = split_corrupt(df)
+    return with_ingest_metadata(good, RUN_ID, ingestion_ts=_as_of())
+
+
+@register("bronze_load_metadata", f"""SELECT event_id, session_id, customer_id, event_type, event_timestamp,
+  ingestion_timestamp, CAST(event_timestamp AS DATE) AS _ingestion_date, '{RUN_ID}' AS _pipeline_run_id
+FROM ({td.bronze_clickstream_sql()}) AS c""")
+def bronze_load_metadata(spark, sf_dir):
+    """Clickstream lands as JSON lines under dt=<date>; the
+    loader reads it back with an explicit schema and adds ingest metadata
+    (run id, source file, record hash, ingestion date). File paths, hashes
+    and ingest times are checked in tests; here the stable columns."""
+    from ..streaming.jobs import fresh_root
+    src = td.bronze_clickstream(spark, sf_dir)
+    root = _land_clicks(src, fresh_root(spark, "bronze-landing"))
+    return to_output(_load_clicks(spark, root, src.schema).select(*_LOAD_OUT))
+
+
+@register("bronze_corrupt_lines", f"""SELECT payload, payload_base64, [error_message] AS _validation_errors,
+  'clickstream' AS source FROM ({DAMAGE_SQL}) AS m WHERE error_message IS NOT NULL""")
+def bronze_corrupt_lines(spark, sf_dir):
+    """Batch load of damaged JSON lines; lines that are not one
+    JSON object of the declared types go to quarantine with the reason,
+    instead of failing the whole file set."""
+    bad = landed_messages(spark, sf_dir).filter(F.col("error_message").isNotNull())
+    return bad.select("payload", "payload_base64", F.array("error_message").alias("_validation_errors"),
+                      "source")
+
+
+MANIFEST_SPLIT = "2024-01-15 00:00:00"
+
+
+@register("manifest_skip", f"""SELECT event_id, CAST(event_timestamp AS DATE) AS _ingestion_date
+FROM ({td.bronze_clickstream_sql()}) AS c WHERE event_timestamp >= TIMESTAMP '{MANIFEST_SPLIT}'""")
+def manifest_skip(spark, sf_dir):
+    """Run 1 loads the first half of the month and records its
+    files in a manifest; after more files land, run 2 loads only files the
+    manifest does not list."""
+    from ..sources.bronze import manifest_entries, unseen_files
+    from ..streaming.jobs import fresh_root
+    src = td.bronze_clickstream(spark, sf_dir)
+    split = F.col("event_timestamp") < F.lit(MANIFEST_SPLIT).cast("timestamp_ntz")
+    root = _land_clicks(src.filter(split), fresh_root(spark, "manifest-landing"))
+    run1 = _load_clicks(spark, root, src.schema)
+    manifest_path = f"{root}/_control/file_manifest"
+    manifest_entries(run1, "run-1").write.mode("append").parquet(manifest_path)
+    _land_clicks(src.filter(~split), root)
+    run2 = unseen_files(_load_clicks(spark, root, src.schema), spark.read.parquet(manifest_path))
+    return to_output(run2.select("event_id", "_ingestion_date"))
+
+
+@register("partition_overwrite", f"""SELECT *, CAST(year(sales_date) AS INTEGER) AS sales_year FROM (
+  SELECT CAST(order_date AS DATE) AS sales_date, order_channel, currency_code,
+    CAST(SUM(line_total) AS DECIMAL(38,9)) AS revenue, CAST(SUM(item_discount) AS DECIMAL(38,9)) AS discount,
+    CAST(SUM(quantity) AS BIGINT) AS units, COUNT(DISTINCT order_id) AS n_orders, COUNT(*) AS n_items
+  FROM ({FACT_ORDERS_SQL}) AS f GROUP BY ALL) AS d""")
+def partition_overwrite(spark, sf_dir):
+    """Daily sales of run 1 written by year; run 2 rewrites only the
+    years it touches (1997 on) with dynamic partition overwrite; 1995-96
+    stay as written by run 1."""
+    from ..sources.tables import overwrite_partitions
+    from ..streaming.jobs import fresh_root
+    path = f"{fresh_root(spark, 'daily-sales')}/daily_sales"
+    items = silver_order_items(spark, sf_dir)
+    run1 = gold.daily_sales(gold.fact_orders(silver_orders_initial(spark, sf_dir), items))
+    run1.withColumn("sales_year", F.year("sales_date")).write.partitionBy("sales_year").parquet(path)
+    run2 = gold.daily_sales(fact_orders_frame(spark, sf_dir)).filter(
+        F.col("sales_date") >= F.lit("1997-01-01").cast("date"))
+    overwrite_partitions(run2.withColumn("sales_year", F.year("sales_date")), path, ["sales_year"])
+    return spark.read.parquet(path)

@@ -118,9 +118,13 @@ def unseen_files(df: DataFrame, manifest: DataFrame | None) -> DataFrame:
 
 
 def manifest_entries(loaded: DataFrame, run_id: str) -> DataFrame:
-    """New manifest rows: one per file of this load (distinct on path)."""
+    """New manifest rows: one per file of this load (distinct on path).
+
+    Rows are counted through ``_record_hash`` so the scan reads the data
+    columns too: a scan reading only the corrupt-record column of a JSON
+    source is refused by Spark."""
     return (loaded.groupBy("_source_file", "_source_mtime")
-            .agg(F.count("*").alias("rows"))
+            .agg(F.count("_record_hash").alias("rows"))
             .withColumn("_pipeline_run_id", F.lit(run_id)))
 
 
