@@ -58,11 +58,15 @@ def scd2(dim: DataFrame, source: DataFrame, key: str, tracked: list[str], attrs:
     old_rows = dim.select(*cols, "valid_from", F.lit(0).alias("_load"))
     versions = old_rows.unionByName(new_rows)
 
-    one = Window.partitionBy(key, "valid_from").orderBy(F.col("_load").desc())
-    versions = (versions.withColumn("_rn", F.row_number().over(one))
-                .filter(F.col("_rn") == 1).drop("_rn", "_load"))
-    seq = Window.partitionBy(key).orderBy("valid_from")
-    valid_to = F.lead("valid_from").over(seq)
+    # Both windows partition by the key only, so one exchange serves both:
+    # ordered by (valid_from, newest load first), a row whose predecessor
+    # has the same valid_from is an older load of that version: drop it.
+    by_key = Window.partitionBy(key).orderBy(F.col("valid_from"), F.col("_load").desc())
+    # The same window spec again after the filter: no new exchange, no new sort.
+    versions = (versions.withColumn("_prev", F.lag("valid_from").over(by_key))
+                .filter(F.col("_prev").isNull() | (F.col("_prev") != F.col("valid_from")))
+                .drop("_prev"))
+    valid_to = F.lead("valid_from").over(by_key)
     return versions.select(
         surrogate_key([key], "valid_from").alias(sk_col), *cols, "valid_from",
         valid_to.alias("valid_to"), valid_to.isNull().alias("is_current"))
@@ -70,8 +74,8 @@ def scd2(dim: DataFrame, source: DataFrame, key: str, tracked: list[str], attrs:
 
 def scd2_invariants(dim: DataFrame, key: str) -> DataFrame:
     """One row of violation counts: keys without exactly one current row,
-    overlapping or gapped versions, duplicate surrogate keys. All zero for a
-    well-formed type 2 dimension."""
+    overlapping or gapped versions. All zero for a well-formed type 2
+    dimension."""
     seq = Window.partitionBy(key).orderBy("valid_from")
     steps = dim.select(key, "valid_from", "valid_to", "is_current",
                        F.lag("valid_to").over(seq).alias("prev_to"))

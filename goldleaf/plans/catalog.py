@@ -1007,14 +1007,16 @@ def manifest_skip(spark, sf_dir):
     """Run 1 loads the first half of the month and records its
     files in a manifest; after more files land, run 2 loads only files the
     manifest does not list."""
-    from ..sources.bronze import manifest_entries, unseen_files
+    from ..sources.bronze import list_files, manifest_entries, unseen_files
     from ..streaming.jobs import fresh_root
     src = td.bronze_clickstream(spark, sf_dir)
     split = F.col("event_timestamp") < F.lit(MANIFEST_SPLIT).cast("timestamp_ntz")
     root = _land_clicks(src.filter(split), fresh_root(spark, "manifest-landing"))
-    run1 = _load_clicks(spark, root, src.schema)
     manifest_path = f"{root}/_control/file_manifest"
-    manifest_entries(run1, "run-1").write.mode("append").parquet(manifest_path)
+    # run 1 loads everything landed so far, then records those files
+    _load_clicks(spark, root, src.schema)
+    manifest_entries(list_files(spark, f"{root}/clickstream_events"), "run-1") \
+        .write.mode("append").parquet(manifest_path)
     _land_clicks(src.filter(~split), root)
     run2 = unseen_files(_load_clicks(spark, root, src.schema), spark.read.parquet(manifest_path))
     return to_output(run2.select("event_id", "_ingestion_date"))

@@ -62,13 +62,21 @@ def read_landed(spark: SparkSession, root: str, entity: str, schema: T.StructTyp
 
 
 def split_corrupt(df: DataFrame, corrupt_col: str = "_corrupt_record") -> tuple[DataFrame, DataFrame]:
+    """``(good, quarantine)`` of a PERMISSIVE read.
+
+    Quarantine rows keep every column (mostly NULL for a malformed line)
+    plus ``payload`` and ``_validation_errors``. Spark refuses a JSON/CSV
+    scan that reads *only* the corrupt-record column, so neither side is
+    ever narrowed to it; count good rows through a written table or
+    ``observe``, not through ``count()`` on the raw read."""
     if corrupt_col not in df.columns:
         return df, df.limit(0)
     bad = F.col(corrupt_col).isNotNull()
-    return (df.filter(~bad).drop(corrupt_col),
-            df.filter(bad).select(F.col(corrupt_col).alias("payload"),
-                                  F.array(F.lit("malformed record")).alias("_validation_errors"),
-                                  *[c for c in df.columns if c == "dt"]))
+    data = [c for c in df.columns if c != corrupt_col]
+    quarantine = df.filter(bad).select(
+        F.col(corrupt_col).alias("payload"), *data,
+        F.array(F.lit("malformed record")).alias("_validation_errors"))
+    return df.filter(~bad).drop(corrupt_col), quarantine
 
 
 def load_messages(spark: SparkSession, landing: str, source: str,
@@ -117,15 +125,22 @@ def unseen_files(df: DataFrame, manifest: DataFrame | None) -> DataFrame:
                    ["_source_file", "_source_mtime"], "left_anti")
 
 
-def manifest_entries(loaded: DataFrame, run_id: str) -> DataFrame:
-    """New manifest rows: one per file of this load (distinct on path).
+def list_files(spark: SparkSession, path: str) -> DataFrame:
+    """Files under ``path`` (recursively, partition folders included) as
+    ``_source_file, _source_mtime, _source_bytes``. The ``binaryFile``
+    source reads file content only when ``content`` is selected, so this
+    is a distributed listing, not a data scan."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+             .option("pathGlobFilter", "[!_.]*").load(path))
+    return files.select(F.col("path").alias("_source_file"),
+                        F.col("modificationTime").alias("_source_mtime"),
+                        F.col("length").alias("_source_bytes"))
+
 
-    Rows are counted through ``_record_hash`` so the scan reads the data
-    columns too: a scan reading only the corrupt-record column of a JSON
-    source is refused by Spark."""
-    return (loaded.groupBy("_source_file", "_source_mtime")
-            .agg(F.count("_record_hash").alias("rows"))
-            .withColumn("_pipeline_run_id", F.lit(run_id)))
+def manifest_entries(files: DataFrame, run_id: str) -> DataFrame:
+    """New manifest rows: the files of this load (from ``list_files``)."""
+    return files.select("_source_file", "_source_mtime", "_source_bytes",
+                        F.lit(run_id).alias("_pipeline_run_id"))
 
 
 def force_reload(manifest: DataFrame, path_like: str) -> DataFrame:

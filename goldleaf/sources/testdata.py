@@ -32,21 +32,35 @@ def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- ids
+# 8-hex namespace prefix of each id family.
+ID_NAMESPACES = {"customer": "c0570e00", "product": "9a0d0c70", "order": "0a0e0a00",
+                 "item": "17e00000", "inventory": "1a7e0700", "event": "e7e00000"}
+
+
 def uuid_like(namespace: str, key: Column) -> Column:
-    """36-character, UUID-shaped id from a natural key (md5 of ``ns:key``).
+    """36-character, UUID-shaped id from a non-negative integer key:
+    ``<namespace>-0000-4000-8000-<key as 12 hex digits>``.
 
-    Deterministic on every engine, so ids agree with the SQL oracle and
-    match the entity schemas' ``^[0-9a-f-]{36}$`` pattern.
+    Unique per (namespace, key), deterministic on every engine and inside
+    the entity schemas' ``^[0-9a-f-]{36}$`` pattern; built from integer
+    hex formatting only (no hashing), so it costs little per row.
     """
-    h = F.md5(F.concat(F.lit(namespace + ":"), key.cast("string")))
-    return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.substring(h, 13, 4),
-                       F.substring(h, 17, 4), F.substring(h, 21, 12))
+    return F.concat(F.lit(f"{ID_NAMESPACES[namespace]}-0000-4000-8000-"),
+                    F.lpad(F.lower(F.hex(key.cast("bigint"))), 12, "0"))
 
 
 def uuid_sql(namespace: str, key_sql: str) -> str:
-    h = f"md5('{namespace}:' || CAST({key_sql} AS VARCHAR))"
-    return (f"concat_ws('-', substr({h},1,8), substr({h},9,4), substr({h},13,4), "
-            f"substr({h},17,4), substr({h},21,12))")
+    return (f"'{ID_NAMESPACES[namespace]}-0000-4000-8000-' || "
+            f"lpad(lower(hex(CAST({key_sql} AS BIGINT))), 12, '0')")
+
+
+def pair_key(a: Column, b: Column) -> Column:
+    """Composite integer key for two non-negative keys (b < 2**24)."""
+    return a.cast("bigint") * 16777216 + b.cast("bigint")
+
+
+def pair_key_sql(a: str, b: str) -> str:
+    return f"(CAST({a} AS BIGINT) * 16777216 + CAST({b} AS BIGINT))"
 
 
 def _dec(x: Column, scale: int = 2) -> Column:
@@ -269,17 +283,16 @@ def bronze_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
                "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
                "l_linestatus", "l_shipdate")
     qty = F.col("l_quantity").cast("bigint")
-    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-    ext = _dec(F.col("l_extendedprice"))
-    disc = _dec(F.col("l_discount"))
+    cents = F.floor(F.col("l_extendedprice") * 100 + 0.5)  # exact: at most 2 decimals
+    ext = F.col("l_extendedprice").cast("decimal(12,2)")    # precision <= 18: compact
+    disc = F.col("l_discount").cast("decimal(3,2)")
+    unit_cents = F.floor((cents * 2 + qty) / (qty * 2))      # cents / qty, half-up
     return li.select(
-        uuid_like("item", F.concat_ws("-", F.col("l_orderkey"), F.col("l_linenumber")))
-        .alias("order_item_id"),
+        uuid_like("item", pair_key(F.col("l_orderkey"), F.col("l_linenumber"))).alias("order_item_id"),
         uuid_like("order", F.col("l_orderkey")).alias("order_id"),
         uuid_like("product", F.col("l_partkey")).alias("product_id"),
         qty.alias("quantity"),
-        ((cents.cast("decimal(18,0)") / qty.cast("decimal(18,0)")).cast("decimal(18,0)")
-         * F.lit(Decimal("0.01"))).alias("unit_price"),
+        (unit_cents.cast("decimal(18,0)") * F.lit(Decimal("0.01"))).alias("unit_price"),
         (ext * (F.lit(1) - disc)).alias("line_total"),
         (ext * disc).alias("discount_amount"),
         F.when(F.col("l_returnflag") == "R", qty).otherwise(F.lit(0).cast("bigint"))
@@ -296,18 +309,14 @@ def bronze_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_order_items_sql() -> str:
-    # floor(cents / qty) on integers equals Spark's decimal division cast to
-    # decimal(18,0) (half-up) only when we round the same way; both use
-    # half-up rounding of the exact quotient here.
-    cents = "CAST(round(l_extendedprice * 100) AS BIGINT)"
+    cents = "floor(l_extendedprice * 100 + 0.5)"
     qty = "CAST(l_quantity AS BIGINT)"
-    return f"""SELECT {uuid_sql('item', "l_orderkey || '-' || l_linenumber")} AS order_item_id,
+    return f"""SELECT {uuid_sql('item', pair_key_sql('l_orderkey', 'l_linenumber'))} AS order_item_id,
   {uuid_sql('order', 'l_orderkey')} AS order_id, {uuid_sql('product', 'l_partkey')} AS product_id,
   {qty} AS quantity,
-  CAST(round(CAST({cents} AS DECIMAL(18,0)) / CAST({qty} AS DECIMAL(18,0))) AS DECIMAL(18,0)) * 0.01
-    AS unit_price,
-  CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(18,2))) AS line_total,
-  CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(18,2)) AS discount_amount,
+  CAST(floor(({cents} * 2 + {qty}) / ({qty} * 2)) AS DECIMAL(18,0)) * 0.01 AS unit_price,
+  CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(3,2))) AS line_total,
+  CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_discount AS DECIMAL(3,2)) AS discount_amount,
   CASE WHEN l_returnflag = 'R' THEN {qty} ELSE CAST(0 AS BIGINT) END AS return_quantity,
   CASE WHEN l_returnflag = 'R' THEN 'DAMAGED' END AS return_reason,
   '{SCHEMA_VERSION}' AS _schema_version, l_shipdate AS _shipdate, l_suppkey AS _suppkey,
@@ -338,7 +347,7 @@ def bronze_clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
         etype.alias("event_type"),
         F.concat(F.lit("/p/"), k).alias("page_url"),
         F.lit(None).cast("string").alias("referrer_url"),
-        F.when(F.col("event_type").isin("click", "signup"), uuid_like("product", k))
+        F.when(F.col("event_type").isin("click", "signup"), uuid_like("product", k.cast("bigint")))
         .alias("product_id"),
         F.when(F.col("event_type") == "error", F.concat(F.lit("q"), k)).alias("search_query"),
         F.col("ts").alias("event_timestamp"),
@@ -391,8 +400,7 @@ def bronze_inventory(spark: SparkSession, sf_dir: str, before: str | None = None
         F.max("l_shipdate").alias("last_ship"),
     )
     return g.select(
-        uuid_like("inventory", F.concat_ws("-", F.col("l_partkey"), F.col("l_suppkey")))
-        .alias("inventory_id"),
+        uuid_like("inventory", pair_key(F.col("l_partkey"), F.col("l_suppkey"))).alias("inventory_id"),
         uuid_like("product", F.col("l_partkey")).alias("product_id"),
         F.concat(F.lit("WH-"), F.col("l_suppkey").cast("string")).alias("warehouse_id"),
         F.col("on_hand").alias("quantity_on_hand"),
@@ -406,7 +414,7 @@ def bronze_inventory(spark: SparkSession, sf_dir: str, before: str | None = None
 
 def bronze_inventory_sql(before: str | None = None) -> str:
     where = f"WHERE l_shipdate < TIMESTAMP '{before}'" if before else ""
-    return f"""SELECT {uuid_sql('inventory', "l_partkey || '-' || l_suppkey")} AS inventory_id,
+    return f"""SELECT {uuid_sql('inventory', pair_key_sql('l_partkey', 'l_suppkey'))} AS inventory_id,
   {uuid_sql('product', 'l_partkey')} AS product_id, 'WH-' || CAST(l_suppkey AS VARCHAR) AS warehouse_id,
   on_hand AS quantity_on_hand, reserved AS quantity_reserved,
   on_hand - reserved AS quantity_available, CAST(10 AS BIGINT) AS reorder_level,
