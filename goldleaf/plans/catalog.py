@@ -1041,3 +1041,31 @@ def partition_overwrite(spark, sf_dir):
         F.col("sales_date") >= F.lit("1997-01-01").cast("date"))
     overwrite_partitions(run2.withColumn("sales_year", F.year("sales_date")), path, ["sales_year"])
     return spark.read.parquet(path)
+
+
+# ------------------------------------------------------------------ lookups
+CANARY_ORDERKEY = 1
+CANARY_ID = f"{td.ID_NAMESPACES['order']}-0000-4000-8000-{CANARY_ORDERKEY:012x}"
+
+
+@register("report_canary_lookup", f"""SELECT order_id, order_status, order_date, total_amount
+FROM ({SILVER_ORDERS_SQL}) AS o WHERE order_id = '{CANARY_ID}' LIMIT 1""")
+def report_canary_lookup(spark, sf_dir):
+    """Parameterised point lookup (named parameter, not string
+    splicing) over the silver orders."""
+    orders = silver_orders(spark, sf_dir)
+    df = spark.sql("SELECT order_id, order_status, order_date, total_amount FROM {orders} "
+                   "WHERE order_id = :canary_id LIMIT 1",
+                   args={"canary_id": CANARY_ID}, orders=orders)
+    return to_output(df)
+
+
+@register("report_dlq_search", f"""SELECT CAST(ts AS DATE) AS dt, payload, error_message
+FROM ({DAMAGE_SQL}) AS m WHERE error_message IS NOT NULL AND payload LIKE '%INVALID UTF-8%'
+ORDER BY dt DESC, payload DESC LIMIT 1""")
+def report_dlq_search(spark, sf_dir):
+    """Newest dead letter whose payload matches a pattern."""
+    dlq = landed_messages(spark, sf_dir).filter(F.col("error_message").isNotNull())
+    return (dlq.filter(F.col("payload").like("%INVALID UTF-8%"))
+            .select("dt", "payload", "error_message")
+            .orderBy(F.col("dt").desc(), F.col("payload").desc()).limit(1))

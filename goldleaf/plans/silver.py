@@ -41,13 +41,20 @@ def tiebreak_columns(entity: str, extra: list[str]) -> list[str]:
 
 
 def silver_model(bronze: DataFrame, entity: str, target: DataFrame | None = None,
-                 on_error: str = "fail", with_action: bool = False
-                 ) -> tuple[DataFrame, DataFrame]:
+                 on_error: str = "fail", with_action: bool = False,
+                 accept_versions: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Return ``(silver, quarantine)`` for one entity.
 
     ``quarantine`` holds NULL-key rows (and, with ``on_error="quarantine"``,
     rows whose values do not cast), each with ``_validation_errors``.
+    ``accept_versions`` (C13): rows of any other ``_schema_version`` are
+    quarantined at silver; bronze keeps every version.
     """
+    version_bad = None
+    if accept_versions is not None:
+        ok = F.coalesce(F.col("_schema_version").isin(*accept_versions), F.lit(False))
+        version_bad = bronze.filter(~ok)
+        bronze = bronze.filter(ok)
     keys = PRIMARY_KEYS[entity]
     columns = SILVER_COLUMNS[entity]
     extra = [c for c in bronze.columns if c.startswith("_") and c != "_schema_version"]
@@ -64,5 +71,10 @@ def silver_model(bronze: DataFrame, entity: str, target: DataFrame | None = None
         "_validation_errors", F.array(F.lit("null primary key " + ",".join(keys))))
     if bad_cast is not None:
         quarantine = quarantine.unionByName(bad_cast.drop(*extra))
+    if version_bad is not None:
+        vq = typed_select(version_bad, columns, on_error="quarantine")
+        vq = vq[0].unionByName(vq[1].drop("_validation_errors")).withColumn(
+            "_validation_errors", F.array(F.lit("unsupported schema version")))
+        quarantine = quarantine.unionByName(vq)
     silver = latest if target is None else upsert(target, latest, keys, with_action=with_action)
     return silver, quarantine

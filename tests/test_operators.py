@@ -154,3 +154,27 @@ def test_date_dim(spark):
     monday = d.filter(F.col("date_key") == F.lit("2019-01-07").cast("date")).first()
     assert monday.day_of_week == 2 and not monday.is_weekend
     assert dict(d.dtypes)["year"] == "bigint"
+
+
+def test_scd2_on_products_tracks_price(spark):
+    """M7: the same operator versions products on price changes."""
+    dim0 = spark.createDataFrame([], "product_sk string, product_id string, unit_price double, "
+                                     "brand string, valid_from timestamp, valid_to timestamp, "
+                                     "is_current boolean")
+    src1 = spark.createDataFrame([("p1", 10.0, "A", T1)], "product_id string, unit_price double, "
+                                                          "brand string, updated_at timestamp")
+    src2 = spark.createDataFrame([("p1", 12.0, "A", T2)], "product_id string, unit_price double, "
+                                                          "brand string, updated_at timestamp")
+    d1 = scd2(dim0, src1, "product_id", ["unit_price"], ["unit_price", "brand"], "updated_at", "product_sk")
+    d2 = scd2(d1, src2, "product_id", ["unit_price"], ["unit_price", "brand"], "updated_at", "product_sk")
+    assert sorted((r.unit_price, r.is_current) for r in d2.collect()) == [(10.0, False), (12.0, True)]
+
+
+def test_silver_quarantines_unknown_schema_version(spark):
+    from goldleaf.plans.silver import silver_model
+    rows = [("a", "1.0", T1), ("b", "2.0", T1), (None, "1.0", T1)]
+    bronze = spark.createDataFrame(rows, "order_id string, _schema_version string, updated_at timestamp")
+    silver, quarantine = silver_model(bronze, "orders", accept_versions=["1.0"])
+    assert [r.order_id for r in silver.collect()] == ["a"]
+    errs = sorted((r.order_id or "", r._validation_errors[0]) for r in quarantine.collect())
+    assert errs == [("", "null primary key order_id"), ("b", "unsupported schema version")]
