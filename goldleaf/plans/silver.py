@@ -33,11 +33,15 @@ RECENCY: dict[str, list[str]] = {
 ORDER_ITEM_LANDING = ["_shipdate", "_suppkey", "_tax", "_linestatus"]
 
 
+# Ingest metadata column: the time a row was loaded into bronze.
+LOAD_TS = "_ingestion_ts"
+
+
 def tiebreak_columns(entity: str, extra: list[str]) -> list[str]:
     """Every non-key column, then the landing extras, all DESC NULLS LAST."""
     keys = PRIMARY_KEYS[entity]
     return ([c for c, _ in SILVER_COLUMNS[entity] if c not in keys]
-            + [c for c in extra if c not in RECENCY[entity]])
+            + [c for c in extra if c not in RECENCY[entity] and c != LOAD_TS])
 
 
 def silver_model(bronze: DataFrame, entity: str, target: DataFrame | None = None,
@@ -58,12 +62,16 @@ def silver_model(bronze: DataFrame, entity: str, target: DataFrame | None = None
     keys = PRIMARY_KEYS[entity]
     columns = SILVER_COLUMNS[entity]
     extra = [c for c in bronze.columns if c.startswith("_") and c != "_schema_version"]
-    extra = [c for c in extra if c in RECENCY[entity] or c in ORDER_ITEM_LANDING]
+    extra = [c for c in extra if c in RECENCY[entity] or c in ORDER_ITEM_LANDING or c == LOAD_TS]
     if on_error == "quarantine":
         typed, bad_cast = typed_select(bronze, columns, on_error="quarantine", keep=extra)
     else:
         typed, bad_cast = typed_select(bronze, columns, keep=extra), None
-    order: list[Column] = [F.col(c).desc_nulls_last() for c in RECENCY[entity]]
+    # recency columns the landing has, then the load time (newest load wins)
+    recency = [c for c in RECENCY[entity] if c in typed.columns]
+    if LOAD_TS in extra:
+        recency.append(LOAD_TS)
+    order: list[Column] = [F.col(c).desc_nulls_last() for c in recency]
     tiebreak = tiebreak_columns(entity, extra)
     latest, null_keys = latest_per_key(typed, keys, order, tiebreak=tiebreak)
     latest = latest.drop(*extra)
