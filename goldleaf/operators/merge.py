@@ -8,8 +8,8 @@ action taken (``_merge_action``: inserted / updated / unchanged / kept).
 MERGE edge cases kept on purpose:
 * duplicate target rows that match one source row are each updated;
 * NULL keys never match: NULL-key target rows are kept, NULL-key source
-  rows are inserted. They bypass the join entirely, so a NULL "key" holding
-  a third of the rows never lands in one join partition;
+  rows are inserted. Each gets a unique join salt, so a NULL "key" holding
+  a third of the rows is spread over every join partition, in one pass;
 * rows absent from the source are kept (no delete);
 * ``update_cols`` may differ from ``insert_cols`` (fact_orders never
   rewrites ``order_id`` on update).
@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .dedup import null_key_filter, split_null_keys
+from .dedup import null_key_filter
 
 ACTION = "_merge_action"
 
@@ -43,7 +43,7 @@ def assert_unique_keys(source: DataFrame, keys: list[str]) -> None:
 def upsert(target: DataFrame, source: DataFrame, keys: list[str],
            update_cols: list[str] | None = None, insert_cols: list[str] | None = None,
            changed: Column | None = None, hash_col: str | None = None,
-           with_action: bool = False) -> DataFrame:
+           with_action: bool = False, keys_not_null: bool = False) -> DataFrame:
     """Return the target after ``MERGE target USING source ON keys``.
 
     * ``update_cols``: columns set from the source on match (default: all
@@ -52,6 +52,10 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str],
       the source); the rest are NULL.
     * ``changed``: optional extra match condition over ``t.*``/``s.*``;
       ``hash_col``: update only when the two record hashes differ (M6).
+    * ``keys_not_null``: both inputs are known to hold no NULL key (silver
+      and gold tables never do); the join then runs on the keys alone and
+      reuses a hash partitioning on the key that an input already has (e.g.
+      from the latest-per-key window), saving a shuffle.
     """
     tcols = target.columns
     scols = set(source.columns)
@@ -60,14 +64,21 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str],
                    if c not in keys and c in scols]
     insert_cols = [c for c in (insert_cols if insert_cols is not None else tcols) if c in scols]
 
-    t_good, t_null = split_null_keys(target, keys)
-    s_good, s_null = split_null_keys(source.select(*[c for c in tcols if c in scols]), keys)
-
-    t = t_good.select(*[F.col(_q(c)).alias(f"t__{c}") for c in tcols], F.lit(True).alias("t__hit"))
-    s = s_good.select(*[F.col(_q(c)).alias(f"s__{c}") for c in s_good.columns],
-                      F.lit(True).alias("s__hit"))
-    on = None
-    for k in keys:
+    # NULL keys never match. Instead of a second pass for them, each NULL-key
+    # row gets a unique salt ``_nk`` (positive on the target side, negative on
+    # the source side, 0 for every real key): one join, NULL-key rows spread
+    # over all partitions, and no NULL-key row can meet another.
+    def salted(df, prefix, sign):
+        cols = [F.col(_q(c)).alias(f"{prefix}{c}") for c in df.columns]
+        if not keys_not_null:
+            nk = F.when(null_key_filter(keys), (F.monotonically_increasing_id() + 1) * sign)
+            cols.append(nk.otherwise(F.lit(0)).alias(f"{prefix}_nk"))
+        return df.select(*cols, F.lit(True).alias(f"{prefix}hit"))
+
+    t = salted(target, "t__", 1)
+    s = salted(source.select(*[c for c in tcols if c in scols]), "s__", -1)
+    on = None if keys_not_null else (F.col("t___nk") == F.col("s___nk"))
+    for k in keys:  # plain equality: a NULL key never matches, as in MERGE
         cond = F.col(f"t__{k}") == F.col(f"s__{k}")
         on = cond if on is None else on & cond
     j = t.join(s, on, "full_outer")
@@ -94,15 +105,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str],
         out.append(val.alias(c))
     action = (F.when(is_insert, "inserted").when(do_update, "updated")
               .when(matched, "unchanged").otherwise("kept"))
-    merged = j.select(*out, action.alias(ACTION))
-
-    # NULL keys never match: keep NULL-key target rows, insert NULL-key source rows
-    t_null = t_null.select(*[F.col(_q(c)) for c in tcols], F.lit("kept").alias(ACTION))
-    s_null = s_null.select(
-        *[(F.col(_q(c)).cast(ttypes[c]) if (c in insert_cols or c in keys) and c in scols
-           else F.lit(None).cast(ttypes[c])).alias(c) for c in tcols],
-        F.lit("inserted").alias(ACTION))
-    result = merged.unionByName(t_null).unionByName(s_null)
+    result = j.select(*out, action.alias(ACTION))
     return result if with_action else result.drop(ACTION)
 
 

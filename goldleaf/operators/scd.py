@@ -25,10 +25,13 @@ from ..functions.hashing import surrogate_key
 from .merge import upsert
 
 
-def scd1(dim: DataFrame, source: DataFrame, key: list[str], cols: list[str]) -> DataFrame:
-    """M2: overwrite ``cols`` on match, insert otherwise (a column-subset upsert)."""
+def scd1(dim: DataFrame, source: DataFrame, key: list[str], cols: list[str],
+         keys_not_null: bool = True) -> DataFrame:
+    """M2: overwrite ``cols`` on match, insert otherwise (a column-subset
+    upsert). Gold tables and silver sources hold no NULL keys."""
     src = source.select(*key, *[c for c in cols if c not in key])
-    return upsert(dim, src, key, update_cols=cols, insert_cols=list(key) + list(cols))
+    return upsert(dim, src, key, update_cols=cols, insert_cols=list(key) + list(cols),
+                  keys_not_null=keys_not_null)
 
 
 def _tracked_change(tracked: list[str], null_safe: bool) -> Column:

@@ -43,7 +43,7 @@ def fact_orders(orders: DataFrame, items: DataFrame, target: DataFrame | None =
     if target is None:
         return src
     update = [c for c in _cols("fact_orders") if c not in ("order_id", "order_item_id")]
-    return upsert(target, src, ["order_item_id"], update_cols=update)
+    return upsert(target, src, ["order_item_id"], update_cols=update, keys_not_null=True)
 
 
 def dim_products(silver_products: DataFrame, dim: DataFrame) -> DataFrame:

@@ -84,5 +84,8 @@ def silver_model(bronze: DataFrame, entity: str, target: DataFrame | None = None
         vq = vq[0].unionByName(vq[1].drop("_validation_errors")).withColumn(
             "_validation_errors", F.array(F.lit("unsupported schema version")))
         quarantine = quarantine.unionByName(vq)
-    silver = latest if target is None else upsert(target, latest, keys, with_action=with_action)
+    # a silver target never holds NULL keys (they go to quarantine), and
+    # ``latest`` has none: join on the key alone, reusing the window's shuffle
+    silver = latest if target is None else upsert(target, latest, keys, with_action=with_action,
+                                                  keys_not_null=True)
     return silver, quarantine
