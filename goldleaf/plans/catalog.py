@@ -22,6 +22,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def shared(fn):
+    """Memoize a shared sub-frame per (session, sf_dir, args).
+
+    DataFrames are immutable, lazy plans: reusing one across queries saves
+    rebuilding it through thousands of py4j calls, and every action still
+    re-reads the tables. Only pure builders (no writes, no jobs) use this."""
+    cache: dict = {}
+
+    def wrapper(spark, sf_dir, *args, **kw):
+        key = (id(spark), spark.sparkContext.applicationId, sf_dir, args, tuple(sorted(kw.items())))
+        if key not in cache:
+            cache[key] = fn(spark, sf_dir, *args, **kw)
+        return cache[key]
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
+
+
 def register(name: str, oracle: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
@@ -56,22 +74,26 @@ SILVER_ORDERS_INITIAL_SQL = _silver_sql("orders", ORDERS_INITIAL_SQL)
 SILVER_ITEMS_SQL = _silver_sql("order_items", td.bronze_order_items_sql(), ORDER_ITEM_EXTRA)
 
 
+@shared
 def bronze_orders_all(spark, sf_dir) -> DataFrame:
     """Both loads land in one bronze table (``unionByName``)."""
     return td.bronze_orders(spark, sf_dir, 1).unionByName(td.bronze_orders(spark, sf_dir, 2),
                                                           allowMissingColumns=True)
 
 
+@shared
 def silver_orders(spark, sf_dir) -> DataFrame:
     return silver.silver_model(bronze_orders_all(spark, sf_dir), "orders")[0]
 
 
+@shared
 def silver_orders_initial(spark, sf_dir) -> DataFrame:
     day1 = td.bronze_orders(spark, sf_dir, 1).filter(
         F.col("order_date") < F.lit(td.ORDERS_INITIAL_CUTOFF).cast("timestamp_ntz"))
     return silver.silver_model(day1, "orders")[0]
 
 
+@shared
 def silver_order_items(spark, sf_dir) -> DataFrame:
     return silver.silver_model(td.bronze_order_items(spark, sf_dir), "order_items")[0]
 
@@ -113,6 +135,7 @@ FACT_ORDERS_SQL = sq.upsert_sql(
     update_cols=[c for c in _gcols("fact_orders") if c not in ("order_id", "order_item_id")])
 
 
+@shared
 def fact_orders_frame(spark, sf_dir) -> DataFrame:
     items = silver_order_items(spark, sf_dir)
     target = gold.fact_orders(silver_orders_initial(spark, sf_dir), items)
@@ -153,6 +176,7 @@ DIM_PRODUCTS_INITIAL_SQL = (f"SELECT {', '.join(_gcols('dim_products'))} FROM ({
                             "WHERE category_l1 <> 'STANDARD'")
 
 
+@shared
 def silver_products(spark, sf_dir, day1_only=False) -> DataFrame:
     b = td.bronze_products(spark, sf_dir, 1)
     if not day1_only:
@@ -194,6 +218,7 @@ SELECT md5(concat_ws('~', customer_id, CAST(valid_from AS VARCHAR))) AS customer
 FROM one"""
 
 
+@shared
 def silver_customers(spark, sf_dir, day1_only=False) -> DataFrame:
     b = td.bronze_customers(spark, sf_dir, 1)
     if not day1_only:
@@ -201,6 +226,7 @@ def silver_customers(spark, sf_dir, day1_only=False) -> DataFrame:
     return silver.silver_model(b, "customers")[0]
 
 
+@shared
 def dim_customers_frame(spark, sf_dir) -> DataFrame:
     from ..schemas import empty_frame
     dim0 = empty_frame(spark, GOLD_COLUMNS["dim_customers"])
@@ -238,6 +264,7 @@ SILVER_CLICK_SQL = _silver_sql("clickstream_events", td.bronze_clickstream_sql()
 _CLICK_COLS = _gcols("fact_clickstream")
 
 
+@shared
 def silver_clickstream(spark, sf_dir) -> DataFrame:
     return silver.silver_model(td.bronze_clickstream(spark, sf_dir), "clickstream_events")[0]
 
@@ -440,6 +467,7 @@ CROSS_SOURCES_SQL = [("customers", SILVER_CUSTOMERS_SQL), ("products", SILVER_PR
 DQ_CROSS_SQL = "\nUNION ALL\n".join(_cross_sql(e, s) for e, s in CROSS_SOURCES_SQL)
 
 
+@shared
 def dq_cross_frame(spark, sf_dir) -> DataFrame:
     from ..quality.checks import run_checks
     from ..quality.contracts import cross_column_checks

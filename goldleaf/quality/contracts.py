@@ -96,9 +96,12 @@ def status_transitions(history: DataFrame, key: str, status: str, order_by: list
     the allowed lifecycle. Repeated equal statuses are not steps.
 
     ``lag`` over a window partitioned by the key: each key holds only its
-    own versions. NULL keys are dropped first (they are not a history)."""
+    own versions. NULL keys are dropped first (they are not a history), and
+    exact copies of a version collapse map-side (``dropDuplicates`` is a
+    partial aggregate) before the shuffle: a re-sent version is no step, so
+    a key swollen by copies reaches the window as its distinct versions."""
     w = Window.partitionBy(key).orderBy(*[F.col(c) for c in order_by])
-    steps = (history.filter(F.col(key).isNotNull())
+    steps = (history.filter(F.col(key).isNotNull()).dropDuplicates([key, status, *order_by])
              .select(key, *order_by, F.col(status).alias("to_status"),
                      F.lag(status).over(w).alias("from_status")))
     ok = F.lit(False)
