@@ -26,9 +26,26 @@ DAY2_CUSTOMERS_TS = "2024-02-01 00:00:00"
 ORDERS_INITIAL_CUTOFF = "1998-01-01 00:00:00"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, *cols: str, wide: bool = False) -> DataFrame:
+    """Read one driver table, pruned to ``cols``. ``wide=True`` for inputs
+    with heavy per-row work ahead (see ``spread``)."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df.select(*cols) if cols else df
+    df = df.select(*cols) if cols else df
+    return spread(df) if wide else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin an under-split scan over the cluster's cores.
+
+    A file with one row group is read by one task, and everything up to the
+    first shuffle would run on one core. When a scan has fewer partitions
+    than the default parallelism, one cheap round-robin exchange of the raw
+    (pruned) rows spreads the per-row work; a real 100 TB input has far
+    more splits than cores and is left alone."""
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
 
 
 # ---------------------------------------------------------------- ids
@@ -191,7 +208,7 @@ def bronze_orders(spark: SparkSession, sf_dir: str, generation: int = 1) -> Data
     PENDING -> CONFIRMED), with a later ``updated_at``.
     """
     o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
-              "o_orderdate", "o_orderpriority")
+              "o_orderdate", "o_orderpriority", wide=True)
     d = F.col("o_orderdate")
     if generation == 3:
         return _orders_day3(o)
@@ -281,7 +298,7 @@ def bronze_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing's recency column."""
     li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
-               "l_linestatus", "l_shipdate")
+               "l_linestatus", "l_shipdate", wide=True)
     qty = F.col("l_quantity").cast("bigint")
     cents = F.floor(F.col("l_extendedprice") * 100 + 0.5)  # exact: at most 2 decimals
     ext = F.col("l_extendedprice").cast("decimal(12,2)")    # precision <= 18: compact
@@ -390,7 +407,7 @@ def bronze_inventory(spark: SparkSession, sf_dir: str, before: str | None = None
     (map-side partial aggregation) before the shuffle.
     """
     li = table(spark, sf_dir, "lineitem", "l_partkey", "l_suppkey", "l_quantity", "l_linestatus",
-               "l_shipdate")
+               "l_shipdate", wide=True)
     if before is not None:
         li = li.filter(F.col("l_shipdate") < F.lit(before).cast("timestamp_ntz"))
     g = li.groupBy("l_partkey", "l_suppkey").agg(
@@ -449,7 +466,9 @@ def event_messages(spark: SparkSession, sf_dir: str, damaged: bool = True,
 
     With ``redeliver`` every event of a user divisible by 4 is sent twice
     (same message), as a broker re-delivery would."""
-    e = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value", "props")
+    # landed as several files, as a message sink writes them
+    e = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value", "props",
+              wide=True)
     cents = F.round(F.col("value") * 100).cast("bigint").cast("string")
     line = _event_line(cents)
     if damaged:
