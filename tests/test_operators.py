@@ -178,3 +178,24 @@ def test_silver_quarantines_unknown_schema_version(spark):
     assert [r.order_id for r in silver.collect()] == ["a"]
     errs = sorted((r.order_id or "", r._validation_errors[0]) for r in quarantine.collect())
     assert errs == [("", "null primary key order_id"), ("b", "unsupported schema version")]
+
+
+def test_upsert_hot_null_key_group_is_spread(spark):
+    """A NULL 'key' carrying most rows: never matched, kept/inserted whole,
+    and spread over many join partitions instead of one."""
+    n = 5000
+    target = spark.range(n).select(F.lit(None).cast("string").alias("k"), F.col("id").cast("string").alias("v"))
+    target = target.unionByName(spark.createDataFrame([("a", "1")], "k string, v string"))
+    source = spark.range(n).select(F.lit(None).cast("string").alias("k"), F.lit("s").alias("v"))
+    source = source.unionByName(spark.createDataFrame([("a", "2")], "k string, v string"))
+    out = upsert(target, source, ["k"], with_action=True)
+    counts = {r[ACTION]: r["count"] for r in out.groupBy(ACTION).count().collect()}
+    assert counts == {"kept": n, "inserted": n, "updated": 1}
+    key = "spark.sql.adaptive.coalescePartitions.enabled"  # keep AQE from merging tiny partitions
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        per_part = out.filter(F.col("k").isNull()).groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.set(key, old)
+    assert len(per_part) > 1 and max(r["count"] for r in per_part) < 2 * n

@@ -99,3 +99,14 @@ def test_duplicate_and_late_flags(spark):
     out = late_flag(duplicate_flag(df, ["k"]), "ev", "ing", 10).collect()
     got = sorted((r.k, r._duplicate_flag, r._is_late_arrival) for r in out)
     assert got == [("a", True, False), ("a", True, True), ("b", False, False)]
+
+
+def test_fail_fast_raises_with_samples(spark):
+    import pytest
+
+    from goldleaf.quality.schema_check import fail_fast
+    df = spark.createDataFrame([(json.dumps(GOOD_CUSTOMER),),
+                                (json.dumps(dict(GOOD_CUSTOMER, loyalty_points=-5)),)], "value string")
+    with pytest.raises(ValueError, match="loyalty_points"):
+        fail_fast(df, "value", ENTITY_SCHEMAS["customers"])
+    fail_fast(df.limit(1), "value", ENTITY_SCHEMAS["customers"])

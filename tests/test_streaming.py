@@ -48,3 +48,15 @@ def test_stream_dedup_within_watermark(spark):
     _land(spark, f"{root}/landing", [b1, b2])
     path = run_dedup_job(spark, f"{root}/landing", f"{root}/out")
     assert sorted(r.event_id for r in spark.read.parquet(path).collect()) == [1, 2, 3]
+
+
+def test_stream_dedup_hot_copies(spark):
+    root = scratch_path(spark, "t-dedup-hot")
+    base = dt.datetime(2024, 1, 1, 12, 0, 0)
+    hot = [_line(7, base)] * 3000
+    rest = [_line(i, base + dt.timedelta(seconds=i)) for i in range(8, 40)]
+    spark.createDataFrame([(x,) for x in hot + rest], "value string").repartition(8) \
+        .write.mode("append").text(f"{root}/landing")
+    path = run_dedup_job(spark, f"{root}/landing", f"{root}/out")
+    ids = sorted(r.event_id for r in spark.read.parquet(path).collect())
+    assert ids == [7] + list(range(8, 40))
