@@ -40,6 +40,15 @@ def shared(fn):
     return wrapper
 
 
+# Bronze bindings, built once per session and scale (pure, lazy plans).
+bronze_customers = shared(td.bronze_customers)
+bronze_products = shared(td.bronze_products)
+bronze_orders = shared(td.bronze_orders)
+bronze_order_items = shared(td.bronze_order_items)
+bronze_clickstream = shared(td.bronze_clickstream)
+bronze_inventory = shared(td.bronze_inventory)
+
+
 def register(name: str, oracle: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
@@ -77,7 +86,7 @@ SILVER_ITEMS_SQL = _silver_sql("order_items", td.bronze_order_items_sql(), ORDER
 @shared
 def bronze_orders_all(spark, sf_dir) -> DataFrame:
     """Both loads land in one bronze table (``unionByName``)."""
-    return td.bronze_orders(spark, sf_dir, 1).unionByName(td.bronze_orders(spark, sf_dir, 2),
+    return bronze_orders(spark, sf_dir, 1).unionByName(bronze_orders(spark, sf_dir, 2),
                                                           allowMissingColumns=True)
 
 
@@ -88,20 +97,20 @@ def silver_orders(spark, sf_dir) -> DataFrame:
 
 @shared
 def silver_orders_initial(spark, sf_dir) -> DataFrame:
-    day1 = td.bronze_orders(spark, sf_dir, 1).filter(
+    day1 = bronze_orders(spark, sf_dir, 1).filter(
         F.col("order_date") < F.lit(td.ORDERS_INITIAL_CUTOFF).cast("timestamp_ntz"))
     return silver.silver_model(day1, "orders")[0]
 
 
 @shared
 def silver_order_items(spark, sf_dir) -> DataFrame:
-    return silver.silver_model(td.bronze_order_items(spark, sf_dir), "order_items")[0]
+    return silver.silver_model(bronze_order_items(spark, sf_dir), "order_items")[0]
 
 
 @register("silver_cast_orders", sq.typed_sql("orders", ORDERS_DAY1_SQL))
 def silver_cast_orders(spark, sf_dir):
     """Every column cast to its silver type (ANSI cast: fail on bad)."""
-    return to_output(typed_select(td.bronze_orders(spark, sf_dir, 1), SILVER_COLUMNS["orders"]))
+    return to_output(typed_select(bronze_orders(spark, sf_dir, 1), SILVER_COLUMNS["orders"]))
 
 
 @register("silver_dedup_order_items", SILVER_ITEMS_SQL)
@@ -178,9 +187,9 @@ DIM_PRODUCTS_INITIAL_SQL = (f"SELECT {', '.join(_gcols('dim_products'))} FROM ({
 
 @shared
 def silver_products(spark, sf_dir, day1_only=False) -> DataFrame:
-    b = td.bronze_products(spark, sf_dir, 1)
+    b = bronze_products(spark, sf_dir, 1)
     if not day1_only:
-        b = b.unionByName(td.bronze_products(spark, sf_dir, 2))
+        b = b.unionByName(bronze_products(spark, sf_dir, 2))
     return silver.silver_model(b, "products")[0]
 
 
@@ -220,9 +229,9 @@ FROM one"""
 
 @shared
 def silver_customers(spark, sf_dir, day1_only=False) -> DataFrame:
-    b = td.bronze_customers(spark, sf_dir, 1)
+    b = bronze_customers(spark, sf_dir, 1)
     if not day1_only:
-        b = b.unionByName(td.bronze_customers(spark, sf_dir, 2))
+        b = b.unionByName(bronze_customers(spark, sf_dir, 2))
     return silver.silver_model(b, "customers")[0]
 
 
@@ -254,8 +263,8 @@ _INV_COLS = _gcols("fact_inventory_daily")
 def gold_fact_inventory_daily(spark, sf_dir):
     """M2: yesterday's snapshot (lines shipped before 1998) overwritten by
     today's per inventory_id; new (part, supplier) pairs inserted."""
-    old = silver.silver_model(td.bronze_inventory(spark, sf_dir, INV_CUTOFF), "inventory")[0]
-    new = silver.silver_model(td.bronze_inventory(spark, sf_dir), "inventory")[0]
+    old = silver.silver_model(bronze_inventory(spark, sf_dir, INV_CUTOFF), "inventory")[0]
+    new = silver.silver_model(bronze_inventory(spark, sf_dir), "inventory")[0]
     return to_output(gold.fact_inventory_daily(new, old.select(*_INV_COLS)))
 
 
@@ -266,7 +275,7 @@ _CLICK_COLS = _gcols("fact_clickstream")
 
 @shared
 def silver_clickstream(spark, sf_dir) -> DataFrame:
-    return silver.silver_model(td.bronze_clickstream(spark, sf_dir), "clickstream_events")[0]
+    return silver.silver_model(bronze_clickstream(spark, sf_dir), "clickstream_events")[0]
 
 
 @register("gold_fact_clickstream", sq.upsert_sql(
@@ -351,8 +360,8 @@ NULL_CLICKS = [("customer_id", "LOW"), ("search_query", "LOW"), ("page_url", "HI
 def dq_null(spark, sf_dir):
     """Null checks, all columns of a table in one aggregate."""
     from ..quality.checks import null_check, run_checks
-    cust = td.bronze_customers(spark, sf_dir, 1)
-    clicks = td.bronze_clickstream(spark, sf_dir)
+    cust = bronze_customers(spark, sf_dir, 1)
+    clicks = bronze_clickstream(spark, sf_dir)
     a = run_checks(cust, [null_check(cust, c, s) for c, s in NULL_CUSTOMERS], "bronze", "customers",
                    RUN_ID, _as_of())
     b = run_checks(clicks, [null_check(clicks, c, s) for c, s in NULL_CLICKS], "bronze",
@@ -376,11 +385,11 @@ def _dup_sql(src: str, keys: list[str], dataset: str, table: str, sev: str) -> s
 def dq_duplicate(spark, sf_dir):
     """Duplicate keys (composite keys as typed group-by keys)."""
     from ..quality.checks import duplicate_check
-    a = duplicate_check(td.bronze_order_items(spark, sf_dir), ["order_item_id"], "bronze",
+    a = duplicate_check(bronze_order_items(spark, sf_dir), ["order_item_id"], "bronze",
                         "order_items", RUN_ID, "HIGH", _as_of())
     b = duplicate_check(silver_order_items(spark, sf_dir), ["order_id", "product_id"], "silver",
                         "order_items", RUN_ID, "MEDIUM", _as_of())
-    c = duplicate_check(td.bronze_products(spark, sf_dir, 1), ["sku"], "bronze", "products",
+    c = duplicate_check(bronze_products(spark, sf_dir, 1), ["sku"], "bronze", "products",
                         RUN_ID, "HIGH", _as_of())
     return to_output(a.unionByName(b).unionByName(c))
 
@@ -422,9 +431,9 @@ def dq_range(spark, sf_dir):
     def run(df, items, dataset, table):
         return run_checks(df, [range_check(df, c, lo, hi, sev) for c, lo, hi, sev in items], dataset,
                           table, RUN_ID, _as_of())
-    out = run(td.bronze_customers(spark, sf_dir, 1), RANGE_CUSTOMERS, "bronze", "customers")
-    out = out.unionByName(run(td.bronze_products(spark, sf_dir, 1), RANGE_PRODUCTS, "bronze", "products"))
-    out = out.unionByName(run(td.bronze_orders(spark, sf_dir, 1), RANGE_ORDERS, "bronze", "orders"))
+    out = run(bronze_customers(spark, sf_dir, 1), RANGE_CUSTOMERS, "bronze", "customers")
+    out = out.unionByName(run(bronze_products(spark, sf_dir, 1), RANGE_PRODUCTS, "bronze", "products"))
+    out = out.unionByName(run(bronze_orders(spark, sf_dir, 1), RANGE_ORDERS, "bronze", "orders"))
     out = out.unionByName(run(td.table(spark, sf_dir, "events"), RANGE_EVENTS, "raw", "events"))
     return to_output(out)
 
@@ -473,7 +482,7 @@ def dq_cross_frame(spark, sf_dir) -> DataFrame:
     from ..quality.contracts import cross_column_checks
     frames = [("customers", silver_customers(spark, sf_dir)), ("products", silver_products(spark, sf_dir)),
               ("orders", silver_orders(spark, sf_dir)), ("order_items", silver_order_items(spark, sf_dir)),
-              ("inventory", silver.silver_model(td.bronze_inventory(spark, sf_dir), "inventory")[0]),
+              ("inventory", silver.silver_model(bronze_inventory(spark, sf_dir), "inventory")[0]),
               ("clickstream_events", silver_clickstream(spark, sf_dir))]
     out = None
     for entity, df in frames:
@@ -607,7 +616,7 @@ def dq_status_transitions(spark, sf_dir):
     from ..quality.contracts import status_transitions
     cols = ["order_id", "order_status", "updated_at"]
     hist = (bronze_orders_all(spark, sf_dir).select(*cols)
-            .unionByName(td.bronze_orders(spark, sf_dir, 3).select(*cols)))
+            .unionByName(bronze_orders(spark, sf_dir, 3).select(*cols)))
     return to_output(status_transitions(hist, "order_id", "order_status", ["updated_at"]))
 
 
@@ -651,11 +660,11 @@ SCHEMA_ENTITIES = [("customers", td.bronze_customers_sql(1)), ("products", td.br
 def dq_schema(spark, sf_dir):
     """Draft-07 entity schemas checked on the landed JSON text."""
     from ..quality.schema_check import ENTITY_SCHEMAS, schema_check
-    frames = {"customers": td.bronze_customers(spark, sf_dir, 1),
-              "products": td.bronze_products(spark, sf_dir, 1),
-              "orders": td.bronze_orders(spark, sf_dir, 1),
-              "order_items": td.bronze_order_items(spark, sf_dir),
-              "clickstream_events": td.bronze_clickstream(spark, sf_dir)}
+    frames = {"customers": bronze_customers(spark, sf_dir, 1),
+              "products": bronze_products(spark, sf_dir, 1),
+              "orders": bronze_orders(spark, sf_dir, 1),
+              "order_items": bronze_order_items(spark, sf_dir),
+              "clickstream_events": bronze_clickstream(spark, sf_dir)}
     out = None
     for e, _ in SCHEMA_ENTITIES:
         r = schema_check(bronze_json(frames[e], e), "value", ENTITY_SCHEMAS[e], "bronze", e, RUN_ID,
@@ -731,7 +740,7 @@ def late_arrivals(spark, sf_dir):
     count per one-minute event-time window, kept apart from Spark's own
     watermark drop counter."""
     from ..quality.contracts import late_flag
-    c = td.bronze_clickstream(spark, sf_dir)
+    c = bronze_clickstream(spark, sf_dir)
     c = late_flag(c, "event_timestamp", "ingestion_timestamp", 10).withColumnRenamed("_is_late_arrival", "l10")
     c = late_flag(c, "event_timestamp", "ingestion_timestamp", 2).withColumnRenamed("_is_late_arrival", "l2")
     w = F.window("event_timestamp", "60 seconds")
@@ -804,7 +813,7 @@ def stream_dedup_events(spark, sf_dir):
 def _orders_day2_nullkey(spark, sf_dir) -> DataFrame:
     """Day-2 orders where WEB-channel rows arrive without an order_id: one
     NULL "key" carrying most of the batch (the hot-group case)."""
-    b2 = td.bronze_orders(spark, sf_dir, 2)
+    b2 = bronze_orders(spark, sf_dir, 2)
     return b2.withColumn("order_id", F.when(F.col("channel") == "WEB", F.lit(None).cast("string"))
                          .otherwise(F.col("order_id")))
 
@@ -819,7 +828,7 @@ ORDERS_DAY2_NULLKEY_SQL = (f"SELECT * REPLACE (CASE WHEN channel = 'WEB' THEN NU
 def silver_upsert_null_key_quarantine(spark, sf_dir):
     """M1/C14: NULL-key rows never match a MERGE (the reference re-inserts
     them every run); here they bypass the join and land in quarantine."""
-    bronze = td.bronze_orders(spark, sf_dir, 1).unionByName(_orders_day2_nullkey(spark, sf_dir))
+    bronze = bronze_orders(spark, sf_dir, 1).unionByName(_orders_day2_nullkey(spark, sf_dir))
     _, quarantine = silver.silver_model(bronze, "orders", target=silver_orders_initial(spark, sf_dir))
     return to_output(quarantine)
 
@@ -853,8 +862,8 @@ def bounded_upsert_q(spark, sf_dir):
     2001-01-01. As the documented pattern warns, a change to an older
     order finds no match inside the bound and is inserted as a 2nd row."""
     from ..operators.merge import bounded_upsert
-    target = silver.silver_model(td.bronze_orders(spark, sf_dir, 1), "orders")[0]
-    source = silver.silver_model(td.bronze_orders(spark, sf_dir, 2), "orders")[0]
+    target = silver.silver_model(bronze_orders(spark, sf_dir, 1), "orders")[0]
+    source = silver.silver_model(bronze_orders(spark, sf_dir, 2), "orders")[0]
     out = bounded_upsert(target, source, ["order_id"], "order_date", F.lit(BOUND).cast("timestamp"),
                          with_action=True)
     return to_output(out)
@@ -869,7 +878,7 @@ GROUP BY order_item_id HAVING count(*) > 1 ORDER BY cnt DESC, order_item_id LIMI
 def report_duplicates(spark, sf_dir):
     """A4/T4: top-20 duplicated keys (the limit is the report), key as
     tie-break. Partial counts map-side, then a TakeOrdered of 20."""
-    b = td.bronze_order_items(spark, sf_dir)
+    b = bronze_order_items(spark, sf_dir)
     return (b.groupBy("order_item_id").agg(F.count("*").alias("cnt")).filter(F.col("cnt") > 1)
             .orderBy(F.col("cnt").desc(), "order_item_id").limit(20))
 
@@ -950,11 +959,11 @@ def report_dlq(spark, sf_dir):
 ) AS t ORDER BY last_change DESC""")
 def report_freshness(spark, sf_dir):
     """Per bronze table row count and last change, newest first."""
-    parts = [("customers", td.bronze_customers(spark, sf_dir, 1), "updated_at"),
-             ("products", td.bronze_products(spark, sf_dir, 1), "updated_at"),
+    parts = [("customers", bronze_customers(spark, sf_dir, 1), "updated_at"),
+             ("products", bronze_products(spark, sf_dir, 1), "updated_at"),
              ("orders", bronze_orders_all(spark, sf_dir), "updated_at"),
-             ("order_items", td.bronze_order_items(spark, sf_dir), "_shipdate"),
-             ("clickstream_events", td.bronze_clickstream(spark, sf_dir), "ingestion_timestamp")]
+             ("order_items", bronze_order_items(spark, sf_dir), "_shipdate"),
+             ("clickstream_events", bronze_clickstream(spark, sf_dir), "ingestion_timestamp")]
     out = None
     for name, df, col in parts:
         r = df.agg(F.lit(name).alias("table_name"), F.count("*").alias("row_count"),
@@ -1010,7 +1019,7 @@ def bronze_load_metadata(spark, sf_dir):
     (run id, source file, record hash, ingestion date). File paths, hashes
     and ingest times are checked in tests; here the stable columns."""
     from ..streaming.jobs import fresh_root
-    src = td.bronze_clickstream(spark, sf_dir)
+    src = bronze_clickstream(spark, sf_dir)
     root = _land_clicks(src, fresh_root(spark, "bronze-landing"))
     return to_output(_load_clicks(spark, root, src.schema).select(*_LOAD_OUT))
 
@@ -1037,7 +1046,7 @@ def manifest_skip(spark, sf_dir):
     manifest does not list."""
     from ..sources.bronze import list_files, manifest_entries, unseen_files
     from ..streaming.jobs import fresh_root
-    src = td.bronze_clickstream(spark, sf_dir)
+    src = bronze_clickstream(spark, sf_dir)
     split = F.col("event_timestamp") < F.lit(MANIFEST_SPLIT).cast("timestamp_ntz")
     root = _land_clicks(src.filter(split), fresh_root(spark, "manifest-landing"))
     manifest_path = f"{root}/_control/file_manifest"

@@ -88,6 +88,38 @@ def failure_pct(failed: Column, total: Column) -> Column:
         F.bround(failed.cast("double") / total.cast("double") * 100.0, 4))
 
 
+def _sql_str(v) -> str:
+    """A Spark SQL string literal (backslash escapes)."""
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+RESULT_ORDER = [c for c, _ in DQ_RESULT_COLUMNS]
+
+
+def _result_sql(rule: str, column: str, total: str, failed: str, severity: str, details: str,
+                dataset: str, table: str, run_id: str) -> list[str]:
+    """dq_results columns (all but ``checked_at``) as SQL expressions over
+    the aggregate's columns: one ``selectExpr`` call builds them all."""
+    return [
+        f"{rule} AS rule_name", f"{_sql_str(dataset)} AS dataset_name",
+        f"{_sql_str(table)} AS table_name", f"CAST({column} AS STRING) AS column_name",
+        f"CAST({total} AS BIGINT) AS total_records", f"CAST({failed} AS BIGINT) AS failed_records",
+        f"{severity} AS severity",
+        f"CASE WHEN {failed} = 0 THEN 'PASSED' ELSE 'FAILED' END AS status",
+        f"{_sql_str(run_id)} AS pipeline_run_id",
+        f"CASE WHEN {failed} > 0 THEN {details} ELSE '' END AS error_details",
+        f"CASE WHEN {total} = 0 THEN 0.0D ELSE bround(CAST({failed} AS DOUBLE) / "
+        f"CAST({total} AS DOUBLE) * 100.0D, 4) END AS failure_pct",
+    ]
+
+
+def to_results(agg: DataFrame, rule: str, column: str, total: str, failed: str, severity: str,
+               details: str, dataset: str, table: str, run_id: str, checked_at: Column) -> DataFrame:
+    out = agg.selectExpr(*_result_sql(rule, column, total, failed, severity, details, dataset,
+                                      table, run_id))
+    return out.withColumn("checked_at", checked_at).select(*RESULT_ORDER)
+
+
 def _result_cols(rule, column, total, failed, severity, details, dataset, table, run_id, checked_at):
     status = F.when(failed == 0, F.lit("PASSED")).otherwise(F.lit("FAILED"))
     return [
@@ -107,17 +139,15 @@ def run_checks(df: DataFrame, checks: list[Check], dataset: str, table: str, run
     aggs = [F.count("*").alias("_total")]
     aggs += [F.count_if(c.failed).alias(f"_f{i}") for i, c in enumerate(checks)]
     one = df.agg(*aggs)
-    entries = F.array(*[F.struct(F.lit(c.rule_name).alias("rule"),
-                                 F.lit(c.column_name).cast("string").alias("column"),
-                                 F.col(f"_f{i}").alias("failed"),
-                                 F.lit(c.severity).alias("severity"),
-                                 F.lit(c.details).alias("details"))
-                        for i, c in enumerate(checks)])
-    rows = one.select(F.col("_total"), F.explode(entries).alias("e"))
-    failed = F.col("e.failed")
-    details = F.replace(F.col("e.details"), F.lit("{failed}"), failed.cast("string"))
-    return rows.select(*_result_cols(F.col("e.rule"), F.col("e.column"), F.col("_total"), failed,
-                                     F.col("e.severity"), details, dataset, table, run_id, checked_at))
+    entries = ", ".join(
+        f"named_struct('rule', {_sql_str(c.rule_name)}, 'column', "
+        f"{'CAST(NULL AS STRING)' if c.column_name is None else _sql_str(c.column_name)}, "
+        f"'failed', _f{i}, 'severity', {_sql_str(c.severity)}, 'details', {_sql_str(c.details)})"
+        for i, c in enumerate(checks))
+    rows = one.selectExpr("_total", f"inline(array({entries}))")
+    details = "replace(details, '{failed}', CAST(failed AS STRING))"
+    return to_results(rows, "rule", "`column`", "_total", "failed", "severity", details, dataset,
+                      table, run_id, checked_at)
 
 
 def duplicate_check(df: DataFrame, keys: list[str], dataset: str, table: str, run_id: str,
@@ -130,10 +160,10 @@ def duplicate_check(df: DataFrame, keys: list[str], dataset: str, table: str, ru
     one = per_key.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
                       F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n") - 1)), F.lit(0)).alias("failed"),
                       F.count_if(F.col("n") > 1).alias("dup_keys"))
-    details = F.concat(F.col("dup_keys").cast("string"), F.lit(" duplicate keys found"))
-    return one.select(*_result_cols(F.lit("duplicate_check_" + "_".join(keys)), F.lit(",".join(keys)),
-                                    F.col("total"), F.col("failed"), F.lit(severity), details,
-                                    dataset, table, run_id, checked_at))
+    return to_results(one, _sql_str("duplicate_check_" + "_".join(keys)), _sql_str(",".join(keys)),
+                      "total", "failed", _sql_str(severity),
+                      "concat(CAST(dup_keys AS STRING), ' duplicate keys found')", dataset, table,
+                      run_id, checked_at)
 
 
 def empty_results(spark) -> DataFrame:
