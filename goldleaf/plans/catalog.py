@@ -823,14 +823,16 @@ ORDERS_DAY2_NULLKEY_SQL = (f"SELECT * REPLACE (CASE WHEN channel = 'WEB' THEN NU
 
 
 @register("silver_upsert_null_key_quarantine",
-          f"SELECT *, ['null primary key order_id'] AS _validation_errors FROM "
+          f"SELECT *, 'null primary key order_id' AS _validation_errors FROM "
           f"({sq.typed_sql('orders', ORDERS_DAY2_NULLKEY_SQL)}) AS t WHERE order_id IS NULL")
 def silver_upsert_null_key_quarantine(spark, sf_dir):
     """M1/C14: NULL-key rows never match a MERGE (the reference re-inserts
     them every run); here they bypass the join and land in quarantine."""
     bronze = bronze_orders(spark, sf_dir, 1).unionByName(_orders_day2_nullkey(spark, sf_dir))
     _, quarantine = silver.silver_model(bronze, "orders", target=silver_orders_initial(spark, sf_dir))
-    return to_output(quarantine)
+    # reasons as text ('; '-joined) so every engine renders them alike
+    return to_output(quarantine.withColumn("_validation_errors",
+                                           F.array_join("_validation_errors", "; ")))
 
 
 @register("merge_metrics", f"""SELECT count_if(_merge_action = 'inserted') AS rows_inserted,
@@ -1024,15 +1026,15 @@ def bronze_load_metadata(spark, sf_dir):
     return to_output(_load_clicks(spark, root, src.schema).select(*_LOAD_OUT))
 
 
-@register("bronze_corrupt_lines", f"""SELECT payload, payload_base64, [error_message] AS _validation_errors,
+@register("bronze_corrupt_lines", f"""SELECT payload, payload_base64, error_message AS _validation_errors,
   'clickstream' AS source FROM ({DAMAGE_SQL}) AS m WHERE error_message IS NOT NULL""")
 def bronze_corrupt_lines(spark, sf_dir):
     """Batch load of damaged JSON lines; lines that are not one
     JSON object of the declared types go to quarantine with the reason,
     instead of failing the whole file set."""
     bad = landed_messages(spark, sf_dir).filter(F.col("error_message").isNotNull())
-    return bad.select("payload", "payload_base64", F.array("error_message").alias("_validation_errors"),
-                      "source")
+    return bad.select("payload", "payload_base64",
+                      F.array_join(F.array("error_message"), "; ").alias("_validation_errors"), "source")
 
 
 MANIFEST_SPLIT = "2024-01-15 00:00:00"
