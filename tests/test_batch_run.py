@@ -1,6 +1,5 @@
 """End-to-end batch run over landed files; a rerun leaves gold unchanged (M8)."""
 
-import datetime as dt
 
 from pyspark.sql import functions as F
 

@@ -3,7 +3,6 @@
 import datetime as dt
 import json
 
-from pyspark.sql import functions as F
 
 from goldleaf.quality.contracts import (duplicate_flag, foreign_key_check, late_flag,
                                         status_transitions, volume_spike)
