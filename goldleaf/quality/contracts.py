@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from .checks import Check, _result_cols, rule_check
 
-# Allowed order status steps (DATA_CONTRACTS order lifecycle).
+# Allowed order status steps (the order lifecycle contract).
 ALLOWED_TRANSITIONS = [
     ("PENDING", "CONFIRMED"), ("CONFIRMED", "SHIPPED"), ("SHIPPED", "DELIVERED"),
     ("PENDING", "CANCELLED"), ("CONFIRMED", "CANCELLED"), ("DELIVERED", "RETURNED"),
