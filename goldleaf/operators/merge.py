@@ -139,3 +139,38 @@ def bounded_upsert(target: DataFrame, source: DataFrame, keys: list[str], window
     cold = cold.withColumn(ACTION, F.lit("kept"))
     out = merged.unionByName(cold)
     return out if want_action else out.drop(ACTION)
+
+
+def upsert_into_partitions(source: DataFrame, path: str, keys: list[str], partition_col: str,
+                           staging: str, max_partitions: int = 10000, **kw) -> list:
+    """MERGE into a Parquet table partitioned by ``partition_col``, rewriting
+    only the partitions the source touches.
+
+    Cost follows the increment, not the table: the touched partition values
+    (bounded by the partition count, checked against ``max_partitions``)
+    become a partition filter, so the target scan prunes every other
+    directory; the merged rows go to ``staging`` first (a plan never
+    overwrites a path it reads), then replace exactly those partitions.
+    A key must keep its partition value for life (e.g. the month of an
+    order date); the source must already be one row per key.
+    Returns the rewritten partition values.
+    """
+    spark = source.sparkSession
+    touched = [r[0] for r in source.select(partition_col).distinct().limit(max_partitions + 1).collect()]
+    if len(touched) > max_partitions:
+        raise ValueError(f"source touches more than {max_partitions} partitions; use a full upsert")
+    if not touched:
+        return []
+    try:
+        target = spark.read.parquet(path).filter(F.col(partition_col).isin(touched))
+    except Exception:  # first load: nothing to merge with
+        target = None
+    if target is None:
+        merged = source
+    else:
+        merged = upsert(target, source.select(*target.columns), keys, **kw)
+    merged.write.mode("overwrite").partitionBy(partition_col).parquet(staging)
+    staged = spark.read.parquet(staging)
+    (staged.select(*merged.columns).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
+    return touched

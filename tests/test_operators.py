@@ -199,3 +199,22 @@ def test_upsert_hot_null_key_group_is_spread(spark):
     finally:
         spark.conf.set(key, old)
     assert len(per_part) > 1 and max(r["count"] for r in per_part) < 2 * n
+
+
+def test_upsert_into_partitions_rewrites_only_touched(spark):
+    from goldleaf.operators.merge import upsert_into_partitions
+    from goldleaf.session import scratch_path
+    root = scratch_path(spark, "t-partmerge")
+    path = f"{root}/orders"
+    base = spark.createDataFrame([("o1", "NEW", "2024-01"), ("o2", "NEW", "2024-01"), ("o3", "NEW", "2024-02")],
+                                 "order_id string, status string, month string")
+    assert upsert_into_partitions(base, path, ["order_id"], "month", f"{root}/stage0") != []
+    before = {r.order_id: r.status for r in spark.read.parquet(path).collect()}
+    assert before == {"o1": "NEW", "o2": "NEW", "o3": "NEW"}
+    inc = spark.createDataFrame([("o1", "SHIPPED", "2024-01"), ("o4", "NEW", "2024-03")],
+                                "order_id string, status string, month string")
+    touched = upsert_into_partitions(inc, path, ["order_id"], "month", f"{root}/stage1")
+    assert sorted(touched) == ["2024-01", "2024-03"]
+    after = {r.order_id: (r.status, r.month) for r in spark.read.parquet(path).collect()}
+    assert after == {"o1": ("SHIPPED", "2024-01"), "o2": ("NEW", "2024-01"),
+                     "o3": ("NEW", "2024-02"), "o4": ("NEW", "2024-03")}
