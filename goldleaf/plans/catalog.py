@@ -1108,3 +1108,50 @@ def report_dlq_search(spark, sf_dir):
     return (dlq.filter(F.col("payload").like("%INVALID UTF-8%"))
             .select("dt", "payload", "error_message")
             .orderBy(F.col("dt").desc(), F.col("payload").desc()).limit(1))
+
+
+
+def _order_line_sql(amount_sql: str) -> str:
+    return (f"'{{\"order_id\": \"' || {td.uuid_sql('order', 'o_orderkey')} || "
+            f"'\", \"customer_id\": \"' || {td.uuid_sql('customer', 'o_custkey')} || "
+            f"'\", \"order_status\": \"' || {ORDER_STATUS_SQL} || "
+            f"'\", \"order_date\": \"' || CAST(o_orderdate AS VARCHAR) || "
+            f"'\", \"total_amount\": ' || {amount_sql} || '}}'")
+
+
+ORDER_STATUS_SQL = "CASE o_orderstatus WHEN 'F' THEN 'DELIVERED' WHEN 'O' THEN 'SHIPPED' ELSE 'PENDING' END"
+_OLINE = _order_line_sql("CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR)")
+_OID = td.uuid_sql('order', 'o_orderkey')
+
+
+@register("stream_orders_branch", f"""SELECT {_OID} AS order_id,
+  {td.uuid_sql('customer', 'o_custkey')} AS customer_id, {ORDER_STATUS_SQL} AS order_status,
+  o_orderdate AS order_date, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS total_amount,
+  CAST(NULL AS VARCHAR) AS payload, CAST(NULL AS VARCHAR) AS error_message
+FROM orders WHERE NOT ({td.ORDER_DAMAGE_WHERE})
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL,
+  CASE o_orderpriority WHEN '1-URGENT' THEN substr({_OLINE}, 1, length({_OLINE}) - 10)
+       WHEN '5-LOW' THEN 'This is not JSON at all: ' || {_OID}
+       ELSE '{{order_id: ' || {_OID} || ', broken quotes}}' END,
+  'invalid JSON'
+FROM orders WHERE {td.ORDER_DAMAGE_WHERE}""")
+def stream_orders_branch(spark, sf_dir):
+    """S7/S9/S10/L9 (orders branch): order messages, some damaged like the
+    reference's three bad messages, stream into raw bronze orders; bad ones
+    go to the shared dead-letter table tagged ``orders``. Returned: the
+    landed orders and the branch's dead letters, one frame."""
+    from ..streaming.jobs import ORDER_FIELDS, fresh_root, run_message_job, write_landing
+    root = fresh_root(spark, "orders-stream")
+    landing = write_landing(td.order_messages(spark, sf_dir), f"{root}/landing", flush=False)
+    out = run_message_job(spark, landing, f"{root}/out", "orders", ORDER_FIELDS)
+    good = spark.read.parquet(out["bronze"]).select(
+        "order_id", "customer_id", "order_status",
+        F.col("order_date").cast("timestamp_ntz").alias("order_date"), "total_amount",
+        F.lit(None).cast("string").alias("payload"), F.lit(None).cast("string").alias("error_message"))
+    bad = spark.read.parquet(out["dead_letter_queue"]).filter(F.col("source") == "orders").select(
+        *[F.lit(None).cast(t).alias(n) for n, t in
+          [("order_id", "string"), ("customer_id", "string"), ("order_status", "string"),
+           ("order_date", "timestamp_ntz"), ("total_amount", "double")]],
+        "payload", "error_message")
+    return good.unionByName(bad)

@@ -520,3 +520,35 @@ def event_damage_sql() -> str:
            + " THEN base64(unhex('FFFE') || encode(' INVALID UTF-8 ' || CAST(event_id AS VARCHAR))) END")
     return (f"SELECT event_id, ts, user_id, event_type, {payload} AS payload, {reason} AS error_message, "
             f"{b64} AS payload_base64 FROM (SELECT *, {EVENT_LINE_SQL} AS line FROM events) AS e")
+
+
+# Damage rules for landed order messages, after the three bad order
+# messages of the reference's publisher (first match wins):
+#   PENDING URGENT orders -> cut-off text        (invalid JSON)
+#   PENDING LOW orders    -> free text           (invalid JSON)
+#   PENDING HIGH orders   -> unquoted keys       (invalid JSON)
+def _order_line(o_key: Column, c_key: Column, status: Column, date: Column, amount: Column) -> Column:
+    return F.concat(F.lit('{"order_id": "'), o_key, F.lit('", "customer_id": "'), c_key,
+                    F.lit('", "order_status": "'), status, F.lit('", "order_date": "'), date,
+                    F.lit('", "total_amount": '), amount, F.lit("}"))
+
+
+def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+              "o_orderdate", "o_orderpriority", wide=True)
+    status = (F.when(F.col("o_orderstatus") == "F", "DELIVERED")
+              .when(F.col("o_orderstatus") == "O", "SHIPPED").otherwise("PENDING"))
+    oid = uuid_like("order", F.col("o_orderkey"))
+    line = _order_line(oid, uuid_like("customer", F.col("o_custkey")), status,
+                       F.col("o_orderdate").cast("string"),
+                       F.col("o_totalprice").cast("decimal(18,2)").cast("string"))
+    pend = F.col("o_orderstatus") == "P"
+    pr = F.col("o_orderpriority")
+    line = (F.when(pend & (pr == "1-URGENT"), F.substring(line, 1, F.length(line) - 10))
+            .when(pend & (pr == "5-LOW"), F.concat(F.lit("This is not JSON at all: "), oid))
+            .when(pend & (pr == "2-HIGH"), F.concat(F.lit("{order_id: "), oid, F.lit(", broken quotes}")))
+            .otherwise(line))
+    return o.select(line.alias("value"))
+
+
+ORDER_DAMAGE_WHERE = ("o_orderstatus = 'P' AND o_orderpriority IN ('1-URGENT', '5-LOW', '2-HIGH')")
