@@ -1,7 +1,8 @@
 """Table publishing without a table format (S12, S17, M1 hard part 1).
 
-A table is a directory of immutable versions plus a small pointer file:
-``<root>/<table>/v=<n>/`` holds version n, ``_CURRENT`` names it. A job
+A table is a directory of immutable versions plus an append-only pointer:
+``<root>/<table>/v=<n>-<attempt>/`` holds version n; every publish adds a
+one-line file naming its version to ``_CURRENT/``, the highest one wins. A job
 reads the current version, writes the next one to a new directory and only
 then moves the pointer, so a plan never overwrites a path it reads and a
 failed job leaves the previous version in place.
@@ -13,6 +14,8 @@ local disk, so the layout works on shared cluster storage.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,38 +24,50 @@ def _pointer(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/{table}/_CURRENT"
 
 
-def current_version(spark: SparkSession, root: str, table: str) -> int | None:
+def _current_name(spark: SparkSession, root: str, table: str) -> str | None:
     try:
-        rows = spark.read.text(_pointer(root, table)).collect()
+        rows = spark.read.text(_pointer(root, table)).collect()  # one line per version
     except Exception:  # no pointer yet: the table does not exist
         return None
-    vals = [int(r.value) for r in rows if r.value and r.value.strip().isdigit()]
-    return max(vals) if vals else None
+    names = [r.value.strip() for r in rows if r.value and r.value.strip()]
+    if not names:
+        return None
+    return max(names, key=lambda n: (int(n.split("-")[0]), n))
+
+
+def current_version(spark: SparkSession, root: str, table: str) -> int | None:
+    name = _current_name(spark, root, table)
+    return int(name.split("-")[0]) if name else None
 
 
 def read_table(spark: SparkSession, root: str, table: str, empty_schema=None) -> DataFrame | None:
-    v = current_version(spark, root, table)
-    if v is None:
+    name = _current_name(spark, root, table)
+    if name is None:
         return spark.createDataFrame([], empty_schema) if empty_schema is not None else None
-    return spark.read.parquet(f"{root.rstrip('/')}/{table}/v={v}")
+    return spark.read.parquet(f"{root.rstrip('/')}/{table}/v={name}")
 
 
 def publish(df: DataFrame, root: str, table: str, partition_by: list[str] | None = None,
             sort_within: list[str] | None = None) -> int:
     """Write ``df`` as the next version and switch the pointer to it.
 
-    ``sort_within`` clusters rows by key inside each file, so later
-    readers' filters on the key skip row groups by min/max statistics."""
+    Each attempt writes its own directory (``v=<n>-<attempt id>``), so a
+    job that died half-way leaves debris nobody reads, and the rerun does
+    not trip over it. ``sort_within`` clusters rows by key inside each
+    file, so later readers' key filters skip row groups by min/max stats."""
     spark = df.sparkSession
     v = (current_version(spark, root, table) or 0) + 1
+    name = f"{v}-{uuid.uuid4().hex[:8]}"
     out = df
     if sort_within:
         out = out.sortWithinPartitions(*sort_within)
     w = out.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(f"{root.rstrip('/')}/{table}/v={v}")
-    spark.range(1).select(F.lit(str(v)).alias("value")).coalesce(1).write.mode("overwrite").text(
+    w.parquet(f"{root.rstrip('/')}/{table}/v={name}")
+    # append-only pointer: a new one-line file per version; the previous
+    # pointer is never removed, so a crash here cannot lose the table
+    spark.range(1).select(F.lit(name).alias("value")).coalesce(1).write.mode("append").text(
         _pointer(root, table))
     return v
 
