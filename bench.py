@@ -49,15 +49,22 @@ def main() -> None:
     spark = get_session(f"local[{cpus}]", app="goldleaf-bench",
                         shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "16")),
                         extra=extra)
-    per_query = {}
+    per_query, failed = {}, {}
     for name in names:
-        run_once(spark, name, sf_dir)  # warm-up: JIT, file listing, codegen cache
-        times = [run_once(spark, name, sf_dir) for _ in range(repeat)]
-        per_query[name] = round(statistics.median(times), 3)
+        try:
+            run_once(spark, name, sf_dir)  # warm-up: JIT, file listing, codegen cache
+            times = [run_once(spark, name, sf_dir) for _ in range(repeat)]
+            per_query[name] = round(statistics.median(times), 3)
+        except Exception as e:  # report, keep measuring the rest
+            per_query[name] = None
+            failed[name] = f"{type(e).__name__}: {str(e)[:200]}"
     sf = os.path.basename(sf_dir).replace("sf", "")
-    print(json.dumps({"metric": "headline_total_median_sec", "value": round(sum(per_query.values()), 3),
-                      "unit": "sec", "queries": per_query, "sf": sf, "cpus": int(cpus),
-                      "repeat": repeat}))
+    out = {"metric": "headline_total_median_sec",
+           "value": round(sum(v for v in per_query.values() if v is not None), 3),
+           "unit": "sec", "queries": per_query, "sf": sf, "cpus": int(cpus), "repeat": repeat}
+    if failed:
+        out["failed"] = failed
+    print(json.dumps(out))
     spark.stop()
 
 
