@@ -1155,3 +1155,16 @@ def stream_orders_branch(spark, sf_dir):
            ("order_date", "timestamp_ntz"), ("total_amount", "double")]],
         "payload", "error_message")
     return good.unionByName(bad)
+
+
+@register("stream_window_panes", ORACLES["stream_window_counts"])
+def stream_window_panes(spark, sf_dir):
+    """The update-mode pane feed over the same landing; discarding
+    panes (each firing's additional count) summed per window equal the
+    final window counts."""
+    from ..streaming.jobs import fresh_root, pane_deltas, run_window_panes, write_landing
+    root = fresh_root(spark, "clickstream-panes")
+    landing = write_landing(td.event_messages(spark, sf_dir), f"{root}/landing", flush=False)
+    panes = pane_deltas(spark.read.parquet(run_window_panes(spark, landing, f"{root}/out")))
+    return to_output(panes.groupBy("window_start", "window_end")
+                     .agg(F.sum("pane_count").cast("bigint").alias("event_count")))

@@ -123,6 +123,48 @@ def run_clickstream_job(spark: SparkSession, landing: str, out_root: str,
             "window_summary": f"{out_root}/window_summary"}
 
 
+def _pane_writer(out_root: str):
+    def write_panes(batch: DataFrame, epoch_id: int) -> None:
+        # one directory per epoch, overwritten on replay: idempotent
+        batch.withColumn("epoch", F.lit(epoch_id).cast("bigint")) \
+            .write.mode("overwrite").parquet(f"{out_root}/window_panes/epoch={epoch_id}")
+    return write_panes
+
+
+def run_window_panes(spark: SparkSession, landing: str, out_root: str,
+                     width: str = "60 seconds", lateness: str = "10 minutes",
+                     max_files: int | None = None, source: str = "clickstream") -> str:
+    """L5/L6 pane feed: ``update`` mode emits a window every micro-batch in
+    which its count changed (early and late firings, running totals), each
+    epoch written to its own directory. ``pane_deltas`` turns the running
+    totals into discarding panes (only the additional count per firing)."""
+    reader = spark.readStream.format("text")
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    parsed = parse_messages(reader.load(landing), source, fields=CLICK_FIELDS)
+    events = (good_rows(parsed).filter(~_is_control(F.col("record")))
+              .select(F.col("ts").alias("event_timestamp")))
+    totals = window_counts(events, "event_timestamp", width, lateness)
+    q = (totals.writeStream.outputMode("update").foreachBatch(_pane_writer(out_root))
+         .option("checkpointLocation", f"{out_root}/_checkpoints/window_panes")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    return f"{out_root}/window_panes"
+
+
+def pane_deltas(panes: DataFrame) -> DataFrame:
+    """Discarding panes from running totals: per window, the count minus the
+    count of its previous firing. The sum of a window's panes is its final
+    count. Partitioned by window: a window has one row per firing."""
+    from pyspark.sql import Window
+    w = Window.partitionBy("window_start").orderBy("epoch")
+    prev = F.coalesce(F.lag("event_count").over(w), F.lit(0))
+    return panes.select("window_start", "window_end", "epoch",
+                        (F.col("event_count") - prev).alias("pane_count"))
+
+
 def run_dedup_job(spark: SparkSession, landing: str, out_root: str, within: str = "5 minutes",
                   key: str = "event_id") -> str:
     """Drop re-delivered events (same id) within ``within`` of event

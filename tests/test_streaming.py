@@ -60,3 +60,20 @@ def test_stream_dedup_hot_copies(spark):
     path = run_dedup_job(spark, f"{root}/landing", f"{root}/out")
     ids = sorted(r.event_id for r in spark.read.parquet(path).collect())
     assert ids == [7] + list(range(8, 40))
+
+
+def test_update_mode_panes_sum_to_totals(spark):
+    from goldleaf.streaming.jobs import pane_deltas, run_window_panes
+    root = scratch_path(spark, "t-panes")
+    base = dt.datetime(2024, 1, 1, 12, 0, 0)
+    b1 = [_line(i, base + dt.timedelta(seconds=i)) for i in range(3)]          # window 12:00, 3 rows
+    b2 = [_line(10, base + dt.timedelta(seconds=30)),                          # late for 12:00
+          _line(11, base + dt.timedelta(minutes=2))]                           # window 12:02
+    _land(spark, f"{root}/landing", [b1, b2])
+    path = run_window_panes(spark, f"{root}/landing", f"{root}/out", max_files=1)
+    panes = pane_deltas(spark.read.parquet(path)).collect()
+    by_window = {}
+    for r in panes:
+        by_window.setdefault(r.window_start.replace(tzinfo=None), []).append((r.epoch, r.pane_count))
+    assert sorted(by_window[base]) == [(0, 3), (1, 1)]       # on-time pane, then the late pane
+    assert sorted(by_window[base + dt.timedelta(minutes=2)]) == [(1, 1)]
