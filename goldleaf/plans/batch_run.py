@@ -157,3 +157,30 @@ def run_batch(spark: SparkSession, landing: str, warehouse: str, run_id: str | N
 
 
 __all__ = ["run_batch", "post_run_checks", "bronze_schema", "SILVER_ENTITIES", "empty_frame"]
+
+
+def main(argv=None) -> int:
+    """``python -m goldleaf.plans.batch_run --landing L --warehouse W [--dt D]
+    [--skip-quality]``: one run on the cluster the session points at."""
+    import argparse
+    import json
+
+    from ..session import get_session
+    ap = argparse.ArgumentParser(prog="goldleaf.plans.batch_run")
+    ap.add_argument("--landing", required=True, help="landing root (<entity>/dt=<date>/...)")
+    ap.add_argument("--warehouse", required=True, help="shared root for bronze/silver/gold tables")
+    ap.add_argument("--dt", default=None, help="load and merge only this landing date")
+    ap.add_argument("--format", default="json", choices=["json", "csv", "parquet"])
+    ap.add_argument("--run-id", default=None)
+    ap.add_argument("--skip-quality", action="store_true")
+    args = ap.parse_args(argv)
+    spark = get_session(app="goldleaf-batch")
+    steps = run_batch(spark, args.landing, args.warehouse, run_id=args.run_id, dt=args.dt,
+                      skip_quality=args.skip_quality, fmt=args.format)
+    for s in steps:
+        print(json.dumps(s, default=str))
+    return 0 if all(s["status"] in ("SUCCESS", "SKIPPED") for s in steps) else 1
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())
