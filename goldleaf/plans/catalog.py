@@ -31,7 +31,11 @@ def shared(fn):
     cache: dict = {}
 
     def wrapper(spark, sf_dir, *args, **kw):
-        key = (id(spark), spark.sparkContext.applicationId, sf_dir, args, tuple(sorted(kw.items())))
+        try:
+            app = spark.sparkContext.applicationId
+        except Exception:  # no SparkContext on this client: key by session only
+            app = None
+        key = (id(spark), app, sf_dir, args, tuple(sorted(kw.items())))
         if key not in cache:
             cache[key] = fn(spark, sf_dir, *args, **kw)
         return cache[key]

@@ -42,10 +42,12 @@ def spread(df: DataFrame) -> DataFrame:
     than the default parallelism, one cheap round-robin exchange of the raw
     (pruned) rows spreads the per-row work; a real 100 TB input has far
     more splits than cores and is left alone."""
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # e.g. a Connect session exposes no RDDs: leave the plan as is
+        return df
+    return df.repartition(want) if have < want else df
 
 
 # ---------------------------------------------------------------- ids
