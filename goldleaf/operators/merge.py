@@ -69,43 +69,45 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str],
     # the source side, 0 for every real key): one join, NULL-key rows spread
     # over all partitions, and no NULL-key row can meet another.
     def salted(df, prefix, sign):
-        cols = [F.col(_q(c)).alias(f"{prefix}{c}") for c in df.columns]
+        cols = [f"{_q(c)} AS {_q(prefix + c)}" for c in df.columns]
         if not keys_not_null:
-            nk = F.when(null_key_filter(keys), (F.monotonically_increasing_id() + 1) * sign)
-            cols.append(nk.otherwise(F.lit(0)).alias(f"{prefix}_nk"))
-        return df.select(*cols, F.lit(True).alias(f"{prefix}hit"))
+            nulls = " OR ".join(f"{_q(k)} IS NULL" for k in keys)
+            cols.append(f"CASE WHEN {nulls} THEN (monotonically_increasing_id() + 1) * {sign} "
+                        f"ELSE 0L END AS {_q(prefix + '_nk')}")
+        return df.selectExpr(*cols, f"true AS {_q(prefix + 'hit')}")
 
     t = salted(target, "t__", 1)
-    s = salted(source.select(*[c for c in tcols if c in scols]), "s__", -1)
+    s = salted(source.select(*[_q(c) for c in tcols if c in scols]), "s__", -1)
     on = None if keys_not_null else (F.col("t___nk") == F.col("s___nk"))
     for k in keys:  # plain equality: a NULL key never matches, as in MERGE
-        cond = F.col(f"t__{k}") == F.col(f"s__{k}")
+        cond = F.col(_q(f"t__{k}")) == F.col(_q(f"s__{k}"))
         on = cond if on is None else on & cond
     j = t.join(s, on, "full_outer")
 
-    matched = F.col("t__hit").isNotNull() & F.col("s__hit").isNotNull()
-    is_insert = F.col("t__hit").isNull()
+    # the caller's extra match condition becomes a column, so the whole
+    # per-column projection below is one SQL select
+    matched = "(t__hit IS NOT NULL AND s__hit IS NOT NULL)"
     do_update = matched
     if hash_col is not None:
-        do_update = do_update & ~F.col(f"t__{hash_col}").eqNullSafe(F.col(f"s__{hash_col}"))
+        do_update += f" AND NOT ({_q('t__' + hash_col)} <=> {_q('s__' + hash_col)})"
     if changed is not None:
-        do_update = do_update & changed
+        j = j.withColumn("_changed", F.coalesce(changed, F.lit(False)))
+        do_update += " AND _changed"
 
-    out = []
+    exprs = []
     for c in tcols:
-        tc = F.col(f"t__{c}")
-        sc = F.col(f"s__{c}").cast(ttypes[c]) if c in scols else F.lit(None).cast(ttypes[c])
-        ins = sc if c in insert_cols or c in keys else F.lit(None).cast(ttypes[c])
-        if c in keys:
-            val = F.when(is_insert, ins).otherwise(tc)
-        elif c in update_cols:
-            val = F.when(is_insert, ins).when(do_update, sc).otherwise(tc)
+        typ = ttypes[c]
+        tc = _q(f"t__{c}")
+        sc = f"CAST({_q('s__' + c)} AS {typ})" if c in scols else f"CAST(NULL AS {typ})"
+        ins = sc if (c in insert_cols or c in keys) else f"CAST(NULL AS {typ})"
+        if c in update_cols:
+            exprs.append(f"CASE WHEN t__hit IS NULL THEN {ins} WHEN {do_update} THEN {sc} "
+                         f"ELSE {tc} END AS {_q(c)}")
         else:
-            val = F.when(is_insert, ins).otherwise(tc)
-        out.append(val.alias(c))
-    action = (F.when(is_insert, "inserted").when(do_update, "updated")
-              .when(matched, "unchanged").otherwise("kept"))
-    result = j.select(*out, action.alias(ACTION))
+            exprs.append(f"CASE WHEN t__hit IS NULL THEN {ins} ELSE {tc} END AS {_q(c)}")
+    exprs.append(f"CASE WHEN t__hit IS NULL THEN 'inserted' WHEN {do_update} THEN 'updated' "
+                 f"WHEN {matched} THEN 'unchanged' ELSE 'kept' END AS {ACTION}")
+    result = j.selectExpr(*exprs)
     return result if with_action else result.drop(ACTION)
 
 
