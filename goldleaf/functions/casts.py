@@ -13,29 +13,37 @@ boolean text accepts only ``true``/``false`` (Spark also takes ``t``,
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
 
 
-def _cast_expr(src: Column, src_type: T.DataType, target: str, safe: bool) -> Column:
-    cast = (lambda c, t: c.try_cast(t)) if safe else (lambda c, t: c.cast(t))
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _lit(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _cast_sql(src: str, src_type: T.DataType, target: str, safe: bool) -> str:
+    """SQL for one column's cast under the rules above."""
+    cast = "TRY_CAST" if safe else "CAST"
     t = target.lower()
     if t == "boolean" and isinstance(src_type, T.StringType):
-        low = F.lower(F.trim(src))
-        out = F.when(low == "true", F.lit(True)).when(low == "false", F.lit(False))
-        if not safe:
-            out = out.otherwise(F.when(src.isNotNull(), F.raise_error(
-                F.concat(F.lit("invalid boolean: "), src))).cast("boolean"))
-        return out
+        low = f"lower(trim({src}))"
+        other = ("NULL" if safe else
+                 f"CASE WHEN {src} IS NOT NULL THEN CAST(raise_error(concat('invalid boolean: ', {src})) "
+                 f"AS BOOLEAN) END")
+        return f"CASE WHEN {low} = 'true' THEN true WHEN {low} = 'false' THEN false ELSE {other} END"
     if t in ("bigint", "int", "integer", "smallint") and isinstance(src_type, _FRACTIONAL):
-        return cast(F.round(src, 0), t)
+        return f"{cast}(round({src}, 0) AS {t})"
     if t in ("bigint", "int", "integer") and isinstance(src_type, T.StringType):
         # "2.5" as text: parse as decimal first so the rounding rule applies
-        return cast(F.round(src.try_cast("decimal(38,9)") if safe else src.cast("decimal(38,9)"), 0), t)
-    return cast(src, t)
+        return f"{cast}(round({cast}({src} AS decimal(38,9)), 0) AS {t})"
+    return f"{cast}({src} AS {t})"
 
 
 def typed_select(df: DataFrame, columns: list[tuple[str, str]], on_error: str = "fail",
@@ -44,7 +52,7 @@ def typed_select(df: DataFrame, columns: list[tuple[str, str]], on_error: str =
 
     Returns the typed frame, or ``(valid, invalid)`` in quarantine mode.
     ``keep`` names extra columns carried through untouched (e.g. ordering
-    metadata needed by a later window).
+    metadata needed by a later window). The projection is one SQL select.
     """
     present = {f.name: f.dataType for f in df.schema.fields}
     keep = keep or []
@@ -54,18 +62,19 @@ def typed_select(df: DataFrame, columns: list[tuple[str, str]], on_error: str =
     exprs, errors = [], []
     for name, target in columns:
         if name in present:
-            typed = _cast_expr(F.col(f"`{name}`"), present[name], target, safe)
+            typed = _cast_sql(_q(name), present[name], target, safe)
             if safe:
-                errors.append(F.when(F.col(f"`{name}`").isNotNull() & typed.isNull(),
-                                     F.lit(f"{name}: cannot cast to {target}")))
+                errors.append(f"CASE WHEN {_q(name)} IS NOT NULL AND ({typed}) IS NULL "
+                              f"THEN {_lit(f'{name}: cannot cast to {target}')} END")
         else:
-            typed = F.lit(None).cast(target)
-        exprs.append(typed.alias(name))
-    extra = [F.col(f"`{k}`") for k in keep if k in present]
+            typed = f"CAST(NULL AS {target})"
+        exprs.append(f"{typed} AS {_q(name)}")
+    extra = [_q(k) for k in keep if k in present]
     if not safe:
-        return df.select(*exprs, *extra)
-    errs = F.filter(F.array(*errors), lambda x: x.isNotNull()) if errors else F.array().cast("array<string>")
-    staged = df.select(*exprs, *extra, errs.alias("_validation_errors"))
+        return df.selectExpr(*exprs, *extra)
+    errs = (f"filter(array({', '.join(errors)}), e -> e IS NOT NULL)" if errors
+            else "CAST(array() AS array<string>)")
+    staged = df.selectExpr(*exprs, *extra, f"{errs} AS _validation_errors")
     valid = staged.filter(F.size("_validation_errors") == 0).drop("_validation_errors")
     invalid = staged.filter(F.size("_validation_errors") > 0)
     return valid, invalid
