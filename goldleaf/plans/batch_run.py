@@ -33,6 +33,9 @@ from . import gold, silver
 SILVER_ENTITIES = ["customers", "products", "campaigns", "inventory", "orders", "order_items",
                    "clickstream_events"]
 POOL = 4
+# Ingest metadata kept on silver rows, with types.
+SILVER_METADATA = [("_ingestion_ts", "timestamp"), ("_pipeline_run_id", "string"),
+                   ("_source_file", "string"), ("_record_hash", "string")]
 
 
 def bronze_schema(entity: str) -> T.StructType:
@@ -51,7 +54,7 @@ def _silver_step(spark: SparkSession, warehouse: str, entity: str, dt: str | Non
     if dt is not None:
         bronze = bronze.filter(F.col("_ingestion_date") == F.lit(dt).cast("date"))
     target = read_table(spark, f"{warehouse}/silver", entity,
-                        empty_schema=struct_type(SILVER_COLUMNS[entity]))
+                        empty_schema=struct_type(SILVER_COLUMNS[entity] + SILVER_METADATA))
     model, quarantine = silver.silver_model(bronze, entity, target=target, on_error="quarantine")
     v = publish(model, f"{warehouse}/silver", entity)
     quarantine.withColumn("quarantined_at", F.current_timestamp()).write.mode("append") \

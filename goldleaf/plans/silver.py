@@ -35,6 +35,10 @@ ORDER_ITEM_LANDING = ["_shipdate", "_suppkey", "_tax", "_linestatus"]
 
 # Ingest metadata column: the time a row was loaded into bronze.
 LOAD_TS = "_ingestion_ts"
+# Ingest metadata silver keeps when bronze has it (S21);
+# ``_record_hash`` also guards the MERGE (M6: unchanged rows are not rewritten).
+METADATA = ["_ingestion_ts", "_pipeline_run_id", "_source_file", "_record_hash"]
+HASH = "_record_hash"
 
 
 def tiebreak_columns(entity: str, extra: list[str]) -> list[str]:
@@ -62,7 +66,8 @@ def silver_model(bronze: DataFrame, entity: str, target: DataFrame | None = None
     keys = PRIMARY_KEYS[entity]
     columns = SILVER_COLUMNS[entity]
     extra = [c for c in bronze.columns if c.startswith("_") and c != "_schema_version"]
-    extra = [c for c in extra if c in RECENCY[entity] or c in ORDER_ITEM_LANDING or c == LOAD_TS]
+    extra = [c for c in extra if c in RECENCY[entity] or c in ORDER_ITEM_LANDING or c in METADATA]
+    meta = [c for c in METADATA if c in extra]
     if on_error == "quarantine":
         typed, bad_cast = typed_select(bronze, columns, on_error="quarantine", keep=extra)
     else:
@@ -74,18 +79,20 @@ def silver_model(bronze: DataFrame, entity: str, target: DataFrame | None = None
     order: list[Column] = [F.col(c).desc_nulls_last() for c in recency]
     tiebreak = tiebreak_columns(entity, extra)
     latest, null_keys = latest_per_key(typed, keys, order, tiebreak=tiebreak)
-    latest = latest.drop(*extra)
-    quarantine = null_keys.drop(*extra).withColumn(
+    helpers = [c for c in extra if c not in meta]
+    latest = latest.drop(*helpers)
+    quarantine = null_keys.drop(*helpers).withColumn(
         "_validation_errors", F.array(F.lit("null primary key " + ",".join(keys))))
     if bad_cast is not None:
-        quarantine = quarantine.unionByName(bad_cast.drop(*extra))
+        quarantine = quarantine.unionByName(bad_cast.drop(*helpers))
     if version_bad is not None:
-        vq = typed_select(version_bad, columns, on_error="quarantine")
+        vq = typed_select(version_bad, columns, on_error="quarantine", keep=meta)
         vq = vq[0].unionByName(vq[1].drop("_validation_errors")).withColumn(
             "_validation_errors", F.array(F.lit("unsupported schema version")))
         quarantine = quarantine.unionByName(vq)
     # a silver target never holds NULL keys (they go to quarantine), and
     # ``latest`` has none: join on the key alone, reusing the window's shuffle
+    guard = HASH if (target is not None and HASH in target.columns and HASH in meta) else None
     silver = latest if target is None else upsert(target, latest, keys, with_action=with_action,
-                                                  keys_not_null=True)
+                                                  keys_not_null=True, hash_col=guard)
     return silver, quarantine

@@ -45,9 +45,15 @@ def test_batch_run_end_to_end_and_idempotent(spark):
           for t in ["fact_orders", "dim_customers", "dim_products", "dim_campaigns", "fact_clickstream"]}
     assert len(g1["fact_orders"]) == items.select("order_item_id").distinct().count()
     assert len(g1["dim_customers"]) == 150 and len(g1["dim_campaigns"]) == 1
+    silver_orders = read_table(spark, f"{wh}/silver", "orders")
+    meta = silver_orders.select("_record_hash", "_source_file", "_pipeline_run_id").first()
+    assert len(meta._record_hash) == 32 and meta._source_file and meta._pipeline_run_id == "r1"
     quarantine = spark.read.parquet(f"{wh}/silver_quarantine/order_items")
     assert quarantine.count() == 0
     steps = run_batch(spark, landing, wh, run_id="r2", as_of="2024-01-02 00:00:00")
+    # the same records landed again: the hash-guarded MERGE keeps run 1's rows
+    assert read_table(spark, f"{wh}/silver", "orders").filter("_pipeline_run_id = 'r1'").count() \
+        == silver_orders.count()
     for t, rows in g1.items():
         assert sorted(read_table(spark, f"{wh}/gold", t).collect()) == rows, t
     dq = spark.read.parquet(f"{wh}/quality/dq_results")
