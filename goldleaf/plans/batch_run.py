@@ -130,6 +130,32 @@ def post_run_checks(spark: SparkSession, warehouse: str, run_id: str,
     return out
 
 
+def _timed(fn):
+    """Wrap a model step: wall-clock start/end, and a FAILED row instead of
+    an exception (the layer's other models still run; the caller sees it)."""
+    import datetime as _dt
+
+    def run(arg):
+        started = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        try:
+            out = fn(arg)
+        except Exception as e:  # isolation per model, reported in the audit
+            out = {"model": str(arg), "status": "FAILED", "error": f"{type(e).__name__}: {str(e)[:300]}"}
+        out["started_at"] = started
+        out["finished_at"] = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        return out
+    return run
+
+
+def _model_audit(spark: SparkSession, run_id: str, steps: list[dict]) -> DataFrame:
+    """One audit row per model step (a handful of rows, built on the driver)."""
+    rows = [(run_id, s["model"], s["status"], s.get("version"), s["started_at"], s["finished_at"],
+             (s["finished_at"] - s["started_at"]).total_seconds(), s.get("error")) for s in steps]
+    return spark.createDataFrame(rows, "run_id string, model string, status string, version int, "
+                                       "started_at timestamp, finished_at timestamp, "
+                                       "duration_s double, error string")
+
+
 def run_batch(spark: SparkSession, landing: str, warehouse: str, run_id: str | None = None,
               dt: str | None = None, skip_quality: bool = False, fmt: str = "json",
               as_of: str | None = None) -> list[dict]:
@@ -145,11 +171,15 @@ def run_batch(spark: SparkSession, landing: str, warehouse: str, run_id: str | N
     steps += [{"model": f"bronze.{r.entity}", "status": r.status, "rows": r.rows_loaded}
               for r in audit.collect()]  # one row per entity
     with ThreadPoolExecutor(POOL) as pool:
-        steps += list(pool.map(lambda e: _silver_step(spark, warehouse, e, dt), SILVER_ENTITIES))
-        steps += list(pool.map(lambda n: _dim_step(spark, warehouse, n),
-                               ["dim_date", "dim_products", "dim_campaigns", "dim_customers"]))
-        steps += list(pool.map(lambda n: _fact_step(spark, warehouse, n),
-                               ["fact_orders", "fact_inventory_daily", "fact_clickstream"]))
+        model_steps = list(pool.map(_timed(lambda e: _silver_step(spark, warehouse, e, dt)),
+                                    SILVER_ENTITIES))
+        model_steps += list(pool.map(_timed(lambda n: _dim_step(spark, warehouse, n)),
+                                     ["dim_date", "dim_products", "dim_campaigns", "dim_customers"]))
+        model_steps += list(pool.map(_timed(lambda n: _fact_step(spark, warehouse, n)),
+                                     ["fact_orders", "fact_inventory_daily", "fact_clickstream"]))
+    steps += model_steps
+    _model_audit(spark, run_id, model_steps).write.mode("append") \
+        .parquet(f"{warehouse}/audit/model_runs")
     if not skip_quality:
         results = post_run_checks(spark, warehouse, run_id, as_of)
         results.write.mode("append").parquet(f"{warehouse}/quality/dq_results")

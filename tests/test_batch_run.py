@@ -58,5 +58,7 @@ def test_batch_run_end_to_end_and_idempotent(spark):
         assert sorted(read_table(spark, f"{wh}/gold", t).collect()) == rows, t
     dq = spark.read.parquet(f"{wh}/quality/dq_results")
     assert dq.filter("pipeline_run_id = 'r2'").count() == 3
+    models = spark.read.parquet(f"{wh}/audit/model_runs").filter("run_id = 'r2'")
+    assert models.count() == 14 and models.filter("status = 'SUCCESS'").count() == 14
     audit = spark.read.parquet(f"{wh}/audit/pipeline_runs")
     assert audit.filter("status = 'SUCCESS'").count() == 14
