@@ -621,7 +621,7 @@ def dq_status_transitions(spark, sf_dir):
     cols = ["order_id", "order_status", "updated_at"]
     hist = (bronze_orders_all(spark, sf_dir).select(*cols)
             .unionByName(bronze_orders(spark, sf_dir, 3).select(*cols)))
-    return to_output(status_transitions(hist, "order_id", "order_status", ["updated_at"]))
+    return to_output(status_transitions(hist, "order_id", "order_status", "updated_at"))
 
 
 def bronze_json(df: DataFrame, entity: str) -> DataFrame:

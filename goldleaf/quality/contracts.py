@@ -90,20 +90,40 @@ def foreign_key_check(child: DataFrame, fk: str, parent: DataFrame, pk: str, rel
                                     run_id, checked_at))
 
 
-def status_transitions(history: DataFrame, key: str, status: str, order_by: list[str],
-                       allowed=ALLOWED_TRANSITIONS) -> DataFrame:
+def status_transitions(history: DataFrame, key: str, status: str, order_by: str,
+                       allowed=ALLOWED_TRANSITIONS, chunks: int | None = None) -> DataFrame:
     """Steps between consecutive versions of a key that are not in
     the allowed lifecycle. Repeated equal statuses are not steps.
 
-    ``lag`` over a window partitioned by the key: each key holds only its
-    own versions. NULL keys are dropped first (they are not a history), and
-    exact copies of a version collapse map-side (``dropDuplicates`` is a
-    partial aggregate) before the shuffle: a re-sent version is no step, so
-    a key swollen by copies reaches the window as its distinct versions."""
-    w = Window.partitionBy(key).orderBy(*[F.col(c) for c in order_by])
-    steps = (history.filter(F.col(key).isNotNull()).dropDuplicates([key, status, *order_by])
-             .select(key, *order_by, F.col(status).alias("to_status"),
-                     F.lag(status).over(w).alias("from_status")))
+    NULL keys are dropped (they are not a history); exact copies of a
+    version collapse map-side first (``dropDuplicates`` is a partial
+    aggregate). A key may still hold a third of all *distinct* versions, so
+    the history is range-partitioned on (key, time): a hot key's versions
+    split into time-ordered chunks and ``lag`` runs inside each (chunk,
+    key). Only the first key of a chunk can continue from the chunk before,
+    so the stitching table has at most one row per chunk (a proven bound:
+    broadcast), built from one min/max row per chunk."""
+    hist = (history.filter(F.col(key).isNotNull()).dropDuplicates([key, status, order_by])
+            .select(key, order_by, F.col(status).alias("to_status")))
+    n = chunks or int(history.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = hist.repartitionByRange(n, key, order_by).withColumn("_chunk", F.spark_partition_id())
+    in_chunk = Window.partitionBy("_chunk", key).orderBy(order_by)
+    steps = ranged.select(key, order_by, "to_status", "_chunk",
+                          F.lag("to_status").over(in_chunk).alias("from_status"),
+                          F.row_number().over(in_chunk).alias("_rn"))
+    bounds = ranged.groupBy("_chunk").agg(
+        F.min(F.struct(key, order_by)).alias("_first"),
+        F.max(F.struct(key, order_by, "to_status")).alias("_last"))
+    prev = bounds.select("_chunk", F.col("_first")[key].alias("_first_key"),
+                         F.lag("_last").over(Window.orderBy("_chunk")).alias("_prev"))
+    carry = (prev.filter(F.col("_prev")[key] == F.col("_first_key"))
+             .select("_chunk", F.col("_first_key").alias(key),
+                     F.col("_prev")["to_status"].alias("_carry")))
+    firsts = (steps.filter(F.col("_rn") == 1).drop("from_status")
+              .join(F.broadcast(carry), ["_chunk", key], "inner")
+              .withColumnRenamed("_carry", "from_status"))
+    steps = (steps.filter(F.col("_rn") > 1).unionByName(firsts)
+             .select(key, order_by, "to_status", "from_status"))
     ok = F.lit(False)
     for a, b in allowed:
         ok = ok | ((F.col("from_status") == a) & (F.col("to_status") == b))
