@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
 from .checks import Check, _result_cols, rule_check
 
 # Allowed order status steps (the order lifecycle contract).
@@ -100,13 +101,20 @@ def status_transitions(history: DataFrame, key: str, status: str, order_by: str,
     aggregate). A key may still hold a third of all *distinct* versions, so
     the history is range-partitioned on (key, time): a hot key's versions
     split into time-ordered chunks and ``lag`` runs inside each (chunk,
-    key). Only the first key of a chunk can continue from the chunk before,
+    key), over chunk ids checkpointed once. Only the first key of a chunk
+    can continue from the chunk before,
     so the stitching table has at most one row per chunk (a proven bound:
     broadcast), built from one min/max row per chunk."""
     hist = (history.filter(F.col(key).isNotNull()).dropDuplicates([key, status, order_by])
             .select(key, order_by, F.col(status).alias("to_status")))
-    n = chunks or int(history.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = hist.repartitionByRange(n, key, order_by).withColumn("_chunk", F.spark_partition_id())
+    spark = history.sparkSession
+    n = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ensure_checkpoint_dir(spark)
+    # chunk ids come from the physical range partition; two consumers read
+    # them, so they are materialised once in the shared checkpoint folder
+    # (a re-run range sample could otherwise draw different borders)
+    ranged = (hist.repartitionByRange(n, key, order_by)
+              .withColumn("_chunk", F.spark_partition_id()).checkpoint())
     in_chunk = Window.partitionBy("_chunk", key).orderBy(order_by)
     steps = ranged.select(key, order_by, "to_status", "_chunk",
                           F.lag("to_status").over(in_chunk).alias("from_status"),

@@ -218,3 +218,20 @@ def test_upsert_into_partitions_rewrites_only_touched(spark):
     after = {r.order_id: (r.status, r.month) for r in spark.read.parquet(path).collect()}
     assert after == {"o1": ("SHIPPED", "2024-01"), "o2": ("NEW", "2024-01"),
                      "o3": ("NEW", "2024-02"), "o4": ("NEW", "2024-03")}
+
+
+def test_scd2_many_versions_of_one_key(spark):
+    """One customer with hundreds of versions in one load: the versions
+    chain without gaps and exactly one stays current."""
+    dim0 = spark.createDataFrame([], DIM)
+    rows = [("hot", f"e{i}", "GOLD", "X", T1 + dt.timedelta(hours=i)) for i in range(300)]
+    rows += [(f"c{i}", "e", "GOLD", "X", T1) for i in range(40)]
+    args = ("customer_id", ["email_hash", "customer_segment"], ["email_hash", "customer_segment", "city"],
+            "updated_at", "customer_sk")
+    d1 = scd2(dim0, _src(spark, rows[:1] + rows[300:]), *args)
+    d2 = scd2(d1, _src(spark, rows[1:300]), *args)  # one load, 299 new versions
+    hot = sorted((r.valid_from, r.valid_to, r.is_current) for r in d2.filter("customer_id = 'hot'").collect())
+    assert len(hot) == 300
+    assert all(hot[i][1] == hot[i + 1][0] for i in range(299)) and hot[-1][2] and hot[-1][1] is None
+    inv = scd2_invariants(d2, "customer_id").first()
+    assert (inv.keys_without_one_current, inv.gaps_or_overlaps) == (0, 0)
