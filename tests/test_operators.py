@@ -235,3 +235,19 @@ def test_scd2_many_versions_of_one_key(spark):
     assert all(hot[i][1] == hot[i + 1][0] for i in range(299)) and hot[-1][2] and hot[-1][1] is None
     inv = scd2_invariants(d2, "customer_id").first()
     assert (inv.keys_without_one_current, inv.gaps_or_overlaps) == (0, 0)
+
+
+def test_upsert_into_partitions_refuses_unbounded_partition_list(spark):
+    from goldleaf.operators.merge import upsert_into_partitions
+    from goldleaf.session import scratch_path
+    root = scratch_path(spark, "t-partguard")
+    src = spark.range(5).selectExpr("CAST(id AS STRING) AS k", "CAST(id AS STRING) AS p")
+    with pytest.raises(ValueError, match="more than 3 partitions"):
+        upsert_into_partitions(src, f"{root}/t", ["k"], "p", f"{root}/s", max_partitions=3)
+
+
+def test_record_hash_include_list(spark):
+    from goldleaf.functions.hashing import record_hash
+    df = spark.createDataFrame([("1", "a", "x"), ("1", "a", "y")], "id string, v string, note string")
+    hs = [r.h for r in df.select(record_hash(df, include=["id", "v"]).alias("h")).collect()]
+    assert hs[0] == hs[1]
