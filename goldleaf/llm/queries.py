@@ -10,11 +10,18 @@ from goldleaf.llm.chat_format import chat_digest, format_chats
 from goldleaf.llm.common import read_table
 from goldleaf.llm.decontaminate import contamination
 from goldleaf.llm.license_scan import scan_licenses
+from goldleaf.llm.line_dedup import dedup_lines
+from goldleaf.llm.simhash_tiles import hex_fingerprint, simhash_groups
 
 # Fixed value: the conversation the contract adds to the table.
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(read_table(spark, sf_dir, "documents")).drop("matches")
 
@@ -34,10 +41,17 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash_groups(read_table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", hex_fingerprint("fp").alias("fingerprint"), "component_id")
+
+
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op4_license_scan": op4_license_scan,
     "op5_chat_format": op5_chat_format,
     "op8_decontamination": op8_decontamination,
+    "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
 ORACLES: dict[str, str] = {}
