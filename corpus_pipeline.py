@@ -1,12 +1,42 @@
-"""A corpus pipeline over ``documents``: each stage takes (spark, docs, sf_dir)
-and works on all that the stage before it kept."""
+"""A corpus pipeline over ``documents``.
+
+Each stage takes (spark, docs, sf_dir), works on all that the stage before it
+kept and returns a DataFrame, which is written and read again as the next
+stage's docs. All but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from goldleaf.llm.common import read_table, saved
 from goldleaf.llm.decontaminate import drop_contaminated
+from goldleaf.llm.language_id import UNKNOWN, identify
+from goldleaf.llm.line_dedup import dedup_lines
+from goldleaf.llm.mixing import mix
+from goldleaf.llm.simhash_tiles import keep_one
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a language (null text or no letters) go; a missing
+    lang is filled in with the prediction."""
+    told = identify(docs).where(F.col("lang_pred") != UNKNOWN)
+    return told.withColumn("lang", F.coalesce("lang", "lang_pred")).select(docs.columns)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated lines go from all but their first document; n_chars follows. A
+    document that loses every line stays, empty."""
+    out = dedup_lines(docs).withColumn("text", F.col("kept"))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return out.select(docs.columns)
+
+
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays."""
+    return keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,9 +44,22 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
 
 
-STAGES = [("decontamination", decontamination)]
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with their sampling rate and copies; rate 0 goes."""
+    mixed = mix(docs, read_table(spark, sf_dir, "labels"))
+    return mixed.where("rate > 0").select(*docs.columns, "domain", "rate", "copies")
+
+
+STAGES = [
+    ("language ID", language_id),
+    ("line dedup", line_dedup),
+    ("SimHash near-dedup", simhash_near_dedup),
+    ("benchmark decontamination", decontamination),
+    ("mixing sources", mixing),
+]
 
-# Language ID is a trained model, which SQL can't express.
+# Trained classifiers and XXH64 are not SQL: tests/llm/test_pipeline.py holds
+# the stages against brute force instead.
 ORACLE_SQL = None
 
 

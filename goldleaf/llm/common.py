@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructField, StructType
 
 from goldleaf.session import scratch_path
 
@@ -35,6 +36,11 @@ def words_of(lowered: Column) -> Column:
     return F.array_remove(F.split(lowered, WORD_SEPARATORS), "")
 
 
+def widened(df: DataFrame, **more: DataType) -> StructType:
+    """The schema of ``df`` with more columns at its end."""
+    return StructType([*df.schema.fields, *(StructField(k, v) for k, v in more.items())])
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once per row: Spark may copy a
     column's expression into every place that names it, lambdas included."""

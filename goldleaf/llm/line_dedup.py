@@ -33,8 +33,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType
 
-from goldleaf.llm.common import saved
+from goldleaf.llm.common import saved, widened
 
 SPACE = b" \t\n\x0b\x0c\r"
 MIN_CHARS = 10
@@ -261,7 +262,7 @@ def drop_lines(docs: DataFrame, index: LineIndex) -> DataFrame:
                 [*out.columns, pa.array(kept, pa.string()), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())],
                 [*out.schema.names, "kept", "n_lines", "n_dropped"])
 
-    schema = joined.drop("_lost").schema.add("kept", "string").add("n_lines", "long").add("n_dropped", "long")
+    schema = widened(joined.drop("_lost"), kept=StringType(), n_lines=LongType(), n_dropped=LongType())
     return joined.mapInArrow(run, schema)
 
 

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 from goldleaf.llm.chat_format import chat_digest, format_chats
 from goldleaf.llm.common import read_table
 from goldleaf.llm.decontaminate import contamination
+from goldleaf.llm.language_id import identify
 from goldleaf.llm.license_scan import scan_licenses
 from goldleaf.llm.line_dedup import dedup_lines
+from goldleaf.llm.mixing import mix
 from goldleaf.llm.simhash_tiles import hex_fingerprint, simhash_groups
 
 # Fixed value: the conversation the contract adds to the table.
@@ -22,6 +24,11 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return mixed.select("doc_id", "n_tokens", "posterior", "domain", "rate", "copies")
+
+
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(read_table(spark, sf_dir, "documents")).drop("matches")
 
@@ -35,6 +42,10 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_digest(format_chats(turns.unionByName(extra)))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(read_table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items",
@@ -48,8 +59,10 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_source_mixing": op2_source_mixing,
     "op4_license_scan": op4_license_scan,
     "op5_chat_format": op5_chat_format,
+    "op7_language_id": op7_language_id,
     "op8_decontamination": op8_decontamination,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
