@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 from goldleaf.llm.chat_format import chat_digest, format_chats
 from goldleaf.llm.common import read_table
 from goldleaf.llm.decontaminate import contamination
-from goldleaf.llm.language_id import identify
+from goldleaf.llm.language_id import held_out, identify
 from goldleaf.llm.license_scan import scan_licenses
 from goldleaf.llm.line_dedup import dedup_lines
 from goldleaf.llm.mixing import mix
+from goldleaf.llm.ppm import score_texts
 from goldleaf.llm.simhash_tiles import hex_fingerprint, simhash_groups
 
 # Fixed value: the conversation the contract adds to the table.
@@ -52,6 +53,10 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(read_table(spark, sf_dir, "documents").withColumn("held_out", held_out(7, 2)))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash_groups(read_table(spark, sf_dir, "documents"))
     return groups.select("doc_id", hex_fingerprint("fp").alias("fingerprint"), "component_id")
@@ -64,6 +69,7 @@ QUERIES = {
     "op5_chat_format": op5_chat_format,
     "op7_language_id": op7_language_id,
     "op8_decontamination": op8_decontamination,
+    "op9_lm_scoring": op9_lm_scoring,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
