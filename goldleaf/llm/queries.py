@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from goldleaf.llm.chat_format import chat_digest, format_chats
 from goldleaf.llm.common import read_table
 from goldleaf.llm.decontaminate import contamination
+from goldleaf.llm.embedding_dedup import embedding_groups
 from goldleaf.llm.language_id import held_out, identify
 from goldleaf.llm.license_scan import scan_licenses
 from goldleaf.llm.line_dedup import dedup_lines
@@ -43,6 +44,10 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_digest(format_chats(turns.unionByName(extra)))
 
 
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_groups(read_table(spark, sf_dir, "embeddings"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(read_table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
 
@@ -67,6 +72,7 @@ QUERIES = {
     "op2_source_mixing": op2_source_mixing,
     "op4_license_scan": op4_license_scan,
     "op5_chat_format": op5_chat_format,
+    "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_language_id": op7_language_id,
     "op8_decontamination": op8_decontamination,
     "op9_lm_scoring": op9_lm_scoring,
