@@ -10,6 +10,7 @@ from goldleaf.llm.chat_format import chat_digest, format_chats
 from goldleaf.llm.common import read_table
 from goldleaf.llm.decontaminate import contamination
 from goldleaf.llm.embedding_dedup import embedding_groups
+from goldleaf.llm.html_extract import extract
 from goldleaf.llm.language_id import held_out, identify
 from goldleaf.llm.license_scan import scan_licenses
 from goldleaf.llm.line_dedup import dedup_lines
@@ -31,6 +32,10 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "n_tokens", "posterior", "domain", "rate", "copies")
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(read_table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(read_table(spark, sf_dir, "documents")).drop("matches")
 
@@ -70,6 +75,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_source_mixing": op2_source_mixing,
+    "op3_html_extraction": op3_html_extraction,
     "op4_license_scan": op4_license_scan,
     "op5_chat_format": op5_chat_format,
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
