@@ -17,6 +17,9 @@ from goldleaf.llm.line_dedup import dedup_lines
 from goldleaf.llm.mixing import mix
 from goldleaf.llm.ppm import score_texts
 from goldleaf.llm.simhash_tiles import hex_fingerprint, simhash_groups
+from goldleaf.llm.sqltwins import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 # Fixed value: the conversation the contract adds to the table.
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
@@ -84,5 +87,3 @@ QUERIES = {
     "op9_lm_scoring": op9_lm_scoring,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
-
-ORACLES: dict[str, str] = {}
