@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.tables import read_if_exists
 from .dedup import null_key_filter
 
 ACTION = "_merge_action"
@@ -144,35 +145,37 @@ def bounded_upsert(target: DataFrame, source: DataFrame, keys: list[str], window
 
 
 def upsert_into_partitions(source: DataFrame, path: str, keys: list[str], partition_col: str,
-                           staging: str, max_partitions: int = 10000, **kw) -> list:
+                           staging: str, **kw) -> int:
     """MERGE into a Parquet table partitioned by ``partition_col``, rewriting
     only the partitions the source touches.
 
-    Cost follows the increment, not the table: the touched partition values
-    (bounded by the partition count, checked against ``max_partitions``)
-    become a partition filter, so the target scan prunes every other
-    directory; the merged rows go to ``staging`` first (a plan never
-    overwrites a path it reads), then replace exactly those partitions.
-    A key must keep its partition value for life (e.g. the month of an
-    order date); the source must already be one row per key.
-    Returns the rewritten partition values.
+    Cost follows the increment, not the table: the target is semi-joined with
+    the source's partition values, which prunes its directories at run time;
+    rows of the NULL partition are read only if the source has such rows. The
+    merged rows go to ``staging`` first (a plan never overwrites a path it
+    reads), then replace exactly those partitions. Both reads use the source's
+    types, so a partition value stays what it was ("01" is no number). A key
+    must keep its partition value for life (e.g. the month of an order date);
+    the source must hold a key once, which is checked.
+    Returns the number of rewritten partitions.
     """
     spark = source.sparkSession
-    touched = [r[0] for r in source.select(partition_col).distinct().limit(max_partitions + 1).collect()]
-    if len(touched) > max_partitions:
-        raise ValueError(f"source touches more than {max_partitions} partitions; use a full upsert")
-    if not touched:
-        return []
-    try:
-        target = spark.read.parquet(path).filter(F.col(partition_col).isin(touched))
-    except Exception:  # first load: nothing to merge with
-        target = None
+    assert_unique_keys(source, keys)
+    part = F.col(_q(partition_col))
+    values = source.select(partition_col).distinct()
+    n, has_null = values.agg(F.count("*"), F.coalesce(F.bool_or(part.isNull()), F.lit(False))).first()
+    if not n:
+        return 0
+    target = read_if_exists(spark.read.schema(source.schema).parquet, path)
     if target is None:
         merged = source
     else:
-        merged = upsert(target, source.select(*target.columns), keys, **kw)
+        touched = target.join(values, partition_col, "left_semi")
+        if has_null:
+            touched = touched.unionByName(target.where(part.isNull()))
+        merged = upsert(touched.select(*source.columns), source, keys, **kw)
     merged.write.mode("overwrite").partitionBy(partition_col).parquet(staging)
-    staged = spark.read.parquet(staging)
+    staged = spark.read.schema(merged.schema).parquet(staging)
     (staged.select(*merged.columns).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
-    return touched
+    return n

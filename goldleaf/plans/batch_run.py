@@ -26,7 +26,7 @@ from ..functions.dates import date_dim
 from ..quality.checks import _result_cols, halt_on_critical
 from ..schemas import GOLD_COLUMNS, SILVER_COLUMNS, empty_frame, struct_type
 from ..sources.bronze import load_entities
-from ..sources.tables import publish, read_table
+from ..sources.tables import publish, read_if_exists, read_table
 from . import gold, silver
 
 # Model order of the reference's runner.
@@ -63,10 +63,8 @@ def _silver_step(spark: SparkSession, warehouse: str, entity: str, dt: str | Non
 
 
 def read_table_or_none(spark: SparkSession, root: str, entity: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(f"{root}/{entity}")
-    except Exception:  # nothing landed for this entity yet
-        return None
+    """None if nothing has landed for this entity yet."""
+    return read_if_exists(spark.read.parquet, f"{root}/{entity}")
 
 
 def _gold(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
@@ -140,7 +138,7 @@ def _timed(fn):
         try:
             out = fn(arg)
         except Exception as e:  # isolation per model, reported in the audit
-            out = {"model": str(arg), "status": "FAILED", "error": f"{type(e).__name__}: {str(e)[:300]}"}
+            out = {"model": str(arg), "status": "FAILED", "error": f"{type(e).__name__}: {e}"}
         out["started_at"] = started
         out["finished_at"] = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         return out
@@ -159,7 +157,8 @@ def _model_audit(spark: SparkSession, run_id: str, steps: list[dict]) -> DataFra
 def run_batch(spark: SparkSession, landing: str, warehouse: str, run_id: str | None = None,
               dt: str | None = None, skip_quality: bool = False, fmt: str = "json",
               as_of: str | None = None) -> list[dict]:
-    """Run every layer once; returns one status dict per step.
+    """Run every layer once; returns one status dict per step. A failed model
+    ends the run after its layer: the layers above keep their tables.
 
     Raises ``CriticalQualityError`` when a CRITICAL post-run check fails
     (after its results are written), as the reference's runner does."""
@@ -168,18 +167,24 @@ def run_batch(spark: SparkSession, landing: str, warehouse: str, run_id: str | N
     schemas = {e: bronze_schema(e) for e in SILVER_ENTITIES}
     audit = load_entities(spark, landing, f"{warehouse}/bronze", schemas, run_id, dt=dt, fmt=fmt)
     audit.write.mode("append").parquet(f"{warehouse}/audit/pipeline_runs")
-    steps += [{"model": f"bronze.{r.entity}", "status": r.status, "rows": r.rows_loaded}
+    steps += [{"model": f"bronze.{r.entity}", "status": r.status, "rows": r.rows_loaded, "rejected": r.rows_rejected}
               for r in audit.collect()]  # one row per entity
     with ThreadPoolExecutor(POOL) as pool:
-        model_steps = list(pool.map(_timed(lambda e: _silver_step(spark, warehouse, e, dt)),
-                                    SILVER_ENTITIES))
-        model_steps += list(pool.map(_timed(lambda n: _dim_step(spark, warehouse, n)),
-                                     ["dim_date", "dim_products", "dim_campaigns", "dim_customers"]))
-        model_steps += list(pool.map(_timed(lambda n: _fact_step(spark, warehouse, n)),
-                                     ["fact_orders", "fact_inventory_daily", "fact_clickstream"]))
+        layers = [
+            (lambda e: _silver_step(spark, warehouse, e, dt), SILVER_ENTITIES),
+            (lambda n: _dim_step(spark, warehouse, n), ["dim_date", "dim_products", "dim_campaigns", "dim_customers"]),
+            (lambda n: _fact_step(spark, warehouse, n), ["fact_orders", "fact_inventory_daily", "fact_clickstream"]),
+        ]
+        model_steps: list[dict] = []
+        for step, names in layers:
+            model_steps += pool.map(_timed(step), names)
+            if any(s["status"] == "FAILED" for s in model_steps):
+                break  # later layers would be built from stale inputs
     steps += model_steps
     _model_audit(spark, run_id, model_steps).write.mode("append") \
         .parquet(f"{warehouse}/audit/model_runs")
+    if any(s["status"] == "FAILED" for s in model_steps):
+        return steps
     if not skip_quality:
         results = post_run_checks(spark, warehouse, run_id, as_of)
         results.write.mode("append").parquet(f"{warehouse}/quality/dq_results")

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import skew_join
 from ..functions.casts import to_output, typed_select
 from ..schemas import GOLD_COLUMNS, SILVER_COLUMNS
 from ..sources import testdata as td
@@ -321,16 +322,15 @@ GROUP BY C.customer_segment, D.year""")
 def star_join_orders_by_segment(spark, sf_dir):
     """Facts -> customer version valid at a reporting time (interval
     predicate on the SCD2 dimension) -> date dimension; revenue by segment
-    and year. The customer join is a shuffle join AQE may turn into a
-    broadcast once it *measures* the filtered dimension; the date dimension
-    is bounded by the calendar span, so it is broadcast outright."""
+    and year. Neither join is forced: AQE turns one into a broadcast once it
+    has measured the dimension, and splits a hot customer otherwise."""
     facts = fact_orders_frame(spark, sf_dir)
     as_of = F.lit(STAR_AS_OF).cast("timestamp")
     dim = dim_customers_frame(spark, sf_dir).filter(
         (F.col("valid_from") <= as_of) & (F.col("valid_to").isNull() | (as_of < F.col("valid_to"))))
     dates = gold_dim_date(spark, sf_dir).select("date_key", "year", "is_weekend")
-    j = (facts.join(dim.select("customer_id", "customer_segment"), "customer_id")
-         .join(F.broadcast(dates), F.to_date("order_date") == F.col("date_key")))
+    j = (skew_join(facts, dim.select("customer_id", "customer_segment"), ["customer_id"])
+         .join(dates, F.to_date("order_date") == F.col("date_key")))
     return j.groupBy("customer_segment", "year").agg(
         F.sum("line_total").cast("decimal(38,9)").alias("revenue"),
         F.countDistinct("order_id").alias("n_orders"),
@@ -1088,7 +1088,7 @@ def partition_overwrite(spark, sf_dir):
 
 # ------------------------------------------------------------------ lookups
 CANARY_ORDERKEY = 1
-CANARY_ID = f"{td.ID_NAMESPACES['order']}-0000-4000-8000-{CANARY_ORDERKEY:012x}"
+CANARY_ID = f"{td.ID_NAMESPACES['order']}-0000-0000-0000-{CANARY_ORDERKEY:012x}"
 
 
 @register("report_canary_lookup", f"""SELECT order_id, order_status, order_date, total_amount

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.joins import skew_join
 from ..session import ensure_checkpoint_dir
 from .checks import Check, _result_cols, rule_check
 
@@ -113,14 +114,14 @@ def status_transitions(history: DataFrame, key: str, status: str, order_by: str,
     # chunk ids come from the physical range partition; two consumers read
     # them, so they are materialised once in the shared checkpoint folder
     # (a re-run range sample could otherwise draw different borders)
-    ranged = (hist.repartitionByRange(n, key, order_by)
+    ranged = (hist.repartitionByRange(n, key, order_by, "to_status")
               .withColumn("_chunk", F.spark_partition_id()).checkpoint())
-    in_chunk = Window.partitionBy("_chunk", key).orderBy(order_by)
+    in_chunk = Window.partitionBy("_chunk", key).orderBy(order_by, "to_status")
     steps = ranged.select(key, order_by, "to_status", "_chunk",
                           F.lag("to_status").over(in_chunk).alias("from_status"),
                           F.row_number().over(in_chunk).alias("_rn"))
     bounds = ranged.groupBy("_chunk").agg(
-        F.min(F.struct(key, order_by)).alias("_first"),
+        F.min(F.struct(key, order_by, "to_status")).alias("_first"),
         F.max(F.struct(key, order_by, "to_status")).alias("_last"))
     prev = bounds.select("_chunk", F.col("_first")[key].alias("_first_key"),
                          F.lag("_last").over(Window.orderBy("_chunk")).alias("_prev"))
@@ -154,12 +155,11 @@ def volume_spike(counts: DataFrame, day_col: str, n_col: str, lookback: int = 7,
 def duplicate_flag(df: DataFrame, keys: list[str]) -> DataFrame:
     """``_duplicate_flag`` = the key occurs more than once.
 
-    Counted by an aggregate (partial counts map-side) joined back, not by a
-    window over raw rows. The join's partition of a hot key is split by
-    AQE's skew-join handling (left outer joins split the left side)."""
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    return df.join(counts, keys, "left").withColumn(
-        "_duplicate_flag", F.coalesce(F.col("_n") > 1, F.lit(False))).drop("_n")
+    Counted by an aggregate (partial counts map-side); only keys that do
+    repeat are joined back, in a join whose hot partition AQE can split."""
+    repeated = df.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1")
+    return skew_join(df, repeated, keys, "left").withColumn(
+        "_duplicate_flag", F.col("_n").isNotNull()).drop("_n")
 
 
 def late_flag(df: DataFrame, event_ts: str, ingest_ts: str, minutes: int = 10) -> DataFrame:

@@ -150,12 +150,13 @@ def force_reload(manifest: DataFrame, path_like: str) -> DataFrame:
 
 
 def audit_row(spark: SparkSession, run_id: str, entity: str, status: str, rows: int | None,
-              started_at: _dt.datetime, finished_at: _dt.datetime, error: str | None = None) -> DataFrame:
+              started_at: _dt.datetime, finished_at: _dt.datetime, error: str | None = None,
+              rejected: int | None = None) -> DataFrame:
     """One audit row per load step (a driver-side scalar, never data)."""
-    schema = ("run_id string, entity string, status string, rows_loaded bigint, "
+    schema = ("run_id string, entity string, status string, rows_loaded bigint, rows_rejected bigint, "
               "started_at timestamp, finished_at timestamp, duration_s double, error string")
     return spark.createDataFrame(
-        [(run_id, entity, status, rows, started_at, finished_at,
+        [(run_id, entity, status, rows, rejected, started_at, finished_at,
           (finished_at - started_at).total_seconds(), error)], schema)
 
 
@@ -163,19 +164,28 @@ def load_entities(spark: SparkSession, landing_root: str, bronze_root: str,
                   schemas: dict[str, T.StructType], run_id: str, dt: str | None = None,
                   fmt: str = "json") -> DataFrame:
     """Load every entity; one entity failing is logged in its
-    audit row and the others go on. Returns the audit rows."""
+    audit row and the others go on. Malformed lines go to
+    ``<bronze_root>/_quarantine/<entity>`` and are counted, so that loaded and
+    rejected rows add up to the lines landed. Returns the audit rows."""
     audits = []
     for entity, schema in schemas.items():
         started = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         try:
             df = read_landed(spark, landing_root, entity, schema, fmt=fmt, dt=dt)
-            good, _bad = split_corrupt(df)
+            good, bad = split_corrupt(df)
+            rejected = 0
+            if "_corrupt_record" in df.columns:
+                refused = Observation(f"reject_{entity}")
+                (bad.observe(refused, F.count(F.lit(1)).alias("rows"))
+                 .withColumns({"_pipeline_run_id": F.lit(run_id), "_quarantined_at": F.current_timestamp()})
+                 .write.mode("append").parquet(f"{bronze_root}/_quarantine/{entity}"))
+                rejected = refused.get.get("rows", 0)
             obs = append_bronze(with_ingest_metadata(good, run_id), bronze_root, entity)
             rows, status, err = obs.get.get("rows"), "SUCCESS", None
         except Exception as e:  # per-entity isolation (S4)
-            rows, status, err = None, "FAILED", f"{type(e).__name__}: {str(e)[:500]}"
+            rows, rejected, status, err = None, None, "FAILED", f"{type(e).__name__}: {e}"
         finished = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        audits.append(audit_row(spark, run_id, entity, status, rows, started, finished, err))
+        audits.append(audit_row(spark, run_id, entity, status, rows, started, finished, err, rejected))
     out = audits[0]
     for a in audits[1:]:
         out = out.unionByName(a)

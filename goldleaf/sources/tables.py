@@ -16,23 +16,34 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def read_if_exists(read, path: str) -> DataFrame | None:
+    """``read(path)``, or None if there is no such path. Any other failure (a
+    storage error, a broken file) is raised: it must not pass for an empty
+    table."""
+    try:
+        return read(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def _pointer(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/{table}/_CURRENT"
 
 
 def _current_name(spark: SparkSession, root: str, table: str) -> str | None:
-    try:
-        rows = spark.read.text(_pointer(root, table)).collect()  # one line per version
-    except Exception:  # no pointer yet: the table does not exist
-        return None
-    names = [r.value.strip() for r in rows if r.value and r.value.strip()]
-    if not names:
+    lines = read_if_exists(spark.read.text, _pointer(root, table))
+    if lines is None:
         return None
-    return max(names, key=lambda n: (int(n.split("-")[0]), n))
+    name = F.trim("value")
+    number = F.split_part(name, F.lit("-"), F.lit(1)).cast("int")
+    return lines.where(name != "").agg(F.max_by(name, F.struct(number, name))).first()[0]
 
 
 def current_version(spark: SparkSession, root: str, table: str) -> int | None:

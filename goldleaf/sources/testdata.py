@@ -56,30 +56,34 @@ ID_NAMESPACES = {"customer": "c0570e00", "product": "9a0d0c70", "order": "0a0e0a
                  "item": "17e00000", "inventory": "1a7e0700", "event": "e7e00000"}
 
 
-def uuid_like(namespace: str, key: Column) -> Column:
-    """36-character, UUID-shaped id from a non-negative integer key:
-    ``<namespace>-0000-4000-8000-<key as 12 hex digits>``.
-
-    Unique per (namespace, key), deterministic on every engine and inside
-    the entity schemas' ``^[0-9a-f-]{36}$`` pattern; built from integer
-    hex formatting only (no hashing), so it costs little per row.
-    """
-    return F.concat(F.lit(f"{ID_NAMESPACES[namespace]}-0000-4000-8000-"),
-                    F.lpad(F.lower(F.hex(key.cast("bigint"))), 12, "0"))
-
-
-def uuid_sql(namespace: str, key_sql: str) -> str:
-    return (f"'{ID_NAMESPACES[namespace]}-0000-4000-8000-' || "
-            f"lpad(lower(hex(CAST({key_sql} AS BIGINT))), 12, '0')")
-
-
-def pair_key(a: Column, b: Column) -> Column:
-    """Composite integer key for two non-negative keys (b < 2**24)."""
-    return a.cast("bigint") * 16777216 + b.cast("bigint")
+def uuid_like(namespace: str, key: Column, second: Column | None = None) -> Column:
+    """36-character, UUID-shaped id from one or two non-negative integer keys.
+
+    After the namespace stand 24 hex digits: one key has them all, two keys have
+    12 each. Nothing is shortened, so ids are unique; a key of a pair that
+    doesn't fit its 12 digits (2**48) is an error. Only integer hex formatting,
+    no hashing, so an id costs little per row."""
+    def digits(k: Column, width: int) -> Column:
+        return F.lpad(F.lower(F.hex(k.cast("bigint"))), width, "0")
+
+    if second is None:
+        d = digits(key, 24)
+    else:
+        too_large = (F.greatest(key, second) >= F.lit(1 << 48)) | (F.least(key, second) < 0)
+        d = F.when(too_large, F.raise_error(F.lit("id key out of range"))).otherwise(
+            F.concat(digits(key, 12), digits(second, 12)))
+    return F.concat_ws("-", F.lit(ID_NAMESPACES[namespace]), F.substring(d, 1, 4), F.substring(d, 5, 4),
+                       F.substring(d, 9, 4), F.substring(d, 13, 12))
 
 
-def pair_key_sql(a: str, b: str) -> str:
-    return f"(CAST({a} AS BIGINT) * 16777216 + CAST({b} AS BIGINT))"
+def uuid_sql(namespace: str, *keys: str) -> str:
+    """The id rule stated on its own for the twin: printed hex digits, cut into
+    groups by a pattern."""
+    width = 24 // len(keys)
+    shape = f"{{:0{width}x}}" * len(keys)
+    args = ", ".join(f"CAST({k} AS BIGINT)" for k in keys)
+    return (f"'{ID_NAMESPACES[namespace]}' || regexp_replace(format('{shape}', {args}), "
+            f"'^(.{{4}})(.{{4}})(.{{4}})(.{{12}})$', '-\\1-\\2-\\3-\\4')")
 
 
 def _dec(x: Column, scale: int = 2) -> Column:
@@ -307,7 +311,7 @@ def bronze_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     disc = F.col("l_discount").cast("decimal(3,2)")
     unit_cents = F.floor((cents * 2 + qty) / (qty * 2))      # cents / qty, half-up
     return li.select(
-        uuid_like("item", pair_key(F.col("l_orderkey"), F.col("l_linenumber"))).alias("order_item_id"),
+        uuid_like("item", F.col("l_orderkey"), F.col("l_linenumber")).alias("order_item_id"),
         uuid_like("order", F.col("l_orderkey")).alias("order_id"),
         uuid_like("product", F.col("l_partkey")).alias("product_id"),
         qty.alias("quantity"),
@@ -330,7 +334,7 @@ def bronze_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bronze_order_items_sql() -> str:
     cents = "floor(l_extendedprice * 100 + 0.5)"
     qty = "CAST(l_quantity AS BIGINT)"
-    return f"""SELECT {uuid_sql('item', pair_key_sql('l_orderkey', 'l_linenumber'))} AS order_item_id,
+    return f"""SELECT {uuid_sql('item', 'l_orderkey', 'l_linenumber')} AS order_item_id,
   {uuid_sql('order', 'l_orderkey')} AS order_id, {uuid_sql('product', 'l_partkey')} AS product_id,
   {qty} AS quantity,
   CAST(floor(({cents} * 2 + {qty}) / ({qty} * 2)) AS DECIMAL(18,0)) * 0.01 AS unit_price,
@@ -419,7 +423,7 @@ def bronze_inventory(spark: SparkSession, sf_dir: str, before: str | None = None
         F.max("l_shipdate").alias("last_ship"),
     )
     return g.select(
-        uuid_like("inventory", pair_key(F.col("l_partkey"), F.col("l_suppkey"))).alias("inventory_id"),
+        uuid_like("inventory", F.col("l_partkey"), F.col("l_suppkey")).alias("inventory_id"),
         uuid_like("product", F.col("l_partkey")).alias("product_id"),
         F.concat(F.lit("WH-"), F.col("l_suppkey").cast("string")).alias("warehouse_id"),
         F.col("on_hand").alias("quantity_on_hand"),
@@ -433,7 +437,7 @@ def bronze_inventory(spark: SparkSession, sf_dir: str, before: str | None = None
 
 def bronze_inventory_sql(before: str | None = None) -> str:
     where = f"WHERE l_shipdate < TIMESTAMP '{before}'" if before else ""
-    return f"""SELECT {uuid_sql('inventory', pair_key_sql('l_partkey', 'l_suppkey'))} AS inventory_id,
+    return f"""SELECT {uuid_sql('inventory', 'l_partkey', 'l_suppkey')} AS inventory_id,
   {uuid_sql('product', 'l_partkey')} AS product_id, 'WH-' || CAST(l_suppkey AS VARCHAR) AS warehouse_id,
   on_hand AS quantity_on_hand, reserved AS quantity_reserved,
   on_hand - reserved AS quantity_available, CAST(10 AS BIGINT) AS reorder_level,

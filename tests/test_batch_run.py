@@ -62,3 +62,22 @@ def test_batch_run_end_to_end_and_idempotent(spark):
     assert models.count() == 14 and models.filter("status = 'SUCCESS'").count() == 14
     audit = spark.read.parquet(f"{wh}/audit/pipeline_runs")
     assert audit.filter("status = 'SUCCESS'").count() == 14
+
+
+def test_failed_model_ends_the_run_before_gold(spark, monkeypatch):
+    from goldleaf.plans import batch_run
+    root = scratch_path(spark, "t-batch-fail")
+    _land(td.bronze_customers(spark, SF_SMALL, 1), f"{root}/landing", "customers")
+    real = batch_run._silver_step
+
+    def broken(spark, warehouse, entity, dt):
+        if entity == "orders":
+            raise RuntimeError("x" * 900)
+        return real(spark, warehouse, entity, dt)
+
+    monkeypatch.setattr(batch_run, "_silver_step", broken)
+    steps = run_batch(spark, f"{root}/landing", f"{root}/wh", run_id="r1")
+    failed = [s for s in steps if s["status"] == "FAILED" and not s["model"].startswith("bronze.")]
+    assert len(failed) == 1 and len(failed[0]["error"]) > 900
+    assert not any(s["model"].startswith(("gold.", "quality.")) for s in steps)
+    assert read_table(spark, f"{root}/wh/gold", "dim_customers") is None

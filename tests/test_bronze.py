@@ -77,3 +77,18 @@ def test_publish_versions_and_partition_overwrite(spark):
     spark.createDataFrame([(1, 2020), (2, 2021)], "v int, y int").write.partitionBy("y").parquet(path)
     overwrite_partitions(spark.createDataFrame([(9, 2021)], "v int, y int"), path, ["y"])
     assert sorted((r.v, r.y) for r in spark.read.parquet(path).collect()) == [(1, 2020), (9, 2021)]
+
+
+def test_malformed_lines_are_quarantined_and_counted(spark):
+    from pyspark.sql import functions as F
+
+    from goldleaf.session import scratch_path
+    root = scratch_path(spark, "t-reject")
+    lines = ['{"id": 1, "name": "a"}', "no json", '{"id": "x", "name": "b"}', '{"id": 2, "name": "c"}']
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).withColumn("dt", F.lit("2024-01-01")) \
+        .write.partitionBy("dt").text(f"{root}/things")
+    audit = load_entities(spark, root, f"{root}/bronze", {"things": T.StructType().add("id", "long").add("name", "string")}, "r").first()
+    assert (audit.status, audit.rows_loaded, audit.rows_rejected) == ("SUCCESS", 2, 2)
+    held = spark.read.parquet(f"{root}/bronze/_quarantine/things").collect()
+    assert sorted(r.payload for r in held) == sorted(lines[1:3])
+    assert audit.rows_loaded + audit.rows_rejected == len(lines)

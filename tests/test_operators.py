@@ -208,13 +208,13 @@ def test_upsert_into_partitions_rewrites_only_touched(spark):
     path = f"{root}/orders"
     base = spark.createDataFrame([("o1", "NEW", "2024-01"), ("o2", "NEW", "2024-01"), ("o3", "NEW", "2024-02")],
                                  "order_id string, status string, month string")
-    assert upsert_into_partitions(base, path, ["order_id"], "month", f"{root}/stage0") != []
+    assert upsert_into_partitions(base, path, ["order_id"], "month", f"{root}/stage0") == 2
     before = {r.order_id: r.status for r in spark.read.parquet(path).collect()}
     assert before == {"o1": "NEW", "o2": "NEW", "o3": "NEW"}
     inc = spark.createDataFrame([("o1", "SHIPPED", "2024-01"), ("o4", "NEW", "2024-03")],
                                 "order_id string, status string, month string")
     touched = upsert_into_partitions(inc, path, ["order_id"], "month", f"{root}/stage1")
-    assert sorted(touched) == ["2024-01", "2024-03"]
+    assert touched == 2
     after = {r.order_id: (r.status, r.month) for r in spark.read.parquet(path).collect()}
     assert after == {"o1": ("SHIPPED", "2024-01"), "o2": ("NEW", "2024-01"),
                      "o3": ("NEW", "2024-02"), "o4": ("NEW", "2024-03")}
@@ -237,13 +237,76 @@ def test_scd2_many_versions_of_one_key(spark):
     assert (inv.keys_without_one_current, inv.gaps_or_overlaps) == (0, 0)
 
 
-def test_upsert_into_partitions_refuses_unbounded_partition_list(spark):
+def test_upsert_into_partitions_keeps_null_partitions_and_types(spark):
     from goldleaf.operators.merge import upsert_into_partitions
     from goldleaf.session import scratch_path
-    root = scratch_path(spark, "t-partguard")
-    src = spark.range(5).selectExpr("CAST(id AS STRING) AS k", "CAST(id AS STRING) AS p")
-    with pytest.raises(ValueError, match="more than 3 partitions"):
-        upsert_into_partitions(src, f"{root}/t", ["k"], "p", f"{root}/s", max_partitions=3)
+    root = scratch_path(spark, "t-partnull")
+    schema = "k string, v string, p string"
+    frame = lambda rows: spark.createDataFrame(rows, schema)
+    read = lambda: sorted(tuple(r) for r in spark.read.schema(schema).parquet(f"{root}/t").collect())
+    upsert_into_partitions(frame([("a", "1", "01"), ("b", "1", None), ("c", "1", None)]), f"{root}/t", ["k"], "p", f"{root}/s0")
+    upsert_into_partitions(frame([("d", "2", None), ("e", "2", "02")]), f"{root}/t", ["k"], "p", f"{root}/s1")
+    upsert_into_partitions(frame([("b", "3", None)]), f"{root}/t", ["k"], "p", f"{root}/s2")
+    want = [("a", "1", "01"), ("b", "3", None), ("c", "1", None), ("d", "2", None), ("e", "2", "02")]
+    assert sorted(spark.createDataFrame(want, schema).collect()) == sorted(spark.createDataFrame(read(), schema).collect())
+    assert {r[2] for r in read()} == {"01", "02", None}
+    with pytest.raises(ValueError, match="duplicate keys"):
+        upsert_into_partitions(frame([("a", "1", "01"), ("a", "2", "01")]), f"{root}/t", ["k"], "p", f"{root}/s3")
+
+
+def test_broken_table_is_no_missing_table(spark):
+    from goldleaf.session import scratch_path
+    from goldleaf.sources.tables import read_if_exists
+    path = scratch_path(spark, "t-broken")
+    assert read_if_exists(spark.read.parquet, path) is None
+    spark.range(3).selectExpr("cast(id as string) as value").write.text(path)
+    with pytest.raises(Exception):
+        read_if_exists(spark.read.parquet, path)
+
+
+def test_ids_stay_apart_above_24_bits(spark):
+    from pyspark.sql import functions as F
+
+    from goldleaf.plans.compare import duck_connect, run_oracle
+    from goldleaf.sources.testdata import uuid_like, uuid_sql
+
+    from .conftest import SF_SMALL
+    big = [1, 2**24 - 1, 2**24, 2**24 + 1, 2**31, 2**40 + 7, 2**47]
+    pairs = [(a, b) for a in big for b in big]
+    df = spark.createDataFrame(pairs, "a bigint, b bigint")
+    ids = [r[0] for r in df.select(uuid_like("item", F.col("a"), F.col("b"))).collect()]
+    assert len(set(ids)) == len(pairs) and {len(i) for i in ids} == {36}
+    values = ", ".join(map(str, pairs))
+    twin = run_oracle(duck_connect(SF_SMALL), f"SELECT {uuid_sql('item', 'a', 'b')} FROM (VALUES {values}) v(a, b)")[1]
+    assert sorted(r[0] for r in twin) == sorted(ids)
+    with pytest.raises(Exception, match="out of range"):
+        spark.createDataFrame([(1, 2**48)], "a bigint, b bigint").select(uuid_like("item", F.col("a"), F.col("b"))).collect()
+
+
+def test_hot_key_is_split(spark):
+    """One key with a third of the rows: the join's hot partition is split,
+    although one side comes from an aggregate by the key."""
+    from pyspark.sql import functions as F
+
+    from goldleaf.quality.contracts import duplicate_flag
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        n = 300_000
+        df = spark.range(0, n, 1, 8).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"),
+                                            F.sha2(F.col("id").cast("string"), 256).alias("v"))
+        flagged = duplicate_flag(df, ["k"])
+        got = flagged.groupBy("_duplicate_flag").count().collect()
+        assert {r[0]: r[1] for r in got} == {True: n // 3, False: n - n // 3}
+        sizes = sorted(r["count"] for r in flagged.groupBy(F.spark_partition_id()).count().collect())
+        assert sizes[-1] < n // 6, sizes[-3:]
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def test_record_hash_include_list(spark):
