@@ -67,5 +67,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each result is a written table."""
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = saved(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+        docs = saved(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}", "zstd")
     return docs

@@ -13,15 +13,17 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 WORD_SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+def saved(df: DataFrame, name: str, compression: str = "none") -> DataFrame:
     """Write ``df`` to a fresh table in the shared folder and read it back.
 
     Cuts the lineage with files every executor can read, so a lost executor
-    costs no recomputation of what went before.
+    costs no recomputation of what went before. Most of these tables are
+    narrow ids and hashes that don't compress; tables with texts should name a
+    ``compression``.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -29,11 +29,10 @@ def components(links: DataFrame) -> DataFrame:
                        .select(F.col("a").alias("id"), F.least("a", "m").alias("p")), "cc-parents")
         while True:
             up = parent.select(F.col("id").alias("p"), F.col("p").alias("pp"))
-            further = saved(parent.join(up, "p").select(
-                "id", F.col("pp").alias("p"), (F.col("pp") != F.col("p")).alias("moved")), "cc-parents")
-            parent = further.select("id", "p")
-            if further.where("moved").isEmpty():
+            moved = F.col("pp") != F.col("p")
+            if parent.join(up, "p").where(moved).isEmpty():
                 break
+            parent = saved(parent.join(up, "p").select("id", F.col("pp").alias("p")), "cc-parents")
         if labels is None:
             labels = parent.select("id", F.col("p").alias("component"))
         else:

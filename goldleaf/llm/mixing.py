@@ -173,7 +173,7 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
     targets = TARGETS if targets is None else targets
     names = sorted(targets)
     docs = docs.drop("domain", "rate", "copies")
-    scored = saved(with_posteriors(docs, fit_domains(docs, labels, names, sample_rows)), "mix-scored")
+    scored = saved(with_posteriors(docs, fit_domains(docs, labels, names, sample_rows)), "mix-scored", "zstd")
     residuals = fit_rates(scored, np.array([targets[k] for k in names]), ridge)
     d = len(names)
 
