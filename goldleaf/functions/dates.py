@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,9 +30,8 @@ def date_dim(spark: SparkSession, start: str = DEFAULT_START, end: str = DEFAULT
 
     Days come from ``spark.range`` so generation is split over tasks.
     """
-    n = spark.range(1).select(F.datediff(F.lit(end).cast("date"), F.lit(start).cast("date"))
-                              .alias("n")).first()["n"]
-    days = spark.range(0, int(n) + 1)
+    n = (_dt.date.fromisoformat(end) - _dt.date.fromisoformat(start)).days
+    days = spark.range(0, n + 1)
     d = F.date_add(F.lit(start).cast("date"), F.col("id").cast("int"))
     return days.select(*date_attributes(d))
 

@@ -26,11 +26,12 @@ def record_hash(df: DataFrame, exclude: list[str] | tuple[str, ...] = (),
                            {"ignoreNullFields": "false"}))
 
 
-def concat_hash(cols: list[str], sep: str = "~") -> Column:
-    """md5 of ``concat_ws(sep, cols)``: the same digest in Spark and DuckDB,
-    used where an oracle must agree byte for byte (NULLs are skipped by
-    ``concat_ws`` on both engines)."""
-    return F.md5(F.concat_ws(sep, *[F.col(f"`{c}`").cast("string") for c in cols]))
+def concat_hash(cols: list[str]) -> Column:
+    """md5 of the columns as text, each with its length before it and ``N`` for
+    NULL, so a value that moves to the next column changes the digest."""
+    parts = [F.col(f"`{c}`").cast("string") for c in cols]
+    return F.md5(F.concat(*[F.coalesce(F.concat(F.char_length(p).cast("string"), F.lit(":"), p), F.lit("N"))
+                            for p in parts]))
 
 
 def surrogate_key(key_cols: list[str], version_col: str) -> Column:

@@ -12,10 +12,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.joins import skew_join
 from ..functions.casts import to_output, typed_select
+from ..operators.joins import skew_join
 from ..schemas import GOLD_COLUMNS, SILVER_COLUMNS
 from ..sources import testdata as td
+from ..sources.tables import read_if_exists
 from . import gold, silver
 from . import sqltwins as sq
 
@@ -23,6 +24,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def _hash_text_sql(cols: list[str]) -> str:
+    """Each column as length, colon, text; N for NULL."""
+    return " || ".join(f"CASE WHEN {c} IS NULL THEN 'N' ELSE CAST(length(CAST({c} AS VARCHAR)) AS VARCHAR) || ':' || "
+                       f"CAST({c} AS VARCHAR) END" for c in cols)
+
+
 def shared(fn):
     """Memoize a shared sub-frame per (session, sf_dir, args).
 
@@ -225,7 +232,7 @@ new2 AS (
 versions AS (SELECT *, 0 AS _load FROM dim1 UNION ALL SELECT *, 1 AS _load FROM new2),
 one AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY customer_id, valid_from
           ORDER BY _load DESC) AS rn FROM versions) AS x WHERE rn = 1)
-SELECT md5(concat_ws('~', customer_id, CAST(valid_from AS VARCHAR))) AS customer_sk,
+SELECT md5({_hash_text_sql(['customer_id', 'valid_from'])}) AS customer_sk,
   customer_id, {_ATTRS}, valid_from,
   LEAD(valid_from) OVER (PARTITION BY customer_id ORDER BY valid_from) AS valid_to,
   LEAD(valid_from) OVER (PARTITION BY customer_id ORDER BY valid_from) IS NULL AS is_current
@@ -682,17 +689,15 @@ _HASH_COLS = ["customer_id", "source_customer_id", "email_hash", "first_name", "
 
 
 @register("record_hash_changes", f"""WITH d1 AS ({SILVER_CUSTOMERS_DAY1_SQL}), d2 AS ({SILVER_CUSTOMERS_SQL}),
-h1 AS (SELECT customer_id, md5(concat_ws('~', {', '.join(f'CAST({c} AS VARCHAR)' for c in _HASH_COLS)})) AS h FROM d1),
-h2 AS (SELECT customer_id, customer_segment, md5(concat_ws('~', {', '.join(f'CAST({c} AS VARCHAR)' for c in _HASH_COLS)})) AS h FROM d2)
+h1 AS (SELECT customer_id, md5({_hash_text_sql(_HASH_COLS)}) AS h FROM d1),
+h2 AS (SELECT customer_id, customer_segment, md5({_hash_text_sql(_HASH_COLS)}) AS h FROM d2)
 SELECT h2.customer_segment, count(*) AS n_customers,
   count_if(h1.h IS NULL) AS n_new, count_if(h1.h = h2.h) AS n_unchanged,
   count_if(h1.h <> h2.h) AS n_changed
 FROM h2 LEFT JOIN h1 ON h1.customer_id = h2.customer_id GROUP BY h2.customer_segment""")
 def record_hash_changes(spark, sf_dir):
     """H1/M6: business-field hash of each customer on day 1 and day 2; the
-    hash-guarded upsert would rewrite only the ``n_changed`` rows. Hash =
-    md5 of the ``~``-joined fields (same digest on both engines; the
-    JSON-based ``record_hash`` is the library default)."""
+    hash-guarded upsert would rewrite only the ``n_changed`` rows."""
     from ..functions.hashing import concat_hash
     d1 = silver_customers(spark, sf_dir, day1_only=True).select(
         "customer_id", concat_hash(_HASH_COLS).alias("h1"))
@@ -705,6 +710,74 @@ def record_hash_changes(spark, sf_dir):
         F.count_if(F.col("h1") != F.col("h2")).alias("n_changed"))
 
 
+@register("merge_hash_guarded", f"""WITH d1 AS ({SILVER_CUSTOMERS_DAY1_SQL}), d2 AS ({SILVER_CUSTOMERS_SQL})
+SELECT CASE WHEN d1.customer_id IS NULL THEN 'inserted' WHEN d2.customer_id IS NULL THEN 'kept'
+    WHEN {' OR '.join(f'd1.{c} IS DISTINCT FROM d2.{c}' for c in _HASH_COLS)} THEN 'updated' ELSE 'unchanged' END AS action,
+  coalesce(d2.customer_segment, d1.customer_segment) AS customer_segment, count(*) AS n_rows,
+  CAST(sum(coalesce(d2.loyalty_points, d1.loyalty_points)) AS BIGINT) AS points
+FROM d1 FULL OUTER JOIN d2 ON d1.customer_id = d2.customer_id GROUP BY ALL""")
+def merge_hash_guarded(spark, sf_dir):
+    """M6/H1: MERGE that rewrites a matched row only when ``record_hash`` over
+    its business columns moved; the twin compares the columns themselves."""
+    from ..functions.hashing import record_hash
+    from ..operators.merge import ACTION, upsert
+    d1, d2 = (df.select(*_HASH_COLS).withColumn("_record_hash", record_hash(df, include=_HASH_COLS))
+              for df in (silver_customers(spark, sf_dir, day1_only=True), silver_customers(spark, sf_dir)))
+    merged = upsert(d1, d2, ["customer_id"], hash_col="_record_hash", with_action=True, keys_not_null=True)
+    return merged.groupBy(F.col(ACTION).alias("action"), "customer_segment").agg(
+        F.count("*").alias("n_rows"), F.sum("loyalty_points").cast("bigint").alias("points"))
+
+
+_FORMAT_COLS = "event_id, user_id, event_type, CAST(ts AS DATE) AS dt"
+
+
+@register("load_formats", " UNION ALL ".join(
+    f"SELECT '{f}' AS format, {_FORMAT_COLS} FROM events" for f in ("json", "csv", "parquet")))
+def load_formats(spark, sf_dir):
+    """The same entity landed as JSON, CSV and Parquet and loaded
+    back through the library's reader with an explicit schema."""
+    from ..sources.bronze import FORMATS, land, read_landed, split_corrupt
+    from ..streaming.jobs import fresh_root
+    src = td.table(spark, sf_dir, "events", "event_id", "user_id", "event_type", "ts").select(
+        "event_id", "user_id", "event_type", F.to_date("ts").alias("dt"))
+    schema = src.drop("dt").schema
+    out = None
+    for fmt in FORMATS:
+        root = fresh_root(spark, f"format-{fmt}")
+        land(src, root, "events", fmt)
+        good, _ = split_corrupt(read_landed(spark, root, "events", schema, fmt))
+        part = good.select(F.lit(fmt).alias("format"), "event_id", "user_id", "event_type", "dt")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("audit_run", """SELECT 'events' AS entity, 'SUCCESS' AS status,
+  count_if(event_id % 97 <> 0) AS rows_loaded, count_if(event_id % 97 = 0) AS rows_rejected,
+  count(*) AS rows_landed, count_if(event_id % 97 = 0) AS rows_quarantined FROM events
+UNION ALL SELECT 'absent', 'FAILED', NULL, NULL, NULL, NULL""")
+def audit_run(spark, sf_dir):
+    """The real loader over a landing in which every 97th line is
+    damaged and one entity is missing: written audit rows, with loaded plus
+    rejected rows equal to the lines landed and all of those in quarantine."""
+    from pyspark.sql import types as T
+
+    from ..sources.bronze import load_entities
+    from ..streaming.jobs import fresh_root
+    root = fresh_root(spark, "audit-run")
+    src = td.table(spark, sf_dir, "events", "event_id", "user_id", "ts")
+    line = F.when(F.col("event_id") % 97 == 0, F.lit("{broken")).otherwise(F.to_json(F.struct("event_id", "user_id")))
+    src.select(line.alias("value"), F.to_date("ts").alias("dt")).write.partitionBy("dt").text(f"{root}/landing/events")
+    schema = T.StructType().add("event_id", "long").add("user_id", "long")
+    load_entities(spark, f"{root}/landing", f"{root}/bronze", {"events": schema, "absent": schema}, RUN_ID) \
+        .write.mode("append").parquet(f"{root}/audit/pipeline_runs")
+    audit = spark.read.parquet(f"{root}/audit/pipeline_runs")
+    held = spark.read.parquet(f"{root}/bronze/_quarantine/events").agg(F.count("*").alias("rows_quarantined"))
+    held = held.withColumn("entity", F.lit("events"))
+    return audit.join(held, "entity", "left").select(
+        "entity", "status", "rows_loaded", "rows_rejected",
+        (F.col("rows_loaded") + F.col("rows_rejected")).alias("rows_landed"), "rows_quarantined")
+
+
 @register("duplicate_flag", """SELECT l_returnflag, l_linestatus,
   count_if(n > 1) AS flagged_rows, count(*) AS total_rows
 FROM (SELECT l_returnflag, l_linestatus,
@@ -995,7 +1068,8 @@ def _land_clicks(df: DataFrame, root: str, fmt: str = "json") -> str:
     return root
 
 
-def _load_clicks(spark, root: str, schema, fmt: str = "json", dt: str | None = None) -> DataFrame:
+def _load_clicks(spark, root: str, schema, fmt: str = "json", dt: str | None = None,
+                 paths: list[str] | None = None) -> DataFrame:
     from pyspark.sql import types as T
 
     from ..sources.bronze import split_corrupt, with_ingest_metadata
@@ -1009,7 +1083,7 @@ def _load_clicks(spark, root: str, schema, fmt: str = "json", dt: str | None = N
         r = r.option("header", "true")
     if fmt != "parquet":
         r = r.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
-    df = getattr(r, fmt)(f"{root}/clickstream_events")
+    df = getattr(r.option("basePath", f"{root}/clickstream_events"), fmt)(paths or f"{root}/clickstream_events")
     if dt is not None:
         df = df.filter(F.col("dt") == F.lit(dt).cast("date"))
     good, _ = split_corrupt(df)
@@ -1050,19 +1124,21 @@ def manifest_skip(spark, sf_dir):
     """Run 1 loads the first half of the month and records its
     files in a manifest; after more files land, run 2 loads only files the
     manifest does not list."""
-    from ..sources.bronze import list_files, manifest_entries, unseen_files
+    from ..sources.bronze import append_bronze, list_files, manifest_entries, paths_of, unseen_files
     from ..streaming.jobs import fresh_root
     src = bronze_clickstream(spark, sf_dir)
     split = F.col("event_timestamp") < F.lit(MANIFEST_SPLIT).cast("timestamp_ntz")
-    root = _land_clicks(src.filter(split), fresh_root(spark, "manifest-landing"))
+    root = fresh_root(spark, "manifest-landing")
     manifest_path = f"{root}/_control/file_manifest"
-    # run 1 loads everything landed so far, then records those files
-    _load_clicks(spark, root, src.schema)
-    manifest_entries(list_files(spark, f"{root}/clickstream_events"), "run-1") \
-        .write.mode("append").parquet(manifest_path)
-    _land_clicks(src.filter(~split), root)
-    run2 = unseen_files(_load_clicks(spark, root, src.schema), spark.read.parquet(manifest_path))
-    return to_output(run2.select("event_id", "_ingestion_date"))
+    for run, part in (("run-1", split), ("run-2", ~split)):
+        _land_clicks(src.filter(part), root)
+        seen = read_if_exists(spark.read.parquet, manifest_path)
+        new = unseen_files(list_files(spark, f"{root}/clickstream_events"), seen)
+        loaded = _load_clicks(spark, root, src.schema, paths=paths_of(new))
+        append_bronze(loaded.withColumn("_run", F.lit(run)), f"{root}/bronze", "clickstream_events")
+        manifest_entries(new, run).write.mode("append").parquet(manifest_path)
+    bronze = spark.read.parquet(f"{root}/bronze/clickstream_events")
+    return to_output(bronze.where("_run = 'run-2'").select("event_id", "_ingestion_date"))
 
 
 @register("partition_overwrite", f"""SELECT *, CAST(year(sales_date) AS INTEGER) AS sales_year FROM (

@@ -114,15 +114,19 @@ def append_bronze(df: DataFrame, bronze_root: str, entity: str) -> Observation:
     return obs
 
 
-def unseen_files(df: DataFrame, manifest: DataFrame | None) -> DataFrame:
-    """Rows of files not in the manifest (path + modification time).
-
-    The manifest has one row per file, so the anti-join moves file names,
-    not data rows, on its build side."""
+def unseen_files(listing: DataFrame, manifest: DataFrame | None) -> DataFrame:
+    """The files of ``listing`` (see :func:`list_files`) that are not in
+    the manifest, by path and modification time. Only names meet in the join;
+    the loader then opens the remaining files and no others."""
     if manifest is None:
-        return df
-    return df.join(manifest.select("_source_file", "_source_mtime"),
-                   ["_source_file", "_source_mtime"], "left_anti")
+        return listing
+    return listing.join(manifest.select("_source_file", "_source_mtime"),
+                        ["_source_file", "_source_mtime"], "left_anti")
+
+
+def paths_of(files: DataFrame) -> list[str]:
+    """Paths for a reader: one name for each file of an increment."""
+    return [r[0] for r in files.select("_source_file").collect()]
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
