@@ -1,20 +1,21 @@
 """Language-model scoring by prediction by partial matching (PPM).
 
-The model is a trie of byte contexts of up to three bytes with the counts of
+The model is a trie of byte contexts of up to five bytes with the counts of
 the symbol that follows; the symbol after the last byte is an end mark, so a
 text's probability is that of the whole text. A symbol unseen in a context costs
 that context's escape (distinct symbols / (total + distinct), method C) and is
 looked up in the next shorter one, where symbols of the longer context are
 excluded. In a trie trained on whole texts the symbols of a context are a
-subset of those of its suffixes, so the whole chain of escapes and exclusions
-depends only on (longest known context, symbol). It is worked out once per
-context when the model is built, and scoring is two table look-ups a byte.
+subset of those of its suffixes, so what an exclusion takes from the next
+shorter context is a number that each context can carry. The trie is kept as
+sorted arrays, one set for each context length, and whole batches of texts walk
+it together, length by length.
 
 Counts come from all training texts: tasks count their own n-grams, Spark sums
 them. The trie itself is bounded: at most ``max_grams`` (context, symbol) pairs
-and ``max_cells`` table cells, rarest left out first; an absent context falls
-back to a shorter one. That bound is the model's documented size and keeps what
-is sent to the tasks small however large the corpus.
+of each length, rarest left out first; what is left out falls back to a shorter
+context. That bound is the model's documented size and keeps what is sent to
+the tasks small however large the corpus.
 
 Beside it, an add-one unigram baseline over words with exact counts: the
 ``head`` most frequent words go to the tasks, all others are joined.
@@ -39,13 +40,13 @@ from pyspark.sql import functions as F
 
 from goldleaf.llm.common import saved
 
-ORDER = 3
+ORDER = 5
 SYMBOLS = 257  # 256 bytes after the mark for start and end, which is 0
 MAX_GRAMS = 1_000_000
-MAX_CELLS = 1 << 24
 HEAD = 65_536
 END = ""  # the end as a word; no real word is empty
-_CHUNK = 1 << 22
+_CHUNK = 1 << 23  # symbols counted together
+_WALK = 1 << 19  # symbols scored together
 
 
 def lowered(text: str | None) -> bytes:
@@ -53,22 +54,27 @@ def lowered(text: str | None) -> bytes:
 
 
 def symbols(raw: bytes) -> np.ndarray:
-    """Three start marks, the bytes plus one, the end mark."""
-    out = np.zeros(len(raw) + ORDER + 1, np.int64)
+    """ORDER start marks, the bytes plus one, the end mark."""
+    out = np.zeros(len(raw) + ORDER + 1, np.uint16)
     out[ORDER:-1] = np.frombuffer(raw, np.uint8)
     out[ORDER:-1] += 1
     return out
 
 
 def gram_codes(s: np.ndarray) -> np.ndarray:
-    """One code for each symbol with the three before it."""
-    return ((s[:-3] * SYMBOLS + s[1:-2]) * SYMBOLS + s[2:-1]) * SYMBOLS + s[3:]
+    """One code for each symbol with the ORDER symbols before it."""
+    n = len(s) - ORDER
+    out = np.zeros(n, np.int64)
+    for k in range(ORDER + 1):
+        out = out * SYMBOLS + s[k:k + n]
+    return out
 
 
 # ---- counts --------------------------------------------------------------
 
 def corpus_counts(docs: DataFrame) -> DataFrame:
-    """(word, gram, n): counts of all words (ends as ``""``) and 4-grams;
+    """(word, gram, n): counts of all words (ends as ``""``) and of all
+    runs of ORDER + 1 symbols;
     exactly one of word and gram is set."""
     def run(batches):
         words, codes, size = Counter(), [], 0
@@ -98,98 +104,132 @@ def corpus_counts(docs: DataFrame) -> DataFrame:
     return counted.groupBy("word", "gram").agg(F.sum("n").alias("n"))
 
 
-def most_frequent(counts: DataFrame, most: int) -> DataFrame:
-    """The rows with the largest ``n``: at most ``most``, cut at a count so
-    that no single task ranks them."""
-    sizes = sorted(((r["n"], r["count"]) for r in counts.groupBy("n").count().collect()), reverse=True)
-    least, total = None, 0
-    for n, rows in sizes:
-        if total + rows > most:
-            break
-        least, total = n, total + rows
-    return counts.where(F.lit(False) if least is None else F.col("n") >= least)
+def frequency_class(n):
+    """Eight classes for each doubling of ``n``: a few hundred in all."""
+    return F.floor(F.log2(n) * 8 + 1e-9)
+
+
+def least_class(counts: DataFrame, most: int, least: int = 0) -> int:
+    """The lowest frequency class, ``least`` or above, such that at most
+    ``most`` rows are in it or above."""
+    total = 0
+    sizes = counts.groupBy(frequency_class(F.col("n")).alias("c")).count().collect()
+    for c, rows in sorted(((r["c"], r["count"]) for r in sizes), reverse=True):
+        total += rows
+        if total > most:
+            return max(least, c + 1)
+    return least
 
 
 # ---- the model -----------------------------------------------------------
 
 @dataclass
-class PPM:
-    """``index`` maps symbols to columns (the last column: any symbol never
-    seen), ``state`` maps three column numbers to a row of ``table``, which
-    holds log10 probabilities."""
-
-    index: np.ndarray
-    state: np.ndarray
-    table: np.ndarray
-
-    def log10(self, raw: bytes) -> float:
-        s, a, total = self.index[symbols(raw)], self.table.shape[1], 0.0
-        for k in range(0, len(s) - ORDER, _CHUNK):
-            p = s[k:k + _CHUNK + ORDER]
-            total += float(self.table[self.state[(p[:-3] * a + p[1:-2]) * a + p[2:-1]], p[3:]].sum(dtype=np.float64))
-        return total
-
-
-def _level(codes: np.ndarray, n: np.ndarray, a: int, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """(contexts, dense counts) of one order from (context * a + symbol)."""
-    pairs, where = np.unique(codes % a ** (order + 1), return_inverse=True)
-    sums = np.bincount(where, n, len(pairs))
-    contexts, row = np.unique(pairs // a, return_inverse=True)
-    dense = np.zeros((len(contexts), a), np.float32)
-    dense[row, pairs % a] = sums
-    return contexts, dense
-
-
-def build(grams: np.ndarray, n: np.ndarray, max_cells: int = MAX_CELLS) -> PPM:
-    """The model of the counted 4-grams."""
-    parts = [grams // SYMBOLS**k % SYMBOLS for k in range(ORDER, -1, -1)]
-    known = np.unique(np.concatenate([*parts, [0]]))
-    a = len(known) + 1  # the last column stands for each symbol not seen
-    index = np.full(SYMBOLS, a - 1, np.int64)
-    index[known] = np.arange(a - 1)
-    codes = np.zeros(len(grams), np.int64)
-    for p in parts:
-        codes = codes * a + index[p]
-    levels = [_level(codes, n, a, k) for k in range(ORDER + 1)]
-    contexts, dense = levels[ORDER]
-    if len(contexts) * a > max_cells:  # most frequent long contexts only
-        keep = np.sort(np.argsort(-dense.sum(1), kind="stable")[:max_cells // a])
-        levels[ORDER] = contexts[keep], dense[keep]
-    unseen = SYMBOLS - (levels[0][1] > 0).sum() if len(grams) else SYMBOLS
-
-    def rows(order: int, contexts: np.ndarray) -> np.ndarray:
-        out = np.zeros((len(contexts), a))
-        open_ = np.ones((len(contexts), a), bool)
-        for k in range(order, -1, -1):
-            own, dense = levels[k]
-            if not len(own):
-                continue
-            c = dense[np.searchsorted(own, contexts % a**k)] * open_
-            total, kinds = c.sum(1, keepdims=True), (c > 0).sum(1, keepdims=True)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                hit, miss = np.log10(c / (total + kinds)), np.log10(kinds / (total + kinds))
-            out += np.where(c > 0, hit, np.where(open_ & (kinds > 0), miss, 0))
-            open_ &= c == 0
-        return out - open_ * np.log10(max(unseen, 1))
-
-    table, state = [], np.zeros(a**ORDER, np.int32)
-    every, done = np.arange(a**ORDER), 0
-    for order in range(ORDER + 1):
-        own = levels[order][0] if len(grams) else np.zeros(int(order == 0), np.int64)
-        for k in range(0, len(own), 4096):
-            table.append(rows(order, own[k:k + 4096]).astype(np.float32))
-        if len(own):
-            at = np.minimum(np.searchsorted(own, every % a**order), len(own) - 1)
-            state = np.where(own[at] == every % a**order, done + at, state).astype(np.int32)
-        done += len(own)
-    return PPM(index, state, np.concatenate(table))
-
-
-def train(counts: DataFrame, max_grams: int = MAX_GRAMS, max_cells: int = MAX_CELLS) -> PPM:
-    """The model from written corpus counts."""
-    kept = most_frequent(counts.where("gram is not null").select("gram", "n"), max_grams).toPandas()
-    kept = kept.sort_values("gram")
-    return build(kept["gram"].to_numpy(np.int64), kept["n"].to_numpy(np.float64), max_cells)
+class Level:
+    """One context length: sorted (context, symbol) codes with the log10 count
+    of each, sorted contexts with log10 (total + distinct), log10 distinct, and
+    the same two of the next shorter context without the symbols seen here."""
+
+    pairs: np.ndarray
+    count: np.ndarray
+    contexts: np.ndarray
+    size: np.ndarray
+    kinds: np.ndarray
+    left_size: np.ndarray
+    left_kinds: np.ndarray
+
+
+def _find(table: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places, found) of codes in a sorted table."""
+    at = np.minimum(np.searchsorted(table, codes), max(len(table) - 1, 0))
+    return at, table[at] == codes if len(table) else np.zeros(len(codes), bool)
+
+
+def build(grams: list[tuple[np.ndarray, np.ndarray]]) -> list[Level]:
+    """Levels from sorted (codes, counts) by context length, shortest first.
+    A pair's shorter forms must be there too."""
+    levels: list[Level] = []
+    below = None
+    for k, (pairs, n) in enumerate(grams):
+        contexts, row = np.unique(pairs // SYMBOLS, return_inverse=True)
+        total, kinds = np.bincount(row, n, len(contexts)), np.bincount(row, minlength=len(contexts))
+        rest = kinds_left = np.zeros(len(contexts))
+        if k:
+            low_pairs, low_n, low_contexts, low_total, low_kinds = below
+            seen = np.bincount(row, low_n[_find(low_pairs, pairs % SYMBOLS**k)[0]], len(contexts))
+            at = _find(low_contexts, contexts % SYMBOLS**(k - 1))[0]
+            rest, kinds_left = low_total[at] - seen, low_kinds[at] - kinds
+        below = pairs, n, contexts, total, kinds
+        with np.errstate(divide="ignore"):
+            levels.append(Level(pairs, np.log10(n), contexts, np.log10(total + kinds), np.log10(kinds),
+                                np.log10(rest + kinds_left), np.log10(kinds_left)))
+    return levels
+
+
+def walk(levels: list[Level], codes: np.ndarray) -> np.ndarray:
+    """log10 probability of each symbol given the ORDER before it (codes of
+    :func:`gram_codes`)."""
+    out, open_ = np.zeros(len(codes)), np.arange(len(codes))
+    # what is left of the context at hand once the longer one's symbols are out
+    size, kinds = np.full(len(codes), np.nan), np.full(len(codes), np.nan)
+    for k in range(len(levels) - 1, -1, -1):
+        level, own = levels[k], codes[open_] % SYMBOLS**(k + 1)
+        pair, hit = _find(level.pairs, own)
+        context, known = _find(level.contexts, own // SYMBOLS)
+        if len(level.contexts):
+            whole = np.isnan(size[open_])
+            low = np.where(whole, level.size[context], size[open_])
+            few = np.where(whole, level.kinds[context], kinds[open_])
+            out[open_[hit]] += level.count[pair[hit]] - low[hit]
+            miss = known & ~hit
+            escape = miss & np.isfinite(few)  # else nothing is left here to escape from
+            out[open_[escape]] += few[escape] - low[escape]
+            size[open_[miss]], kinds[open_[miss]] = level.left_size[context[miss]], level.left_kinds[context[miss]]
+        open_ = open_[~hit]
+    unseen = SYMBOLS - (len(levels[0].pairs) if levels else 0)
+    out[open_] -= np.log10(max(unseen, 1))
+    return out
+
+
+def log10_texts(levels: list[Level], raws: list[bytes]) -> np.ndarray:
+    """log10 probability of each text; texts walk together in bounded slices."""
+    out = np.zeros(len(raws))
+    codes, owners, size = [], [], 0
+
+    def flush():
+        if codes:
+            own = np.repeat(owners, [len(c) for c in codes])
+            out[:] += np.bincount(own, walk(levels, np.concatenate(codes)), len(raws))
+            codes.clear()
+            owners.clear()
+
+    for i, raw in enumerate(raws):
+        s = symbols(raw)
+        for k in range(0, len(s) - ORDER, _WALK):
+            codes.append(gram_codes(s[k:k + _WALK + ORDER]))
+            owners.append(i)
+            size += len(codes[-1])
+            if size >= _WALK:
+                flush()
+                size = 0
+    flush()
+    return out
+
+
+def train(counts: DataFrame, max_grams: int = MAX_GRAMS) -> list[Level]:
+    """The model from written corpus counts. Shorter contexts have the summed
+    counts of the longer ones, before any is left out."""
+    longest = counts.where("gram is not null").select("gram", "n")
+    grams, least = [], 0
+    for k in range(ORDER + 1):
+        own = longest.groupBy(F.pmod("gram", F.lit(SYMBOLS**(k + 1))).alias("gram")).agg(F.sum("n").alias("n"))
+        if k >= 3:
+            own = saved(own, "ppm-grams")
+        least = least_class(own, max_grams, least)  # never lower than for a shorter context
+        kept = own.where(frequency_class(F.col("n")) >= least).toArrow()
+        codes, n = (np.asarray(kept.column(c), np.int64) for c in ("gram", "n"))
+        order = np.argsort(codes)
+        grams.append((codes[order], n[order].astype(float)))
+    return build(grams)
 
 
 def adaptive_log10(text: str | None, order: int = ORDER) -> float:
@@ -225,37 +265,43 @@ def score_texts(docs: DataFrame, held_out: str = "held_out", head: int = HEAD, m
     counts = saved(corpus_counts(docs.where(~F.col(held_out))), "ppm-counts")
     words = counts.where("word is not null").select("word", "n")
     n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    frequent = most_frequent(words, head).toPandas()
-    top = {w.encode(): (int(c), float(np.log10(c + 1))) for w, c in zip(frequent["word"], frequent["n"])}
-    least = int(frequent["n"].min()) if len(frequent) else 1 << 62
-    model = spark.sparkContext.broadcast((train(counts, max_grams), top))
+    frequent = words.where(frequency_class(F.col("n")) >= least_class(words, head)).toArrow().to_pydict()
+    top = {w.encode(): float(np.log10(c + 1)) for w, c in zip(frequent["word"], frequent["n"])}
+    least = min(frequent["n"], default=1 << 62)
+    # arrays only: a broadcast names classes by module, which executors may lack
+    model = spark.sparkContext.broadcast(([list(vars(x).values()) for x in train(counts, max_grams)], top))
 
     def run(batches):
-        ppm, top = model.value
+        arrays, top = model.value
+        levels = [Level(*x) for x in arrays]
         for b in batches:
-            cols = [[] for _ in range(4)]
-            tail_words, tail_n, ends = [], [], [0]
-            for text in b.column("text").to_pylist():
-                raw = lowered(text)
-                own = Counter(raw.split())
-                own[b""] = 1
-                known, base = 0, 0.0
-                for w, c in own.items():
-                    if w in top:
-                        known += c
-                        base += c * top[w][1]
-                    else:
-                        tail_words.append(w.decode("utf-8", "replace"))
-                        tail_n.append(c)
-                ends.append(len(tail_words))
-                for col, value in zip(cols, (own.total(), known, base, ppm.log10(raw))):
-                    col.append(value)
-            tail = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(
-                [pa.array(tail_words, pa.string()), pa.array(tail_n, pa.int64())], ["word", "c"]))
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("held_out"), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
-                 pa.array(cols[2], pa.float64()), pa.array(cols[3], pa.float64()), tail],
-                ["doc_id", "held_out", "n_tokens", "known", "base", "score", "tail"])
+            for k in range(0, b.num_rows, 512):
+                yield part(levels, top, b.slice(k, 512))
+
+    def part(levels, top, b):
+        tokens, known, base, tail_words, tail_n, ends = [], [], [], [], [], [0]
+        raws = [lowered(t) for t in b.column("text").to_pylist()]
+        for raw in raws:
+            own = Counter(raw.split())
+            own[b""] = 1
+            seen, value = 0, 0.0
+            for w, c in own.items():
+                if w in top:
+                    seen += c
+                    value += c * top[w]
+                else:
+                    tail_words.append(w.decode("utf-8", "replace"))
+                    tail_n.append(c)
+            ends.append(len(tail_words))
+            tokens.append(own.total())
+            known.append(seen)
+            base.append(value)
+        tail = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(
+            [pa.array(tail_words, pa.string()), pa.array(tail_n, pa.int64())], ["word", "c"]))
+        return pa.RecordBatch.from_arrays(
+            [b.column("doc_id"), b.column("held_out"), pa.array(tokens, pa.int64()), pa.array(known, pa.int64()),
+             pa.array(base, pa.float64()), pa.array(log10_texts(levels, raws)), tail],
+            ["doc_id", "held_out", "n_tokens", "known", "base", "score", "tail"])
 
     schema = ("doc_id bigint, held_out boolean, n_tokens bigint, known bigint, base double, score double, "
               "tail array<struct<word:string,c:bigint>>")

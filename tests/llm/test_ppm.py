@@ -16,8 +16,8 @@ def trie(texts):
     counts = defaultdict(Counter)
     for t in texts:
         s = ppm.symbols(ppm.lowered(t)).tolist()
-        for i in range(3, len(s)):
-            for k in range(4):
+        for i in range(ppm.ORDER, len(s)):
+            for k in range(ppm.ORDER + 1):
                 counts[tuple(s[i - k:i])][s[i]] += 1
     return counts
 
@@ -25,9 +25,9 @@ def trie(texts):
 def walk(counts, text):
     """log10 probability, escape by escape."""
     s, total = ppm.symbols(ppm.lowered(text)).tolist(), 0.0
-    for i in range(3, len(s)):
+    for i in range(ppm.ORDER, len(s)):
         out = set()
-        for k in range(3, -1, -1):
+        for k in range(ppm.ORDER, -1, -1):
             left = {x: c for x, c in counts.get(tuple(s[i - k:i]), {}).items() if x not in out}
             size = sum(left.values()) + len(left)
             if s[i] in left:
@@ -77,14 +77,21 @@ def test_no_training_and_empty(spark):
     assert ppm.score_texts(df.limit(0)).count() == 0
 
 
-def test_bounded_model_still_sums_to_one():
+def test_bounded_model_still_sums_to_one(spark):
     codes = np.concatenate([ppm.gram_codes(ppm.symbols(ppm.lowered(t))) for t in TEXTS])
     grams, n = np.unique(codes, return_counts=True)
-    for cells in (1 << 24, 200):
-        m = ppm.build(grams, n.astype(float), cells)
-        p = 10.0 ** m.table
-        unseen = 257 - (p.shape[1] - 1)
-        assert np.allclose(p[:, :-1].sum(1) + unseen * p[:, -1], 1, atol=1e-3)
+    counts = spark.createDataFrame([(None, int(g), int(c)) for g, c in zip(grams, n)], "word string, gram bigint, n bigint")
+    for most in (10**6, 60, 25):
+        levels = ppm.train(counts, most)
+        assert max(len(x.pairs) for x in levels) <= most
+        for context in [*(grams[::7] // 257), 5, 257**4]:
+            p = 10.0 ** ppm.walk(levels, context * 257 + np.arange(257))
+            assert np.isclose(p.sum(), 1, atol=1e-9), (most, context, p.sum())
+
+
+def test_beats_the_word_baseline_on_held_out_texts(spark):
+    got = queries.op9_lm_scoring(spark, "/root/testdata/sf0.1").where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
+    assert got[0] > got[1]
 
 
 def test_adaptive_prefers_repeats():
