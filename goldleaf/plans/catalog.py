@@ -169,11 +169,6 @@ def gold_fact_orders(spark, sf_dir):
     return to_output(fact_orders_frame(spark, sf_dir))
 
 
-def fact_orders_minimal(spark, sf_dir) -> DataFrame:
-    """Minimum slice: latest items joined to orders, fact_orders shape."""
-    return to_output(gold.fact_orders(silver_orders(spark, sf_dir), silver_order_items(spark, sf_dir)))
-
-
 # ------------------------------------------------------------------ dimensions
 @register("gold_dim_date", """SELECT d AS date_key, CAST(year(d) AS BIGINT) AS year,
   CAST(quarter(d) AS BIGINT) AS quarter, CAST(month(d) AS BIGINT) AS month,

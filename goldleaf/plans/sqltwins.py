@@ -66,10 +66,6 @@ UNION ALL SELECT {plain}{", 'kept'" if action else ''} FROM ({target}) AS tn WHE
 UNION ALL SELECT {ins_null}{", 'inserted'" if action else ''} FROM ({source}) AS sn WHERE {tn}"""
 
 
-def out_sql(inner: str, cols: list[str]) -> str:
-    return f"SELECT {', '.join(cols)} FROM ({inner}) AS q"
-
-
 def checks_sql(src: str, specs: list[tuple[str, str | None, str, str, str]], dataset: str,
                table: str, run_id: str, as_of: str) -> str:
     """dq_results rows for row-level checks: ``specs`` are

@@ -166,11 +166,6 @@ def duplicate_check(df: DataFrame, keys: list[str], dataset: str, table: str, ru
                       run_id, checked_at)
 
 
-def empty_results(spark) -> DataFrame:
-    from ..schemas import empty_frame
-    return empty_frame(spark, DQ_RESULT_COLUMNS)
-
-
 class CriticalQualityError(RuntimeError):
     pass
 
@@ -193,5 +188,5 @@ def halt_on_critical(results: DataFrame) -> DataFrame:
 
 
 __all__ = ["Check", "null_check", "range_check", "rule_check", "run_checks", "duplicate_check",
-           "failure_pct", "halt_on_critical", "CriticalQualityError", "empty_results",
+           "failure_pct", "halt_on_critical", "CriticalQualityError",
            "DQ_RESULT_COLUMNS", "SEVERITIES", "STATUSES"]

@@ -67,16 +67,16 @@ ENTITY_SCHEMAS: dict[str, dict] = {
         },
     },
     "campaigns": {
-        "required": ["campaign_id", "source_campaign_id", "campaign_name", "channel",
-                     "campaign_type", "start_date", "end_date", "budget_amount", "spent_amount",
+        "required": ["campaign_id", "source_campaign_id", "campaign_name", "campaign_type",
+                     "channel", "start_date", "end_date", "budget_amount", "spent_amount",
                      "is_active", "created_at", "updated_at", "_schema_version"],
         "properties": {
             "campaign_id": {"type": "string", "pattern": _UUID},
             "source_campaign_id": {"type": "string", "minLength": 1},
             "campaign_name": {"type": "string", "minLength": 1},
-            "channel": {"type": "string", "minLength": 1},
             "campaign_type": {"type": "string",
                               "enum": ["EMAIL", "SMS", "PAID_SEARCH", "DISPLAY", "SOCIAL"]},
+            "channel": {"type": "string", "minLength": 1},
             "start_date": {"type": "string", "format": "date"},
             "end_date": {"type": "string", "format": "date"},
             "budget_amount": {"type": "number", "exclusiveMinimum": 0},
@@ -145,8 +145,8 @@ ENTITY_SCHEMAS: dict[str, dict] = {
         },
     },
     "clickstream_events": {
-        "required": ["event_id", "session_id", "anonymous_id", "event_type", "page_url",
-                     "event_timestamp", "ingestion_timestamp", "device_type", "user_agent_hash",
+        "required": ["event_id", "session_id", "anonymous_id", "event_type", "event_timestamp",
+                     "ingestion_timestamp", "page_url", "device_type", "user_agent_hash",
                      "ip_country", "_schema_version"],
         "properties": {
             "event_id": {"type": "string", "pattern": _UUID},
@@ -155,12 +155,12 @@ ENTITY_SCHEMAS: dict[str, dict] = {
             "anonymous_id": {"type": "string", "minLength": 1},
             "event_type": {"type": "string", "enum": ["PAGE_VIEW", "PRODUCT_VIEW", "ADD_TO_CART",
                                                      "CHECKOUT", "PURCHASE", "SEARCH"]},
+            "event_timestamp": {"type": "string", "format": "date-time"},
+            "ingestion_timestamp": {"type": "string", "format": "date-time"},
             "page_url": {"type": "string", "minLength": 1},
             "referrer_url": {"type": ["string", "null"]},
             "product_id": {"type": ["string", "null"]},
             "search_query": {"type": ["string", "null"]},
-            "event_timestamp": {"type": "string", "format": "date-time"},
-            "ingestion_timestamp": {"type": "string", "format": "date-time"},
             "device_type": {"type": "string", "enum": ["DESKTOP", "MOBILE", "TABLET"]},
             "user_agent_hash": {"type": "string", "pattern": _SHA},
             "ip_country": {"type": "string", "pattern": "^[A-Z]{2}$"},

@@ -57,9 +57,9 @@ SILVER_COLUMNS: dict[str, list[tuple[str, str]]] = {
     ],
     "clickstream_events": [
         ("event_id", "string"), ("session_id", "string"), ("customer_id", "string"),
-        ("anonymous_id", "string"), ("event_type", "string"), ("page_url", "string"),
-        ("referrer_url", "string"), ("product_id", "string"), ("search_query", "string"),
-        ("event_timestamp", "timestamp"), ("ingestion_timestamp", "timestamp"),
+        ("anonymous_id", "string"), ("event_type", "string"), ("event_timestamp", "timestamp"),
+        ("ingestion_timestamp", "timestamp"), ("page_url", "string"), ("referrer_url", "string"),
+        ("product_id", "string"), ("search_query", "string"),
         ("device_type", "string"), ("user_agent_hash", "string"), ("ip_country", "string"),
         ("_schema_version", "string"),
     ],
@@ -117,12 +117,7 @@ GOLD_COLUMNS: dict[str, list[tuple[str, str]]] = {
     ],
 }
 
-# Streaming and quality output tables.
-DEAD_LETTER_COLUMNS = [("payload", "string"), ("payload_base64", "string"),
-                       ("error_message", "string"), ("source", "string"),
-                       ("timestamp", "timestamp")]
-WINDOW_SUMMARY_COLUMNS = [("window_start", "timestamp"), ("window_end", "timestamp"),
-                          ("event_count", "bigint"), ("computed_at", "timestamp")]
+# Quality output table.
 DQ_RESULT_COLUMNS = [
     ("rule_name", "string"), ("dataset_name", "string"), ("table_name", "string"),
     ("column_name", "string"), ("total_records", "bigint"), ("failed_records", "bigint"),
@@ -139,14 +134,6 @@ def struct_type(columns: list[tuple[str, str]]) -> T.StructType:
     return T.StructType.fromDDL(ddl(columns))
 
 
-def silver_schema(entity: str) -> T.StructType:
-    return struct_type(SILVER_COLUMNS[entity])
-
-
-def gold_schema(table: str) -> T.StructType:
-    return struct_type(GOLD_COLUMNS[table])
-
-
 def empty_frame(spark, columns: list[tuple[str, str]]):
     """CREATE TABLE IF NOT EXISTS equivalent: an empty, typed frame."""
     return spark.createDataFrame([], struct_type(columns))

@@ -72,9 +72,4 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/goldleaf/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_fs_path(path: str) -> str:
-    """Strip a ``file:`` scheme for Python-side checks in tests."""
-    return path[5:] if path.startswith("file:") else path
-
-
-__all__ = ["get_session", "ensure_checkpoint_dir", "scratch_path", "local_fs_path", "DEFAULT_CONF"]
+__all__ = ["get_session", "ensure_checkpoint_dir", "scratch_path", "DEFAULT_CONF"]

@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.hashing import record_hash
-from ..streaming.parse import parse_messages
 
 FORMATS = ("json", "csv", "parquet")
 
@@ -79,19 +78,6 @@ def split_corrupt(df: DataFrame, corrupt_col: str = "_corrupt_record") -> tuple[
     return df.filter(~bad).drop(corrupt_col), quarantine
 
 
-def load_messages(spark: SparkSession, landing: str, source: str,
-                  fields: list[tuple[str, str]]) -> tuple[DataFrame, DataFrame]:
-    """S22 with strict JSON: lines that are not one JSON object of the
-    declared types go to quarantine with the reason (batch twin of the
-    streaming dead-letter route)."""
-    parsed = parse_messages(spark.read.text(landing), source, fields=fields)
-    good = parsed.filter(F.col("error_message").isNull()).select(*[n for n, _ in fields])
-    bad = parsed.filter(F.col("error_message").isNotNull()).select(
-        "payload", "payload_base64", F.array(F.col("error_message")).alias("_validation_errors"),
-        "source")
-    return good, bad
-
-
 def with_ingest_metadata(df: DataFrame, run_id: str, ingestion_ts: Column | None = None,
                          hash_exclude: tuple[str, ...] = ("dt",)) -> DataFrame:
     """``_ingestion_ts``, ``_pipeline_run_id``, ``_source_file``,
