@@ -18,20 +18,34 @@ from goldleaf.llm.mixing import mix
 from goldleaf.llm.simhash_tiles import keep_one
 
 
+def _with_own_columns(docs: DataFrame, stage, names: list[str]) -> DataFrame:
+    """``stage(docs)`` where columns of ``docs`` that are called like the
+    stage's results stand aside meanwhile."""
+    aside = {c: f"_own_{c}" for c in docs.columns if c in names}
+    out = stage(docs.withColumnsRenamed(aside))
+    return out.drop(*aside).withColumnsRenamed({v: k for k, v in aside.items()}).select(docs.columns)
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language (null text or no letters) go; a missing
     lang is filled in with the prediction."""
-    told = identify(docs).where(F.col("lang_pred") != UNKNOWN)
-    return told.withColumn("lang", F.coalesce("lang", "lang_pred")).select(docs.columns)
+    def told(own: DataFrame) -> DataFrame:
+        known = identify(own).where(F.col("lang_pred") != UNKNOWN)
+        return known.withColumn("lang", F.coalesce("lang", "lang_pred"))
+
+    return _with_own_columns(docs, told, ["held_out", "lang_pred", "score"])
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines go from all but their first document; n_chars follows. A
     document that loses every line stays, empty."""
-    out = dedup_lines(docs).withColumn("text", F.col("kept"))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(docs.columns)
+    def rewritten(own: DataFrame) -> DataFrame:
+        out = dedup_lines(own).withColumn("text", F.col("kept"))
+        if "n_chars" in own.columns:
+            out = out.withColumn("n_chars", F.char_length("text").cast(own.schema["n_chars"].dataType))
+        return out
+
+    return _with_own_columns(docs, rewritten, ["kept", "n_lines", "n_dropped"])
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -45,7 +45,8 @@ _CHUNK = 1 << 20
 
 def letters_only(text: str | None) -> str:
     """Lower-cased letters, other runs as one space; empty without letters."""
-    return _NOT_LETTERS.sub(" ", text or "").strip().lower()
+    out = _NOT_LETTERS.sub(" ", text or "").strip().lower()
+    return out if any(map(str.isalpha, out)) else ""  # numerals like "²" count as word characters
 
 
 def features(letters: str) -> np.ndarray:

@@ -25,12 +25,12 @@ def test_language_held_out_accuracy(spark):
 
 
 def test_language_cases(spark):
-    rows = [(1, None, "en"), (2, "", "en"), (3, "123 !!", None), (4, "x" * 300000, None), (None, "the other man and the house", "en"),
+    rows = [(1, None, "en"), (2, "", "en"), (3, "123 !!", None), (3, "\u00b2 \u2460", None), (4, "x" * 300000, None), (None, "the other man and the house", "en"),
             (5, "der andere Mann und das Haus", "de"), (6, "le chien et la maison", "fr"), (7, "il cane e la casa", "it"),
             (8, "tha", "xx"), (5, "der andere Mann und das Haus", "de"), (9, "the man and the house", None)]
     df = spark.createDataFrame([(*r, "s", 1) for r in rows], DOCS)
     got = {r.text: r for r in language_id.identify(df).collect()}
-    assert all(got[t].lang_pred == "und" and got[t].score == 0 for t in (None, "", "123 !!"))
+    assert all(got[t].lang_pred == "und" and got[t].score == 0 for t in (None, "", "123 !!", "\u00b2 \u2460"))
     assert got["the man and the house"].lang_pred == "en"
     assert language_id.identify(df.limit(0)).count() == 0
     unlabelled = df.withColumn("lang", df.lang.substr(9, 1).cast("string")).replace("", None, "lang")

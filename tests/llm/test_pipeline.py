@@ -62,6 +62,16 @@ def test_mixing_stage(steps):
     assert len(rows) >= 0.75 * steps[4].count()
 
 
+def test_clashing_columns_keep_their_values(spark):
+    rows = [(k, f"The long shared line\nline number {k} of mine", "en", "s", 30, f"mine {k}", k, 0.5) for k in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint, "
+                                       "kept string, n_lines bigint, score double")
+    for stage in (corpus_pipeline.language_id, corpus_pipeline.line_dedup):
+        out = stage(spark, docs, SF_SMALL)
+        assert out.dtypes == docs.dtypes
+        assert sorted((r.doc_id, r.kept, r.n_lines, r.score) for r in out.collect()) == [(r[0], *r[5:]) for r in rows]
+
+
 def test_run_and_empty(spark, tmp_path):
     got = corpus_pipeline.run(spark, SF_SMALL)
     assert got.count() > 0 and {"rate", "copies", "domain"} <= set(got.columns)
