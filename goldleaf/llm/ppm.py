@@ -7,19 +7,22 @@ that context's escape (distinct symbols / (total + distinct), method C) and is
 looked up in the next shorter one, where symbols of the longer context are
 excluded. In a trie trained on whole texts the symbols of a context are a
 subset of those of its suffixes, so what an exclusion takes from the next
-shorter context is a number that each context can carry. The trie is kept as
-sorted arrays, one set for each context length, and whole batches of texts walk
-it together, length by length.
+shorter context is a number that each context can carry.
 
 Counts come from all training texts: tasks count their own n-grams, Spark sums
-them. The trie itself is bounded: at most ``max_grams`` (context, symbol) pairs
-of each length, rarest left out first; what is left out falls back to a shorter
-context. That bound is the model's documented size and keeps what is sent to
-the tasks small however large the corpus.
+them. The whole trie is written as tables, for each context length the pairs
+(context, symbol) and the contexts. A symbol's probability depends on it and the
+ORDER symbols before it alone, so the ``max_grams`` most frequent such runs go to
+the tasks with theirs; each other run of the texts is joined with the tables,
+once however often it occurs. How many runs go to the tasks changes no score.
+No key of these joins meets more than SYMBOLS rows of the next longer length.
 
 Beside it, an add-one unigram baseline over words with exact counts: the
 ``head`` most frequent words go to the tasks, all others are joined.
 
+:func:`train` and :func:`walk` are a smaller model in sorted arrays that leaves
+out the rarest pairs; :func:`score_texts` does not use it.
+
 :func:`adaptive_log10` learns within a text instead and needs no training.
 
 Cases: null text counts as empty (its end is its only token); a null doc_id is
@@ -46,7 +49,7 @@ MAX_GRAMS = 1_000_000
 HEAD = 65_536
 END = ""  # the end as a word; no real word is empty
 _CHUNK = 1 << 23  # symbols counted together
-_WALK = 1 << 19  # symbols scored together
+_LOOK = 1 << 19  # symbols looked up together
 
 
 def lowered(text: str | None) -> bytes:
@@ -190,33 +193,8 @@ def walk(levels: list[Level], codes: np.ndarray) -> np.ndarray:
     return out
 
 
-def log10_texts(levels: list[Level], raws: list[bytes]) -> np.ndarray:
-    """log10 probability of each text; texts walk together in bounded slices."""
-    out = np.zeros(len(raws))
-    codes, owners, size = [], [], 0
-
-    def flush():
-        if codes:
-            own = np.repeat(owners, [len(c) for c in codes])
-            out[:] += np.bincount(own, walk(levels, np.concatenate(codes)), len(raws))
-            codes.clear()
-            owners.clear()
-
-    for i, raw in enumerate(raws):
-        s = symbols(raw)
-        for k in range(0, len(s) - ORDER, _WALK):
-            codes.append(gram_codes(s[k:k + _WALK + ORDER]))
-            owners.append(i)
-            size += len(codes[-1])
-            if size >= _WALK:
-                flush()
-                size = 0
-    flush()
-    return out
-
-
 def train(counts: DataFrame, max_grams: int = MAX_GRAMS) -> list[Level]:
-    """The model from written corpus counts. Shorter contexts have the summed
+    """A bounded model from written corpus counts. Shorter contexts have the summed
     counts of the longer ones, before any is left out."""
     longest = counts.where("gram is not null").select("gram", "n")
     grams, least = [], 0
@@ -232,6 +210,111 @@ def train(counts: DataFrame, max_grams: int = MAX_GRAMS) -> list[Level]:
     return build(grams)
 
 
+# ---- the whole trie as tables --------------------------------------------
+
+def suffix(code: str, k: int):
+    """The last ``k`` symbols of a code."""
+    return F.pmod(F.col(code), F.lit(SYMBOLS**k))
+
+
+def trie(counts: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
+    """By context length, shortest first, from written corpus counts: (pair, n) and
+    (context, total, kinds, left_size, left_kinds); the last two are the size
+    (total + kinds) and kinds of the next shorter context without the symbols
+    seen here."""
+    pairs = {ORDER: counts.where("gram is not null").select(F.col("gram").alias("pair"), "n")}
+    for k in range(ORDER - 1, -1, -1):
+        pairs[k] = saved(pairs[k + 1].groupBy(suffix("pair", k + 1).alias("pair")).agg(F.sum("n").alias("n")), "ppm-pairs")
+    out: list[tuple[DataFrame, DataFrame]] = []
+    for k in range(ORDER + 1):
+        own = pairs[k].withColumn("context", F.expr(f"pair div {SYMBOLS}"))
+        sums = [F.sum("n").alias("total"), F.count("*").alias("kinds")]
+        if k:
+            low = pairs[k - 1].select(F.col("pair").alias("low"), F.col("n").alias("low_n"))
+            below = out[-1][1].select(F.col("context").alias("low"), F.col("total").alias("low_total"), F.col("kinds").alias("low_kinds"))
+            contexts = (own.withColumn("low", suffix("pair", k)).join(low, "low").groupBy("context").agg(*sums, F.sum("low_n").alias("seen"))
+                        .withColumn("low", suffix("context", k - 1)).join(below, "low")
+                        .withColumn("left_kinds", F.col("low_kinds") - F.col("kinds"))
+                        .withColumn("left_size", F.col("low_total") - F.col("seen") + F.col("left_kinds")))
+        else:
+            none = F.lit(0).cast("long")
+            contexts = own.groupBy("context").agg(*sums).withColumns({"left_kinds": none, "left_size": none})
+        out.append((pairs[k], saved(contexts.select("context", "total", "kinds", "left_size", "left_kinds"), "ppm-contexts")))
+    return out
+
+
+def log10_codes(levels: list[tuple[DataFrame, DataFrame]], codes: DataFrame) -> DataFrame:
+    """(pair, value): log10 probability of each of the distinct codes ``pair``.
+
+    Down: the pairs unseen at a length are asked for at the next shorter one.
+    Up: ``reached`` is the value once the longer context's symbols are out, but
+    for what the longer context says of the rest (its left_size and left_kinds);
+    ``value`` is that of a walk which starts here."""
+    asked = {}
+    for k in range(ORDER, -1, -1):
+        asked[k] = saved(codes.join(levels[k][0], "pair", "left"), "ppm-asked")
+        codes = asked[k].where("n is null").select(suffix("pair", k).alias("pair")).distinct()
+    unseen = F.lit(-float(np.log10(max(SYMBOLS - levels[0][0].count(), 1))))
+    below = None
+    for k in range(ORDER + 1):
+        rows = asked[k].withColumn("context", F.expr(f"pair div {SYMBOLS}")).join(levels[k][1], "context", "left")
+        shorter = on = unseen
+        if k:
+            rows = rows.withColumn("low", suffix("pair", k)).join(below, "low", "left")
+            rest = F.log10("left_size")
+            on = F.when(F.col("low_seen"), F.col("low_reached") - rest).when(
+                F.col("left_kinds") > 0, F.col("low_reached") + F.log10("left_kinds") - rest).otherwise(F.col("low_reached"))
+            shorter = F.col("low_value")
+        size, seen = F.log10(F.col("total") + F.col("kinds")), F.col("n").isNotNull()
+        rows = saved(rows.select(
+            "pair", seen.alias("seen"), F.when(seen, F.log10("n")).otherwise(on).alias("reached"),
+            F.when(F.col("total").isNull(), shorter).when(seen, F.log10("n") - size).otherwise(F.log10("kinds") - size + on).alias("value")),
+            "ppm-values")
+        below = rows.select(F.col("pair").alias("low"), *[F.col(c).alias(f"low_{c}") for c in ("seen", "reached", "value")])
+    return rows.select("pair", "value")
+
+
+def frequent_codes(levels: list[tuple[DataFrame, DataFrame]], most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted codes of the at most ``most`` frequent runs of ORDER + 1 symbols,
+    and their log10 probabilities."""
+    pairs, contexts = levels[ORDER]
+    often = pairs.where(frequency_class(F.col("n")) >= least_class(pairs, most)).withColumn("context", F.expr(f"pair div {SYMBOLS}"))
+    got = often.join(contexts, "context").select("pair", (F.log10("n") - F.log10(F.col("total") + F.col("kinds"))).alias("value")).toArrow()
+    codes, values = np.asarray(got.column("pair"), np.int64), np.asarray(got.column("value"), np.float64)
+    order = np.argsort(codes)
+    return codes[order], values[order]
+
+
+def look_up(codes: np.ndarray, values: np.ndarray, raws: list[bytes]) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """(log10 probability of each text's symbols that ``codes`` has, (code, times) of
+    all others by text)."""
+    out, rare, held, size = np.zeros(len(raws)), [[] for _ in raws], [], 0
+
+    def flush():
+        owner = np.repeat([i for i, _ in held], [len(c) for _, c in held])
+        own = np.concatenate([c for _, c in held])
+        at, found = _find(codes, own)
+        out[:] += np.bincount(owner[found], values[at[found]], len(raws))
+        owner, own = owner[~found], own[~found]
+        ends = np.searchsorted(owner, np.arange(len(raws) + 1))
+        for i in np.unique(owner):
+            rare[i].append(own[ends[i]:ends[i + 1]])
+        held.clear()
+
+    for i, raw in enumerate(raws):
+        s = symbols(raw)
+        for k in range(0, len(s) - ORDER, _LOOK):
+            held.append((i, gram_codes(s[k:k + _LOOK + ORDER])))
+            size += len(held[-1][1])
+            if size >= _LOOK:
+                flush()
+                size = 0
+    if held:
+        flush()
+    none = np.zeros(0, np.int64)
+    return out, [np.unique(np.concatenate(r), return_counts=True) if r else (none, none) for r in rare]
+
+
 def adaptive_log10(text: str | None, order: int = ORDER) -> float:
     """Code length of one text (as log10 probability) when the trie learns as
     it reads: the same escapes and exclusions, counts of what came before."""
@@ -268,17 +351,16 @@ def score_texts(docs: DataFrame, held_out: str = "held_out", head: int = HEAD, m
     frequent = words.where(frequency_class(F.col("n")) >= least_class(words, head)).toArrow().to_pydict()
     top = {w.encode(): float(np.log10(c + 1)) for w, c in zip(frequent["word"], frequent["n"])}
     least = min(frequent["n"], default=1 << 62)
-    # arrays only: a broadcast names classes by module, which executors may lack
-    model = spark.sparkContext.broadcast(([list(vars(x).values()) for x in train(counts, max_grams)], top))
+    levels = trie(counts)
+    model = spark.sparkContext.broadcast((*frequent_codes(levels, max_grams), top))
 
     def run(batches):
-        arrays, top = model.value
-        levels = [Level(*x) for x in arrays]
+        codes, values, top = model.value
         for b in batches:
             for k in range(0, b.num_rows, 512):
-                yield part(levels, top, b.slice(k, 512))
+                yield part(codes, values, top, b.slice(k, 512))
 
-    def part(levels, top, b):
+    def part(codes, values, top, b):
         tokens, known, base, tail_words, tail_n, ends = [], [], [], [], [], [0]
         raws = [lowered(t) for t in b.column("text").to_pylist()]
         for raw in raws:
@@ -298,22 +380,30 @@ def score_texts(docs: DataFrame, held_out: str = "held_out", head: int = HEAD, m
             base.append(value)
         tail = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(
             [pa.array(tail_words, pa.string()), pa.array(tail_n, pa.int64())], ["word", "c"]))
+        often, rare = look_up(codes, values, raws)
+        starts = np.cumsum([0, *(len(r) for r, _ in rare)])
+        runs = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.StructArray.from_arrays(
+            [pa.array(np.concatenate([x[k] for x in rare]), pa.int64()) for k in (0, 1)], ["pair", "c"]))
         return pa.RecordBatch.from_arrays(
             [b.column("doc_id"), b.column("held_out"), pa.array(tokens, pa.int64()), pa.array(known, pa.int64()),
-             pa.array(base, pa.float64()), pa.array(log10_texts(levels, raws)), tail],
-            ["doc_id", "held_out", "n_tokens", "known", "base", "score", "tail"])
+             pa.array(base, pa.float64()), pa.array(often), tail, runs],
+            ["doc_id", "held_out", "n_tokens", "known", "base", "often", "tail", "runs"])
 
-    schema = ("doc_id bigint, held_out boolean, n_tokens bigint, known bigint, base double, score double, "
-              "tail array<struct<word:string,c:bigint>>")
+    schema = ("doc_id bigint, held_out boolean, n_tokens bigint, known bigint, base double, often double, "
+              "tail array<struct<word:string,c:bigint>>, runs array<struct<pair:bigint,c:bigint>>")
     read = saved(docs.select("doc_id", F.col(held_out).alias("held_out"), "text").mapInArrow(run, schema)
                  .withColumn("rid", F.monotonically_increasing_id()), "ppm-scored")
     # words outside the head; those never seen in training add nothing
     rest = read.select("rid", F.inline("tail")).join(words.where(F.col("n") < least), "word")
     rest = rest.groupBy("rid").agg(F.sum("c").alias("more_known"), F.sum(F.col("c") * F.log10(F.col("n") + 1)).alias("more"))
-    out = read.drop("tail").join(rest, "rid", "left")
+    # runs outside the head, those never seen in training included
+    runs = read.select("rid", F.inline("runs"))
+    rare = runs.join(log10_codes(levels, runs.select("pair").distinct()), "pair").groupBy("rid").agg(
+        F.sum(F.col("c") * F.col("value")).alias("rare"))
+    out = read.drop("tail", "runs").join(rest, "rid", "left").join(rare, "rid", "left")
     return out.select(
         "doc_id", "held_out", "n_tokens",
         (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(int(n)).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("more", F.lit(0.0)) - F.col("n_tokens") * float(np.log10(n + v + 1))).alias("base_score"),
-        "score")
+        (F.col("often") + F.coalesce("rare", F.lit(0.0))).alias("score"))

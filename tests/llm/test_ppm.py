@@ -69,6 +69,16 @@ def test_scores_match_a_direct_walk(spark, head):
     assert np.allclose([g[5:] for g in got], [w[5:] for w in want], rtol=1e-5, atol=1e-5)
 
 
+@pytest.mark.parametrize("most", [0, 25, 60])
+def test_scores_do_not_depend_on_what_is_broadcast(spark, most):
+    rows = [(k, t, k % 3 == 2) for k, t in enumerate(TEXTS + TEXTS[:2])] + [(90, "the cat in the hat\x00", True)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, held_out boolean")
+    counts = trie([r[1] for r in rows if not r[2]])
+    got = {r.doc_id: r.score for r in ppm.score_texts(df, max_grams=most).collect()}
+    for d, t, _ in rows:
+        assert np.isclose(got[d], walk(counts, t), rtol=1e-9, atol=1e-9), (d, t)
+
+
 def test_no_training_and_empty(spark):
     df = spark.createDataFrame([(1, "ab", True), (2, None, True)], "doc_id bigint, text string, held_out boolean")
     got = {r.doc_id: r for r in ppm.score_texts(df).collect()}
