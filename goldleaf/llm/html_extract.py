@@ -9,13 +9,16 @@
    per host.
 3. Every page is read again: it gives the text under the host's most voted path
    that the page has; a page with none of them keeps its own best container.
+   Unlinked blocks that stand directly in a container around it (title, intro)
+   belong to the text; other containers beside it do not.
 
 Boilerplate never scores and is never returned: by tag (scripts, styles, forms,
 menus, ...), by role, or by a word of a class or id (sidebar, comments, ad, ...).
 Characters count decoded; white space in a block becomes one space; blocks are
 joined in page order by an empty line.
 
-Cases: null or empty html gives empty text; a null or odd url is host ``""``;
+Cases: null or empty html gives empty text; a null or odd url
+has no host, so its page keeps its own best container;
 unclosed, stray and crossing tags are read as browsers do in the usual cases
 (a block start ends an open paragraph, an end tag closes what is open inside);
 rows that repeat a page_id are pages of their own; an empty table gives no rows;
@@ -95,11 +98,17 @@ class Page:
         return min(by, key=lambda p: (-by[p], len(p), p)) if by else None
 
     def text(self, path: str | None) -> str:
-        """Blocks under containers with ``path``."""
+        """Blocks under containers with ``path``, and the mostly unlinked ones that
+        stand directly in a container around one."""
         under: list[bool] = []
+        around: set[int] = set()
         for parent, own in zip(self.parents, self.paths):
             under.append(own == path or parent >= 0 and under[parent])
-        return "\n\n".join(b.text for b in self.blocks if under[b.inside])
+            while own == path and parent >= 0 and parent not in around:
+                around.add(parent)
+                parent = self.parents[parent]
+        return "\n\n".join(b.text for b in self.blocks if under[b.inside]
+                           or b.inside in around and 2 * b.link_chars < len(b.text))
 
 
 def _label(tag: str, attrs: str, in_article: bool) -> tuple[str, bool]:
@@ -217,7 +226,7 @@ def host_paths(pages: DataFrame, share: float = SHARE) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [b.column("host"), pa.array([parse(s).best() for s in b.column("html").to_pylist()], pa.string())], ["host", "path"])
 
-    votes = pages.select(_host().alias("host"), "html").mapInArrow(vote, "host string, path string").where("path is not null")
+    votes = pages.select(_host().alias("host"), "html").where("host != ''").mapInArrow(vote, "host string, path string").where("path is not null")
     counts = saved(votes.groupBy("host", "path").agg(F.count("*").alias("votes")), "html-votes")
     all_votes = counts.groupBy("host").agg(F.sum("votes").alias("all"))
     won = counts.join(all_votes, "host").where(F.col("votes") >= share * F.col("all"))

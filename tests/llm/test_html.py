@@ -83,3 +83,17 @@ def test_host_vote_and_cases(spark):
     assert by[60].text == by[61].text == "" and by[60].n_chars == 0
     assert by[62].text == by[None].text == A and by[63].text == html.unescape(B)
     assert html_extract.extract(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_title_and_intro_around_the_text():
+    b = html.unescape(B)
+    assert read(f"<article><h1>Title</h1><p>{A}</p><div class=text><p>{B * 5}</p></div></article>").startswith(f"Title\n\n{A}\n\n{b}")
+    assert read(f"<body><div><h1>Title</h1><p><a href=x>{A}</a></p><div><div class=text><p>{B * 5}</p></div></div></div>").startswith(f"Title\n\n{b}")
+
+
+def test_pages_without_host_do_not_vote_for_each_other(spark):
+    usual = "<body><div class=a><p>" + A * 9 + "</p></div><div class=b><p>x y z</p></div></body>"
+    other = "<body><div class=a><p>short one</p></div><div class=b><p>" + A * 9 + "</p></div></body>"
+    rows = [(k, None, usual, "p") for k in range(30)] + [(99, None, other, "p")]
+    by = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert by[99] == A * 9 and by[0] == A * 9
