@@ -13,7 +13,11 @@
    belong to the text; other containers beside it do not.
 
 Boilerplate never scores and is never returned: by tag (scripts, styles, forms,
-menus, ...), by role, or by a word of a class or id (sidebar, comments, ad, ...).
+menus, ...), or by a class, id or role that is, begins or ends with one of some
+words (sidebar, comments, ad, ...; not has-sidebar). A name that holds more than
+the word does not count on an element with more than half of the page's unlinked
+text, no name does on one around the page's only article or main, and where a page
+would come out empty no name counts at all.
 Characters count decoded; white space in a block becomes one space; blocks are
 joined in page order by an empty line.
 
@@ -60,6 +64,7 @@ BOILER_WORDS = {
     "complementary", "contentinfo", "alert", "dialog",
 }
 HEADER_WORDS = {"header", "masthead", "topbar"}
+JOINING_WORDS = {"has", "with", "no", "without"}  # what follows is only mentioned
 
 _TOKEN = re.compile(r"""<!--.*?(?:--!?>|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"<]*+"|'[^'<]*+'|["'])*+)>""", re.S)
 _ATTR = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -111,27 +116,67 @@ class Page:
                            or b.inside in around and 2 * b.link_chars < len(b.text))
 
 
-def _label(tag: str, attrs: str, in_article: bool) -> tuple[str, bool]:
-    """(generalised tag and classes, whether it is boilerplate)."""
-    names, words = [], set()
+def _label(tag: str, attrs: str, in_article: bool) -> tuple[str, bool, int]:
+    """(generalised tag and classes, whether tag or style make it boilerplate,
+    whether its names do: 2 by a whole one, 1 by a part of one)."""
+    names, named = [], 0
+    known = BOILER_WORDS if in_article else BOILER_WORDS | HEADER_WORDS
     for name, *values in _ATTR.findall(attrs):
         value = html.unescape("".join(values))
-        words.update(w.lower() for w in _WORD.findall(value))
+        for token in value.split():
+            words = [w.lower() for w in _WORD.findall(token)]
+            if len(words) == 1 and words[0] in known:
+                named = 2
+            elif words and (words[0] in known or words[-1] in known and JOINING_WORDS.isdisjoint(words)):
+                named = max(named, 1)
         if name.lower() == "class":
             names += sorted(_NUMBER.sub("#", v) for v in value.split())
-    boiler = tag in DROPPED or tag == "header" and not in_article or bool(_HIDDEN.search(attrs))
-    if words and tag not in ("html", "body", "article", "main"):
-        boiler |= not words.isdisjoint(BOILER_WORDS)
-        boiler |= not in_article and not words.isdisjoint(HEADER_WORDS)
-    return ".".join([tag, *names]), boiler
+    if tag in ("html", "body", "article", "main"):
+        named = 0
+    hard = tag in DROPPED or tag == "header" and not in_article or bool(_HIDDEN.search(attrs))
+    return ".".join([tag, *names]), hard, named
+
+
+@dataclass
+class Named:
+    """An element that its names make boilerplate."""
+
+    around: int  # index of the next such element around it, or -1
+    whole: bool
+    chars: int = 0  # unlinked, not in boilerplate by tag
+    articles: int = 0
 
 
 def parse(source: str | None) -> Page:
-    """Read a page into containers and text blocks, one scan over its tags."""
+    """Read a page into containers and text blocks; again without the names that
+    turn out to stand on its main text."""
+    page, named, chars, articles = _scan(source, frozenset())
+    if not named:
+        return page
+    for x in reversed(named):  # inner ones come later
+        if x.around >= 0:
+            named[x.around].chars += x.chars
+            named[x.around].articles += x.articles
+    outer = [x for x in named if x.around < 0]
+    chars += sum(x.chars for x in outer)
+    articles += sum(x.articles for x in outer)
+    spared = frozenset(k for k, x in enumerate(named) if articles == 1 and x.articles or not x.whole and 2 * x.chars > chars)
+    if spared:
+        page = _scan(source, spared)[0]
+    return page if page.scores() else _scan(source, None)[0]
+
+
+def _scan(source: str | None, spared: frozenset[int] | None) -> tuple[Page, list[Named], int, int]:
+    """One scan over the tags of a page: (page, elements that are boilerplate by
+    name, unlinked characters and articles outside them). Elements in ``spared``,
+    by their order, are no boilerplate by name; None spares all."""
     source = source or ""
     parents, paths, blocks = [-1], ["body"], []
-    # open elements: (tag, container index, in boilerplate, in article)
-    stack = [("", 0, False, False)]
+    # open elements: (tag, container index, boilerplate by tag, in article, innermost
+    # element that is boilerplate by name, in one that is not spared)
+    stack = [("", 0, False, False, -1, False)]
+    named: list[Named] = []
+    free_chars = free_articles = 0
     pieces: list[str] = []
     link_pieces: list[str] = []
     in_link = 0
@@ -146,7 +191,17 @@ def parse(source: str | None) -> Page:
             link_pieces.clear()
 
     def add(text: str) -> None:
-        if text and not stack[-1][2]:  # boilerplate is never gathered
+        nonlocal free_chars
+        _, _, hard, _, owner, cut = stack[-1]
+        if not text or hard:
+            return
+        if not in_link:
+            size = len("".join(text.split()))
+            if owner >= 0:
+                named[owner].chars += size
+            else:
+                free_chars += size
+        if not cut:  # boilerplate is never gathered
             pieces.append(text)
             if in_link:
                 link_pieces.append(text)
@@ -199,18 +254,27 @@ def parse(source: str | None) -> Page:
                 close(1)
         if tag in VOID:
             continue
-        _, inside, boiler, article = stack[-1]
-        label, own = _label(tag, attrs, article) if breaks or attrs else (tag, tag in DROPPED)
+        _, inside, hard, article, owner, cut = stack[-1]
+        label, own, by_name = _label(tag, attrs, article) if breaks or attrs else (tag, tag in DROPPED, 0)
+        if by_name and not hard and not own:
+            cut |= spared is not None and len(named) not in spared
+            named.append(Named(owner, by_name == 2))
+            owner = len(named) - 1
+        if tag in ("article", "main") and not article and not hard:
+            if owner >= 0:
+                named[owner].articles += 1
+            else:
+                free_articles += 1
         if tag in CONTAINERS and tag not in ("html", "body"):
             parents.append(inside)
             paths.append(f"{paths[inside]}>{label}")
             inside = len(paths) - 1
-        stack.append((tag, inside, boiler or own, article or tag in ("article", "main")))
+        stack.append((tag, inside, hard or own, article or tag in ("article", "main"), owner, cut))
         in_link += tag == "a"
         if attrs.endswith("/") and not breaks:
             close(len(stack) - 1)
     end_block()
-    return Page(parents, paths, blocks)
+    return Page(parents, paths, blocks), named, free_chars, free_articles
 
 
 def _host():

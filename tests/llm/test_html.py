@@ -97,3 +97,13 @@ def test_pages_without_host_do_not_vote_for_each_other(spark):
     rows = [(k, None, usual, "p") for k in range(30)] + [(99, None, other, "p")]
     by = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert by[99] == A * 9 and by[0] == A * 9
+
+
+@pytest.mark.parametrize("names", [
+    'class="layout has-sidebar"', 'id="content-with-comments"', 'class="search-results"', 'class="post share-enabled"', 'class="widget"'])
+def test_names_on_the_main_text_are_no_boilerplate(names):
+    want = html.unescape(f"{A}\n\n{B}")
+    for text in (f"<p>{A}</p><p>{B}</p>", f"<article><p>{A}</p><p>{B}</p></article>"):
+        assert read(f"<body><nav>{A}</nav><div {names}>{text}<div class='sidebar'>{A}</div></div></body>").startswith(want)
+    assert read(f"<div class='layout has-sidebar'><p>{A}</p><p>{B}</p><div class='sidebar'>{A * 9}</div></div>") == want
+    assert read(f"<main><p>{A}</p></main><div id=comments><article class=comment>{B * 9}</article></div>") == A
