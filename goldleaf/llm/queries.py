@@ -10,6 +10,7 @@ from goldleaf.llm.chat_format import chat_digest, format_chats
 from goldleaf.llm.common import read_table
 from goldleaf.llm.decontaminate import contamination
 from goldleaf.llm.embedding_dedup import embedding_groups
+from goldleaf.llm.filter_audit import audit_filters
 from goldleaf.llm.html_extract import extract
 from goldleaf.llm.language_id import held_out, identify
 from goldleaf.llm.license_scan import scan_licenses
@@ -75,6 +76,10 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", hex_fingerprint("fp").alias("fingerprint"), "component_id")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_filters(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_source_mixing": op2_source_mixing,
@@ -86,4 +91,5 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
+    "op11_filter_audit": op11_filter_audit,
 }

@@ -103,9 +103,44 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM dw LEFT JOIN cover USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+FILTER_AUDIT = f"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS ws FROM d),
+f AS (
+  SELECT doc_id, part,
+    (CASE WHEN len(ws) < 100 THEN 'A' ELSE '' END) || (CASE WHEN 100 * len(list_distinct(ws)) < 80 * len(ws) THEN 'B' ELSE '' END)
+    || (CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) THEN 'C' ELSE '' END)
+    || (CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END)
+    || (CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 'E' ELSE '' END) AS fails
+  FROM w),
+says AS (SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id),
+cells AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (quality = 1) AS good, count(*) FILTER (toxic = 1) AS bad
+  FROM f LEFT JOIN says USING (doc_id) GROUP BY part, fails),
+l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS o FROM l a, l b, l c, l d, l e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (SELECT o, k, substr(o, k, 1) AS letter, substr(o, 1, k - 1) AS before FROM orders, range(1, 6) r(k)),
+counted AS (
+  SELECT part, o, k, letter,
+    coalesce(sum(n) FILTER (translate(fails, before || letter, '') = fails), 0) AS kept,
+    coalesce(sum(n) FILTER (contains(fails, letter) AND translate(fails, before, '') = fails), 0) AS removed,
+    coalesce(sum(n) FILTER (contains(fails, letter) AND translate(fails, before, '') <> fails), 0) AS redundant,
+    coalesce(sum(n) FILTER (fails = letter), 0) AS unique_fails,
+    coalesce(sum(good) FILTER (contains(fails, letter) AND translate(fails, before, '') = fails), 0) AS good_lost,
+    coalesce(sum(bad) FILTER (contains(fails, letter) AND translate(fails, before, '') = fails), 0) AS toxic_lost
+  FROM steps, cells GROUP BY ALL)
+SELECT part, o AS filter_order, CAST(k AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+FROM counted
+"""
+
 ORACLES = {
     "op1_line_dedup": LINE_DEDUP,
     "op4_license_scan": LICENSE_SCAN,
     "op5_chat_format": CHAT_FORMAT,
     "op8_decontamination": DECONTAMINATION,
+    "op11_filter_audit": FILTER_AUDIT,
 }
