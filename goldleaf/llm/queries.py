@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldleaf.llm.chat_format import chat_digest, format_chats
-from goldleaf.llm.common import read_table
+from goldleaf.llm.common import let, read_table
 from goldleaf.llm.decontaminate import contamination
 from goldleaf.llm.embedding_dedup import embedding_groups
 from goldleaf.llm.filter_audit import audit_filters
@@ -16,6 +16,7 @@ from goldleaf.llm.language_id import held_out, identify
 from goldleaf.llm.license_scan import scan_licenses
 from goldleaf.llm.line_dedup import dedup_lines
 from goldleaf.llm.mixing import mix
+from goldleaf.llm.periodic_runs import periodic_runs
 from goldleaf.llm.ppm import score_texts
 from goldleaf.llm.simhash_tiles import hex_fingerprint, simhash_groups
 from goldleaf.llm.sqltwins import ORACLES
@@ -80,6 +81,36 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_filters(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """The contract's table: in one document of ten, chosen by the crc32 of its
+    id, the words from a place on repeat with a period; both follow from that
+    number and the number of words."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def repeated(w):
+        n = F.size(w)
+        a = F.pmod(g, n)
+        p = 1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8))))
+        turned = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(
+            w, F.when(i < a, i).otherwise(a + F.pmod(i - a, p)).cast("int")))
+        return F.when(n > 0, F.array_join(turned, " ")).otherwise("")
+
+    words = F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), "")
+    return docs.select("doc_id", F.when(h % 10 == 0, let(words, repeated)).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(with_planted_runs(read_table(spark, sf_dir, "documents")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("longest", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("longest.col2")).alias("start"),
+        F.col("longest.length").alias("length"), (-F.col("longest.col3")).alias("period"),
+        F.floor(1000 * F.col("longest.length") / -F.col("longest.col3")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_source_mixing": op2_source_mixing,
@@ -92,4 +123,5 @@ QUERIES = {
     "op9_lm_scoring": op9_lm_scoring,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
     "op11_filter_audit": op11_filter_audit,
+    "op12_periodic_runs": op12_periodic_runs,
 }
