@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldleaf.llm.chat_format import chat_digest, format_chats
+from goldleaf.llm.collision_search import nearest
 from goldleaf.llm.common import let, read_table
 from goldleaf.llm.decontaminate import contamination
 from goldleaf.llm.embedding_dedup import embedding_groups
@@ -111,6 +112,10 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(read_table(spark, sf_dir, "embeddings"), lambda i: i % 20 == 0)
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_source_mixing": op2_source_mixing,
@@ -124,4 +129,5 @@ QUERIES = {
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
     "op11_filter_audit": op11_filter_audit,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_nearest_neighbours": op13_nearest_neighbours,
 }
