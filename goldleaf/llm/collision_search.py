@@ -12,8 +12,8 @@ the shard's projections in sorted order.
 
 Search: around a query's own projection a window of half-width ``WIDTH * R`` is
 open in every array; a vector collides with the query once for each window that
-holds it. Virtual rehashing lets R grow, and only the parts that a window gains
-are counted. Vectors that collide ``threshold()`` times are verified by their
+holds it. Virtual rehashing lets R grow; a narrow window is counted by walking
+along what it gained, a wide one by comparing places in the array with its ends. Vectors that collide ``threshold()`` times are verified by their
 inner product. The search of a shard ends when R reaches the distance of the
 last place of the answer: a vector at that distance or nearer has had enough
 collisions with probability ``1 - MISS`` at least. A task that searches a further
@@ -48,15 +48,16 @@ from goldleaf.llm.common import saved
 
 NEAREST = 20
 PROJECTIONS = 64
-WIDTH = 1.2
+WIDTH = 1.5
 MISS = 0.01
 GROWTH = 1.25
-FIRST = 0.2
+NARROW = 64  # the first windows hold this part of a shard on either side
 SHARD = 4096
 BLOCK = 512
 SEED = 13
 AUDIT = 256
 RECALL = 0.9
+WALK = 12  # a step of a walk costs as much as so many comparisons
 REMEMBERED = 64  # blocks of queries whose answer so far a task keeps
 PARTS = 1024  # of a class's ids, so that no task gets all ids of a common vector
 
@@ -149,9 +150,11 @@ def search_shard(queries: np.ndarray, x: np.ndarray, top: float, values: np.ndar
     products. ``best`` are its best scores so far, falling; they are kept up."""
     needed, n, places = threshold(), len(x), best.shape[1]
     flat, starts = order.ravel(), np.arange(PROJECTIONS) * n
+    place = np.empty(order.shape, np.uint16 if n < 1 << 16 else np.uint32)  # of each vector in each sorted array
+    np.put_along_axis(place, order.astype(np.int64), np.arange(n, dtype=place.dtype)[None, :], 1)
     norms = _norms(queries)
     own = ((queries / norms[:, None]) @ _directions(queries.shape[1])[:, :-1].T).T.copy()
-    counts = np.zeros((len(queries), n), np.int32)
+    counts = np.zeros((len(queries), n), np.uint8 if PROJECTIONS < 256 else np.int32)
     verified = np.zeros((len(queries), n), bool)
     found: list[list[tuple[np.ndarray, np.ndarray]]] = [[(np.zeros(0, np.int64), np.zeros(0))] for _ in queries]
 
@@ -162,37 +165,51 @@ def search_shard(queries: np.ndarray, x: np.ndarray, top: float, values: np.ndar
         far = np.sqrt(np.maximum(0.0, 2 - 2 * np.maximum(cos, -1.0)))
         return np.where(cos > 1 + 1e-9, np.nan, np.where(np.isneginf(cos), np.inf, far))
 
+    def verify(k: int, rows: np.ndarray) -> None:
+        if len(rows):
+            verified[k, rows] = True
+            score = (x @ queries[k])[rows] if 3 * len(rows) > n else x[rows] @ queries[k]
+            found[k].append((rows, score))
+            best[k] = -np.sort(-np.concatenate([best[k], score]))[:places]
+
+    def walk(k: int, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Collisions along stretches of the sorted arrays."""
+        steps = np.concatenate([flat[i:j] for i, j in zip(begins.tolist(), ends.tolist())])
+        return np.bincount(steps, minlength=n).astype(counts.dtype)
+
+    # without an answer to better, narrow windows come first: what collides most gives the first bound
+    lo = np.stack([np.searchsorted(values[j], own[j]) for j in range(PROJECTIONS)])
+    hi = lo.copy()
     radius = reach(np.arange(len(queries)))
-    radius[np.isinf(radius)] = FIRST
-    lo = np.zeros((PROJECTIONS, len(queries)), np.int64)
-    hi = np.zeros_like(lo)
-    fresh = True
+    narrow = places + n // NARROW
+    for k in np.nonzero(np.isinf(radius))[0].tolist():
+        hi[:, k] = np.minimum(lo[:, k] + narrow, n)
+        lo[:, k] = np.maximum(lo[:, k] - narrow, 0)
+        counts[k] = walk(k, starts + lo[:, k], starts + hi[:, k])
+        verify(k, np.argsort(-counts[k].astype(np.int16), kind="stable")[:2 * places])
+        radius[k] = reach(k) / GROWTH
+    radius = np.minimum(radius, 2.0)  # no distance is greater
     going = np.nonzero(~np.isnan(radius))[0]
     while len(going):
         was = lo[:, going], hi[:, going]
         for j in range(PROJECTIONS):
             mid, half = own[j, going], WIDTH * radius[going]
-            lo[j, going] = np.searchsorted(values[j], mid - half, "left")
-            hi[j, going] = np.searchsorted(values[j], mid + half, "right")
-        if fresh:
-            was = lo[:, going], lo[:, going]  # all of a new window is gained, on its right
-            fresh = False
+            lo[j, going] = np.minimum(was[0][j], np.searchsorted(values[j], mid - half, "left"))
+            hi[j, going] = np.maximum(was[1][j], np.searchsorted(values[j], mid + half, "right"))
+        gain = (was[0] - lo[:, going] + hi[:, going] - was[1]).sum(0)
         for col, k in enumerate(going.tolist()):
-            # the parts that each window gains on its left and on its right
-            begins = np.concatenate([starts + lo[:, k], starts + was[1][:, col]]).tolist()
-            ends = np.concatenate([starts + was[0][:, col], starts + hi[:, k]]).tolist()
-            gained = np.concatenate([flat[a:z] for a, z in zip(begins, ends)])
-            counts[k] += np.bincount(gained, minlength=n)
-            rows = np.nonzero((counts[k] >= needed) & ~verified[k])[0]
-            if len(rows):
-                verified[k, rows] = True
-                score = x[rows] @ queries[k]
-                found[k].append((rows, score))
-                best[k] = -np.sort(-np.concatenate([best[k], score]))[:places]
-        far = reach(going)
-        ends_here = np.isnan(far) | (radius[going] >= np.minimum(far, 2.0))  # 2 is the greatest distance
-        going, far = going[~ends_here], far[~ends_here]
-        radius[going] = np.minimum(radius[going] * GROWTH, np.minimum(far, 2.0))
+            if gain[col] * WALK < PROJECTIONS * n:  # walk along what the windows gain on their left and right
+                counts[k] += walk(k, np.concatenate([starts + lo[:, k], starts + was[1][:, col]]),
+                                  np.concatenate([starts + was[0][:, col], starts + hi[:, k]]))
+            else:  # wide windows: compare every vector's place with the windows' ends
+                wide = (hi[:, k] - lo[:, k]).astype(place.dtype)
+                inside = place - lo[:, k].astype(place.dtype)[:, None] < wide[:, None]  # places before lo wrap round
+                counts[k] = np.add.reduce(inside.view(np.uint8), axis=0, dtype=counts.dtype)
+            verify(k, np.nonzero((counts[k] >= needed) & ~verified[k])[0])
+        far = np.minimum(reach(going), 2.0)
+        done = np.isnan(far) | (radius[going] >= far)
+        going, far = going[~done], far[~done]
+        radius[going] = np.minimum(radius[going] * GROWTH, far)
     return [tuple(map(np.concatenate, zip(*f))) for f in found]
 
 
