@@ -1243,3 +1243,6 @@ def stream_window_panes(spark, sf_dir):
     panes = pane_deltas(spark.read.parquet(run_window_panes(spark, landing, f"{root}/out")))
     return to_output(panes.groupBy("window_start", "window_end")
                      .agg(F.sum("pane_count").cast("bigint").alias("event_count")))
+
+
+from . import late_data  # noqa: E402,F401  (registers its queries)

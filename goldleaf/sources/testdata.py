@@ -528,6 +528,41 @@ def event_damage_sql() -> str:
             f"{b64} AS payload_base64 FROM (SELECT *, {EVENT_LINE_SQL} AS line FROM events) AS e")
 
 
+# Arrival rules for events that land batch by batch. A month of events is
+# squeezed to about 43 minutes, so that windows hold many events and lateness
+# counts; messages land in eight-minute slices of their arrival:
+#   event_id % 20 = 7   -> arrives 5 minutes late    (within the lateness)
+#   event_id % 20 = 13  -> arrives 15 minutes late   (mostly beyond it)
+#   event_id % 50 = 11  -> claims a time 1 hour ahead of its arrival
+ARRIVAL_BASE = "2024-01-01 00:00:00"
+SQUEEZE = 1000
+SLICE_S = 480
+SLICES = 8
+
+
+def event_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(slice, value): message lines with ``ts`` and ``arrived_at``."""
+    e = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value")
+    base = F.unix_micros(F.lit(ARRIVAL_BASE).cast("timestamp"))
+    t = base + F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - base) / SQUEEZE)
+    late_s = F.when(F.col("event_id") % 20 == 7, 300).when(F.col("event_id") % 20 == 13, 900).otherwise(0)
+    e = e.withColumn("t", t).withColumn("arrival", F.col("t") + late_s * 1_000_000)
+    claimed = F.when(F.col("event_id") % 50 == 11, F.col("t") + 3_600_000_000).otherwise(F.col("t"))
+    line = F.to_json(F.struct(
+        "event_id", F.timestamp_micros(claimed).cast("string").alias("ts"), "user_id", "event_type",
+        F.round(F.col("value") * 100).cast("bigint").alias("value_cents"),
+        F.timestamp_micros("arrival").cast("string").alias("arrived_at")))
+    slice_ = F.least(F.floor((F.col("arrival") - base) / (SLICE_S * 1_000_000)), F.lit(SLICES - 1))
+    return e.select(slice_.cast("int").alias("slice"), line.alias("value"))
+
+
+EVENT_ARRIVALS_SQL = f"""SELECT event_id, t, t + late AS arrival, event_id % 50 = 11 AS ahead,
+  least((t + late - base) // {SLICE_S * 1_000_000}, {SLICES - 1}) AS slice
+FROM (SELECT event_id, base, base + (epoch_us(ts) - base) // {SQUEEZE} AS t,
+        CASE event_id % 20 WHEN 7 THEN 300000000 WHEN 13 THEN 900000000 ELSE 0 END AS late
+      FROM events, (SELECT epoch_us(TIMESTAMP '{ARRIVAL_BASE}') AS base) AS b) AS e"""
+
+
 # Damage rules for landed order messages, after the three bad order
 # messages of the reference's publisher (first match wins):
 #   PENDING URGENT orders -> cut-off text        (invalid JSON)

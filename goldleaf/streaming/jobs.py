@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ..operators.windows import window_counts
 from ..session import scratch_path
-from .parse import dead_letters, good_rows, parse_messages
+from .parse import dead_letters, gate_ahead, good_rows, parse_messages
 
 # The clickstream message fields and types; the flush
 # control message used to close the last windows of a bounded run.
@@ -74,13 +74,17 @@ ORDER_FIELDS = [("order_id", "string"), ("customer_id", "string"), ("order_statu
 
 
 def run_message_job(spark: SparkSession, landing: str, out_root: str, source: str,
-                    fields: list[tuple[str, str]], max_files: int | None = None) -> dict:
+                    fields: list[tuple[str, str]], max_files: int | None = None,
+                    gate: tuple[str, str, str] | None = None) -> dict:
     """S7-S10 for one message branch without windowing (the orders branch):
-    parse, raw rows to bronze, bad ones to the shared dead-letter table."""
+    parse, raw rows to bronze, bad ones to the shared dead-letter table. ``gate``
+    (event time, arrival, bound) also refuses rows ahead of their arrival."""
     reader = spark.readStream.format("text")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     parsed = parse_messages(reader.load(landing), source, fields=fields)
+    if gate:
+        parsed = gate_ahead(parsed, *gate)
     q = (parsed.writeStream.foreachBatch(_split_writer(out_root, fields))
          .option("checkpointLocation", f"{out_root}/_checkpoints/split")
          .trigger(availableNow=True).start())
@@ -92,16 +96,20 @@ def run_message_job(spark: SparkSession, landing: str, out_root: str, source: st
 
 def run_clickstream_job(spark: SparkSession, landing: str, out_root: str,
                         width: str = "60 seconds", lateness: str = "10 minutes",
-                        max_files: int | None = None, source: str = "clickstream") -> dict:
-    """Raw, dead-letter and window-summary queries over one landing.
+                        max_files: int | None = None, source: str = "clickstream",
+                        ahead: str = "5 minutes") -> dict:
+    """Raw, dead-letter and window-summary queries over one landing. Events
+    more than ``ahead`` of the time their file landed are dead letters (L4).
 
     Runs with ``trigger(availableNow=True)`` (bounded: process what is
     there, then stop) and returns the output paths."""
     reader = spark.readStream.format("text")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    raw = reader.load(landing)
+    raw = reader.load(landing).select("value", F.col("_metadata.file_modification_time").alias("landed_at"))
     parsed = parse_messages(raw, source, fields=CLICK_FIELDS)
+    # the closing message of a bounded run is the only row allowed ahead of its file
+    parsed = gate_ahead(parsed, "ts", "landed_at", ahead, unless=_is_control(F.col("record")))
 
     q_split = (parsed.writeStream.foreachBatch(_split_writer(out_root, CLICK_FIELDS))
                .option("checkpointLocation", f"{out_root}/_checkpoints/split")
