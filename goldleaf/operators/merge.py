@@ -17,8 +17,9 @@ MERGE edge cases kept on purpose:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..sources.tables import read_if_exists
 from .dedup import null_key_filter
@@ -44,9 +45,15 @@ def assert_unique_keys(source: DataFrame, keys: list[str]) -> None:
 def upsert(target: DataFrame, source: DataFrame, keys: list[str],
            update_cols: list[str] | None = None, insert_cols: list[str] | None = None,
            changed: Column | None = None, hash_col: str | None = None,
-           with_action: bool = False, keys_not_null: bool = False) -> DataFrame:
+           with_action: bool = False, keys_not_null: bool = False,
+           unique_source: bool | None = None) -> DataFrame:
     """Return the target after ``MERGE target USING source ON keys``.
 
+    * ``unique_source``: the source is known to hold each key once (default:
+      whenever ``keys_not_null``, as silver and gold sources do). Otherwise the
+      plan itself raises when a target row matches more than one source row
+      (M5): keys are counted on the partitioning that the join needs anyway, so
+      there is no second scan and no second shuffle.
     * ``update_cols``: columns set from the source on match (default: all
       non-key target columns present in the source).
     * ``insert_cols``: columns filled on insert (default: all present in
@@ -79,11 +86,21 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str],
 
     t = salted(target, "t__", 1)
     s = salted(source.select(*[_q(c) for c in tcols if c in scols]), "s__", -1)
+    if unique_source is None:
+        unique_source = keys_not_null
+    if not unique_source:
+        per_key = [F.col(_q(f"s__{k}")) for k in keys] + ([] if keys_not_null else [F.col("s___nk")])
+        s = s.withColumn("_same_key", F.count(F.lit(1)).over(Window.partitionBy(*per_key)))
     on = None if keys_not_null else (F.col("t___nk") == F.col("s___nk"))
     for k in keys:  # plain equality: a NULL key never matches, as in MERGE
         cond = F.col(_q(f"t__{k}")) == F.col(_q(f"s__{k}"))
         on = cond if on is None else on & cond
     j = t.join(s, on, "full_outer")
+    if not unique_source:  # a filter, so that no column pruning can lose it
+        twice = F.col("t__hit") & F.col("s__hit") & (F.col("_same_key") > 1)
+        text = F.concat(F.lit(f"MERGE: more than one source row matches a target row, {', '.join(keys)} = "),
+                        F.concat_ws(", ", *[F.col(_q(f"t__{k}")).cast("string") for k in keys]))
+        j = j.where(F.when(twice, F.raise_error(text).cast("boolean")).otherwise(True))
 
     # the caller's extra match condition becomes a column, so the whole
     # per-column projection below is one SQL select
@@ -144,38 +161,56 @@ def bounded_upsert(target: DataFrame, source: DataFrame, keys: list[str], window
     return out if want_action else out.drop(ACTION)
 
 
+def _stored(spark, path: str, source: T.StructType, partition_col: str) -> DataFrame | None:
+    """The table at ``path`` with all its columns in their own types (partitions
+    may have gained columns at different times: footers are merged, no data is
+    read), plus those that only ``source`` has."""
+    found = read_if_exists(spark.read.option("mergeSchema", "true").parquet, path)
+    if found is None:
+        return None
+    own = [source[partition_col] if f.name == partition_col else f for f in found.schema.fields]
+    more = [f for f in source.fields if f.name not in found.columns]
+    return spark.read.schema(T.StructType(own + more)).parquet(path)
+
+
+def touched(target: DataFrame, partition_col: str, values: list) -> DataFrame:
+    """The rows of ``target`` in the partitions ``values``, None included."""
+    part = F.col(_q(partition_col))
+    own = part.isin([v for v in values if v is not None])
+    return target.where(own | part.isNull() if None in values else own)
+
+
 def upsert_into_partitions(source: DataFrame, path: str, keys: list[str], partition_col: str,
                            staging: str, **kw) -> int:
     """MERGE into a Parquet table partitioned by ``partition_col``, rewriting
     only the partitions the source touches.
 
-    Cost follows the increment, not the table: the target is semi-joined with
-    the source's partition values, which prunes its directories at run time;
-    rows of the NULL partition are read only if the source has such rows. The
-    merged rows go to ``staging`` first (a plan never overwrites a path it
-    reads), then replace exactly those partitions. Both reads use the source's
-    types, so a partition value stays what it was ("01" is no number). A key
-    must keep its partition value for life (e.g. the month of an order date);
-    the source must hold a key once, which is checked.
+    Cost follows the increment, not the table: the values of the partitions that
+    the source touches become a filter on the partition column, which prunes the
+    target's folders before anything is read (a semi-join would not: Spark prunes
+    at run time only behind a selective filter). The driver gets these values,
+    one for each partition, as it has the target's list of folders anyway. Rows
+    of the NULL partition are read only if the source has such rows. The merged
+    rows go to ``staging`` first (a plan never overwrites a path it reads), then
+    replace exactly those partitions; the others keep their files. The target
+    keeps all its columns: those the source lacks stay as they are on match and
+    are NULL on insert, and columns new in the source are added. The partition
+    column is read with the source's type, so a value stays what it was ("01" is
+    no number). A key must keep its partition value for life (e.g. the month of
+    an order date); the source must hold a key once, which is checked.
     Returns the number of rewritten partitions.
     """
     spark = source.sparkSession
     assert_unique_keys(source, keys)
-    part = F.col(_q(partition_col))
-    values = source.select(partition_col).distinct()
-    n, has_null = values.agg(F.count("*"), F.coalesce(F.bool_or(part.isNull()), F.lit(False))).first()
-    if not n:
+    values = [r[0] for r in source.select(_q(partition_col)).distinct().collect()]
+    if not values:
         return 0
-    target = read_if_exists(spark.read.schema(source.schema).parquet, path)
+    target = _stored(spark, path, source.schema, partition_col)
     if target is None:
-        merged = source
-    else:
-        touched = target.join(values, partition_col, "left_semi")
-        if has_null:
-            touched = touched.unionByName(target.where(part.isNull()))
-        merged = upsert(touched.select(*source.columns), source, keys, **kw)
+        target = spark.createDataFrame([], source.schema)
+    merged = upsert(touched(target, partition_col, values), source, keys, **{"unique_source": True, **kw})
     merged.write.mode("overwrite").partitionBy(partition_col).parquet(staging)
     staged = spark.read.schema(merged.schema).parquet(staging)
     (staged.select(*merged.columns).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
-    return n
+    return len(values)

@@ -1245,4 +1245,4 @@ def stream_window_panes(spark, sf_dir):
                      .agg(F.sum("pane_count").cast("bigint").alias("event_count")))
 
 
-from . import late_data  # noqa: E402,F401  (registers its queries)
+from . import late_data, lookups  # noqa: E402,F401  (they register their queries)
