@@ -3,7 +3,8 @@
 ``on_error="fail"`` uses ANSI ``cast``: one bad value fails the job, as one
 failed CAST aborts a whole reference model. ``on_error="quarantine"`` uses
 ``try_cast`` and routes rows whose non-NULL input did not convert into a
-second frame with the reasons in ``_validation_errors``.
+second frame with the reasons in ``_validation_errors``. ``on_error="null"``
+turns such values into NULL and keeps their rows.
 
 Two cast rules follow the reference's engine rather than Spark's defaults:
 boolean text accepts only ``true``/``false`` (Spark also takes ``t``,
@@ -56,9 +57,9 @@ def typed_select(df: DataFrame, columns: list[tuple[str, str]], on_error: str =
     """
     present = {f.name: f.dataType for f in df.schema.fields}
     keep = keep or []
-    if on_error not in ("fail", "quarantine"):
-        raise ValueError(f"on_error must be 'fail' or 'quarantine', got {on_error!r}")
-    safe = on_error == "quarantine"
+    if on_error not in ("fail", "quarantine", "null"):
+        raise ValueError(f"on_error must be 'fail', 'quarantine' or 'null', got {on_error!r}")
+    safe = on_error != "fail"
     exprs, errors = [], []
     for name, target in columns:
         if name in present:
@@ -70,7 +71,7 @@ def typed_select(df: DataFrame, columns: list[tuple[str, str]], on_error: str =
             typed = f"CAST(NULL AS {target})"
         exprs.append(f"{typed} AS {_q(name)}")
     extra = [_q(k) for k in keep if k in present]
-    if not safe:
+    if on_error != "quarantine":
         return df.selectExpr(*exprs, *extra)
     errs = (f"filter(array({', '.join(errors)}), e -> e IS NOT NULL)" if errors
             else "CAST(array() AS array<string>)")

@@ -10,7 +10,8 @@ Tables live under ``warehouse`` as versioned directories
 (``sources.tables``): a model reads the current version of its inputs and
 target, writes the next version, then moves the pointer. A failed model
 leaves the previous version in place, and a rerun over the same landing
-yields the same tables (bronze grows, silver dedup and MERGE absorb it).
+yields the same tables: files that a committed load has taken are not loaded
+again (S15), and quarantine gets each refused row once (S18).
 """
 
 from __future__ import annotations
@@ -23,9 +24,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import date_dim
-from ..quality.checks import _result_cols, halt_on_critical
-from ..schemas import GOLD_COLUMNS, SILVER_COLUMNS, empty_frame, struct_type
-from ..sources.bronze import load_entities
+from ..quality.checks import CriticalQualityError, _result_cols, halt_on_critical
+from ..quality.contracts import foreign_key_check
+from ..schemas import CURRENT_VERSIONS, GOLD_COLUMNS, SILVER_COLUMNS, empty_frame, struct_type
+from ..sources.bronze import committed_bronze, load_entities
 from ..sources.tables import publish, read_if_exists, read_table
 from . import gold, silver
 
@@ -47,26 +49,71 @@ def bronze_schema(entity: str) -> T.StructType:
     return struct_type(cols)
 
 
+# The reference's quarantine switches and their defaults. A run
+# reads them from the session under this prefix, e.g.
+# ``--conf spark.goldleaf.quarantine_on_null_key=false``.
+SWITCHES = {"quarantine_on_schema_failure": True, "quarantine_on_null_key": True,
+            "halt_on_referential_integrity_failure": False}
+SWITCH_PREFIX = "spark.goldleaf."
+QUARANTINE_DAYS = 30
+
+
+def switch(spark: SparkSession, name: str) -> bool:
+    """C14: one of the run's switches."""
+    return spark.conf.get(SWITCH_PREFIX + name, str(SWITCHES[name])).lower() == "true"
+
+
+def _model(spark: SparkSession, bronze: DataFrame, entity: str, target: DataFrame | None):
+    """The silver model of an entity under the run's contract version and switches."""
+    return silver.silver_model(
+        bronze, entity, target=target, current_version=CURRENT_VERSIONS[entity],
+        on_error="quarantine" if switch(spark, "quarantine_on_schema_failure") else "null",
+        null_keys_too=not switch(spark, "quarantine_on_null_key"))
+
+
+def _manifest(warehouse: str) -> str:
+    return f"{warehouse}/control/file_manifest"
+
+
+def _quarantine(spark: SparkSession, warehouse: str, entity: str, bronze: DataFrame) -> None:
+    """What silver refuses of each run's loads, once. A run's rows go to a
+    folder named after the run, overwritten when the step is repeated, and the run
+    is noted down afterwards; runs that loaded nothing add nothing."""
+    log = f"{warehouse}/control/quarantined_runs"
+    loads = spark.read.parquet(_manifest(warehouse)).where(F.col("entity") == entity)
+    runs = loads.groupBy("_pipeline_run_id").agg(F.min("committed_at").alias("committed_at"))
+    done = read_if_exists(spark.read.parquet, log)
+    if done is not None:
+        runs = runs.join(done.where(F.col("entity") == entity), "_pipeline_run_id", "left_anti")
+    for run in runs.collect():  # the runs since this step last ended: one, unless runs died
+        _, refused = _model(spark, bronze.where(F.col("_pipeline_run_id") == run["_pipeline_run_id"]), entity, None)
+        (refused.withColumn("quarantined_at", F.lit(run["committed_at"]).cast("timestamp")).write.mode("overwrite")
+         .parquet(f"{warehouse}/silver_quarantine/{entity}/loaded_by={run['_pipeline_run_id']}"))
+        spark.createDataFrame([(run["_pipeline_run_id"], entity)], "_pipeline_run_id string, entity string") \
+            .coalesce(1).write.mode("append").parquet(log)
+
+
+def read_quarantine(spark: SparkSession, warehouse: str, entity: str, as_of: str | None = None,
+                    days: int = QUARANTINE_DAYS) -> DataFrame:
+    """Quarantined rows not older than ``days`` (S18 expiry)."""
+    now = F.lit(as_of).cast("timestamp") if as_of else F.current_timestamp()
+    held = spark.read.parquet(f"{warehouse}/silver_quarantine/{entity}")
+    return held.where(F.col("quarantined_at") >= now - F.make_dt_interval(days=F.lit(days)))
+
+
 def _silver_step(spark: SparkSession, warehouse: str, entity: str, dt: str | None) -> dict:
-    bronze = read_table_or_none(spark, f"{warehouse}/bronze", entity)
+    bronze = committed_bronze(spark, f"{warehouse}/bronze", entity, _manifest(warehouse))
     if bronze is None:
         return {"model": f"silver.{entity}", "status": "SKIPPED"}
-    if dt is not None:
-        bronze = bronze.filter(F.col("_ingestion_date") == F.lit(dt).cast("date"))
     target = read_table(spark, f"{warehouse}/silver", entity,
                         empty_schema=struct_type(SILVER_COLUMNS[entity] + SILVER_METADATA))
-    model, quarantine = silver.silver_model(bronze, entity, target=target, on_error="quarantine")
+    of_date = bronze if dt is None else bronze.filter(F.col("_ingestion_date") == F.lit(dt).cast("date"))
+    model, _ = _model(spark, of_date, entity, target)
     v = publish(model, f"{warehouse}/silver", entity)
-    quarantine.withColumn("quarantined_at", F.current_timestamp()).write.mode("append") \
-        .parquet(f"{warehouse}/silver_quarantine/{entity}")
+    _quarantine(spark, warehouse, entity, bronze)
     return {"model": f"silver.{entity}", "status": "SUCCESS", "version": v}
 
 
-def read_table_or_none(spark: SparkSession, root: str, entity: str) -> DataFrame | None:
-    """None if nothing has landed for this entity yet."""
-    return read_if_exists(spark.read.parquet, f"{root}/{entity}")
-
-
 def _gold(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
     return read_table(spark, f"{warehouse}/gold", name, empty_schema=struct_type(GOLD_COLUMNS[name]))
 
@@ -128,6 +175,25 @@ def post_run_checks(spark: SparkSession, warehouse: str, run_id: str,
     return out
 
 
+# The contracts' seven foreign keys (child, column, parent, key).
+FOREIGN_KEYS = [("orders", "customer_id", "customers", "customer_id"), ("orders", "campaign_id", "campaigns", "campaign_id"),
+                ("order_items", "order_id", "orders", "order_id"), ("order_items", "product_id", "products", "product_id"),
+                ("inventory", "product_id", "products", "product_id"),
+                ("clickstream_events", "customer_id", "customers", "customer_id"),
+                ("clickstream_events", "product_id", "products", "product_id")]
+
+
+def referential_checks(spark: SparkSession, warehouse: str, run_id: str, as_of: str | None = None) -> DataFrame:
+    """J7/C11 over the stored silver tables; a warning unless the switch is on."""
+    now = F.lit(as_of).cast("timestamp") if as_of else F.current_timestamp()
+    out = None
+    for child, fk, parent, pk in FOREIGN_KEYS:
+        r = foreign_key_check(_silver(spark, warehouse, child), fk, _silver(spark, warehouse, parent), pk,
+                              f"{child}_{fk}", "silver", run_id, checked_at=now)
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
 def _timed(fn):
     """Wrap a model step: wall-clock start/end, and a FAILED row instead of
     an exception (the layer's other models still run; the caller sees it)."""
@@ -165,7 +231,8 @@ def run_batch(spark: SparkSession, landing: str, warehouse: str, run_id: str | N
     run_id = run_id or f"run-{uuid.uuid4().hex[:8]}"
     steps: list[dict] = []
     schemas = {e: bronze_schema(e) for e in SILVER_ENTITIES}
-    audit = load_entities(spark, landing, f"{warehouse}/bronze", schemas, run_id, dt=dt, fmt=fmt)
+    audit = load_entities(spark, landing, f"{warehouse}/bronze", schemas, run_id, dt=dt, fmt=fmt,
+                          manifest=_manifest(warehouse))
     audit.write.mode("append").parquet(f"{warehouse}/audit/pipeline_runs")
     steps += [{"model": f"bronze.{r.entity}", "status": r.status, "rows": r.rows_loaded, "rejected": r.rows_rejected}
               for r in audit.collect()]  # one row per entity
@@ -190,6 +257,11 @@ def run_batch(spark: SparkSession, landing: str, warehouse: str, run_id: str | N
         results.write.mode("append").parquet(f"{warehouse}/quality/dq_results")
         halt_on_critical(spark.read.parquet(f"{warehouse}/quality/dq_results")
                          .filter(F.col("pipeline_run_id") == run_id))
+        orphans = referential_checks(spark, warehouse, run_id, as_of)
+        orphans.write.mode("append").parquet(f"{warehouse}/quality/referential_results")
+        broken = orphans.where("status = 'FAILED'").collect()  # one row for each relation
+        if broken and switch(spark, "halt_on_referential_integrity_failure"):
+            raise CriticalQualityError(f"referential integrity: {', '.join(r.rule_name for r in broken)}")
         steps.append({"model": "quality.post_run", "status": "SUCCESS"})
     return steps
 

@@ -48,19 +48,35 @@ def tiebreak_columns(entity: str, extra: list[str]) -> list[str]:
             + [c for c in extra if c not in RECENCY[entity] and c != LOAD_TS])
 
 
+def supported_version(version: Column, current: str) -> Column:
+    """Whether rows of ``version`` meet the contract of version ``current``."""
+    major = current.split(".")[0]
+    return version.isNull() | version.rlike(rf"^{major}(\.\d+)*$")
+
+
 def silver_model(bronze: DataFrame, entity: str, target: DataFrame | None = None,
                  on_error: str = "fail", with_action: bool = False,
-                 accept_versions: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+                 accept_versions: list[str] | None = None, current_version: str | None = None,
+                 null_keys_too: bool = False) -> tuple[DataFrame, DataFrame]:
     """Return ``(silver, quarantine)`` for one entity.
 
     ``quarantine`` holds NULL-key rows (and, with ``on_error="quarantine"``,
     rows whose values do not cast), each with ``_validation_errors``.
     ``accept_versions`` (C13): rows of any other ``_schema_version`` are
-    quarantined at silver; bronze keeps every version.
+    quarantined at silver; bronze keeps every version. ``current_version``
+    states the contract instead: every version of the same major number is
+    taken (a minor version only adds nullable fields), as are rows that carry no
+    version; another major number, or text that is no version, is quarantined.
+    ``null_keys_too`` (C14: that switch off) keeps NULL-key rows in silver, where
+    they match nothing. With ``on_error="null"`` (the schema switch off) a value
+    that does not cast becomes NULL and its row stays.
     """
     version_bad = None
-    if accept_versions is not None:
-        ok = F.coalesce(F.col("_schema_version").isin(*accept_versions), F.lit(False))
+    if accept_versions is not None or current_version is not None:
+        if accept_versions is not None:
+            ok = F.coalesce(F.col("_schema_version").isin(*accept_versions), F.lit(False))
+        else:
+            ok = supported_version(F.col("_schema_version"), current_version)
         version_bad = bronze.filter(~ok)
         bronze = bronze.filter(ok)
     keys = PRIMARY_KEYS[entity]
@@ -71,7 +87,7 @@ def silver_model(bronze: DataFrame, entity: str, target: DataFrame | None = None
     if on_error == "quarantine":
         typed, bad_cast = typed_select(bronze, columns, on_error="quarantine", keep=extra)
     else:
-        typed, bad_cast = typed_select(bronze, columns, keep=extra), None
+        typed, bad_cast = typed_select(bronze, columns, on_error=on_error, keep=extra), None
     # recency columns the landing has, then the load time (newest load wins)
     recency = [c for c in RECENCY[entity] if c in typed.columns]
     if LOAD_TS in extra:
@@ -81,6 +97,8 @@ def silver_model(bronze: DataFrame, entity: str, target: DataFrame | None = None
     latest, null_keys = latest_per_key(typed, keys, order, tiebreak=tiebreak)
     helpers = [c for c in extra if c not in meta]
     latest = latest.drop(*helpers)
+    if null_keys_too:
+        latest, null_keys = latest.unionByName(null_keys.drop(*helpers)), null_keys.limit(0)
     quarantine = null_keys.drop(*helpers).withColumn(
         "_validation_errors", F.array(F.lit("null primary key " + ",".join(keys))))
     if bad_cast is not None:
@@ -94,5 +112,6 @@ def silver_model(bronze: DataFrame, entity: str, target: DataFrame | None = None
     # ``latest`` has none: join on the key alone, reusing the window's shuffle
     guard = HASH if (target is not None and HASH in target.columns and HASH in meta) else None
     silver = latest if target is None else upsert(target, latest, keys, with_action=with_action,
-                                                  keys_not_null=True, hash_col=guard)
+                                                  keys_not_null=not null_keys_too, unique_source=True,
+                                                  hash_col=guard)
     return silver, quarantine

@@ -12,6 +12,10 @@ from pyspark.sql import types as T
 
 NUMERIC = "decimal(38,9)"
 
+# The contract version in force per entity.
+CURRENT_VERSIONS = {e: "1.0" for e in ("customers", "products", "campaigns", "inventory", "orders", "order_items",
+                                       "clickstream_events")}
+
 # Silver column lists and types per entity (order = DDL order).
 SILVER_COLUMNS: dict[str, list[tuple[str, str]]] = {
     "customers": [

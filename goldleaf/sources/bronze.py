@@ -12,12 +12,14 @@ second scan), and append to Parquet partitioned by ``_ingestion_date``.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.hashing import record_hash
+from .tables import read_if_exists
 
 FORMATS = ("json", "csv", "parquet")
 
@@ -37,8 +39,9 @@ def land(df: DataFrame, root: str, entity: str, fmt: str = "json", dt_col: str =
 
 def read_landed(spark: SparkSession, root: str, entity: str, schema: T.StructType,
                 fmt: str = "json", dt: str | None = None, mode: str = "PERMISSIVE",
-                corrupt_col: str = "_corrupt_record") -> DataFrame:
-    """Explicit-schema read of one date (or all dates).
+                corrupt_col: str = "_corrupt_record", paths: list[str] | None = None) -> DataFrame:
+    """Explicit-schema read of one date (or all dates), or of the
+    files ``paths`` alone.
 
     ``PERMISSIVE`` keeps malformed lines in ``corrupt_col`` (route them to
     quarantine with ``split_corrupt``); ``FAILFAST`` aborts on the first
@@ -54,7 +57,7 @@ def read_landed(spark: SparkSession, root: str, entity: str, schema: T.StructTyp
         reader = reader.option("columnNameOfCorruptRecord", corrupt_col)
     if fmt == "csv":
         reader = reader.option("header", "true")
-    df = getattr(reader, fmt)(path)
+    df = getattr(reader.option("basePath", path), fmt)(paths or path)
     if dt is not None:
         df = df.filter(F.col("dt") == F.lit(dt).cast("date"))  # partition pruning
     return df
@@ -150,28 +153,84 @@ def audit_row(spark: SparkSession, run_id: str, entity: str, status: str, rows:
           (finished_at - started_at).total_seconds(), error)], schema)
 
 
+FILES_PER_LOAD = 10_000  # names that one load hands to the reader through the driver
+
+
+def _committed(spark: SparkSession, manifest: str, entity: str) -> DataFrame | None:
+    found = read_if_exists(spark.read.parquet, manifest)
+    return None if found is None else found.where(F.col("entity") == entity)
+
+
+def committed_bronze(spark: SparkSession, bronze_root: str, entity: str, manifest: str) -> DataFrame | None:
+    """Bronze rows of committed loads. Rows that a load wrote before it died,
+    without its commit, are not among them: the next run loads their files."""
+    rows = read_if_exists(spark.read.parquet, f"{bronze_root}/{entity}")
+    loads = _committed(spark, manifest, entity)
+    if rows is None or loads is None:
+        return None
+    return rows.join(loads.select("_load_id").distinct(), "_load_id", "left_semi")
+
+
+def _load(spark, landing_root, bronze_root, entity, schema, run_id, dt, fmt, paths=None, load_id=None) -> tuple[int, int]:
+    """One load: good rows to bronze, malformed lines to quarantine; their counts."""
+    df = read_landed(spark, landing_root, entity, schema, fmt=fmt, dt=dt, paths=paths)
+    good, bad = split_corrupt(df)
+    rejected = 0
+    own = {"_load_id": F.lit(load_id)} if load_id else {}
+    if "_corrupt_record" in df.columns:
+        refused = Observation(f"reject_{entity}")
+        (bad.observe(refused, F.count(F.lit(1)).alias("rows"))
+         .withColumns({"_pipeline_run_id": F.lit(run_id), "_quarantined_at": F.current_timestamp(), **own})
+         .write.mode("append").parquet(f"{bronze_root}/_quarantine/{entity}"))
+        rejected = refused.get.get("rows", 0)
+    obs = append_bronze(with_ingest_metadata(good, run_id).withColumns(own), bronze_root, entity)
+    return obs.get.get("rows", 0), rejected
+
+
+def load_new_files(spark: SparkSession, landing_root: str, bronze_root: str, entity: str, schema: T.StructType, run_id: str,
+                   manifest: str, dt: str | None = None, fmt: str = "json", files_per_load: int = FILES_PER_LOAD) -> tuple[int, int]:
+    """Load the files that no committed load has taken, and commit them.
+
+    Files go through in loads of at most ``files_per_load``, so the driver holds
+    that many names, not an increment's. Every load writes its rows under an id of
+    its own and then one manifest file that names the load and its files: that
+    append is the commit, and readers (:func:`committed_bronze`) see rows of
+    committed loads only. Whenever a run dies, a file is either in a committed load
+    or will be loaded again. Returns rows loaded and rejected."""
+    where = f"{landing_root.rstrip('/')}/{entity}" + (f"/dt={dt}" if dt else "")
+    loaded = rejected = 0
+    while True:
+        new = unseen_files(list_files(spark, where), _committed(spark, manifest, entity))
+        names = new.orderBy("_source_file").limit(files_per_load).collect()
+        if not names:
+            return loaded, rejected
+        load_id = f"{run_id}-{uuid.uuid4().hex[:12]}"
+        good, bad = _load(spark, landing_root, bronze_root, entity, schema, run_id, dt, fmt,
+                          paths=[r["_source_file"] for r in names], load_id=load_id)
+        taken = spark.createDataFrame(names, new.schema)
+        (manifest_entries(taken, run_id).withColumns(
+            {"entity": F.lit(entity), "_load_id": F.lit(load_id), "committed_at": F.current_timestamp()})
+         .coalesce(1).write.mode("append").parquet(manifest))
+        loaded, rejected = loaded + good, rejected + bad
+
+
 def load_entities(spark: SparkSession, landing_root: str, bronze_root: str,
                   schemas: dict[str, T.StructType], run_id: str, dt: str | None = None,
-                  fmt: str = "json") -> DataFrame:
+                  fmt: str = "json", manifest: str | None = None) -> DataFrame:
     """Load every entity; one entity failing is logged in its
     audit row and the others go on. Malformed lines go to
     ``<bronze_root>/_quarantine/<entity>`` and are counted, so that loaded and
-    rejected rows add up to the lines landed. Returns the audit rows."""
+    rejected rows add up to the lines landed. With ``manifest`` only files that
+    no committed load holds are loaded (S15). Returns the audit rows."""
     audits = []
     for entity, schema in schemas.items():
         started = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         try:
-            df = read_landed(spark, landing_root, entity, schema, fmt=fmt, dt=dt)
-            good, bad = split_corrupt(df)
-            rejected = 0
-            if "_corrupt_record" in df.columns:
-                refused = Observation(f"reject_{entity}")
-                (bad.observe(refused, F.count(F.lit(1)).alias("rows"))
-                 .withColumns({"_pipeline_run_id": F.lit(run_id), "_quarantined_at": F.current_timestamp()})
-                 .write.mode("append").parquet(f"{bronze_root}/_quarantine/{entity}"))
-                rejected = refused.get.get("rows", 0)
-            obs = append_bronze(with_ingest_metadata(good, run_id), bronze_root, entity)
-            rows, status, err = obs.get.get("rows"), "SUCCESS", None
+            if manifest:
+                rows, rejected = load_new_files(spark, landing_root, bronze_root, entity, schema, run_id, manifest, dt, fmt)
+            else:
+                rows, rejected = _load(spark, landing_root, bronze_root, entity, schema, run_id, dt, fmt)
+            status, err = "SUCCESS", None
         except Exception as e:  # per-entity isolation (S4)
             rows, rejected, status, err = None, None, "FAILED", f"{type(e).__name__}: {e}"
         finished = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
