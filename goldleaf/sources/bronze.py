@@ -130,6 +130,19 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
                         F.col("length").alias("_source_bytes"))
 
 
+def table_metadata(spark: SparkSession, root: str, table: str, partition_col: str) -> DataFrame:
+    """One row per table: row_count, n_files, n_partitions, size_bytes and
+    last_modified. Counts come from Parquet footers (the scan reads no column),
+    sizes and times from a distributed listing."""
+    path = f"{root.rstrip('/')}/{table}"
+    per_part = spark.read.parquet(path).groupBy(partition_col).agg(F.count("*").alias("n"))
+    rows = per_part.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"), F.count("*").alias("n_partitions"))
+    files = list_files(spark, path).agg(F.count("*").alias("n_files"), F.coalesce(F.sum("_source_bytes"), F.lit(0)).alias("size_bytes"),
+                                        F.max("_source_mtime").alias("last_modified"))
+    key = F.lit(table).alias("table_name")
+    return rows.select(key, "*").join(files.select(key, "*"), "table_name")
+
+
 def manifest_entries(files: DataFrame, run_id: str) -> DataFrame:
     """New manifest rows: the files of this load (from ``list_files``)."""
     return files.select("_source_file", "_source_mtime", "_source_bytes",

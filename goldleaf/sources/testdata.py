@@ -53,7 +53,7 @@ def spread(df: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- ids
 # 8-hex namespace prefix of each id family.
 ID_NAMESPACES = {"customer": "c0570e00", "product": "9a0d0c70", "order": "0a0e0a00",
-                 "item": "17e00000", "inventory": "1a7e0700", "event": "e7e00000"}
+                 "item": "17e00000", "campaign": "ca3a1900", "inventory": "1a7e0700", "event": "e7e00000"}
 
 
 def uuid_like(namespace: str, key: Column, second: Column | None = None) -> Column:
@@ -234,7 +234,7 @@ def bronze_orders(spark: SparkSession, sf_dir: str, generation: int = 1) -> Data
         uuid_like("order", F.col("o_orderkey")).alias("order_id"),
         F.concat(F.lit("SRC-"), F.col("o_orderkey").cast("string")).alias("source_order_id"),
         uuid_like("customer", F.col("o_custkey")).alias("customer_id"),
-        F.lit(None).cast("string").alias("campaign_id"),
+        F.when(F.col("o_orderpriority") == "3-MEDIUM", uuid_like("campaign", F.col("o_custkey") % 97 + 1)).alias("campaign_id"),
         status.alias("order_status"),
         d.alias("order_date"),
         shipped.alias("shipped_date"),
@@ -283,7 +283,8 @@ def bronze_orders_sql(generation: int = 1) -> str:
         where = "WHERE o_orderstatus IN ('O','P')"
     return f"""SELECT {uuid_sql('order', 'o_orderkey')} AS order_id,
   'SRC-' || CAST(o_orderkey AS VARCHAR) AS source_order_id,
-  {uuid_sql('customer', 'o_custkey')} AS customer_id, CAST(NULL AS VARCHAR) AS campaign_id,
+  {uuid_sql('customer', 'o_custkey')} AS customer_id,
+  CASE WHEN o_orderpriority = '3-MEDIUM' THEN {uuid_sql('campaign', 'o_custkey % 97 + 1')} END AS campaign_id,
   {status} AS order_status, o_orderdate AS order_date, {shipped} AS shipped_date,
   {delivered} AS delivered_date, o_totalprice AS total_amount, 0.0::DOUBLE AS discount_amount,
   0.0::DOUBLE AS tax_amount, 'USD' AS currency_code,
@@ -448,6 +449,48 @@ FROM (SELECT l_partkey, l_suppkey, SUM(CAST(l_quantity AS BIGINT)) AS on_hand,
       FROM lineitem {where} GROUP BY l_partkey, l_suppkey)"""
 
 
+# ---------------------------------------------------------------- campaigns
+CAMPAIGN_TYPES = ["EMAIL", "SMS", "PAID_SEARCH", "DISPLAY", "SOCIAL"]
+
+
+def bronze_campaigns(spark: SparkSession, sf_dir: str, generation: int = 1) -> DataFrame:
+    """Campaigns from ``supplier``, one each. Day 2 spends a tenth of the budget
+    more and ends the campaigns of overdrawn suppliers (by rule). About a seventh
+    ends before it starts."""
+    s = table(spark, sf_dir, "supplier", "s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+    key, second = F.col("s_suppkey"), generation == 2
+    start = F.date_add(F.lit("2024-01-01").cast("date"), (key % 300).cast("int"))
+    budget = _dec(F.abs("s_acctbal") + 100)
+    kinds = F.array(*[F.lit(t) for t in CAMPAIGN_TYPES])
+    return s.select(
+        uuid_like("campaign", key).alias("campaign_id"), F.col("s_name").alias("source_campaign_id"),
+        F.concat(F.lit("Campaign "), key.cast("string")).alias("campaign_name"),
+        F.get(kinds, (key % 5).cast("int")).alias("campaign_type"),
+        F.lower(F.get(kinds, (key % 5).cast("int"))).alias("channel"), start.alias("start_date"),
+        F.date_add(start, F.when(key % 7 == 0, -3).otherwise(30)).alias("end_date"), budget.alias("budget_amount"),
+        (budget * F.lit(Decimal("0.60" if second else "0.50"))).alias("spent_amount"),
+        F.when(key % 3 == 0, "GOLD").alias("target_segment"),
+        (F.col("s_acctbal") >= 0 if second else F.lit(True)).alias("is_active"),
+        F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("created_at"),
+        F.lit("2024-02-01 00:00:00" if second else "2024-01-02 00:00:00").cast("timestamp_ntz").alias("updated_at"),
+        F.lit(SCHEMA_VERSION).alias("_schema_version"))
+
+
+def bronze_campaigns_sql(generation: int = 1) -> str:
+    second = generation == 2
+    kind = f"{CAMPAIGN_TYPES!r}[CAST(s_suppkey % 5 + 1 AS INTEGER)]"
+    budget = "CAST(abs(s_acctbal) + 100 AS DECIMAL(18,2))"
+    return f"""SELECT {uuid_sql('campaign', 's_suppkey')} AS campaign_id, s_name AS source_campaign_id,
+  'Campaign ' || CAST(s_suppkey AS VARCHAR) AS campaign_name, {kind} AS campaign_type, lower({kind}) AS channel,
+  DATE '2024-01-01' + CAST(s_suppkey % 300 AS INTEGER) AS start_date,
+  DATE '2024-01-01' + CAST(s_suppkey % 300 AS INTEGER) + CASE WHEN s_suppkey % 7 = 0 THEN -3 ELSE 30 END AS end_date,
+  {budget} AS budget_amount, {budget} * {'0.60' if second else '0.50'} AS spent_amount,
+  CASE WHEN s_suppkey % 3 = 0 THEN 'GOLD' END AS target_segment, {'s_acctbal >= 0' if second else 'TRUE'} AS is_active,
+  TIMESTAMP '2024-01-01 00:00:00' AS created_at, TIMESTAMP '{'2024-02-01' if second else '2024-01-02'} 00:00:00' AS updated_at,
+  '{SCHEMA_VERSION}' AS _schema_version
+FROM supplier"""
+
+
 # ---------------------------------------------------------------- messages
 # Damage rules applied to landed event messages (first match wins):
 #   error events of users divisible by 10 -> cut-off text        (invalid JSON)
