@@ -71,3 +71,21 @@ def stream_ahead_gate(spark, sf_dir):
         F.get_json_object("payload", "$.event_id").cast("bigint").alias("event_id"), "error_message")
     both = good.unionByName(bad)
     return both.select("event_id", F.col("error_message").isNotNull().alias("ahead"), "error_message")
+
+
+@register("stream_redelivery", f"""SELECT event_id, user_id, event_type, later AS seconds_after FROM (
+  SELECT event_id, user_id, event_type, unnest(CASE WHEN event_id % 10 = 6 THEN [0, 360] ELSE [0] END) AS later FROM events) AS e""")
+def stream_redelivery(spark, sf_dir):
+    """Messages that come again 4 minutes later (dropped) or 6 minutes later
+    (kept), mostly in another micro-batch, some in another run."""
+    from ..streaming.jobs import fresh_root, run_dedup_job
+    root = fresh_root(spark, "redelivery")
+    messages = td.event_redeliveries(spark, sf_dir)
+    path = ""
+    for first, last in ((0, FIRST_RUN), (FIRST_RUN, td.SLICES)):
+        for k in range(first, last):
+            messages.where(F.col("slice") == k).select("value").repartition(FILES_PER_SLICE) \
+                .write.mode("append").text(f"{root}/landing")
+        path = run_dedup_job(spark, f"{root}/landing", f"{root}/out", max_files=FILES_PER_SLICE)
+    after = F.unix_seconds("arrived_at") - F.unix_seconds("ts")
+    return spark.read.parquet(path).select("event_id", "user_id", "event_type", after.cast("int").alias("seconds_after"))

@@ -606,6 +606,25 @@ FROM (SELECT event_id, base, base + (epoch_us(ts) - base) // {SQUEEZE} AS t,
       FROM events, (SELECT epoch_us(TIMESTAMP '{ARRIVAL_BASE}') AS base) AS b) AS e"""
 
 
+# Re-delivery rules, on the same squeezed arrivals:
+#   event_id % 10 = 3  -> the same message again 4 minutes after it came
+#   event_id % 10 = 6  -> the same message again 6 minutes after it came
+def event_redeliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(slice, value): messages and their re-deliveries by arrival."""
+    e = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value")
+    base = F.unix_micros(F.lit(ARRIVAL_BASE).cast("timestamp"))
+    e = e.withColumn("t", base + F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - base) / SQUEEZE))
+    again = F.when(F.col("event_id") % 10 == 3, F.array(F.lit(0), F.lit(240))).when(
+        F.col("event_id") % 10 == 6, F.array(F.lit(0), F.lit(360))).otherwise(F.array(F.lit(0)))
+    e = e.withColumn("later", F.explode(again)).withColumn("arrival", F.col("t") + F.col("later").cast("long") * 1_000_000)
+    line = F.to_json(F.struct(
+        "event_id", F.timestamp_micros("t").cast("string").alias("ts"), "user_id", "event_type",
+        F.round(F.col("value") * 100).cast("bigint").alias("value_cents"),
+        F.timestamp_micros("arrival").cast("string").alias("arrived_at")))
+    slice_ = F.least(F.floor((F.col("arrival") - base) / (SLICE_S * 1_000_000)), F.lit(SLICES - 1))
+    return e.select(slice_.cast("int").alias("slice"), line.alias("value"))
+
+
 # Damage rules for landed order messages, after the three bad order
 # messages of the reference's publisher (first match wins):
 #   PENDING URGENT orders -> cut-off text        (invalid JSON)

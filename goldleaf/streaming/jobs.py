@@ -174,41 +174,36 @@ def pane_deltas(panes: DataFrame) -> DataFrame:
 
 
 def run_dedup_job(spark: SparkSession, landing: str, out_root: str, within: str = "5 minutes",
-                  key: str = "event_id") -> str:
-    """Drop re-delivered events (same id) within ``within`` of event
-    time. State holds ids only until the watermark passes them."""
-    raw = spark.readStream.format("text").load(landing)
-    good = good_rows(parse_messages(raw, "clickstream", fields=CLICK_FIELDS))
-    good = good.filter(~_is_control(F.col("record"))).select(*[n for n, _ in CLICK_FIELDS])
-    deduped = dedup_events(good, key, "ts", within)
-    q = (deduped.writeStream.outputMode("append").format("parquet")
-         .option("path", f"{out_root}/deduped")
-         .option("checkpointLocation", f"{out_root}/_checkpoints/deduped")
-         .trigger(availableNow=True).start())
+                  key: str = "event_id", max_files: int | None = None, arrival: str = "arrived_at") -> str:
+    """Drop re-delivered events (same id) that arrive within ``within`` of
+    their first arrival, in this run or a later one on the same checkpoint. The
+    message field ``arrival`` says when a message came; without it, its file's
+    time does. Events without an id pass untouched."""
+    from .redelivery import drop_redeliveries
+    from .firings import rocksdb_state
+    reader = spark.readStream.format("text")
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    raw = reader.load(landing).select("value", F.col("_metadata.file_modification_time").alias("_landed"))
+    good = good_rows(parse_messages(raw, "clickstream", fields=[*CLICK_FIELDS, (arrival, "timestamp")]))
+    good = good.filter(~_is_control(F.col("record"))).select(
+        *[n for n, _ in CLICK_FIELDS], F.coalesce(arrival, "_landed").alias(arrival))
+    seconds = spark.sql(f"SELECT unix_seconds(TIMESTAMP '1970-01-01 00:00:00Z' + INTERVAL {within})").first()[0]
+
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out_root}/deduped/epoch={epoch_id}")
+
+    with rocksdb_state(spark):
+        first = drop_redeliveries(good.where(F.col(key).isNotNull()), key, arrival, seconds)
+        q = (first.unionByName(good.where(F.col(key).isNull())).writeStream.outputMode("append").foreachBatch(write)
+             .option("checkpointLocation", f"{out_root}/_checkpoints/deduped")
+             .trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
     return f"{out_root}/deduped"
 
 
-def dedup_events(df: DataFrame, key: str, ts: str, within: str, salt_buckets: int = 16) -> DataFrame:
-    """Drop repeats of ``key`` within ``within`` of event time.
-
-    Streaming dedup has no map-side combine: every copy of an id is shuffled
-    to the task owning that id. If one message is re-delivered so often that
-    its copies are a third of the stream, that task gets a third of the rows.
-    So dedup runs in two salted stages: first per (id, random bucket), spread
-    over up to ``salt_buckets`` tasks, then per id over at most that many
-    survivors. The salt only decides where copies meet; the result is the
-    same set of first arrivals."""
-    wm = df.withWatermark(ts, within)
-    if salt_buckets and salt_buckets > 1:
-        wm = (wm.withColumn("_salt", (F.rand(17) * salt_buckets).cast("int"))
-              .dropDuplicatesWithinWatermark([key, "_salt"]))
-        return wm.dropDuplicatesWithinWatermark([key]).drop("_salt")
-    return wm.dropDuplicatesWithinWatermark([key])
-
-
 def fresh_root(spark: SparkSession, name: str) -> str:
     """New folder per run under the shared checkpoint root (never reused,
     never deleted by the job)."""
