@@ -202,14 +202,18 @@ def upsert_into_partitions(source: DataFrame, path: str, keys: list[str], partit
     """
     spark = source.sparkSession
     assert_unique_keys(source, keys)
-    values = [r[0] for r in source.select(_q(partition_col)).distinct().collect()]
+    part = F.col(_q(partition_col))
+    values = [r[0] for r in source.select(part).distinct().collect()]
     if not values:
         return 0
     target = _stored(spark, path, source.schema, partition_col)
     if target is None:
         target = spark.createDataFrame([], source.schema)
     merged = upsert(touched(target, partition_col, values), source, keys, **{"unique_source": True, **kw})
-    merged.write.mode("overwrite").partitionBy(partition_col).parquet(staging)
+    # rows of a partition meet before they are written, or every join task would
+    # write a file for every partition; AQE cuts a large partition into several
+    together = merged.hint("rebalance", part)
+    together.write.mode("overwrite").partitionBy(partition_col).parquet(staging)
     staged = spark.read.schema(merged.schema).parquet(staging)
     (staged.select(*merged.columns).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))

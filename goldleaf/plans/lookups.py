@@ -90,7 +90,7 @@ def merge_partitions(spark, sf_dir):
     month = F.date_format("order_date", "yyyy-MM")
     day1 = silver.silver_model(bronze_orders(spark, sf_dir, 1), "orders")[0]
     day1.where(F.col("order_date") < F.lit(STORED_UNTIL).cast("timestamp")).withColumns(
-        {"loaded_in": F.lit("run-1"), "order_month": month}).write.partitionBy("order_month").parquet(path)
+        {"loaded_in": F.lit("run-1"), "order_month": month}).hint("rebalance", F.col("order_month")).write.partitionBy("order_month").parquet(path)
     spark.read.parquet(path).select(F.col("_metadata.file_path").alias("file")).distinct().write.parquet(f"{root}/files")
     changes = silver.silver_model(bronze_orders(spark, sf_dir, 2), "orders")[0].where(
         F.col("order_date") >= F.lit(CHANGED_FROM).cast("timestamp")).withColumn("order_month", month)
