@@ -12,9 +12,9 @@ from ..schemas import PRIMARY_KEYS
 from ..sources import testdata as td
 from . import gold, silver
 from . import sqltwins as sq
-from .catalog import (DAMAGE_SQL, ORDERS_BRONZE_SQL, RUN_ID, SILVER_CLICK_SQL, SILVER_CUSTOMERS_SQL, SILVER_INV_SQL,
-                      SILVER_ITEMS_SQL, SILVER_ORDERS_SQL, SILVER_PRODUCTS_SQL, _as_of, _gcols, _silver_sql, bronze_clickstream,
-                      bronze_customers, bronze_inventory, bronze_order_items, bronze_orders, bronze_orders_all, bronze_products,
+from .catalog import (CROSS_SQL, DAMAGE_SQL, ORDERS_BRONZE_SQL, RUN_ID, SILVER_CLICK_SQL, SILVER_CUSTOMERS_SQL, SILVER_INV_SQL,
+                      SILVER_ITEMS_SQL, SILVER_ORDERS_SQL, SILVER_PRODUCTS_SQL, _as_of, _gcols, _schema_violation_sql, _silver_sql, bronze_clickstream,
+                      bronze_customers, bronze_inventory, bronze_json, bronze_order_items, bronze_orders, bronze_orders_all, bronze_products,
                       landed_messages, register, shared, silver_clickstream, silver_customers, silver_order_items, silver_orders,
                       silver_products)
 
@@ -245,3 +245,97 @@ def report_tables(spark, sf_dir):
                        changed.alias("changed_last_hour")).orderBy("table_name")
 
 
+
+
+# ------------------------------------------------------------------ contracts over all entities
+def _bronze_frames(spark, sf_dir) -> dict:
+    """All seven entities as landed, both loads where there are two."""
+    return {"customers": bronze_customers(spark, sf_dir, 1).unionByName(bronze_customers(spark, sf_dir, 2)),
+            "products": bronze_products(spark, sf_dir, 1).unionByName(bronze_products(spark, sf_dir, 2)),
+            "campaigns": bronze_campaigns(spark, sf_dir, 1).unionByName(bronze_campaigns(spark, sf_dir, 2)),
+            "orders": bronze_orders_all(spark, sf_dir), "order_items": bronze_order_items(spark, sf_dir),
+            "inventory": bronze_inventory(spark, sf_dir), "clickstream_events": bronze_clickstream(spark, sf_dir)}
+
+
+@register("dq_schema_contracts", "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, count(*) AS total_records, count_if({_schema_violation_sql(t)}) AS failed_records FROM ({src}) AS b"
+    for t, src, _ in _TABLES_SQL))
+def dq_schema_contracts(spark, sf_dir):
+    """The entity schemas on the landed JSON text of all seven entities, both
+    loads."""
+    from ..quality.schema_check import ENTITY_SCHEMAS, schema_check
+    parts = [schema_check(bronze_json(df, e), "value", ENTITY_SCHEMAS[e], "bronze", e, RUN_ID, checked_at=_as_of())
+             for e, df in _bronze_frames(spark, sf_dir).items()]
+    return reduce(lambda a, b: a.unionByName(b), parts).select("table_name", "total_records", "failed_records")
+
+
+_CROSS_ALL = {**CROSS_SQL, "campaigns": [("end_after_start", None, "end_date < start_date")]}
+
+
+@register("dq_cross_contracts", "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, '{name}' AS rule_name, count(*) AS total_records, count_if(coalesce({cond}, FALSE)) AS failed_records "
+    f"FROM ({sq.typed_sql(t, src)}) AS b" for t, src, _ in _TABLES_SQL for name, _, cond in _CROSS_ALL[t]))
+def dq_cross_contracts(spark, sf_dir):
+    """The cross-column rules of all seven entities on every row landed, both
+    loads, typed as silver types them; one aggregate per table."""
+    from ..functions.casts import typed_select
+    from ..quality.checks import run_checks
+    from ..quality.contracts import cross_column_checks
+    from ..schemas import SILVER_COLUMNS
+    parts = [run_checks(typed_select(df, SILVER_COLUMNS[e]), cross_column_checks(e), "silver", e, RUN_ID, _as_of())
+             for e, df in _bronze_frames(spark, sf_dir).items()]
+    return reduce(lambda a, b: a.unionByName(b), parts).select("table_name", "rule_name", "total_records", "failed_records")
+
+
+@register("late_orders", f"""SELECT channel, count(*) AS n_orders, count_if(came > INTERVAL 2 MINUTE) AS n_late,
+  count_if(came > INTERVAL 10 MINUTE) AS n_beyond_ten FROM (
+  SELECT channel, INTERVAL 1 SECOND * (CAST('0x' || right(order_id, 2) AS INTEGER) * 3) AS came FROM ({ORDERS_BRONZE_SQL}) AS o) AS x
+GROUP BY channel""")
+def late_orders(spark, sf_dir):
+    """The orders rule, two minutes. An order comes (by rule) three seconds
+    late for each unit of its id's last two hex digits; both loads."""
+    from ..quality.contracts import late_flag
+    delay = F.make_dt_interval(secs=(F.conv(F.right("order_id", F.lit(2)), 16, 10).cast("int") * 3).cast("decimal(18,6)"))
+    o = bronze_orders_all(spark, sf_dir).select("channel", "order_date", (F.col("order_date") + delay).alias("came"))
+    two = late_flag(o, "order_date", "came", 2).withColumnRenamed("_is_late_arrival", "l2")
+    both = late_flag(two, "order_date", "came", 10).withColumnRenamed("_is_late_arrival", "l10")
+    return both.groupBy("channel").agg(F.count("*").alias("n_orders"), F.count_if("l2").alias("n_late"), F.count_if("l10").alias("n_beyond_ten"))
+
+
+# ------------------------------------------------------------------ type 2 for products and campaigns
+def _scd2_twin(entity: str, key: str, tracked: list[str], attrs: list[str], one: str, both: str) -> str:
+    moved = " OR ".join(f"o.{c} <> n.{c}" for c in tracked)
+    return f"""WITH a AS ({one}), b AS ({both}),
+v AS (SELECT {key}, {', '.join(attrs)}, updated_at AS valid_from FROM a
+  UNION ALL SELECT n.{key}, {', '.join('n.' + c for c in attrs)}, n.updated_at FROM b n LEFT JOIN a o USING ({key}) WHERE o.{key} IS NULL OR {moved})
+SELECT '{entity}' AS entity, {key} AS business_key, {' || '.join(f"coalesce(CAST({c} AS VARCHAR), '')" + (" || '|'" if c != attrs[-1] else '') for c in attrs)} AS attributes,
+  valid_from, lead(valid_from) OVER (PARTITION BY {key} ORDER BY valid_from) AS valid_to,
+  lead(valid_from) OVER (PARTITION BY {key} ORDER BY valid_from) IS NULL AS is_current FROM v"""
+
+
+_SCD2 = {"products": ("product_id", ["unit_price", "is_active"], ["sku", "category_l1", "unit_price", "is_active"]),
+         "campaigns": ("campaign_id", ["spent_amount", "is_active"], ["campaign_name", "channel", "spent_amount", "is_active"])}
+
+
+@register("gold_scd2_products_campaigns", "\nUNION ALL\n".join(f"SELECT * FROM ({_scd2_twin(e, *_SCD2[e], one, both)}) AS t_{e}" for e, one, both in (
+    ("products", _silver_sql("products", td.bronze_products_sql(1)), SILVER_PRODUCTS_SQL),
+    ("campaigns", _silver_sql("campaigns", td.bronze_campaigns_sql(1)), SILVER_CAMPAIGNS_SQL))))
+def gold_scd2_products_campaigns(spark, sf_dir):
+    """M7: versioned product and campaign dimensions over both loads: price,
+    spending and activity open a version, other columns do not."""
+    from ..operators.scd import scd2
+    from ..schemas import SILVER_COLUMNS, empty_frame
+    out = None
+    for entity, first, both in (("products", silver_products(spark, sf_dir, day1_only=True), silver_products(spark, sf_dir)),
+                                ("campaigns", silver_campaigns(spark, sf_dir, day1_only=True), silver_campaigns(spark, sf_dir))):
+        key, tracked, attrs = _SCD2[entity]
+        types = dict(SILVER_COLUMNS[entity])
+        dim = empty_frame(spark, [("sk", "string"), (key, "string"), *[(a, types[a]) for a in attrs], ("valid_from", "timestamp"),
+                                  ("valid_to", "timestamp"), ("is_current", "boolean")])
+        for load in (first, both):
+            dim = scd2(dim, load, key, tracked, attrs, valid_from="updated_at", sk_col="sk")
+        rows = dim.select(F.lit(entity).alias("entity"), F.col(key).alias("business_key"),
+                          F.concat_ws("|", *[F.coalesce(F.col(a).cast("string"), F.lit("")) for a in attrs]).alias("attributes"),
+                          "valid_from", "valid_to", "is_current")
+        out = rows if out is None else out.unionByName(rows)
+    return to_output(out)

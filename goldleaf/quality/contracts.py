@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.joins import skew_join
-from ..session import ensure_checkpoint_dir
 from .checks import Check, _result_cols, rule_check
 
 # Allowed order status steps (the order lifecycle contract).
@@ -93,46 +92,29 @@ def foreign_key_check(child: DataFrame, fk: str, parent: DataFrame, pk: str, rel
 
 
 def status_transitions(history: DataFrame, key: str, status: str, order_by: str,
-                       allowed=ALLOWED_TRANSITIONS, chunks: int | None = None) -> DataFrame:
+                       allowed=ALLOWED_TRANSITIONS, chunks: int | None = None, bucket: str = "month") -> DataFrame:
     """Steps between consecutive versions of a key that are not in
     the allowed lifecycle. Repeated equal statuses are not steps.
 
     NULL keys are dropped (they are not a history); exact copies of a
     version collapse map-side first (``dropDuplicates`` is a partial
     aggregate). A key may still hold a third of all *distinct* versions, so
-    the history is range-partitioned on (key, time): a hot key's versions
-    split into time-ordered chunks and ``lag`` runs inside each (chunk,
-    key), over chunk ids checkpointed once. Only the first key of a chunk
-    can continue from the chunk before,
-    so the stitching table has at most one row per chunk (a proven bound:
-    broadcast), built from one min/max row per chunk."""
+    ``lag`` runs per (key, ``bucket`` of time), and what a bucket begins with
+    comes from a table of one row per key and bucket: the last status of the
+    key's bucket before. All of it is one lazy plan; the borders are dates, so
+    every consumer sees the same ones. Versions without a time come first.
+    ``chunks`` is accepted from earlier callers and has no effect: dates cut a
+    key's history now, not a number of ranges."""
     hist = (history.filter(F.col(key).isNotNull()).dropDuplicates([key, status, order_by])
-            .select(key, order_by, F.col(status).alias("to_status")))
-    spark = history.sparkSession
-    n = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ensure_checkpoint_dir(spark)
-    # chunk ids come from the physical range partition; two consumers read
-    # them, so they are materialised once in the shared checkpoint folder
-    # (a re-run range sample could otherwise draw different borders)
-    ranged = (hist.repartitionByRange(n, key, order_by, "to_status")
-              .withColumn("_chunk", F.spark_partition_id()).checkpoint())
-    in_chunk = Window.partitionBy("_chunk", key).orderBy(order_by, "to_status")
-    steps = ranged.select(key, order_by, "to_status", "_chunk",
-                          F.lag("to_status").over(in_chunk).alias("from_status"),
-                          F.row_number().over(in_chunk).alias("_rn"))
-    bounds = ranged.groupBy("_chunk").agg(
-        F.min(F.struct(key, order_by, "to_status")).alias("_first"),
-        F.max(F.struct(key, order_by, "to_status")).alias("_last"))
-    prev = bounds.select("_chunk", F.col("_first")[key].alias("_first_key"),
-                         F.lag("_last").over(Window.orderBy("_chunk")).alias("_prev"))
-    carry = (prev.filter(F.col("_prev")[key] == F.col("_first_key"))
-             .select("_chunk", F.col("_first_key").alias(key),
-                     F.col("_prev")["to_status"].alias("_carry")))
-    firsts = (steps.filter(F.col("_rn") == 1).drop("from_status")
-              .join(F.broadcast(carry), ["_chunk", key], "inner")
-              .withColumnRenamed("_carry", "from_status"))
-    steps = (steps.filter(F.col("_rn") > 1).unionByName(firsts)
-             .select(key, order_by, "to_status", "from_status"))
+            .select(key, order_by, F.col(status).alias("to_status"), F.date_trunc(bucket, order_by).alias("_bucket")))
+    inside = Window.partitionBy(key, "_bucket").orderBy(order_by, "to_status")
+    steps = hist.withColumns({"_before": F.lag("to_status").over(inside), "_place": F.row_number().over(inside)})
+    ends = hist.groupBy(key, "_bucket").agg(F.max(F.struct(order_by, "to_status"))["to_status"].alias("_end"))
+    carried = ends.select(F.col(key).alias("_key"), F.col("_bucket").alias("_in"),
+                          F.lag("_end").over(Window.partitionBy(key).orderBy("_bucket")).alias("_carried"))
+    steps = steps.join(carried, (F.col(key) == F.col("_key")) & F.col("_bucket").eqNullSafe(F.col("_in")), "left")
+    steps = steps.select(key, order_by, "to_status", F.when(F.col("_place") == 1, F.col("_carried")).otherwise(
+        F.col("_before")).alias("from_status"))
     ok = F.lit(False)
     for a, b in allowed:
         ok = ok | ((F.col("from_status") == a) & (F.col("to_status") == b))

@@ -125,3 +125,20 @@ def test_status_transitions_hot_key_split_across_chunks(spark):
     # every cycle: DELIVERED->SHIPPED (illegal), and SHIPPED->PENDING between cycles (illegal)
     assert len(hot) == 80 + 79
     assert len([r for r in got if r.order_id != "hot"]) == 50  # PENDING->DELIVERED skips steps
+
+
+def test_status_transitions_across_buckets_and_lazily(spark):
+    import datetime as dt
+
+    from goldleaf.quality.contracts import status_transitions
+    day = dt.datetime(2024, 1, 31, 23, 59)
+    rows = [("a", "PENDING", day), ("a", "CONFIRMED", day + dt.timedelta(minutes=5)),           # over a month's end: allowed
+            ("b", "SHIPPED", day), ("b", "PENDING", day + dt.timedelta(days=70)),               # over an empty month: illegal
+            ("c", "PENDING", None), ("c", "DELIVERED", day), (None, "PENDING", day), ("a", "CONFIRMED", day + dt.timedelta(minutes=5))]
+    hist = spark.createDataFrame(rows, "k string, s string, at timestamp_ntz")
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    got = status_transitions(hist, "k", "s", "at")
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before  # building the frame runs nothing
+    assert sorted((r.k, r.from_status, r.to_status) for r in got.collect()) == [("b", "SHIPPED", "PENDING"), ("c", "PENDING", "DELIVERED")]
+    monthly = status_transitions(hist, "k", "s", "at", bucket="day")
+    assert sorted(r.k for r in monthly.collect()) == ["b", "c"]
