@@ -59,9 +59,14 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their sampling rate and copies; rate 0 goes."""
-    mixed = mix(docs, read_table(spark, sf_dir, "labels"))
-    return mixed.where("rate > 0").select(*docs.columns, "domain", "rate", "copies")
+    """Documents with their domain, sampling rate and copies; rate 0 goes. Columns
+    of the table that are called like these three give way to them; its own
+    ``n_tokens`` and ``posterior`` stay as they are."""
+    results = ["domain", "rate", "copies"]
+    aside = {c: f"_own_{c}" for c in docs.columns if c in ("n_tokens", "posterior")}
+    mixed = mix(docs.withColumnsRenamed(aside), read_table(spark, sf_dir, "labels")).where("rate > 0")
+    kept = mixed.drop(*aside).withColumnsRenamed({v: k for k, v in aside.items()})
+    return kept.select(*[c for c in docs.columns if c not in results], *results)
 
 
 STAGES = [
