@@ -79,3 +79,11 @@ def test_run_and_empty(spark, tmp_path):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF_SMALL)
     assert docs.count() == 0
+
+
+def test_mixing_takes_clashing_columns(spark):
+    rows = [(k, ("alpha beta gamma delta " * 9) + str(k), 0.5, k, "own", 7, [1.0]) for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, rate double, copies int, domain string, n_tokens int, posterior array<double>")
+    got = corpus_pipeline.mixing(spark, docs, SF_SMALL)
+    assert got.columns == ["doc_id", "text", "n_tokens", "posterior", "domain", "rate", "copies"]
+    assert {(r.n_tokens, tuple(r.posterior)) for r in got.collect()} <= {(7, (1.0,))}
