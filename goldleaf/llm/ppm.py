@@ -48,7 +48,7 @@ SYMBOLS = 257  # 256 bytes after the mark for start and end, which is 0
 MAX_GRAMS = 1_000_000
 HEAD = 65_536
 END = ""  # the end as a word; no real word is empty
-_CHUNK = 1 << 23  # symbols counted together
+_CHUNK = 1 << 20  # symbols counted together: some 30 MB with their sorted copy
 _LOOK = 1 << 19  # symbols looked up together
 
 
