@@ -79,17 +79,17 @@ def _quarantine(spark: SparkSession, warehouse: str, entity: str, bronze: DataFr
     """What silver refuses of each run's loads, once. A run's rows go to a
     folder named after the run, overwritten when the step is repeated, and the run
     is noted down afterwards; runs that loaded nothing add nothing."""
-    log = f"{warehouse}/control/quarantined_runs"
+    log = f"{warehouse}/control/quarantined_runs/{entity}"  # of its own: models of a layer write at the same time
     loads = spark.read.parquet(_manifest(warehouse)).where(F.col("entity") == entity)
     runs = loads.groupBy("_pipeline_run_id").agg(F.min("committed_at").alias("committed_at"))
     done = read_if_exists(spark.read.parquet, log)
     if done is not None:
-        runs = runs.join(done.where(F.col("entity") == entity), "_pipeline_run_id", "left_anti")
+        runs = runs.join(done, "_pipeline_run_id", "left_anti")
     for run in runs.collect():  # the runs since this step last ended: one, unless runs died
         _, refused = _model(spark, bronze.where(F.col("_pipeline_run_id") == run["_pipeline_run_id"]), entity, None)
         (refused.withColumn("quarantined_at", F.lit(run["committed_at"]).cast("timestamp")).write.mode("overwrite")
          .parquet(f"{warehouse}/silver_quarantine/{entity}/loaded_by={run['_pipeline_run_id']}"))
-        spark.createDataFrame([(run["_pipeline_run_id"], entity)], "_pipeline_run_id string, entity string") \
+        spark.createDataFrame([(run["_pipeline_run_id"],)], "_pipeline_run_id string") \
             .coalesce(1).write.mode("append").parquet(log)
 
 
