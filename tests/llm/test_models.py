@@ -3,6 +3,7 @@
 import zlib
 
 import numpy as np
+import pytest
 
 from goldleaf.llm import language_id, mixing, queries
 
@@ -90,3 +91,48 @@ def test_mixing_cases(spark):
     assert got.count() == spark.read.parquet(f"{SF_SMALL}/documents.parquet").count()
     total = got.selectExpr("sum(n_tokens * rate * posterior[0]) / sum(n_tokens) as high").first().high
     assert abs(total - mixing.TARGETS["high"]) < 0.02
+
+
+def test_mixing_rare_domain_of_target_zero(spark):
+    """A domain of one token in a thousand, and of one in ten thousand."""
+    for rare in (1e-3, 1e-4):
+        rows = [(int(1e6 * 0.6), [1.0, 0.0, 0.0]), (int(1e6 * (0.4 - rare)), [0.0, 1.0, 0.0]), (int(1e6 * rare), [0.0, 0.0, 1.0])]
+        scored = spark.createDataFrame(rows, "n_tokens bigint, posterior array<double>")
+        for wanted in ([0.9, 0.1, 0.0], [0.5, 0.5 - 5 * rare, 5 * rare]):
+            wanted = np.array(wanted)
+            m = mixing.fit_rates(scored, wanted)
+            n, p = np.array([r[0] for r in rows], float), np.array([r[1] for r in rows])
+            rates = mixing._open(p, wanted) * np.maximum(0, 1 - p @ m)
+            reached = (n * rates) @ p / n.sum()
+            assert np.allclose(reached, wanted, rtol=0.01, atol=1e-12), (reached, wanted)
+            assert (rates[2] == 0) == (wanted[2] == 0)
+
+
+def test_mixing_raises_when_steps_run_out(spark):
+    rng = np.random.default_rng(1)
+    p = rng.dirichlet([0.3, 0.3, 0.3], 200)
+    scored = spark.createDataFrame([(10, v.tolist()) for v in p], "n_tokens bigint, posterior array<double>")
+    with pytest.raises(RuntimeError, match="mixing"):
+        mixing.fit_rates(scored, np.array([0.9, 0.1, 0.0]), steps=1)
+    m = mixing.fit_rates(scored, np.array([0.5, 0.3, 0.2]))
+    reached = np.maximum(0, 1 - p @ m) @ p / len(p)
+    assert np.allclose(reached, [0.5, 0.3, 0.2], rtol=0.01), reached
+
+
+def test_mixing_takes_very_long_texts(spark):
+    docs, labels = mixing_frames(spark)
+    long = spark.createDataFrame([(10**6, "spam nasty " * 300000, "en", "s", 1)], docs.schema)
+    row = mixing.mix(docs.union(long), labels).where("doc_id = 1000000").first()
+    assert row.n_tokens == 600000 and abs(sum(row.posterior) - 1) < 1e-9
+
+
+def test_mixing_query_shares(spark):
+    rows = queries.op2_source_mixing(spark, SF_MID).collect()
+    p, n, r = (np.array([getattr(x, c) for x in rows], float) for c in ("posterior", "n_tokens", "rate"))
+    reached = (n * r) @ p / n.sum()
+    assert np.allclose(reached[:2], [mixing.TARGETS["high"], mixing.TARGETS["low"]], rtol=0.01), reached
+    assert reached[2] < 0.6 * (n @ p / n.sum())[2]
+    assert all(x.rate == 0 for x in rows if x.posterior[2] > 0.5)
+    toxic = {x.doc_id: x.toxic for x in spark.read.parquet(f"{SF_MID}/labels.parquet").collect()}
+    lost = {k: np.mean([x.rate == 0 for x in rows if toxic.get(x.doc_id) == k]) for k in (0, 1)}
+    assert lost[0] < 0.02 and lost[1] > 0.7, lost
