@@ -66,9 +66,15 @@ BOILER_WORDS = {
 HEADER_WORDS = {"header", "masthead", "topbar"}
 JOINING_WORDS = {"has", "with", "no", "without"}  # what follows is only mentioned
 
-_TOKEN = re.compile(r"""<!--.*?(?:--!?>|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"<]*+"|'[^'<]*+'|["'])*+)>""", re.S)
+# A tag ends before the next "<" outside quotes, so a page of unclosed tags is read
+# in linear time. A quoted value may hold "<" or ">"; with both, it must look closed.
+_TOKEN = re.compile(
+    r"""<!--.*?(?:--!?>|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/<>]*+)((?:[^<>"']++|"[^"<]*+"|'[^'<]*+'"""
+    r"""|"[^">]*+"|'[^'>]*+'|"[^"=]*+"(?=[\s/>])|'[^'=]*+'(?=[\s/>])|["'])*+)>""", re.S)
 _ATTR = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none""", re.I)
+_ANY_ATTR = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_NONE = re.compile(r"display\s*:\s*none", re.I)
+_FORM_TEXT = re.compile(r"<(?:article|main|p)[\s>]", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _NUMBER = re.compile(r"\d+")
 
@@ -116,7 +122,15 @@ class Page:
                            or b.inside in around and 2 * b.link_chars < len(b.text))
 
 
-def _label(tag: str, attrs: str, in_article: bool) -> tuple[str, bool, int]:
+def _hidden(attrs: str) -> bool:
+    """Whether an attribute hides the element: by its name, or as a style."""
+    if "hidden" not in (low := attrs.lower()) and "display" not in low:
+        return False
+    return any(name.lower() == "hidden" or name.lower() == "style" and _NONE.search("".join(value))
+               for name, *value in _ANY_ATTR.findall(attrs))
+
+
+def _label(tag: str, attrs: str, in_article: bool, dropped: set[str]) -> tuple[str, bool, int]:
     """(generalised tag and classes, whether tag or style make it boilerplate,
     whether its names do: 2 by a whole one, 1 by a part of one)."""
     names, named = [], 0
@@ -133,7 +147,7 @@ def _label(tag: str, attrs: str, in_article: bool) -> tuple[str, bool, int]:
             names += sorted(_NUMBER.sub("#", v) for v in value.split())
     if tag in ("html", "body", "article", "main"):
         named = 0
-    hard = tag in DROPPED or tag == "header" and not in_article or bool(_HIDDEN.search(attrs))
+    hard = tag in dropped or tag == "header" and not in_article or _hidden(attrs)
     return ".".join([tag, *names]), hard, named
 
 
@@ -148,9 +162,18 @@ class Named:
 
 
 def parse(source: str | None) -> Page:
-    """Read a page into containers and text blocks; again without the names that
-    turn out to stand on its main text."""
-    page, named, chars, articles = _scan(source, frozenset())
+    """Read a page into containers and text blocks. A page whose whole text stands
+    in a form that holds paragraphs or an article is read again with the form as a
+    plain container; labels, buttons and fields go all the same."""
+    page = _read(source, DROPPED)
+    if source and not page.scores() and "<form" in source.lower() and _FORM_TEXT.search(source):
+        page = _read(source, DROPPED - {"form"})
+    return page
+
+
+def _read(source: str | None, dropped: set[str]) -> Page:
+    """One reading; again without the names that turn out to stand on its main text."""
+    page, named, chars, articles = _scan(source, frozenset(), dropped)
     if not named:
         return page
     for x in reversed(named):  # inner ones come later
@@ -162,15 +185,17 @@ def parse(source: str | None) -> Page:
     articles += sum(x.articles for x in outer)
     spared = frozenset(k for k, x in enumerate(named) if articles == 1 and x.articles or not x.whole and 2 * x.chars > chars)
     if spared:
-        page = _scan(source, spared)[0]
-    return page if page.scores() else _scan(source, None)[0]
+        page = _scan(source, spared, dropped)[0]
+    return page if page.scores() else _scan(source, None, dropped)[0]
 
 
-def _scan(source: str | None, spared: frozenset[int] | None) -> tuple[Page, list[Named], int, int]:
+def _scan(source: str | None, spared: frozenset[int] | None, dropped: set[str]) -> tuple[Page, list[Named], int, int]:
     """One scan over the tags of a page: (page, elements that are boilerplate by
     name, unlinked characters and articles outside them). Elements in ``spared``,
-    by their order, are no boilerplate by name; None spares all."""
+    by their order, are no boilerplate by name; None spares all. Elements called as
+    in ``dropped`` are boilerplate by tag."""
     source = source or ""
+    last = source.rfind(">")
     parents, paths, blocks = [-1], ["body"], []
     # open elements: (tag, container index, boilerplate by tag, in article, innermost
     # element that is boilerplate by name, in one that is not spared)
@@ -213,6 +238,10 @@ def _scan(source: str | None, spared: frozenset[int] | None) -> tuple[Page, list
 
     at = 0
     while at < len(source):
+        if at > last:  # no tag follows, at most an unclosed comment
+            end = source.find("<!--", at)
+            add(source[at:end] if end >= 0 else source[at:])
+            break
         m = _TOKEN.search(source, at)
         add(source[at:m.start()] if m else source[at:])
         if not m:
@@ -255,7 +284,7 @@ def _scan(source: str | None, spared: frozenset[int] | None) -> tuple[Page, list
         if tag in VOID:
             continue
         _, inside, hard, article, owner, cut = stack[-1]
-        label, own, by_name = _label(tag, attrs, article) if breaks or attrs else (tag, tag in DROPPED, 0)
+        label, own, by_name = _label(tag, attrs, article, dropped) if breaks or attrs else (tag, tag in dropped, 0)
         if by_name and not hard and not own:
             cut |= spared is not None and len(named) not in spared
             named.append(Named(owner, by_name == 2))

@@ -2,6 +2,7 @@
 
 import html
 import re
+import time
 
 import pytest
 
@@ -107,3 +108,32 @@ def test_names_on_the_main_text_are_no_boilerplate(names):
         assert read(f"<body><nav>{A}</nav><div {names}>{text}<div class='sidebar'>{A}</div></div></body>").startswith(want)
     assert read(f"<div class='layout has-sidebar'><p>{A}</p><p>{B}</p><div class='sidebar'>{A * 9}</div></div>") == want
     assert read(f"<main><p>{A}</p></main><div id=comments><article class=comment>{B * 9}</article></div>") == A
+
+
+def test_article_in_a_form():
+    want = html.unescape(f"Title\n\n{A}\n\n{B}")
+    page = f"<body><nav>{A}</nav><form id=f action=x><label>Name {A}</label><article><h1>Title</h1><p>{A}</p><p>{B}</p></article><button>Send</button></form>"
+    assert read(page) == want
+    assert read(page.replace("article>", "div>")) == want
+    assert read(f"<body><main><p>{A}</p></main><form><p>{B}</p></form>") == A  # other forms go
+    assert read(f"<body><form><label>{A}</label><button>{B}</button></form>") == ""
+
+
+@pytest.mark.parametrize("attrs", ['title="The hidden cost of water"', 'data-t="a hidden gem"', "data-hidden=1", 'title="a < b"',
+                                   'title="<b>x</b>"', 'data-x="display: none"', "title='a > b'"])
+def test_only_attributes_hide(attrs):
+    assert read(f"<article {attrs}><p>{A}</p></article>") == A
+
+
+@pytest.mark.parametrize("attrs", ["hidden", "HIDDEN", 'hidden=""', 'class="x" hidden', 'style="color:red; display : none"'])
+def test_hidden_goes(attrs):
+    assert read(f"<main><p>{A}</p></main><div {attrs}><p>{B}</p></div>") == A
+
+
+def test_hostile_pages_take_linear_time():
+    for piece in ("<a ", "<a '", '<p class="', "<!", "</a ", "<"):
+        start = time.perf_counter()
+        read(piece * 300000)
+        read(f"<p>{A}</p>" + piece * 300000 + ">")
+        assert time.perf_counter() - start < 10, piece
+    assert read(f"<p>{A}</p> <!-- open {B}") == A
