@@ -1245,4 +1245,4 @@ def stream_window_panes(spark, sf_dir):
                      .agg(F.sum("pane_count").cast("bigint").alias("event_count")))
 
 
-from . import incremental, late_data, lookups  # noqa: E402,F401  (they register their queries)
+from . import incremental, late_data, lookups, reruns  # noqa: E402,F401  (they register their queries)
