@@ -1,15 +1,20 @@
-"""Queries on jobs that run twice: MERGE, SCD2 and published tables."""
+"""Queries on jobs that run twice (MERGE, SCD2, published tables) and on the log of their checks."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from ..functions.casts import to_output
 from ..functions.dates import date_dim
+from ..quality.checks import CriticalQualityError, halt_on_critical, null_check, run_checks
+from ..schemas import PRIMARY_KEYS
 from ..session import scratch_path
 from ..sources.tables import current_version, publish, read_table
 from . import gold, silver
-from .catalog import (ORACLES, bronze_orders_all, dim_customers_frame, register, silver_customers, silver_orders_initial)
+from .catalog import (ORACLES, RUN_ID, _as_of, bronze_orders_all, dim_customers_frame, register, silver_customers, silver_orders_initial)
+from .incremental import _TABLES_SQL, _bronze_frames
 
 # The days on which the given orders can stand.
 CALENDAR = ("1992-01-01", "1998-12-31")
@@ -57,3 +62,40 @@ def published_calendar(spark, sf_dir):
     return (days.join(orders, "date_key", "left")
             .select("date_key", "year", "quarter", "is_weekend", F.coalesce("n", F.lit(0).cast("bigint")).alias("n_orders"),
                     F.lit(current_version(spark, root, "dim_date")).cast("bigint").alias("version")))
+
+
+# Columns whose absence ends a run, beside the keys.
+REQUIRED = {"customers": "city", "products": "category_l2", "campaigns": "target_segment", "orders": "delivered_date",
+            "order_items": "quantity", "inventory": "warehouse_id", "clickstream_events": "customer_id"}
+
+
+def _missing_sql(column: str) -> str:
+    return f"count_if({column} IS NULL OR CAST({column} AS VARCHAR) = '')"
+
+
+@register("dq_results_log", "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, CAST(4 AS BIGINT) AS n_results, {_missing_sql(key)} + {_missing_sql(REQUIRED[t])} AS failed_records, "
+    f"{_missing_sql(key)} + {_missing_sql(REQUIRED[t])} > 0 AS halts FROM ({src}) AS b"
+    for t, src, _ in _TABLES_SQL for key in [PRIMARY_KEYS[t][0]]))
+def dq_results_log(spark, sf_dir):
+    """The critical null checks of all seven bronze tables, appended to one
+    results table by two runs; per table the rows of both, what the last run found,
+    and whether the breaker stops that run there."""
+    path = f"{scratch_path(spark, 'dq-results')}/dq_results"
+    frames = _bronze_frames(spark, sf_dir)
+    runs = [f"{RUN_ID}-{k}" for k in (1, 2)]
+    for run in runs:
+        parts = [run_checks(df, [null_check(df, c, "CRITICAL") for c in (PRIMARY_KEYS[e][0], REQUIRED[e])], "bronze", e, run, _as_of())
+                 for e, df in frames.items()]
+        reduce(lambda a, b: a.unionByName(b), parts).coalesce(1).write.mode("append").parquet(path)
+    log = spark.read.parquet(path)
+    last = F.col("pipeline_run_id") == runs[-1]
+    halted = []
+    for e in frames:  # one decision a table, over two rows
+        try:
+            halt_on_critical(log.where(last & (F.col("table_name") == e)))
+        except CriticalQualityError:
+            halted.append(e)
+    return log.groupBy("table_name").agg(
+        F.count("*").alias("n_results"), F.sum(F.when(last, F.col("failed_records")).otherwise(0)).alias("failed_records")).withColumn(
+        "halts", F.col("table_name").isin(halted))
