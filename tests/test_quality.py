@@ -142,3 +142,14 @@ def test_status_transitions_across_buckets_and_lazily(spark):
     assert sorted((r.k, r.from_status, r.to_status) for r in got.collect()) == [("b", "SHIPPED", "PENDING"), ("c", "PENDING", "DELIVERED")]
     monthly = status_transitions(hist, "k", "s", "at", bucket="day")
     assert sorted(r.k for r in monthly.collect()) == ["b", "c"]
+
+
+def test_schema_check_parses_a_record_once(spark):
+    """The parsed record and its keys were copied to every rule that reads them."""
+    df = spark.createDataFrame([('{"a": 1, "b": "x"}',), ('{"b": null}',), ("{",)], "value string").repartition(2)
+    schema = {"required": ["a", "b"], "properties": {
+        "a": {"type": "integer", "minimum": 1}, "b": {"type": "string", "minLength": 1, "pattern": "^x$"}}}
+    r = schema_check(df, "value", schema, "bronze", "t", "run")
+    plan = r._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("parsejson(") == 1
+    assert [r.first()[c] for c in ("total_records", "failed_records")] == [3, 2]
