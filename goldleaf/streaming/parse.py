@@ -44,32 +44,34 @@ def parse_messages(df: DataFrame, source: str, value_col: str = "value",
     (NULL = good) and ``source``."""
     text, raw = _text_and_bytes(df, value_col)
     utf8_ok = F.coalesce(F.is_valid_utf8(text), F.lit(False))
-    v = F.try_parse_json(text)
     one_value = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
-    is_object = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
-    err = (F.when(~utf8_ok, F.lit(ERR_UTF8))
-           .when(v.isNull() | ~F.coalesce(one_value, F.lit(False)), F.lit(ERR_JSON))
-           .when(~is_object, F.lit(ERR_NOT_OBJECT)))
-    out = df.select("*", v.alias("record"))
-    typed = []
-    if fields:
-        rec = F.col("record")
-        for name, t in fields:
-            val = F.try_variant_get(rec, f"$.{name}", t)
+    taken = [c for c in df.columns if c not in ("record", *[n for n, _ in fields or []])]
+
+    def read(p: Column) -> Column:
+        v = p["record"]
+        is_object = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+        err = (F.when(~utf8_ok, F.lit(ERR_UTF8))
+               .when(v.isNull() | ~F.coalesce(one_value, F.lit(False)), F.lit(ERR_JSON))
+               .when(~is_object, F.lit(ERR_NOT_OBJECT)))
+        typed = []
+        for name, t in fields or []:
+            val = F.try_variant_get(v, f"$.{name}", t)
             if t in ("timestamp", "timestamp_ntz", "date"):
                 # ISO text -> time; variant_get reads strings, then cast
-                val = F.try_variant_get(rec, f"$.{name}", "string").try_cast(t)
-            field = F.variant_get(rec, f"$.{name}", "variant")
+                val = F.try_variant_get(v, f"$.{name}", "string").try_cast(t)
+            field = F.variant_get(v, f"$.{name}", "variant")
             # a missing field is SQL NULL, a JSON null is a variant null
             present = field.isNotNull() & ~F.is_variant_null(field)
             err = err.when(present & val.isNull(), F.lit(f"{name}: expected {t}"))
             typed.append(val.alias(name))
-    payload = F.when(utf8_ok, text).otherwise(F.make_valid_utf8(text))
-    return out.select(
-        *[F.col(c) for c in out.columns], *typed,
-        payload.alias("payload"),
-        F.when(~utf8_ok, F.base64(raw)).alias("payload_base64"),
-        err.alias("error_message"), F.lit(source).alias("source"))
+        payload = F.when(utf8_ok, text).otherwise(F.make_valid_utf8(text))
+        return F.struct(v.alias("record"), *typed, payload.alias("payload"),
+                        F.when(~utf8_ok, F.base64(raw)).alias("payload_base64"), err.alias("error_message"))
+
+    # the parsed record is bound once, and a generator's columns are computed once:
+    # as plain expressions they are copied into each filter and field that reads them
+    parsed = F.transform(F.array(F.struct(F.try_parse_json(text).alias("record"))), read)
+    return df.select(*[F.col(c) for c in taken], F.inline(parsed)).withColumn("source", F.lit(source))
 
 
 def gate_ahead(parsed: DataFrame, ts: str, arrival: str, ahead: str = "5 minutes",

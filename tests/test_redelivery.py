@@ -47,3 +47,25 @@ def test_hot_message_and_missing_ids(spark):
     path = run_dedup_job(spark, f"{root}/landing", f"{root}/out")
     assert [i for i, _ in kept(spark, path)] == [7] + list(range(100, 150))
     assert spark.read.parquet(path).where(F.col("event_id").isNull()).count() == 3
+
+
+def test_state_is_a_table_of_live_ids_that_a_replay_finds_again(spark):
+    """One state-server call per id made the run time out; the state is joined."""
+    from goldleaf.streaming.redelivery import drop_redeliveries
+    root = scratch_path(spark, "t-redeliver-state")
+    schema = "event_id long, arrived_at timestamp"
+
+    def run(epoch, *rows):
+        batch = spark.createDataFrame([(i, BASE + dt.timedelta(seconds=s)) for i, s in rows], schema)
+        drop_redeliveries(batch, epoch, f"{root}/out", f"{root}/state", "event_id", "arrived_at")
+        found = spark.read.parquet(f"{root}/out/epoch={epoch}").collect()
+        return sorted((r.event_id or 0, int((r.arrived_at - BASE).total_seconds())) for r in found)
+
+    big = 2**53 + 1
+    assert run(0, (1, 0), (2, 0), (big, 5), (big - 1, 5), (None, 5), (None, 5)) == [(0, 5), (0, 5), (1, 0), (2, 0), (big - 1, 5), (big, 5)]
+    assert run(1) == []
+    for _ in range(2):  # the second time as after a failure
+        assert run(2, (1, 100), (2, 2000)) == [(2, 2000)]
+    assert run(3, (1, 2001)) == [(1, 2001)]
+    live = spark.read.parquet(f"{root}/state/turn=1").where("_key IS NOT NULL")
+    assert sorted(r._key for r in live.collect()) == [1, 2]
