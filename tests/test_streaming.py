@@ -77,3 +77,20 @@ def test_update_mode_panes_sum_to_totals(spark):
         by_window.setdefault(r.window_start.replace(tzinfo=None), []).append((r.epoch, r.pane_count))
     assert sorted(by_window[base]) == [(0, 3), (1, 1)]       # on-time pane, then the late pane
     assert sorted(by_window[base + dt.timedelta(minutes=2)]) == [(1, 1)]
+
+
+def test_split_holds_only_what_its_tables_take(spark, monkeypatch):
+    """Whole messages beside their parsed record made one cached split a multiple of its text."""
+    from goldleaf.session import scratch_path
+    from goldleaf.streaming import jobs
+    from goldleaf.streaming.parse import parse_messages
+    held = []
+    df = parse_messages(spark.createDataFrame([('{"order_id": "a", "total_amount": 1.5}',), ("{",)], "value string"),
+                        "orders", fields=jobs.ORDER_FIELDS)
+    persist = type(df).persist
+    monkeypatch.setattr(type(df), "persist", lambda self, *a: held.append(self.columns) or persist(self, *a))
+    root = scratch_path(spark, "t-split")
+    jobs._split_writer(root, jobs.ORDER_FIELDS)(df, 0)
+    assert len(held) == 1 and not {"value", "record"} & set(held[0])
+    assert [r.order_id for r in spark.read.parquet(f"{root}/bronze").collect()] == ["a"]
+    assert [r.payload for r in spark.read.parquet(f"{root}/dead_letter_queue").collect()] == ["{"]
