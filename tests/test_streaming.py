@@ -94,3 +94,13 @@ def test_split_holds_only_what_its_tables_take(spark, monkeypatch):
     assert len(held) == 1 and not {"value", "record"} & set(held[0])
     assert [r.order_id for r in spark.read.parquet(f"{root}/bronze").collect()] == ["a"]
     assert [r.payload for r in spark.read.parquet(f"{root}/dead_letter_queue").collect()] == ["{"]
+
+
+def test_a_message_is_parsed_once_however_many_fields_and_filters_read_it(spark):
+    from goldleaf.streaming.jobs import CLICK_FIELDS
+    from goldleaf.streaming.parse import good_rows, parse_messages
+    df = spark.createDataFrame([('{"event_id": 1}',), ("{",)], "value string").repartition(2)
+    good = good_rows(parse_messages(df, "clickstream", fields=CLICK_FIELDS)).select("event_id", "ts", "user_id")
+    plan = good._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert plan.count("parsejson(") + plan.count("try_parse_json(") == 1
+    assert [r.event_id for r in good.collect()] == [1]
