@@ -78,3 +78,16 @@ def test_star_join_forces_no_broadcast(spark):
 def test_filters_reach_the_scan(spark):
     plan = _plan(QUERIES["silver_upsert_orders"](spark, SF_SMALL))
     assert re.search(r"PushedFilters: \[[^\]]*LessThan\(o_orderdate", plan)
+
+
+def test_facts_leave_the_columns_of_an_item_where_they_lie(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with tables too large to broadcast
+    try:
+        plan = _plan(QUERIES["gold_fact_orders"](spark, SF_SMALL))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin FullOuter" in _tree(plan)
+    moved = re.findall(r"\(\d+\) Exchange\s*\nInput \[\d+\]: (.*)\nArguments: hashpartitioning", plan)
+    items = [m for m in moved if "line_total#" in m]
+    # only the latest-per-key window's own exchange (which orders by ship date)
+    assert items and all("_shipdate#" in m for m in items), plan
