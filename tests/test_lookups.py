@@ -62,6 +62,15 @@ def test_asof_spreads_a_hot_key(spark):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
+def test_asof_moves_only_what_is_read_and_reads_facts_twice(spark, tmp_path):
+    spark.range(50).select(F.col("id").cast("string").alias("k"), F.lit(DAY).alias("at"), F.lit("w").alias("wide")).write.parquet(f"{tmp_path}/f")
+    v = spark.createDataFrame([("1", DAY, 1)], "k string, since timestamp_ntz, n int")
+    found = asof_lookup(spark.read.parquet(f"{tmp_path}/f"), v, "k", "at", "since", ["n"]).groupBy("n").count()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2 and "wide" not in plan
+    assert {r.n: r["count"] for r in found.collect()} == {1: 1, None: 49}
+
+
 def test_upsert_raises_on_two_matches(spark):
     target = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
     twice = spark.createDataFrame([("a", 5), ("a", 6)], "k string, v int")
