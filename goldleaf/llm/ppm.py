@@ -50,6 +50,8 @@ HEAD = 65_536
 END = ""  # the end as a word; no real word is empty
 _CHUNK = 1 << 20  # symbols counted together: some 30 MB with their sorted copy
 _LOOK = 1 << 19  # symbols looked up together
+# Odd multipliers, one for each table of slots.
+_MIXES = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)]
 
 
 def lowered(text: str | None) -> bytes:
@@ -285,15 +287,59 @@ def frequent_codes(levels: list[tuple[DataFrame, DataFrame]], most: int) -> tupl
     return codes[order], values[order]
 
 
-def look_up(codes: np.ndarray, values: np.ndarray, raws: list[bytes]) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
-    """(log10 probability of each text's symbols that ``codes`` has, (code, times) of
+@dataclass
+class Slots:
+    """Where each of ``codes`` stands, by hash: a code lies in the first table in
+    which no other code took its slot (an empty slot says 0, which no other code
+    equals), the few without one in a sorted rest."""
+
+    codes: np.ndarray
+    tables: list[tuple[np.uint64, np.uint64, np.ndarray]]
+    rest: np.ndarray
+
+    @classmethod
+    def of(cls, codes: np.ndarray) -> Slots:
+        tables, left = [], np.arange(len(codes), dtype=np.int32)
+        for mix in _MIXES:
+            if not len(left):
+                break
+            bits = (4 * len(left)).bit_length()
+            shift = np.uint64(64 - bits)
+            place = codes[left].view(np.uint64) * mix >> shift
+            table = np.zeros(1 << bits, np.int32)
+            table[place] = left
+            tables.append((mix, shift, table))
+            left = left[table[place] != left]
+        return cls(codes, tables, left)
+
+    def find(self, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places, found) of ``own``, as :func:`_find` gives them where found."""
+        at, found = np.zeros(len(own), np.int32), np.zeros(len(own), bool)
+        open_ = None  # all
+        for mix, shift, table in self.tables:
+            asked = own if open_ is None else own[open_]
+            place = table[asked.view(np.uint64) * mix >> shift]
+            hit = self.codes[place] == asked
+            if open_ is None:
+                at, found, open_ = place, hit, np.flatnonzero(~hit)
+            else:
+                at[open_[hit]], found[open_[hit]] = place[hit], True
+                open_ = open_[~hit]
+        if len(self.rest):
+            place, hit = _find(self.codes[self.rest], own[open_])
+            at[open_[hit]], found[open_[hit]] = self.rest[place[hit]], True
+        return at, found
+
+
+def look_up(slots: Slots, values: np.ndarray, raws: list[bytes]) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """(log10 probability of each text's symbols that ``slots`` has, (code, times) of
     all others by text)."""
     out, rare, held, size = np.zeros(len(raws)), [[] for _ in raws], [], 0
 
     def flush():
         owner = np.repeat([i for i, _ in held], [len(c) for _, c in held])
         own = np.concatenate([c for _, c in held])
-        at, found = _find(codes, own)
+        at, found = slots.find(own)
         out[:] += np.bincount(owner[found], values[at[found]], len(raws))
         owner, own = owner[~found], own[~found]
         ends = np.searchsorted(owner, np.arange(len(raws) + 1))
@@ -356,11 +402,12 @@ def score_texts(docs: DataFrame, held_out: str = "held_out", head: int = HEAD, m
 
     def run(batches):
         codes, values, top = model.value
+        slots = Slots.of(codes)
         for b in batches:
             for k in range(0, b.num_rows, 512):
-                yield part(codes, values, top, b.slice(k, 512))
+                yield part(slots, values, top, b.slice(k, 512))
 
-    def part(codes, values, top, b):
+    def part(slots, values, top, b):
         tokens, known, base, tail_words, tail_n, ends = [], [], [], [], [], [0]
         raws = [lowered(t) for t in b.column("text").to_pylist()]
         for raw in raws:
@@ -380,7 +427,7 @@ def score_texts(docs: DataFrame, held_out: str = "held_out", head: int = HEAD, m
             base.append(value)
         tail = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(
             [pa.array(tail_words, pa.string()), pa.array(tail_n, pa.int64())], ["word", "c"]))
-        often, rare = look_up(codes, values, raws)
+        often, rare = look_up(slots, values, raws)
         starts = np.cumsum([0, *(len(r) for r, _ in rare)])
         runs = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.StructArray.from_arrays(
             [pa.array(np.concatenate([x[k] for x in rare]), pa.int64()) for k in (0, 1)], ["pair", "c"]))

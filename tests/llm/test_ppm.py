@@ -124,3 +124,17 @@ def test_lm_query(spark):
         assert np.isclose(g.base_score, sum(np.log10((c[w] + 1) / (c.total() + len(c) + 1)) for w in own))
     for r in docs[:5]:
         assert np.isclose(got[r.doc_id].score, walk(counts, r.text), rtol=1e-4)
+
+
+def test_slots_find_what_a_sorted_search_finds():
+    rng = np.random.default_rng(3)
+    # codes that share their slot in the first table, others at random; 0 is a code too
+    step = pow(int(ppm._MIXES[0]), -1, 1 << 64)
+    same = np.array([k * step % (1 << 64) for k in range(400)], np.uint64).view(np.int64)
+    for codes in (np.zeros(0, np.int64), np.zeros(1, np.int64), np.unique(np.concatenate([same, rng.integers(0, ppm.SYMBOLS**6, 5000)]))):
+        slots = ppm.Slots.of(codes)
+        own = np.concatenate([codes, rng.integers(0, ppm.SYMBOLS**6, 3000), codes[::-1] + 1, np.zeros(2, np.int64)])
+        at, found = slots.find(own)
+        want_at, want = ppm._find(codes, own)
+        assert (found == want).all() and (at[found] == want_at[want]).all()
+    assert len(slots.tables) > 1  # the shared slot was left for another table
