@@ -133,3 +133,13 @@ def test_partition_merge_reads_touched_partitions_only(spark):
     inc = spark.createDataFrame([(3, "new", "3")], "k long, v string, m string")
     fresh = spark.read.schema(target.schema).parquet(f"{root}/t")
     assert touched(fresh, "m", [r.m for r in inc.collect()]).count() == 10
+
+
+def test_facts_keep_items_without_an_id(spark):
+    from goldleaf.plans.gold import fact_orders_source
+    o = spark.createDataFrame([("o1", "c", "p", DAY, "PENDING", "WEB", "USD")],
+                              "order_id string, customer_id string, campaign_id string, order_date timestamp, order_status string, channel string, currency_code string")
+    i = spark.createDataFrame([("o1", "i1", "p", 1), ("o1", None, "p", 2), ("o1", None, "p", 3), ("o2", None, "p", 4)],
+                              "order_id string, order_item_id string, product_id string, quantity bigint")
+    i = i.selectExpr("*", "1.0 AS unit_price", "1.0 AS line_total", "0.0 AS discount_amount")
+    assert sorted(r.quantity for r in fact_orders_source(o, i).collect()) == [1, 2, 3]
