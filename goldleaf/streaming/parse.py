@@ -39,39 +39,46 @@ def _text_and_bytes(df: DataFrame, value_col: str) -> tuple[Column, Column]:
 
 def parse_messages(df: DataFrame, source: str, value_col: str = "value",
                    fields: list[tuple[str, str]] | None = None) -> DataFrame:
-    """Add ``record`` (VARIANT), typed ``fields`` (if given), ``payload``,
+    """Add ``record`` (VARIANT; NULL unless the text is one JSON value), typed
+    ``fields`` (if given), ``payload``,
     ``payload_base64`` (only for non-UTF-8 input), ``error_message``
     (NULL = good) and ``source``."""
     text, raw = _text_and_bytes(df, value_col)
     utf8_ok = F.coalesce(F.is_valid_utf8(text), F.lit(False))
-    one_value = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
-    taken = [c for c in df.columns if c not in ("record", *[n for n, _ in fields or []])]
-
-    def read(p: Column) -> Column:
-        v = p["record"]
-        is_object = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
-        err = (F.when(~utf8_ok, F.lit(ERR_UTF8))
-               .when(v.isNull() | ~F.coalesce(one_value, F.lit(False)), F.lit(ERR_JSON))
-               .when(~is_object, F.lit(ERR_NOT_OBJECT)))
-        typed = []
-        for name, t in fields or []:
-            val = F.try_variant_get(v, f"$.{name}", t)
-            if t in ("timestamp", "timestamp_ntz", "date"):
-                # ISO text -> time; variant_get reads strings, then cast
-                val = F.try_variant_get(v, f"$.{name}", "string").try_cast(t)
-            field = F.variant_get(v, f"$.{name}", "variant")
-            # a missing field is SQL NULL, a JSON null is a variant null
-            present = field.isNotNull() & ~F.is_variant_null(field)
-            err = err.when(present & val.isNull(), F.lit(f"{name}: expected {t}"))
-            typed.append(val.alias(name))
-        payload = F.when(utf8_ok, text).otherwise(F.make_valid_utf8(text))
-        return F.struct(v.alias("record"), *typed, payload.alias("payload"),
-                        F.when(~utf8_ok, F.base64(raw)).alias("payload_base64"), err.alias("error_message"))
-
-    # the parsed record is bound once, and a generator's columns are computed once:
-    # as plain expressions they are copied into each filter and field that reads them
-    parsed = F.transform(F.array(F.struct(F.try_parse_json(text).alias("record"))), read)
-    return df.select(*[F.col(c) for c in taken], F.inline(parsed)).withColumn("source", F.lit(source))
+    names = [n for n, _ in fields or []]
+    taken = [c for c in df.columns if c not in ("record", *names)]
+
+    def bind(rows: DataFrame, **cols: Column) -> DataFrame:
+        # a generator's columns are computed once: as plain expressions they are
+        # copied into each filter and field that reads them
+        return rows.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))))
+
+    # one parse as the items of an array: text after the value is a second item, or breaks it
+    rows = bind(df, _items=F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))))
+    first = F.try_variant_get("_items", "$[0]", "variant")
+    rows = bind(rows, _record=F.when(F.try_variant_get("_items", "$[1]", "variant").isNull(), first))
+    v, typed = F.col("_record"), {}
+    for k, (name, t) in enumerate(fields or []):
+        typed[f"_f{k}"] = F.try_variant_get(v, f"$.{name}", t)
+        if t in ("timestamp", "timestamp_ntz", "date"):
+            # ISO text -> time; variant_get reads strings, then cast
+            typed[f"_f{k}"] = F.try_variant_get(v, f"$.{name}", "string").try_cast(t)
+    if typed:
+        rows = bind(rows, **typed)
+    # of valid JSON the first character says whether it is an object
+    is_object = F.ltrim(text, F.lit(" \t\r\n")).startswith("{")
+    err = (F.when(~utf8_ok, F.lit(ERR_UTF8)).when(v.isNull(), F.lit(ERR_JSON))
+           .when(~is_object, F.lit(ERR_NOT_OBJECT)))
+    for k, (name, t) in enumerate(fields or []):
+        field = F.variant_get(v, f"$.{name}", "variant")
+        # a missing field is SQL NULL, a JSON null is a variant null
+        present = field.isNotNull() & ~F.is_variant_null(field)
+        err = err.when(F.col(f"_f{k}").isNull() & present, F.lit(f"{name}: expected {t}"))
+    payload = F.when(utf8_ok, text).otherwise(F.make_valid_utf8(text))
+    rows = bind(rows, _payload=payload, _payload_base64=F.when(~utf8_ok, F.base64(raw)), _error=err)
+    return rows.select(*[F.col(c) for c in taken], v.alias("record"), *[F.col(f"_f{k}").alias(n) for k, n in enumerate(names)],
+                       F.col("_payload").alias("payload"), F.col("_payload_base64").alias("payload_base64"),
+                       F.col("_error").alias("error_message"), F.lit(source).alias("source"))
 
 
 def gate_ahead(parsed: DataFrame, ts: str, arrival: str, ahead: str = "5 minutes",

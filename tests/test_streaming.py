@@ -104,3 +104,17 @@ def test_a_message_is_parsed_once_however_many_fields_and_filters_read_it(spark)
     plan = good._jdf.queryExecution().optimizedPlan().toString().lower()
     assert plan.count("parsejson(") + plan.count("try_parse_json(") == 1
     assert [r.event_id for r in good.collect()] == [1]
+
+
+def test_a_message_is_read_as_json_once_not_again_for_its_count_and_kind(spark):
+    """The JSON was parsed a second time to count its values, and a record's whole schema was built to see an object."""
+    from goldleaf.streaming.jobs import CLICK_FIELDS
+    from goldleaf.streaming.parse import parse_messages
+    lines = {'{"event_id": 1, "ts": "2024-01-01 00:00:00"}': None, ' \t{"event_id": null}': None, '{"event_id": 1} x': "invalid JSON",
+             '{"event_id": 1}{}': "invalid JSON", '{"event_id": 1},{}': "invalid JSON", "": "invalid JSON", "[{}]": "not a JSON object",
+             "null": "not a JSON object", '"{"': "not a JSON object", "1, 2": "invalid JSON", '{"event_id": "x"}': "event_id: expected bigint",
+             '{"ts": "no time", "event_id": "x"}': "event_id: expected bigint", '{"ts": "no time"}': "ts: expected timestamp"}
+    parsed = parse_messages(spark.createDataFrame([(x,) for x in lines], "value string"), "clickstream", fields=CLICK_FIELDS)
+    assert {r["value"]: r["error_message"] for r in parsed.select("value", "error_message").collect()} == lines
+    plan = parsed._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert not any(again in plan for again in ("json_array_length", "lengthofjsonarray", "schema_of_variant", "schemaofvariant"))
