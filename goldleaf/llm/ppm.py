@@ -34,6 +34,7 @@ no rows; other columns are ignored.
 from __future__ import annotations
 
 from collections import Counter, defaultdict
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -50,6 +51,7 @@ HEAD = 65_536
 END = ""  # the end as a word; no real word is empty
 _CHUNK = 1 << 20  # symbols counted together: some 30 MB with their sorted copy
 _LOOK = 1 << 19  # symbols looked up together
+_ROWS = 512  # texts of a batch at hand together
 # Odd multipliers, one for each table of slots.
 _MIXES = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)]
 
@@ -75,6 +77,27 @@ def gram_codes(s: np.ndarray) -> np.ndarray:
     return out
 
 
+def texts(batches):
+    """The texts of Arrow batches, _ROWS at a time as Python strings: a batch of
+    10,000 rows would otherwise be held a second time, whole."""
+    for b in batches:
+        for k in range(0, b.num_rows, _ROWS):
+            yield from b.column("text").slice(k, _ROWS).to_pylist()
+
+
+@contextmanager
+def small_batches(spark):
+    """Jobs that run inside send texts to the tasks' Python in Arrow batches of
+    _ROWS rows: the vectors of 10,000 whole texts are held by the JVM and by Python."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(_ROWS, int(before)) if int(before) > 0 else _ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 # ---- counts --------------------------------------------------------------
 
 def corpus_counts(docs: DataFrame) -> DataFrame:
@@ -92,18 +115,18 @@ def corpus_counts(docs: DataFrame) -> DataFrame:
                 [pa.array([w.decode("utf-8", "replace") for w in words], pa.string()), pa.nulls(len(words), pa.int64()),
                  pa.array(list(words.values()), pa.int64())], ["word", "gram", "n"])
 
-        for b in batches:
-            for text in b.column("text").to_pylist():
-                raw = lowered(text)
-                words.update(raw.split())
-                words[b""] += 1
-                codes.append(gram_codes(symbols(raw)))
-                size += len(raw) + 1
-                if size >= _CHUNK:
-                    yield from flush()
-                    words, codes, size = Counter(), [], 0
+        for text in texts(batches):
+            raw = lowered(text)
+            words.update(raw.split())
+            words[b""] += 1
+            codes.append(gram_codes(symbols(raw)))
+            size += len(raw) + 1
+            if size >= _CHUNK:
+                yield from flush()
+                words, codes, size = Counter(), [], 0
         if size:
             yield from flush()
+        pa.default_memory_pool().release_unused()
 
     counted = docs.select("text").mapInArrow(run, "word string, gram bigint, n bigint")
     return counted.groupBy("word", "gram").agg(F.sum("n").alias("n"))
@@ -391,7 +414,8 @@ def score_texts(docs: DataFrame, held_out: str = "held_out", head: int = HEAD, m
     """Learn from the rows where boolean column ``held_out`` is false, score
     all: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
-    counts = saved(corpus_counts(docs.where(~F.col(held_out))), "ppm-counts")
+    with small_batches(spark):
+        counts = saved(corpus_counts(docs.where(~F.col(held_out))), "ppm-counts")
     words = counts.where("word is not null").select("word", "n")
     n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     frequent = words.where(frequency_class(F.col("n")) >= least_class(words, head)).toArrow().to_pydict()
@@ -404,8 +428,9 @@ def score_texts(docs: DataFrame, held_out: str = "held_out", head: int = HEAD, m
         codes, values, top = model.value
         slots = Slots.of(codes)
         for b in batches:
-            for k in range(0, b.num_rows, 512):
-                yield part(slots, values, top, b.slice(k, 512))
+            for k in range(0, b.num_rows, _ROWS):
+                yield part(slots, values, top, b.slice(k, _ROWS))
+        pa.default_memory_pool().release_unused()
 
     def part(slots, values, top, b):
         tokens, known, base, tail_words, tail_n, ends = [], [], [], [], [], [0]
@@ -438,8 +463,9 @@ def score_texts(docs: DataFrame, held_out: str = "held_out", head: int = HEAD, m
 
     schema = ("doc_id bigint, held_out boolean, n_tokens bigint, known bigint, base double, often double, "
               "tail array<struct<word:string,c:bigint>>, runs array<struct<pair:bigint,c:bigint>>")
-    read = saved(docs.select("doc_id", F.col(held_out).alias("held_out"), "text").mapInArrow(run, schema)
-                 .withColumn("rid", F.monotonically_increasing_id()), "ppm-scored")
+    with small_batches(spark):
+        read = saved(docs.select("doc_id", F.col(held_out).alias("held_out"), "text").mapInArrow(run, schema)
+                     .withColumn("rid", F.monotonically_increasing_id()), "ppm-scored")
     # words outside the head; those never seen in training add nothing
     rest = read.select("rid", F.inline("tail")).join(words.where(F.col("n") < least), "word")
     rest = rest.groupBy("rid").agg(F.sum("c").alias("more_known"), F.sum(F.col("c") * F.log10(F.col("n") + 1)).alias("more"))

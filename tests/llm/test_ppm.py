@@ -138,3 +138,20 @@ def test_slots_find_what_a_sorted_search_finds():
         want_at, want = ppm._find(codes, own)
         assert (found == want).all() and (at[found] == want_at[want]).all()
     assert len(slots.tables) > 1  # the shared slot was left for another table
+
+
+def test_texts_go_to_the_tasks_in_small_batches_and_the_setting_comes_back(spark, monkeypatch):
+    """Batches of 10,000 whole texts took an executor over its memory."""
+    name, seen, saved = "spark.sql.execution.arrow.maxRecordsPerBatch", {}, ppm.saved
+
+    def spy(df, table, *rest):
+        seen[table] = int(df.sparkSession.conf.get(name))
+        return saved(df, table, *rest)
+
+    monkeypatch.setattr(ppm, "saved", spy)
+    before = spark.conf.get(name)
+    docs = spark.range(0, 1300, 1, 1).selectExpr("id AS doc_id", "concat('word ', id) AS text", "id % 7 = 2 AS held_out")
+    got = ppm.score_texts(docs)
+    assert spark.conf.get(name) == before
+    assert seen["ppm-counts"] <= 512 and seen["ppm-scored"] <= 512
+    assert got.count() == 1300 and got.first()["train_tokens"] == 3 * 1300 - 3 * 186
