@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from ..functions.casts import to_output
 from ..schemas import PRIMARY_KEYS
+from ..session import small_splits
 from ..sources import testdata as td
 from . import gold, silver
 from . import sqltwins as sq
@@ -77,12 +78,11 @@ _KEYS_SQL = [("orders", "customer_id", "customers"), ("orders", "campaign_id", "
 def dq_referential_contracts(spark, sf_dir):
     """All seven foreign keys of the contracts, campaigns and inventory
     included, over both loads."""
-    from ..quality.contracts import foreign_key_check
+    from ..quality.contracts import foreign_key_checks
     from .batch_run import FOREIGN_KEYS
-    frames = _silver_frames(spark, sf_dir)
-    parts = [foreign_key_check(frames[c], fk, frames[p], pk, f"{c}.{fk}", "silver", RUN_ID, checked_at=_as_of())
-             for c, fk, p, pk in FOREIGN_KEYS]
-    return reduce(lambda a, b: a.unionByName(b), parts).select(
+    small_splits(spark)
+    relations = [(f"{c}.{fk}", c, fk, p, pk) for c, fk, p, pk in FOREIGN_KEYS]
+    return foreign_key_checks(_silver_frames(spark, sf_dir), relations, "silver", RUN_ID, checked_at=_as_of()).select(
         F.split_part("table_name", F.lit("."), F.lit(1)).alias("child"), F.col("column_name").alias("fk"),
         "total_records", "failed_records")
 

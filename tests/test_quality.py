@@ -153,3 +153,52 @@ def test_schema_check_parses_a_record_once(spark):
     plan = r._jdf.queryExecution().optimizedPlan().toString()
     assert plan.lower().count("parsejson(") == 1
     assert [r.first()[c] for c in ("total_records", "failed_records")] == [3, 2]
+
+
+def test_foreign_key_checks_agree_with_the_single_check(spark):
+    """Several relations in one pass: a parent that is a child too, NULL keys, two
+    relations on one parent, empty tables."""
+    import pytest
+    from pyspark.sql import functions as F
+
+    from goldleaf.quality.contracts import foreign_key_checks
+    s = "id string, parent string, other string"
+    frames = {"a": spark.createDataFrame([("1", None, "x"), ("1", "9", "x"), (None, "9", "y"), ("2", "1", None)], s),
+              "b": spark.createDataFrame([("x", "1", "1"), ("z", "2", "3"), (None, "3", "3")], s),
+              "empty": spark.createDataFrame([], s)}
+    relations = [("a_a", "a", "parent", "a", "id"), ("a_b", "a", "other", "b", "id"), ("b_a", "b", "parent", "a", "id"),
+                 ("b_a2", "b", "other", "a", "id"), ("e_a", "empty", "parent", "a", "id"), ("b_e", "b", "other", "empty", "id"),
+                 ("e_e", "empty", "other", "empty", "id")]
+    at = F.lit("2024-01-01").cast("timestamp")
+    want = [foreign_key_check(frames[c], fk, frames[p], pk, n, "ds", "run", checked_at=at).first() for n, c, fk, p, pk in relations]
+    got = foreign_key_checks(frames, relations, "ds", "run", checked_at=at)
+    assert got.columns == list(want[0].asDict())
+    assert sorted(got.collect(), key=lambda r: r.rule_name) == sorted(want, key=lambda r: r.rule_name)
+    with pytest.raises(ValueError, match="several types"):
+        foreign_key_checks({**frames, "c": spark.range(3)}, [("a_c", "a", "parent", "c", "id")], "ds", "run")
+
+
+def test_referential_checks_sort_each_silver_table_once(spark):
+    from goldleaf.plans.catalog import QUERIES
+
+    from .conftest import SF_SMALL
+    for name, tables in (("dq_referential_contracts", 7), ("dq_referential", 6)):  # the latter has customers and the active ones
+        plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+        assert sum("Window [" in line for line in plan.splitlines()) == tables, plan
+
+
+def test_checks_read_small_splits(spark):
+    from goldleaf.plans.catalog import QUERIES
+
+    from .conftest import SF_SMALL
+    key = "spark.sql.files.maxPartitionBytes"
+    try:
+        for name in ("dq_referential", "dq_referential_contracts"):
+            spark.conf.set(key, "128MB")
+            QUERIES[name](spark, SF_SMALL)
+            assert spark.conf.get(key) == "16m", name
+        spark.conf.set(key, "1m")
+        QUERIES["dq_referential"](spark, SF_SMALL)
+        assert spark.conf.get(key) == "1m"
+    finally:
+        spark.conf.unset(key)
