@@ -193,7 +193,7 @@ def test_checks_read_small_splits(spark):
     from .conftest import SF_SMALL
     key = "spark.sql.files.maxPartitionBytes"
     try:
-        for name in ("dq_referential", "dq_referential_contracts"):
+        for name in ("dq_cross_column", "dq_sla", "dq_referential", "dq_referential_contracts"):
             spark.conf.set(key, "128MB")
             QUERIES[name](spark, SF_SMALL)
             assert spark.conf.get(key) == "16m", name
