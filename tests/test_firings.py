@@ -93,3 +93,23 @@ def test_hot_window_and_rows_without_time(spark, root):
     got = panes(spark, out)
     assert got[0] == (0, 1, "on_time", 3000) and len(got) == 29
     assert spark.read.parquet(out["bronze"]).count() == len(lines)
+
+
+def test_state_stores_do_not_outnumber_the_cores(spark, root):
+    """Every store costs a task in each micro-batch; a later run with another
+    setting keeps the stores of the first, and the setting is put back."""
+    key = "spark.sql.shuffle.partitions"
+    before, cores = spark.conf.get(key), spark.sparkContext.defaultParallelism
+    spark.conf.set(key, str(5 * cores))
+    try:
+        land(spark, root, [message(k, 10 * k) for k in range(12)])
+        run_firings_job(spark, f"{root}/landing", f"{root}/out")
+        assert spark.conf.get(key) == str(5 * cores)
+        spark.conf.set(key, "2")
+        land(spark, root, [message(100, 900)])
+        out = run_firings_job(spark, f"{root}/landing", f"{root}/out")
+    finally:
+        spark.conf.set(key, before)
+    assert panes(spark, out) == [(0, 1, "on_time", 6), (60, 1, "on_time", 6)]
+    stores = [d for d in os.listdir(f"{root}/out/_checkpoints/panes/state/0".removeprefix("file:")) if d.isdigit()]
+    assert len(stores) == cores
