@@ -143,3 +143,28 @@ def test_facts_keep_items_without_an_id(spark):
                               "order_id string, order_item_id string, product_id string, quantity bigint")
     i = i.selectExpr("*", "1.0 AS unit_price", "1.0 AS line_total", "0.0 AS discount_amount")
     assert sorted(r.quantity for r in fact_orders_source(o, i).collect()) == [1, 2, 3]
+
+
+def test_report_tables_lands_its_tables_beside_each_other(spark, monkeypatch):
+    """All seven writers are at work before the first one ends."""
+    import threading
+
+    from pyspark.sql import DataFrameWriter
+
+    from goldleaf.plans.catalog import QUERIES
+
+    from .conftest import SF_SMALL
+    write, all_in, seen, loads = DataFrameWriter.parquet, threading.Barrier(7), set(), []
+
+    def parquet(self, path, *args, **kw):
+        loads.append(path)
+        if path not in seen:
+            seen.add(path)
+            all_in.wait(timeout=30)
+        return write(self, path, *args, **kw)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    rows = QUERIES["report_tables"](spark, SF_SMALL).collect()
+    assert len(rows) == len(seen) == 7 and len(loads) == 11
+    assert {r.table_name: r.n_loads for r in rows} == {
+        "customers": 2, "products": 2, "campaigns": 2, "orders": 2, "order_items": 1, "inventory": 1, "clickstream_events": 1}
