@@ -155,6 +155,31 @@ def test_schema_check_parses_a_record_once(spark):
     assert [r.first()[c] for c in ("total_records", "failed_records")] == [3, 2]
 
 
+def test_schema_check_is_compiled_and_agrees_with_the_messages(spark):
+    """The count interpreted a lambda over each record; it must find just the
+    records that get a message."""
+    from goldleaf.quality.schema_check import invalid_records
+    odd = ["null", "[]", "{}", '""', '"x"', "0", "-0.0", "3.0", "1.5", "1e2", "1e400", "-1e400", "-1e-400", "99999999999999999999",
+           "-0.00000000000000000000000000000000000000000001", "NaN", "01", '"-5"', '"GOLD"', '"US\\n"', "true", '{"a": null}']
+    text = {k: json.dumps(v) for k, v in GOOD_CUSTOMER.items()}
+    records = [None, "", "null", "1", "{}", "[]", "{oops", "{} x", '{"a": 1', json.dumps(GOOD_CUSTOMER)]
+    for name in text:
+        swapped = [{**text, name: x} for x in odd] + [{k: v for k, v in text.items() if k != name}, {**text, name.upper(): "1"}, {**text, name + ".x": "1"}]
+        records += ["{" + ", ".join(f'"{k}": {v}' for k, v in r.items()) + "}" for r in swapped]
+        records.append("{" + f'"{name}": null, ' + json.dumps(GOOD_CUSTOMER)[1:])
+    schema = ENTITY_SCHEMAS["customers"]
+    df = spark.createDataFrame([(r,) for r in records], "value string").coalesce(1)
+    valid, invalid = split_by_schema(df, "value", schema)
+    bad = [r.bad for r in invalid_records(df, "value", schema).collect()]
+    assert None not in bad and sorted(str(r.value) for r in invalid.collect()) == sorted(str(r) for r, b in zip(records, bad) if b)
+    assert [str(r.value) for r in valid.collect()] == [str(r) for r, b in zip(records, bad) if not b]
+    check = schema_check(df, "value", schema, "bronze", "t", "run")
+    assert check.first().failed_records == sum(bad)
+    assert "lambda" not in check._jdf.queryExecution().optimizedPlan().toString()
+    none = invalid_records(df, "value", {"required": ["gone"], "properties": {"a": {}}})
+    assert all(r.bad for r in none.collect())
+
+
 def test_foreign_key_checks_agree_with_the_single_check(spark):
     """Several relations in one pass: a parent that is a child too, NULL keys, two
     relations on one parent, empty tables."""
