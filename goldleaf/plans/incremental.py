@@ -269,6 +269,7 @@ def dq_schema_contracts(spark, sf_dir):
     """The entity schemas on the landed JSON text of all seven entities, both
     loads."""
     from ..quality.schema_check import ENTITY_SCHEMAS, schema_check
+    small_splits(spark)
     parts = [schema_check(bronze_json(df, e), "value", ENTITY_SCHEMAS[e], "bronze", e, RUN_ID, checked_at=_as_of())
              for e, df in _bronze_frames(spark, sf_dir).items()]
     return reduce(lambda a, b: a.unionByName(b), parts).select("table_name", "total_records", "failed_records")

@@ -180,6 +180,21 @@ def test_schema_check_is_compiled_and_agrees_with_the_messages(spark):
     assert all(r.bad for r in none.collect())
 
 
+def test_generated_schema_checks_are_small_enough_for_the_jvm_compiler(spark):
+    """Methods beyond 8,000 bytes stay interpreted; a check with messages isn't generated at all."""
+    df = spark.createDataFrame([("{}",)], "value string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for name, schema in ENTITY_SCHEMAS.items():
+            check = schema_check(df, "value", schema, "bronze", name, "run")
+            code = check._jdf.queryExecution().debug().codegenToSeq()
+            parts = [code.apply(k) for k in range(code.size())]
+            assert any("parseJson" in p._2() for p in parts), name
+            assert max(p._3().maxMethodCodeSize() for p in parts) < 8000, name
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_foreign_key_checks_agree_with_the_single_check(spark):
     """Several relations in one pass: a parent that is a child too, NULL keys, two
     relations on one parent, empty tables."""
