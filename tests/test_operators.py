@@ -314,3 +314,14 @@ def test_record_hash_include_list(spark):
     df = spark.createDataFrame([("1", "a", "x"), ("1", "a", "y")], "id string, v string, note string")
     hs = [r.h for r in df.select(record_hash(df, include=["id", "v"]).alias("h")).collect()]
     assert hs[0] == hs[1]
+
+
+def test_upsert_with_target_gives_the_table_before_and_after(spark):
+    target = spark.createDataFrame([("a", 1), ("b", None), (None, 3)], "k string, v int")
+    source = spark.createDataFrame([("a", 9), ("c", 4), (None, 5)], "k string, v int")
+    for keys_not_null in (False, True):  # NULL keys match nothing either way
+        out = upsert(target, source, ["k"], with_target=True, keys_not_null=keys_not_null).collect()
+        assert sorted(map(str, [(r._target.k, r._target.v) for r in out if r._target is not None])) == sorted(
+            map(str, [("a", 1), ("b", None), (None, 3)]))
+        assert sorted(map(str, [(r.k, r.v) for r in out])) == sorted(
+            map(str, [("a", 9), ("b", None), ("c", 4), (None, 3), (None, 5)]))

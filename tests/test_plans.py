@@ -91,3 +91,40 @@ def test_facts_leave_the_columns_of_an_item_where_they_lie(spark):
     items = [m for m in moved if "line_total#" in m]
     # only the latest-per-key window's own exchange (which orders by ship date)
     assert items and all("_shipdate#" in m for m in items), plan
+
+
+def test_partition_overwrite_ranks_the_items_once(spark, monkeypatch):
+    """Each run ranked all items for itself; now both read the facts of one pass."""
+    from goldleaf.plans import gold
+    given, daily_sales = [], gold.daily_sales
+    monkeypatch.setattr(gold, "daily_sales", lambda facts: given.append(facts) or daily_sales(facts))
+    QUERIES["partition_overwrite"](spark, SF_SMALL)
+    assert len(given) == 2
+    for facts in given:
+        plan = _plan(facts)
+        assert "Window" not in plan and "Join" not in plan
+    run1, run2 = (f.count() for f in given)
+    assert 0 < run1 < run2
+
+
+def test_partitions_grow_with_the_input(spark, monkeypatch, tmp_path):
+    from goldleaf import session
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    sizes = ["spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes"]
+    before = {k: spark.conf.get(k, None) for k in [key, *sizes]}
+    path = str(tmp_path / "t")
+    spark.range(1 << 19).selectExpr("uuid() AS x").write.parquet(path)
+    try:
+        session.small_partitions(spark, spark.read.parquet(path))
+        once = int(spark.conf.get(key))
+        assert [spark.conf.get(k) for k in sizes] == ["16m", "16m"]
+        monkeypatch.setattr(session, "PARTITION_MB", 1)
+        session.small_partitions(spark, *[spark.read.parquet(path)] * 4)
+        assert 8 <= once and int(spark.conf.get(key)) >= 7 * once  # four times the bytes, half of them each
+        spark.conf.set(sizes[0], "8m")
+        spark.conf.set(key, "5000")
+        session.small_partitions(spark, spark.read.parquet(path))
+        assert spark.conf.get(key) == "5000" and spark.conf.get(sizes[0]) == "8m"
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
