@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from goldleaf.llm import embedding_dedup, queries
+from goldleaf.llm.components import components
 
 from ..conftest import SF_MID, SF_SMALL
 from .test_dedup import roots
@@ -86,3 +87,44 @@ def test_query_recall(spark, sf):
     links = sum(w[1] for w in want)
     assert sum(h[1] for h in have) >= 0.98 * links
     assert all(h[1] <= w[1] for h, w in zip(have, want))
+
+
+def test_full_lists_lose_no_link_between_dense_groups(spark, monkeypatch):
+    """Two dense groups that one pair of vectors links: the lists of both ends are
+    full of nearer ones of their own group."""
+    monkeypatch.setattr(embedding_dedup, "AUDIT", 20)
+    rng, x = np.random.default_rng(7), []
+    for _ in range(2):
+        q = np.linalg.qr(rng.normal(size=(32, 2)))[0]
+        turn = np.arccos(0.92)
+        at = [np.cos(t) * q[:, 0] + np.sin(t) * q[:, 1] for t in (0, 0.13 * turn, 0.87 * turn, turn)]
+        x += [at[1], at[2], *(at[0] + rng.normal(size=(40, 32)) * 0.004), *(at[3] + rng.normal(size=(40, 32)) * 0.004)]
+    rows = [(k, v.tolist()) for k, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    have = got(embedding_dedup.embedding_groups(df))
+    assert have == brute(rows) and len({r[2] for r in have}) == 2
+
+
+def test_outside_links_of_saturated_vertices(spark, monkeypatch):
+    """Lists as full as the descent leaves them, without the pair between the groups."""
+    monkeypatch.setattr(embedding_dedup, "NEIGHBOURS", 4)
+    rng, turn = np.random.default_rng(8), np.arccos(0.96)
+    q = np.linalg.qr(rng.normal(size=(16, 2)))[0]
+    ends = [q[:, 0], np.cos(turn) * q[:, 0] + np.sin(turn) * q[:, 1]]
+    x = np.concatenate([e + rng.normal(size=(20, 16)) * 0.001 for e in ends])
+    classes = spark.createDataFrame([(k, v.tobytes()) for k, v in enumerate(x)], "cid bigint, vec binary")
+    near = [(k, [(1.0, 20 * (k // 20) + (k + d) % 20) for d in range(1, 5)]) for k in range(40)]
+    lists = spark.createDataFrame(near, "a bigint, near array<struct<cos: double, b: bigint>>")
+    links = embedding_dedup._links(lists, 0.95)
+    assert components(links).select("component").distinct().count() == 2
+    assert components(embedding_dedup.outside_links(classes, lists, links, 0, 0.95)).select("component").distinct().count() == 1
+
+
+def test_forest_spans_what_is_linked():
+    rng = np.random.default_rng(9)
+    for share in (0, 0.01, 0.05, 0.6):
+        near = np.triu(rng.random((60, 60)) < share, 1)
+        near = near | near.T
+        i, j = embedding_dedup._forest(near)
+        assert near[i, j].all() and len(i) < 60
+        assert roots(60, list(zip(i, j))) == roots(60, list(zip(*np.nonzero(near))))
